@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark import StorageLevel  # noqa: F401  (kept importable for callers that persist)
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -83,7 +83,8 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Column, ties: Sequence[Col
     cells by the leading bits of `order`, counted (with partial sums before the
     shuffle), and numbered within a cell, so that no task sees a whole key.
     """
-    cells = df.withColumn("_order", order).withColumn("_cell", F.shiftrightunsigned("_order", 64 - cell_bits))
+    cell = F.shiftrightunsigned("_order", 64 - cell_bits) if cell_bits else F.lit(0).cast("long")  # a shift by 64 would do nothing
+    cells = df.withColumn("_order", order).withColumn("_cell", cell)
     counts = cells.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select(*keys, "_cell", (F.sum("_n").over(Window.partitionBy(*keys).orderBy("_cell")) - F.col("_n")).alias("_before"))
     # signed order of a cell's rows is their unsigned order: the leading bits are equal

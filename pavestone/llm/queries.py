@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import packing, quality, sharding
 
 QUERIES = {
+    "op4_sharding": sharding.op4_sharding,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
