@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import packing, quality, sharding
+from . import packing, quality, sharding, warc
 
 QUERIES = {
+    "op5_warc": warc.op5_warc,
     "op4_sharding": sharding.op4_sharding,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc": warc.ORACLE_OP5,
+}
