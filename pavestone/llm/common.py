@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -14,52 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset (tests) a new local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="pavestone-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of this library's own in the shared folder."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001  (the session may have ended already; what is left is scratch)
-        pass
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; removed when the driver ends."""
-    path = f"{shared_dir(spark)}/pavestone/{name}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once as Parquet in the shared folder and read again: later steps survive a lost executor without doing it anew."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.pavestone_path = path
-    return out
-
-
-def drop_written(df: DataFrame) -> None:
-    """Removes what `written` wrote; `df` can't be read any more."""
-    remove(df.sparkSession, df.pavestone_path)
-
-
-def width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+from ..storage import drop_written, new_path, shared_dir, width, written, written_by_key  # noqa: F401
 
 
 def values_table(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import packing, quality, sharding, warc
+from . import packing, quality, sharding, substrings, warc
 
 QUERIES = {
+    "op7_substring_dedup": substrings.op7_substring_dedup,
     "op5_warc": warc.op5_warc,
     "op4_sharding": sharding.op4_sharding,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
