@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import jaccard, packing, quality, sharding, substrings, warc
+from . import decontaminate, jaccard, packing, quality, sharding, substrings, warc
 
 QUERIES = {
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_ngram_jaccard_join": jaccard.op3_ngram_jaccard_join,
     "op7_substring_dedup": substrings.op7_substring_dedup,
     "op5_warc": warc.op5_warc,
