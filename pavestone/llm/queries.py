@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, packing, quality, sharding, substrings, warc
+from . import chat, decontaminate, jaccard, licenses, packing, quality, sharding, substrings, warc
 
 QUERIES = {
+    "op8_perspectives": chat.op8_perspectives,
+    "op9_license_scan": licenses.op9_license_scan,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_ngram_jaccard_join": jaccard.op3_ngram_jaccard_join,
     "op7_substring_dedup": substrings.op7_substring_dedup,
@@ -15,5 +17,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op8_perspectives": chat.ORACLE_OP8,
+    "op9_license_scan": licenses.ORACLE_OP9,
     "op5_warc": warc.ORACLE_OP5,
 }
