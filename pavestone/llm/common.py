@@ -57,16 +57,24 @@ def batches(it: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Record
             yield b.slice(i, step)
 
 
+def places_of(columns: Sequence[str], *names: str) -> list[int]:
+    """Where the named columns stand: by their exact name, else by the first that differs in case only."""
+    exact, loose = {}, {}
+    for i, c in enumerate(columns):
+        exact.setdefault(c, i)
+        loose.setdefault(c.lower(), i)
+    return [exact[n] if n in exact else loose[n.lower()] for n in names]
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """`df` with its columns named _c0, _c1, ...: names that clash, with each other or with an operator's own, don't matter."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns of an input, by their exact place: extra columns, even with clashing case, don't matter."""
-    cols = {}
-    for i, c in enumerate(df.columns):
-        cols.setdefault(c, i)
-    low = {}
-    for c, i in cols.items():
-        low.setdefault(c.lower(), i)
-    plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"_c{cols.get(n, low.get(n.lower()))}").alias(n) for n in names])
+    """The named columns of an input; others, even with clashing names, don't matter."""
+    plain = by_place(df)
+    return plain.select(*[F.col(f"_c{i}").alias(n) for i, n in zip(places_of(df.columns, *names), names, strict=True)])
 
 
 def environment() -> None:

@@ -29,10 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators.components import connected_components
 from .chunks import Ranges, answered, block_rows, chunk_table, document_chunks, emit_from_chunks, in_several, join_parts, pack_ints, pack_sorted, ranges_of, split_parts, unpack_ints, unpack_sorted, with_answers
-from .common import written
+from .common import by_place, places_of, written
 from .textkit import Words, mix, window_hashes, window_starts
 
 SHINGLE, PERCENT = 5, 80
@@ -291,10 +292,16 @@ def similar_documents(docs: DataFrame, width: int = SHINGLE, percent: int = PERC
 
 
 def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """`docs` (all columns) with one document of each component: the one of the smallest doc_id."""
-    found = similar_documents(docs, SHINGLE, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    """`docs` (all columns) with one document of each component: the one of the smallest doc_id.
+
+    Rows equal in doc_id and text are one document; a null doc_id stays.
+    """
+    found = similar_documents(docs, SHINGLE, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     found = written(found, "kept")
-    return docs.join(found, docs["doc_id"] == found["_id"], "left_semi")
+    plain = by_place(docs)
+    at = [F.col(f"_c{i}") for i in places_of(docs.columns, "doc_id", "text")]
+    stay = plain.join(found, at[0].eqNullSafe(F.col("kept_id")), "left_semi").withColumn("again", F.row_number().over(Window.partitionBy(at[0], F.xxhash64(at[1])).orderBy(at[0])))
+    return stay.where("again = 1").drop("again").toDF(*docs.columns)
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

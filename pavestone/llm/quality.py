@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import batches, only
+from .common import batches, by_place, only, places_of
 from .textkit import Words, window_hashes
 
 #: n-gram length -> largest share (in percent) of a text's word characters that may lie in repeated n-grams.
@@ -152,5 +152,19 @@ def repetition_rules(docs: DataFrame) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(_task, SCHEMA)
 
 
+def _filter_task(id_at: int, text_at: int):
+    def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(it, 4 << 20):
+            yield b.filter(_measure(pa.nulls(len(b), pa.int64()), b.column(text_at)).column("kept"))
+
+    return task
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """`docs` (all columns) without the documents that the rules reject."""
+    plain = by_place(docs)
+    return plain.mapInArrow(_filter_task(*places_of(docs.columns, "doc_id", "text")), plain.schema).toDF(*docs.columns)
+
+
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
     return repetition_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, jaccard, licenses, packing, quality, sharding, substrings, warc
+from . import chat, decontaminate, html_text, jaccard, licenses, packing, quality, sharding, substrings, warc
 
 QUERIES = {
+    "op1_html_text": html_text.op1_html_text,
     "op8_perspectives": chat.op8_perspectives,
     "op9_license_scan": licenses.op9_license_scan,
     "op2_decontamination": decontaminate.op2_decontamination,

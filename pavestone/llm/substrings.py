@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Ranges, answered, block_rows, document_chunks, emit_from_chunks, in_several, join_parts, pack_ints, pack_sorted, ranges_of, split_parts, unpack_ints, unpack_sorted, with_answers
-from .common import written
+from .common import by_place, places_of, written
 from .textkit import Words, window_hashes, window_starts
 
 WINDOW, FIRST_LEVEL = 20, 10
@@ -181,30 +181,41 @@ def _spans(table: pa.Table, w: Words, removed: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks().take(pa.array(ids, pa.int64())), pa.array(text_hash, pa.string()), pa.array(spans, span)], ["doc_id", "text_sha256", "spans"])
 
 
-def _cut_task(it):
-    for b in it:
-        texts, spans = b.column(b.schema.get_field_index("text")), b.column(b.schema.get_field_index("_spans"))
-        out = []
-        for text, cut in zip(texts, spans, strict=True):
-            if not cut.is_valid:
-                out.append(text.as_py())
-                continue
-            raw, at, kept = text.as_buffer().to_pybytes(), 0, []
-            for s in cut.as_py():
-                kept.append(raw[at : s["first"]])
-                at = s["end"]
-            kept.append(raw[at:])
-            out.append(b"".join(kept).rstrip(b" \t\n\r\x0b\x0c").decode())
-        cols = [pa.array(out, pa.string()) if n == "text" else b.column(i) for i, n in enumerate(b.schema.names) if n != "_spans"]
-        yield pa.RecordBatch.from_arrays(cols, [n for n in b.schema.names if n != "_spans"])
+def _cut_task(text_at: int, length_at: int | None):
+    def task(it):
+        for b in it:
+            out, cols = [], list(b.columns)
+            for text, cut in zip(cols[text_at], cols.pop(), strict=True):
+                if not cut.is_valid:
+                    out.append(text.as_py())
+                    continue
+                raw, at, kept = text.as_buffer().to_pybytes(), 0, []
+                for s in cut.as_py():
+                    kept.append(raw[at : s["first"]])
+                    at = s["end"]
+                kept.append(raw[at:])
+                out.append(b"".join(kept).rstrip(b" \t\n\r\x0b\x0c").decode())
+            cols[text_at] = pa.array(out, pa.string())
+            if length_at is not None:  # the length of a text that isn't null
+                kind = cols[length_at].type
+                cols[length_at] = pa.array([n if t is None else len(t) for t, n in zip(out, cols[length_at].to_pylist(), strict=True)], kind)
+            yield pa.RecordBatch.from_arrays(cols, b.schema.names[:-1])
+
+    return task
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """`docs` with the byte spans cut from their texts; rows are matched by doc_id and the text's SHA-256."""
-    own = spans.withColumnRenamed("doc_id", "_id").withColumnRenamed("spans", "_spans").dropDuplicates(["_id", "text_sha256"])
-    same = docs["doc_id"].eqNullSafe(own["_id"]) & (F.sha2(docs["text"].cast("binary"), 256) == own["text_sha256"])
-    joined = docs.join(own, same, "left").select(*[docs[c] for c in docs.columns], "_spans")
-    return joined.mapInArrow(_cut_task, docs.schema)
+    """`docs` (all columns, n_chars brought up to date) with byte spans cut from their texts.
+
+    `spans`: (doc_id, text_sha256, spans); rows are matched by doc_id and the text's SHA-256.
+    """
+    plain = by_place(docs)
+    id_at, text_at = places_of(docs.columns, "doc_id", "text")
+    length_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    own = spans.select(F.col("doc_id").alias("s_id"), "text_sha256", "spans").dropDuplicates(["s_id", "text_sha256"])
+    same = F.col(f"_c{id_at}").eqNullSafe(F.col("s_id")) & (F.sha2(F.col(f"_c{text_at}").cast("binary"), 256) == F.col("text_sha256"))
+    joined = plain.join(own, same, "left").select(*plain.columns, "spans")
+    return joined.mapInArrow(_cut_task(text_at, length_at), plain.schema).toDF(*docs.columns)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
