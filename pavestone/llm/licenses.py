@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import only
 
 THRESHOLD = 0.8
+#: Words of running text: a template is told by its others where they are enough.
+COMMON = frozenset("a all and as at by for from in is it of on or that the this to under was with you".split())
 #: (licence id, template): notices as they stand in sources and on pages, and short licence texts.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -56,6 +58,16 @@ def size_bounds(b: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return fits[0], fits[-1]
 
 
+def signal_words(bigrams: list[str], threshold: float = THRESHOLD) -> set[str]:
+    """Words without which no set of bigrams reaches the threshold: a match has at least `low` of the b bigrams, so one of any b - low + 1."""
+    need = len(bigrams) - size_bounds(len(bigrams), threshold)[0] + 1
+    words = sorted({w for g in bigrams for w in g.split(" ")}, key=lambda w: (w in COMMON, -len(w), w))
+    found: set[str] = set()
+    while sum(any(w in found for w in g.split(" ")) for g in bigrams) < need:
+        found.add(words[len(found)])  # words that running text has seldom come first
+    return found
+
+
 def _bigrams(words: Column) -> Column:
     n = F.size(words)
     return F.when(n >= 2, F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))))
@@ -70,12 +82,16 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     table = [{"t": i, "id": name, "b": len(b), "low": bounds[i][0], "high": bounds[i][1], "g": g} for i, name, b in known for g in b]
     grams = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(table)), "array<struct<t:int,id:string,b:int,low:int,high:int,g:string>>")).alias("r")).select("r.*")
     rows = only(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("th"), "text")
-    clean = F.regexp_replace(F.translate(F.lower("text"), "\r", " "), "[^a-z0-9\n]+", " ")
+    signals = sorted({w for _, _, b in known for w in signal_words(b, threshold)})
+    signal = f"(?<![a-z0-9])(?:{'|'.join(signals)})(?![a-z0-9])"
+    clean = F.regexp_replace(F.translate("low", "\r", " "), "[^a-z0-9\n]+", " ")
     lines = F.split(clean, "\n")
     whole = F.when(F.size(lines) > 1, F.array(F.replace(clean, F.lit("\n"), F.lit(" ")))).otherwise(F.array().cast("array<string>"))
     least, most = min(x for x, _ in bounds.values()), max(y for _, y in bounds.values())
+    # only texts and segments with a signal word of some template are looked at closer;
     # a segment of n distinct bigrams has more than n words; long segments may repeat theirs, so only a lower bound is known before
-    segment = rows.where("text is not null").select("doc_id", "th", F.posexplode(F.concat(lines, whole)).alias("segment", "line"))
+    told = rows.where("text is not null").select("doc_id", "th", F.lower("text").alias("low")).where(F.col("low").rlike(signal))
+    segment = told.select("doc_id", "th", F.posexplode(F.concat(lines, whole)).alias("segment", "line")).where(F.col("line").rlike(signal))
     words = F.split(F.trim(F.regexp_replace("line", " +", " ")), " ")
     first = segment.where(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= least - 1).select("doc_id", "th", "segment", words.alias("words"))
     sets = first.where(F.size("words") > least).select("doc_id", "th", "segment", _bigrams(F.col("words")).alias("grams"))
