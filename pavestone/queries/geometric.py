@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..operators import linear as L
 from ..registry import query, table
 
 
@@ -107,7 +108,7 @@ SELECT line_id, round(sum(x), 3) AS sum_x, round(sum(y), 3) AS sum_y FROM r GROU
 def g13(spark, sf):
     c = F.col("line")
     simple = ~F.exists(G.segments(c), lambda g: G.distance(g["a"], g["b"]) == 0)
-    moved = lines(spark, sf).where(simple).select("line_id", F.explode(G.line_offset(c, F.lit(2.5))).alias("p"))
+    moved = L.offset_lines(lines(spark, sf).where(simple), F.lit(2.5)).select("line_id", F.explode("line").alias("p"))
     return moved.groupBy("line_id").agg(F.round(F.sum("p.x"), 3).alias("sum_x"), F.round(F.sum("p.y"), 3).alias("sum_y"))
 
 
