@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, jaccard, licenses, packing, quality, sharding, substrings, warc
+from . import chat, decontaminate, html_text, jaccard, licenses, oracles, packing, quality, sharding, substrings, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -18,6 +18,10 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_decontamination": oracles.OP2,
+    "op3_ngram_jaccard_join": oracles.OP3,
+    "op7_substring_dedup": oracles.OP7,
+    "op10_quality_rules": oracles.OP10,
     "op8_perspectives": chat.ORACLE_OP8,
     "op9_license_scan": licenses.ORACLE_OP9,
     "op5_warc": warc.ORACLE_OP5,
