@@ -32,15 +32,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     for _ in range(most_rounds):
         pairs = _both_ways(links)
         # large star: neighbours above a node move to the smallest around it
-        large = pairs.join(_toward_smallest(pairs), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # the smallest are written first: both sides of the join are then plain exchanges, and a node of very many edges can be split
+        near = written(_toward_smallest(pairs), "nearest")
+        large = pairs.join(near, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.where("a <> b").distinct(), "links")
         # small star: a node and its smaller neighbours move to the smallest of them
-        joined = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        joined = large.join(least, "a")
         small = joined.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         small = written(small.where("a <> b").distinct(), "links")
-        drop_written(links)
+        drop_written(links, near, large, least)
         links = small
-        drop_written(large)
         # done when no node is both above and below another, and each has one parent
         state = links.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         several = state.where("n > 1").limit(1).count()

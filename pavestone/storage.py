@@ -44,17 +44,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop_written(df: DataFrame) -> None:
-    """Removes what `written` wrote; `df` can't be read any more."""
-    remove(df.sparkSession, df.pavestone_path)
+def drop_written(*tables: DataFrame) -> None:
+    """Removes what `written` or `written_by_key` wrote; these tables can't be read any more."""
+    for df in tables:
+        if name := getattr(df, "pavestone_table", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(df.sparkSession, df.pavestone_path)
 
 
 def written_by_key(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
     """Like `written`, but dealt into buckets by `key`: grouping or joining by it moves none of these rows again."""
     spark = df.sparkSession
-    table = f"pavestone_{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, key).option("path", new_path(spark, name)).format("parquet").saveAsTable(table)
-    return spark.table(table)
+    table, path = f"pavestone_{name}_{uuid.uuid4().hex}", new_path(spark, name)
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    out.pavestone_table, out.pavestone_path = table, path
+    return out
 
 
 def width(spark: SparkSession) -> int:
