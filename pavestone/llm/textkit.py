@@ -92,7 +92,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
         out = np.empty(len(self.start), np.uint64)
-        step = 1 << 22  # bytes at once: the power tables stay small however long a text is
+        step = 1 << 19  # bytes at once: the power tables stay small however long a text is
         w = 0
         while w < len(self.start):
             base = int(self.start[w])
