@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 
 from ..operators.components import connected_components
 from .chunks import Ranges, answered, block_rows, chunk_table, document_chunks, emit_from_chunks, in_several, join_parts, pack_ints, pack_sorted, ranges_of, split_parts, unpack_ints, unpack_sorted, with_answers
-from .common import by_place, places_of, written
+from .common import by_place, drop_written, places_of, written
 from .textkit import Words, mix, window_hashes, window_starts
 
 SHINGLE, PERCENT = 5, 80
@@ -111,7 +111,9 @@ def document_sets(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     all_chunks = chunks.select("chunk", F.lit(0).alias("level"), F.lit(-1).alias("range"), F.lit(b"").alias("answer"))
     answers = written(answered(emit_from_chunks(chunks, emit), 0, in_several), "shared")
     work = lambda chunk, table, own: _set_rows(table, own.get(0, b""), ranges, width, percent)
-    return written(with_answers(chunks, answers.unionByName(all_chunks), work, SETS), "sets")
+    sets = written(with_answers(chunks, answers.unionByName(all_chunks), work, SETS), "sets")
+    drop_written(chunks, answers)
+    return sets
 
 
 class SetChunk:
@@ -193,7 +195,9 @@ def families(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = written(answered(emit_from_chunks(chunks, emit), 0, _frequencies), "classes")
     posted = with_answers(chunks, classes, lambda chunk, table, own: _postings(chunk, table, own[0], ranges, percent), POSTINGS)
     edges = posted.groupBy("range").applyInArrow(_list_edges, "a long, b long")
-    return connected_components(edges).select(F.col("node").alias("sid"), F.col("component").alias("family"))
+    found = connected_components(edges).select(F.col("node").alias("sid"), F.col("component").alias("family"))
+    drop_written(chunks, classes)
+    return found
 
 
 class Lists:
@@ -294,14 +298,17 @@ def similar_documents(docs: DataFrame, width: int = SHINGLE, percent: int = PERC
 def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`docs` (all columns) with one document of each component: the one of the smallest doc_id.
 
-    Rows equal in doc_id and text are one document; a null doc_id stays.
+    Rows equal in doc_id and text are one document; without a doc_id, different texts all stay.
     """
-    found = similar_documents(docs, SHINGLE, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    found = similar_documents(docs, SHINGLE, percent).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     found = written(found, "kept")
     plain = by_place(docs)
-    at = [F.col(f"_c{i}") for i in places_of(docs.columns, "doc_id", "text")]
-    stay = plain.join(found, at[0].eqNullSafe(F.col("kept_id")), "left_semi").withColumn("again", F.row_number().over(Window.partitionBy(at[0], F.xxhash64(at[1])).orderBy(at[0])))
-    return stay.where("again = 1").drop("again").toDF(*docs.columns)
+    own_id, text = (F.col(f"_c{i}") for i in places_of(docs.columns, "doc_id", "text"))
+    # the join deals the texts by doc_id, and the numbering below needs no other place for them
+    stay = plain.where(own_id.isNotNull()).join(found, own_id == F.col("kept_id"), "left_semi")
+    first = lambda df, *key: df.withColumn("again", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))).where("again = 1").drop("again")
+    nameless = first(plain.where(own_id.isNull()), F.xxhash64(text))
+    return first(stay, own_id, F.xxhash64(text)).unionByName(nameless).toDF(*docs.columns)
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Ranges, answered, block_rows, document_chunks, emit_from_chunks, in_several, join_parts, pack_ints, pack_sorted, ranges_of, split_parts, unpack_ints, unpack_sorted, with_answers
-from .common import by_place, places_of, written
+from .common import by_place, drop_written, places_of, written
 from .textkit import Words, window_hashes, window_starts
 
 WINDOW, FIRST_LEVEL = 20, 10
@@ -95,12 +95,16 @@ def earlier_elsewhere(chunks: list[int], blocks: list[bytes]) -> list[bytes]:
     return [flag[e - len(k) : e].tobytes() for e, k in zip(ends, keys, strict=True)]
 
 
-def removed_words(docs: DataFrame, finish, schema: str, window: int = WINDOW, first: int = FIRST_LEVEL) -> DataFrame:
-    """Runs the levels and gives `finish(table, words, removed)` each chunk with its flags of words to remove."""
+def removed_words(docs: DataFrame, finish, schema: str, window: int = WINDOW, first: int = FIRST_LEVEL, keep: str | None = None) -> DataFrame:
+    """Runs the levels and gives `finish(table, words, removed)` each chunk with its flags of words to remove.
+
+    With `keep`, the result is written under that name and what led to it is removed.
+    """
     chunks = document_chunks(docs)
     ranges = ranges_of(chunks)
     lengths = levels(window, first)
     found: DataFrame | None = None
+    made: list[DataFrame] = [chunks]
 
     def state(table: pa.Table, upto: int, own: dict[int, bytes]) -> Windows:
         w = Windows(table, ranges, lengths)
@@ -127,6 +131,7 @@ def removed_words(docs: DataFrame, finish, schema: str, window: int = WINDOW, fi
         else:
             blocks = with_answers(chunks, found, emit, "range int, chunk long, block binary")
         new = written(answered(blocks, level, in_several if level < len(lengths) - 1 else earlier_elsewhere), "answers")
+        made.append(new)
         found = new if found is None else found.unionByName(new)
 
     def end(chunk: int, table: pa.Table, own: dict[int, bytes]) -> pa.RecordBatch:
@@ -141,7 +146,12 @@ def removed_words(docs: DataFrame, finish, schema: str, window: int = WINDOW, fi
         np.add.at(edges, start[later] + window, -1)
         return finish(table, w.words, np.cumsum(edges[:-1]) > 0)
 
-    return with_answers(chunks, found, end, schema)
+    out = with_answers(chunks, found, end, schema)
+    if keep is None:
+        return out
+    out = written(out, keep)
+    drop_written(*made)
+    return out
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +230,7 @@ def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """`docs` (all columns) without the words of repeated windows; white space around what stays is kept."""
-    return cut_spans(docs, removed_words(docs, _spans, "doc_id long, text_sha256 string, spans array<struct<first:long,end:long>>", window))
+    return cut_spans(docs, removed_words(docs, _spans, "doc_id long, text_sha256 string, spans array<struct<first:long,end:long>>", window, keep="spans"))
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
