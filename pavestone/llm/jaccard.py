@@ -38,7 +38,7 @@ from .textkit import Words, mix, window_hashes, window_starts
 
 SHINGLE, PERCENT = 5, 80
 #: Sets per block of a family; a task joins two blocks at most.
-BLOCK_SETS = 256
+BLOCK_SETS = 128
 #: Sets whose full overlaps a task keeps to derive others from.
 PIVOTS = 24
 
