@@ -269,3 +269,60 @@ def crown_diameter(tags: Column, osm_id: Column, year: int) -> Column:
     free = F.when(tags["natural"] == "tree", round_half_up(part * 4 + 5, 1)).otherwise(round_half_up(part * 3 + 3, 1))
     size = F.coalesce(metric_number(tags["diameter_crown"]), F.when(guess.isNotNull(), round_half_up(F.greatest(F.lit(2.0), F.least(F.lit(25.0), guess)), 1)), free)
     return F.when(F.coalesce(tags["natural"] == "tree_stump", F.lit(False)), F.lit(None).cast("double")).otherwise(size)
+
+
+def car_rotation(way: Column, angle: Column, left_of_one_way: Column, space_id: Column, latitude: Column) -> Column:
+    """P-31: icon rotation by orientation and side, less 1 / cos(latitude), mod 360; unknown orientations vary by id."""
+    free = F.pmod(F.conv(F.substring(F.sha2(space_id, 256), 1, 8), 16, 10).cast("long"), F.lit(360)).cast("double")
+    turn = (
+        F.when(way == "parallel", angle + F.when(left_of_one_way, 180).otherwise(0))
+        .when(way == "diagonal", angle + F.when(left_of_one_way, 126).otherwise(54))
+        .when(way == "perpendicular", angle - 90)
+        .otherwise(free)
+    )
+    return F.pmod(turn - 1 / F.cos(F.radians(latitude)) + 360, F.lit(360.0))
+
+
+# fixed values: dash arrays by marking or type, the first that fits
+DASHES = [("road_marking", "crossing_edge", "0.5;0.25"), ("type", "bicycle", "1;1"), ("type", "bus", "5;1"), ("type", "parking", "1;1"), ("road_marking", "stop_line", "0.5;0.25"), ("stroke", "sharks_teeth", "0.5;0.25"), ("road_marking", "edge_line", "1;1")]
+DASH_DEFAULT = "3;3"
+
+
+def dash_default(stroke: Column, marking: Column, kind: Column, given: Column) -> Column:
+    """P-32: dashes only for dashed strokes and sharks' teeth: as tagged, else by marking or type."""
+    of = {"stroke": stroke, "road_marking": marking, "type": kind}
+    by_rule = F.coalesce(*[F.when(of[c] == v, d) for c, v, d in DASHES], F.lit(DASH_DEFAULT))
+    dashed = F.coalesce(stroke.contains("dashed") | (stroke == "sharks_teeth"), F.lit(False))
+    return F.when(dashed, F.coalesce(F.nullif(F.trim(given), F.lit("")), by_rule))
+
+
+def sign_size(width: Column, length: Column, default: float, factor: float = 2.0) -> Column:
+    """P-33: width and length of a painted sign; the length is `factor` times the width."""
+    w = F.coalesce(width, F.lit(default))
+    return F.struct(w.alias("width"), F.coalesce(length, w * factor).alias("length"))
+
+
+# fixed values: sign numbers of words
+SIGNS = {"city_limit": "310", "maxspeed": "274", "stop": "206", "give_way": "205", "maxwidth": "264", "maxheight": "265", "maxweight": "262", "stop_ahead": "205,1004-32", "yield_ahead": "205,1004-30", "signal_ahead": "131", "hazard": "101"}
+
+
+def parse_traffic_sign(tags: Column, country: str = "DE") -> Column:
+    """P-14: (country_code, sign_main, sign_list) of a traffic_sign tag; null without a sign.
+
+    Words become numbers (maxspeed with its value), and give the default country.
+    """
+    value = F.regexp_replace(tags["traffic_sign"], "(none|no|yes|street_name_sign)[;,]?", "")
+    code = F.nullif(F.regexp_extract(value, r"^([^:\[\],;]*):", 1), F.lit(""))
+    rest = F.when(code.isNotNull(), F.substring(value, F.length(code) + 2, F.length(value))).otherwise(value)
+    parts = tag_list(rest, ";,")
+    table = F.create_map(*[F.lit(x) for kv in SIGNS.items() for x in kv])
+
+    def number(sign: Column) -> Column:
+        speed = F.when(tags["maxspeed"] == "implicit", "278").when(tags["maxspeed"].try_cast("double").isNotNull(), F.concat(F.lit("274-"), tags["maxspeed"])).otherwise("274")
+        return F.when((sign == "city_limit") & F.coalesce(tags["city_limit"] == "end", F.lit(False)), "311").when(sign == "maxspeed", speed).otherwise(F.coalesce(table[sign], sign))
+
+    worded = F.exists(parts, lambda s: table[s].isNotNull())
+    numbers = F.transform(parts, number)
+    main = F.regexp_replace(F.try_element_at(numbers, F.lit(1)), r"\[[^\]]*\]", "")
+    found = F.struct(F.coalesce(code, F.when(worded, country)).alias("country_code"), main.alias("sign_main"), F.array_join(numbers, ";").alias("sign_list"))
+    return F.when(F.size(parts) > 0, found)

@@ -290,3 +290,43 @@ SELECT c_custkey, '16/' || CAST(floor((c_custkey * 1009 + 20037508.342789244::DO
 def p41(spark, sf):
     k = F.col("c_custkey").cast("double")
     return table(spark, sf, "customer").select("c_custkey", T.tile_key(k * 1009, k * 733, 16).alias("tile"))
+
+
+@query(
+    "p14_traffic_sign",
+    """WITH t AS (SELECT p_partkey AS k, p_partkey % 6 AS m, p_size AS s FROM part)
+SELECT k, CASE m WHEN 0 THEN 'DE' WHEN 1 THEN 'DE' WHEN 2 THEN 'AT' WHEN 3 THEN 'DE' END AS country_code,
+ CASE m WHEN 0 THEN '274.1' WHEN 1 THEN '274-' || s WHEN 2 THEN '52' WHEN 3 THEN '311' WHEN 4 THEN '101-10' END AS sign_main,
+ CASE m WHEN 0 THEN '274.1[30];1042' WHEN 1 THEN '274-' || s WHEN 2 THEN '52' WHEN 3 THEN '311' WHEN 4 THEN '101-10;1040' END AS sign_list FROM t""",
+)
+def p14(spark, sf):
+    k = F.col("p_partkey") % 6
+    sign = F.when(k == 0, "DE:274.1[30],1042").when(k == 1, "maxspeed").when(k == 2, "AT:52").when(k == 3, "no;city_limit").when(k == 4, "101-10;1040").otherwise("none")
+    pairs = F.create_map(F.lit("traffic_sign"), sign, F.lit("maxspeed"), F.col("p_size").cast("string"), F.lit("city_limit"), F.lit("end"))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("k"), pairs.alias("t")).select("k", T.parse_traffic_sign(F.col("t")).alias("s")).select("k", "s.country_code", "s.sign_main", "s.sign_list")
+
+
+@query(
+    "p31_icon_rotation",
+    """WITH t AS (SELECT o_orderkey AS k, o_orderkey % 3 AS m, o_orderkey * 7 % 360 AS a, o_orderkey % 2 = 0 AS l, o_orderkey % 60 AS lat FROM orders)
+SELECT k, round((((CASE m WHEN 0 THEN a + CASE WHEN l THEN 180 ELSE 0 END WHEN 1 THEN a + CASE WHEN l THEN 126 ELSE 54 END ELSE a - 90 END - 1 / cos(radians(lat))) + 360)::DOUBLE % 360 + 360) % 360, 6) AS rotation FROM t""",
+)
+def p31(spark, sf):
+    k = F.col("o_orderkey")
+    way = F.when(k % 3 == 0, "parallel").when(k % 3 == 1, "diagonal").otherwise("perpendicular")
+    r = T.car_rotation(way, (k * 7 % 360).cast("double"), k % 2 == 0, k.cast("string"), (k % 60).cast("double"))
+    return table(spark, sf, "orders").select(k.alias("k"), F.round(r, 6).alias("rotation"))
+
+
+@query(
+    "p32_dashes",
+    """WITH t AS (SELECT p_partkey AS k, ['dashed', 'solid', 'sharks_teeth', 'dashed;solid', NULL][CAST(p_partkey % 5 + 1 AS INTEGER)] AS s, ['crossing_edge', 'edge_line', 'lane_divider'][CAST(p_partkey % 3 + 1 AS INTEGER)] AS m, ['bus', NULL][CAST(p_partkey % 2 + 1 AS INTEGER)] AS ty FROM part)
+SELECT k, CASE WHEN s LIKE '%dashed%' OR s = 'sharks_teeth' THEN CASE WHEN k % 7 = 0 THEN '9;9' WHEN m = 'crossing_edge' THEN '0.5;0.25' WHEN ty = 'bus' THEN '5;1' WHEN s = 'sharks_teeth' THEN '0.5;0.25' WHEN m = 'edge_line' THEN '1;1' ELSE '3;3' END END AS dashes,
+ round(CASE WHEN k % 4 = 0 THEN 2.0 ELSE 1.5 END * 2, 3)::DOUBLE AS length FROM t""",
+)
+def p32(spark, sf):
+    k = F.col("p_partkey")
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (k % len(values) + 1).cast("int"))
+    d = T.dash_default(pick(["dashed", "solid", "sharks_teeth", "dashed;solid", None]), pick(["crossing_edge", "edge_line", "lane_divider"]), pick(["bus", None]), F.when(k % 7 == 0, " 9;9 ").otherwise(" "))
+    size = T.sign_size(F.when(k % 4 == 0, 2.0), F.lit(None).cast("double"), 1.5)
+    return table(spark, sf, "part").select(k.alias("k"), d.alias("dashes"), size["length"].alias("length"))
