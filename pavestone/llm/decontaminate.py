@@ -30,7 +30,7 @@ from .textkit import ALNUM, Words
 WINDOW = 10
 SAMPLE = 16
 #: Bytes of text in a shard, and of benchmark text in a block of phrases.
-SHARD_BYTES, BLOCK_BYTES = 8 << 20, 16 << 20
+SHARD_BYTES, BLOCK_BYTES = 8 << 20, 2 << 20
 
 
 class Phrases:
@@ -52,10 +52,15 @@ class Phrases:
         # equal windows are searched once
         self.rows, inverse = np.unique(table, axis=0, return_inverse=True) if len(table) else (table, np.zeros(0, np.int64))
         pairs = np.unique(np.stack([inverse.reshape(-1), np.array(item, np.int64)], 1), axis=0) if len(item) else np.zeros((0, 2), np.int64)
-        self.items_of = np.split(pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(1, len(self.rows)))) if len(self.rows) else []
+        self.item_start = np.searchsorted(pairs[:, 0], np.arange(len(self.rows) + 1))
+        self.item = pairs[:, 1]
         self.length = (self.rows >= 0).sum(1)
         self.ids = [None if i is None else str(i) for i in ids]
 
+    def items_of(self, row: int) -> list[str]:
+        """The ids of the items that have a window; a null id is not listed."""
+        return [self.ids[i] for i in self.item[self.item_start[row] : self.item_start[row + 1]] if self.ids[i] is not None]
+
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """The suffix array of symbols whose value 0 is a separator: separators differ from each other, by place.
@@ -258,7 +263,7 @@ def _task(p: Phrases):
                     continue
                 a, c = w.doc_start[d], w.doc_start[d + 1]
                 n_hit.append(int(hit[a:c].sum()))
-                items.append(sorted({p.ids[i] for x in np.unique(own) for i in p.items_of[x] if p.ids[i] is not None}))
+                items.append(sorted({i for x in np.unique(own) for i in p.items_of(x)}))
                 first, end = _runs(hit[a:c])
                 spans.append([{"first": int(x), "end": int(y)} for x, y in zip(w.start[a + first] - w.offsets[d], w.end[a + end - 1] - w.offsets[d], strict=True)])
                 raw = b.column(1)[d].as_buffer().to_pybytes()
