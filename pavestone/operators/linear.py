@@ -133,7 +133,8 @@ def disc_intervals(lines: DataFrame, discs: DataFrame, key: str = "line_id") ->
     """
     from .spatial import box_cells
 
-    size = 1.0 * (discs.agg(F.max("radius")).first()[0] or 1.0) * 2 + 1.0
+    # cells much smaller than the lines would copy each segment into very many of them
+    size = max(64.0, 2.0 * (discs.agg(F.max("radius")).first()[0] or 1.0) + 1.0)
     seg = lines.withColumn("cell", F.explode(box_cells(F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2"), size)))
     r = F.col("radius")
     disc = discs.where("radius > 0").withColumn("cell", F.explode(box_cells(F.col("x") - r, F.col("y") - r, F.col("x") + r, F.col("y") + r, size)))
