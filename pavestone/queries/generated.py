@@ -19,8 +19,8 @@ from .spatial import _OVERLAP, boxes, rings
     f"""WITH {LINES}, t AS (SELECT DISTINCT line_id, total FROM s WHERE line_id % 10 = 0 AND total > 1.0)
 SELECT line_id, CAST(floor((total - 1.0 - 1e-9) / 25) + 1 AS BIGINT) AS n, round(floor((total - 1.0 - 1e-9) / 25) * 25 + 1, 3) AS last FROM t""",
 )
-def e01(spark, sf):
-    m = E.markers(L.line_segments(lines(spark, sf).where("line_id % 10 = 0")), 25.0, 1.0)
+def e01(spark, sf, only="line_id % 10 = 0"):
+    m = E.markers(L.line_segments(lines(spark, sf).where(only)), 25.0, 1.0)
     return m.groupBy("line_id").agg(F.countDistinct("k").alias("n"), F.round(F.max("at"), 3).alias("last"))
 
 
@@ -28,8 +28,8 @@ def e01(spark, sf):
     "q04_marker_counts",
     f"WITH {LINES} SELECT line_id % 7 AS kind, CAST(sum(floor((total - 1e-9) / 50) + 1) AS BIGINT) AS expected, TRUE AS equal FROM (SELECT DISTINCT line_id, total FROM s WHERE line_id % 20 = 0 AND total > 0) GROUP BY 1",
 )
-def q04(spark, sf):
-    s = L.line_segments(lines(spark, sf).where("line_id % 20 = 0"))
+def q04(spark, sf, only="line_id % 20 = 0"):
+    s = L.line_segments(lines(spark, sf).where(only))
     made = E.markers(s, 50.0).groupBy((F.col("line_id") % 7).alias("kind")).agg(F.count(F.lit(1)).alias("actual"))
     want = s.select("line_id", "total").distinct().groupBy((F.col("line_id") % 7).alias("kind")).agg(F.sum(E.marker_count(F.col("total"), 50.0)).alias("expected"))
     return want.join(made, "kind", "full").select("kind", "expected", F.col("expected").eqNullSafe(F.col("actual")).alias("equal"))
@@ -61,12 +61,13 @@ def e05(spark, sf):
 g AS (SELECT unnest(range(0, 451)) AS r), c AS (SELECT r, q, min(id) AS area_id FROM b, g, LATERAL (SELECT unnest(range(-400, 700)) AS q) WHERE r * 9.0 BETWEEN y0 AND y0 + 60 AND 6 * sqrt(3) * (q + r / 2.0) BETWEEN x0 AND x0 + 80 AND q BETWEEN floor(x0 / 10.4) - r - 2 AND ceil((x0 + 80) / 10.3) + 2 GROUP BY r, q)
 SELECT area_id, count(*) AS cells FROM c GROUP BY area_id""",
 )
-def e07(spark, sf):
+def e07(spark, sf, only="c_custkey % 3 = 0", trees="p_partkey < 0"):
     k = F.col("c_custkey")
     x, y = (k * 53 % 1000) * 4.0, (k * 29 % 1000) * 4.0
-    b = table(spark, sf, "customer").where("c_custkey % 3 = 0").select(k.alias("area_id"), x.alias("x0"), y.alias("y0"), (x + 80).alias("x1"), (y + 60).alias("y1"))
-    none = table(spark, sf, "part").where("p_partkey < 0").select(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    return E.fill_cells(b, none).groupBy("area_id").agg(F.count(F.lit(1)).alias("cells"))
+    b = table(spark, sf, "customer").where(only).select(k.alias("area_id"), x.alias("x0"), y.alias("y0"), (x + 80).alias("x1"), (y + 60).alias("y1"))
+    p = F.col("p_partkey")
+    t = table(spark, sf, "part").where(trees).select(((p * 37 % 1000) * 4.0).alias("x"), ((p * 91 % 1000) * 4.0).alias("y"))
+    return E.fill_cells(b, t).groupBy("area_id").agg(F.count(F.lit(1)).alias("cells"))
 
 
 @query(

@@ -305,8 +305,8 @@ def r04(spark, sf):
     """WITH m AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_partkey % 40 = l_suppkey % 40 AND l_partkey < 100)
 SELECT s_suppkey AS n, (SELECT min(b) FROM m WHERE a = s_suppkey) AS next_id, (SELECT min(a) FROM m WHERE b = s_suppkey) AS prev_id FROM supplier""",
 )
-def r05(spark, sf):
-    m = table(spark, sf, "lineitem").where("l_partkey % 40 = l_suppkey % 40 and l_partkey < 100").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
+def r05(spark, sf, only="l_partkey % 40 = l_suppkey % 40 and l_partkey < 100"):
+    m = table(spark, sf, "lineitem").where(only).select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
     return R.link_prev_next(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("n")), m, "n", "a", "b")
 
 

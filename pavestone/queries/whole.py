@@ -1,0 +1,43 @@
+"""Whole-table forms (`..._whole`) of the queries that are defined on id subsets; those keep their rows and their SQL."""
+
+from __future__ import annotations
+
+from functools import partial
+
+from pyspark.sql import functions as F
+
+from ..operators.components import connected_components
+from ..registry import ORACLES, query, table
+from . import derived, generated, relational, spatial
+
+#: (query, function, the subset in its SQL, what stands there for the whole table)
+WHOLE = [
+    ("j03_nearest", spatial.j03, " WHERE id % 20 = 0", ""),
+    ("j18_fill_from", spatial.j18, "WHEN p_partkey < 1500 THEN", "WHEN TRUE THEN"),
+    ("f01_split_at", spatial.f01, " AND l_linenumber <= 3", ""),
+    ("a07_overlap_length", spatial.a07, " WHERE l_orderkey % 3 = 0", ""),
+    ("f03_line_in_discs", spatial.f03, " WHERE line_id % 10 = 0", ""),
+    ("f02_line_in_boxes", spatial.f02, " WHERE line_id % 20 = 0", ""),
+    ("e01_markers", generated.e01, "line_id % 10 = 0 AND ", ""),
+    ("q04_marker_counts", generated.q04, "line_id % 20 = 0 AND ", ""),
+    ("f09_best_overlap_piece", derived.f09, " WHERE l_orderkey % 5 = 0", ""),
+    ("f06_clip_to_segment", derived.f06, " WHERE k % 10 = 0", ""),
+    ("r05_prev_next", relational.r05, " WHERE l_partkey % 40 = l_suppkey % 40 AND l_partkey < 100", ""),
+]
+
+for _name, _f, _subset, _all in WHOLE:
+    assert ORACLES[_name].count(_subset) == 1, _name
+    query(f"{_name}_whole", ORACLES[_name].replace(_subset, _all))(partial(_f, only="true"))
+
+
+@query("e07_fill_cells_whole")
+def e07_whole(spark, sf):
+    """All areas, less the cells of trees that stand at the parts' places."""
+    return generated.e07(spark, sf, only="true", trees="true")
+
+
+@query("r01_components_whole")
+def r01_whole(spark, sf):
+    """Orders and suppliers (as -1 - key) of all rows."""
+    l = table(spark, sf, "lineitem")
+    return connected_components(l.select(F.col("l_orderkey").alias("a"), (-1 - F.col("l_suppkey")).alias("b")).distinct())
