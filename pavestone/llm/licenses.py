@@ -6,6 +6,11 @@ A template of b bigrams can only reach a coefficient t with sets of
 b t / (2 - t) to b (2 - t) / t bigrams, so other sizes are not compared.  The templates'
 bigrams are a fixed small table; only bigrams found in it are counted further.
 
+A notice can also be wrapped over lines of a longer text or stand inside a long line.
+So runs of consecutive bigrams (over line ends) within a template's size bounds are
+scored too, unless they touch a line that matches (or the whole text does).  A run that
+reaches the threshold is a match; of runs that overlap, the best counts in n_matches.
+
 Defined results: a null or empty text, or one without a match, has no licence
 (null) and 0 matches; on equal coefficients the licence id decides; repeated
 rows each get their row; an empty table gives an empty result; other columns are ignored.
@@ -18,10 +23,13 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import only
 
 THRESHOLD = 0.8
+#: First bigrams of runs in a block of a text.
+BLOCK = 64
 #: Words of running text: a template is told by its others where they are enough.
 COMMON = frozenset("a all and as at by for from in is it of on or that the this to under was with you".split())
 #: (licence id, template): notices as they stand in sources and on pages, and short licence texts.
@@ -73,8 +81,55 @@ def _bigrams(words: Column) -> Column:
     return F.when(n >= 2, F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))))
 
 
+def _passages(told: DataFrame, known: list[tuple[int, str, list[str]]], threshold: float) -> DataFrame:
+    """Runs of words that match a template: (doc_id, th, lines, t, id, a, e, first, last, score), bigrams a to e in lines first to last of `lines`.
+
+    `told` has (doc_id, th, clean).  The best run from each first bigram is given; a best run starts with a bigram of its template.
+    """
+    longest = max(size_bounds(len(b), threshold)[1] for _, _, b in known)
+    signal = sorted({g for _, _, b in known for g in b if set(g.split(" ")) & signal_words(b, threshold)})
+    text = F.trim(F.regexp_replace("clean", "[ \n]+", " "))
+    near = told.where(text.rlike(f"(?<![a-z0-9])(?:{'|'.join(signal)})(?![a-z0-9])"))
+    in_line = lambda line, i: F.transform(F.filter(F.split(line, " "), lambda w: w != ""), lambda w: F.struct(w.alias("w"), i.alias("i")))
+    words = near.select("doc_id", "th", F.split("clean", "\n").alias("rows")).select("doc_id", "th", F.size("rows").alias("lines"), F.flatten(F.transform("rows", in_line)).alias("words"))
+    pair = lambda a, b: F.struct(F.concat(a["w"], F.lit(" "), b["w"]).alias("g"), a["i"].alias("first"), b["i"].alias("last"))
+    n = F.size("words")
+    pairs = words.where(n >= 2).select("doc_id", "th", "lines", F.zip_with(F.slice("words", F.lit(1), n - 1), F.slice("words", F.lit(2), n - 1), pair).alias("pairs"))
+    # blocks of so many first bigrams, with what runs from them can reach
+    at = F.sequence(F.lit(0), F.floor((F.size("pairs") - 1) / BLOCK).cast("int"))
+    cut = pairs.select("doc_id", "th", "lines", F.explode(F.transform(at, lambda k: F.struct((k * BLOCK).alias("base"), F.slice("pairs", k * BLOCK + 1, BLOCK + longest - 1).alias("p")))).alias("block")).select("doc_id", "th", "lines", "block.*")
+    block = cut.select("*", F.col("p.g").alias("gs")).where(F.arrays_overlap("gs", F.array(*[F.lit(g) for g in signal])))
+    # fixed size: the templates are a parameter, not data
+    table = [{"t": i, "id": name, "low": (x := size_bounds(len(b), threshold))[0], "high": x[1], "tg": b} for i, name, b in known]
+    tpl = told.sparkSession.range(1).select(F.explode(F.from_json(F.lit(json.dumps(table)), "array<struct<t:int,id:string,low:int,high:int,tg:array<string>>>")).alias("r")).select("r.*")
+    met = block.crossJoin(F.broadcast(tpl)).where(F.size(F.array_intersect("gs", "tg")) >= F.col("low"))
+    starts = F.filter(F.sequence(F.lit(1), F.least(F.size("gs"), F.lit(BLOCK))), lambda i: F.array_contains(F.col("tg"), F.element_at("gs", i)))
+    begun = met.select("*", F.explode(starts).alias("i")).withColumn("run", F.slice("gs", F.col("i"), F.col("high")))
+    begun = begun.where((F.size("run") >= F.col("low")) & (F.size(F.array_intersect("run", "tg")) >= F.col("low")))
+    ends = begun.select("*", F.explode(F.sequence("low", F.size("run"))).alias("k")).withColumn("part", F.slice("run", F.lit(1), F.col("k")))
+    own, common, b = F.size(F.array_distinct("part")), F.size(F.array_intersect("part", "tg")), F.size("tg")
+    hit = ends.where(2 * common >= threshold * (own + b)).withColumn("score", F.round(2 * common / (own + b), 6))
+    a = F.col("base") + F.col("i")
+    found = hit.select("doc_id", "th", "lines", "t", "id", a.alias("a"), (a + F.col("k") - 1).alias("e"), F.element_at("p", F.col("i"))["first"].alias("first"), F.element_at("p", F.col("i") + F.col("k") - 1)["last"].alias("last"), "score")
+    best = F.min(F.struct((-F.col("score")).alias("s"), "e", "id", "lines", "first", "last")).alias("m")
+    return found.groupBy("doc_id", "th", "t", "a").agg(best).select("doc_id", "th", "m.lines", "t", "m.id", "a", "m.e", "m.first", "m.last", (-F.col("m.s")).alias("score"))
+
+
+def _new_passages(runs: DataFrame, scored: DataFrame, longest: int) -> DataFrame:
+    """The runs that touch no matching segment; `counts` marks those that no better one overlaps."""
+    seen = scored.groupBy(F.col("doc_id").alias("s_id"), F.col("th").alias("s_th")).agg(F.collect_set("segment").alias("seen"))
+    both = runs.join(seen, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("th") == F.col("s_th")), "left")
+    # the segment numbered `lines` is the whole text
+    new = both.where(~F.coalesce(F.exists("seen", lambda s: (s == F.col("lines")) | s.between(F.col("first"), F.col("last"))), F.lit(False)))
+    rank = F.struct((-F.col("score")).alias("s"), "a", "e", "t")
+    reach = Window.partitionBy("doc_id", "th").orderBy("a").rangeBetween(-longest - 1, longest + 1)
+    new = new.withColumn("rank", rank).withColumn("others", F.collect_list("rank").over(reach))
+    # bigrams e and e + 1 have a word in common
+    return new.withColumn("counts", ~F.exists("others", lambda o: (o < F.col("rank")) & (o["a"] <= F.col("e") + 1) & (o["e"] + 1 >= F.col("a"))))
+
+
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, license (the best match), score, n_matches (segments that match a template), licenses (all ids, sorted)."""
+    """Per row: doc_id, license (the best match), score, n_matches (segments and other passages that match a template), licenses (all ids, sorted)."""
     spark = docs.sparkSession
     known = [(i, name, template_bigrams(text)) for i, (name, text) in enumerate(templates or TEMPLATES)]
     bounds = {i: size_bounds(len(b), threshold) for i, _, b in known}
@@ -91,6 +146,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     # only texts and segments with a signal word of some template are looked at closer;
     # a segment of n distinct bigrams has more than n words; long segments may repeat theirs, so only a lower bound is known before
     told = rows.where("text is not null").select("doc_id", "th", F.lower("text").alias("low")).where(F.col("low").rlike(signal))
+    runs = _passages(told.select("doc_id", "th", clean.alias("clean")), known, threshold)
     segment = told.select("doc_id", "th", F.posexplode(F.concat(lines, whole)).alias("segment", "line")).where(F.col("line").rlike(signal))
     words = F.split(F.trim(F.regexp_replace("line", " +", " ")), " ")
     first = segment.where(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= least - 1).select("doc_id", "th", "segment", words.alias("words"))
@@ -99,8 +155,10 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     met = sets.join(F.broadcast(grams), "g").where("n between low and high")
     scored = met.groupBy("doc_id", "th", "segment", "t", "id", "n", "b").agg(F.count(F.lit(1)).alias("common"))
     scored = scored.withColumn("score", F.round(2 * F.col("common") / (F.col("n") + F.col("b")), 6)).where(2 * F.col("common") >= threshold * (F.col("n") + F.col("b")))
-    best = scored.groupBy("doc_id", "th").agg(
-        F.min(F.struct((-F.col("score")).alias("score"), "id")).alias("best"), F.countDistinct("segment").alias("n_matches"), F.array_join(F.array_sort(F.collect_set("id")), ",").alias("licenses")
+    passages = _new_passages(runs, scored, most).select("doc_id", "th", F.when(F.col("counts"), F.concat_ws("/", "a", "t")).alias("match"), "id", "score")
+    matches = scored.select("doc_id", "th", F.col("segment").cast("string").alias("match"), "id", "score").unionByName(passages)
+    best = matches.groupBy("doc_id", "th").agg(
+        F.min(F.struct((-F.col("score")).alias("score"), "id")).alias("best"), F.countDistinct("match").alias("n_matches"), F.array_join(F.array_sort(F.collect_set("id")), ",").alias("licenses")
     )
     l, r = rows.select("doc_id", "th").alias("l"), best.alias("r")
     out = l.join(r, F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.th") == F.col("r.th")), "left")

@@ -368,6 +368,28 @@ def test_license_scan(spark, none):
     assert licenses.license_scan(none).count() == 0
 
 
+def test_license_scan_of_wrapped_and_running_notices(spark):
+    r = random.Random(4)
+    prose = lambda n: " ".join(f"w{r.randrange(500)}" for _ in range(n))
+    rows, want = [], {}
+    for i, (name, text) in enumerate(licenses.TEMPLATES):
+        w = text.split(" ")
+        n = max(1, len(w) // 3)
+        wrapped = "\n".join(" ".join(w[k : k + n]) for k in range(0, len(w), n))
+        rows += [(2 * i, f"{prose(90)}\n\n{wrapped}\n{prose(90)}"), (2 * i + 1, f"{prose(90)} {text} {prose(150)}")]
+        want[2 * i] = want[2 * i + 1] = name
+    twice = f"{prose(70)} All rights reserved. All rights reserved. {prose(70)}"
+    rows += [(100, twice), (101, f"{prose(90)} licensed w1 under w2 the w3 mit w4 license {prose(90)}")]
+    rows += [(None, f"{prose(90)} Released under\nthe MIT License. {prose(90)}\nAll rights reserved.")]
+    got = by_id(licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert len(got) == len(rows)
+    for i, name in want.items():
+        assert name in got[i].licenses.split(",") and got[i].n_matches == 1, (i, name, got[i])
+        assert (got[i].license, got[i].score) == (name, 1.0), (i, name, got[i])
+    assert (got[100].license, got[100].n_matches, got[101].n_matches) == ("reserved", 2, 0)
+    assert (got[None].licenses, got[None].n_matches) == ("MIT,reserved", 2)
+
+
 def test_signal_words_lose_no_match():
     r = random.Random(2)
     for _, text in licenses.TEMPLATES:
