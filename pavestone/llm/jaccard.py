@@ -14,7 +14,9 @@ at least t are linked, and the links' connected components are returned.
 4. Families (in blocks of bounded size) are joined exactly: the overlaps of a set with
    all others are derived from those of a highly similar set by the index
    lists of the shingles in which the two differ, or else counted in full.
-   Sets that are connected already need no further answers.
+   Tasks hand on a spanning forest of the links and each set's number of links,
+   weighted by the rows of its partners, so pairs of copies are never rows.
+   Where only components are asked for, connected sets need no further answers.
 
 Hashes of shingles have 64 bits.  Defined results: no words, or a null text: an
 empty set, linked with nothing; fewer words than a shingle: the whole sequence is
@@ -224,16 +226,20 @@ class Lists:
         return np.bincount(self.sets[np.repeat(start - begin, n) + np.arange(n.sum())], minlength=self.m)
 
 
-def links_within(tokens: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Pairs of a spanning forest of the links among the sets."""
+def links_within(tokens: list[np.ndarray], percent: int = PERCENT, asked: np.ndarray | None = None, forest: bool = False) -> list[tuple[int, int]]:
+    """All linked pairs of sets, each once; with `asked` (flags), those of an asked set; with `forest`, a spanning forest of the links."""
     lists = Lists(tokens)
     size = lists.size
     label = np.arange(lists.m)
+    done = np.zeros(lists.m, bool)
     pivots: list[tuple[int, np.ndarray]] = []
     out = []
     order = np.argsort(-size, kind="stable")
     for x in order:
-        fits = (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])) & (label != label[x])
+        if asked is not None and not asked[x]:
+            continue
+        done[x] = True
+        fits = (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])) & (label != label[x] if forest else ~done)
         if not fits.any():
             continue
         own, overlap = lists.tokens[x], None
@@ -250,48 +256,94 @@ def links_within(tokens: list[np.ndarray], percent: int = PERCENT) -> list[tuple
             if len(pivots) > PIVOTS:
                 pivots.pop(0)
         for y in np.flatnonzero(fits & ((100 + percent) * overlap >= percent * (size + size[x]))):
-            if label[y] != label[x]:
+            if forest and label[y] == label[x]:
+                continue
+            if forest:
                 label[label == label[y]] = label[x]
-                out.append((int(x), int(y)))
+            out.append((int(x), int(y)))
     return out
 
 
-def _join_block(percent: int):
+def spanning(pairs: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """The pairs that join two components, in their order."""
+    label, out = np.arange(n), []
+    for x, y in pairs:
+        if label[x] != label[y]:
+            label[label == label[y]] = label[x]
+            out.append((x, y))
+    return out
+
+
+FOUND = "a long, b long, n long"
+
+
+def _join_block(percent: int, links: bool):
+    """Edges (a, b) of a spanning forest; with `links`, also (a, n): links of set a found here, in rows of its partners."""
+
     def task(group: pa.Table) -> pa.Table:
-        sid = group["sid"].combine_chunks().to_numpy()
+        sid, own, copies = (group[c].combine_chunks().to_numpy() for c in ("sid", "own", "copies"))
         tokens = [np.frombuffer(t.as_buffer(), np.uint64) for c in group["tokens"].chunks for t in c]
-        found = links_within(tokens, percent)
-        return pa.table({"a": pa.array([int(sid[x]) for x, _ in found], pa.int64()), "b": pa.array([int(sid[y]) for _, y in found], pa.int64())})
+        if not links:
+            edges, degree = links_within(tokens, percent, forest=True), np.zeros(len(sid), np.int64)
+        else:
+            i, j, blocks = (group[c][0].as_py() for c in ("i", "j", "blocks"))
+            # a block's own links are counted once: with the next block, or the last block with the one before
+            once = {i} if j == i + 1 or blocks == 1 else set()
+            if j == blocks - 1 and i == j - 1:
+                once.add(j)
+            asked = (own == i) | np.isin(own, list(once))
+            pairs = [(x, y) for x, y in links_within(tokens, percent, asked) if own[x] != own[y] or own[x] in once]
+            degree = np.zeros(len(sid), np.int64)
+            if pairs:
+                x, y = np.array(pairs).T
+                np.add.at(degree, x, copies[y])
+                np.add.at(degree, y, copies[x])
+            edges = spanning(pairs, len(sid))
+        some = np.flatnonzero(degree)
+        a = [int(sid[x]) for x, _ in edges] + sid[some].tolist()
+        b = [int(sid[y]) for _, y in edges] + [None] * len(some)
+        n = [None] * len(edges) + degree[some].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
     return task
 
 
-def linked_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, component) over the sids of sets (sid, tokens) that link with another one."""
+def block_links(sets: DataFrame, percent: int = PERCENT, links: bool = True) -> DataFrame:
+    """FOUND rows over the sids of sets (sid, tokens, copies): forest edges, and each set's links by task."""
     family = written(families(sets, percent), "families")
     blocks = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
     blocks = written(blocks, "blocks")
     own = family.join(blocks, "family").select("sid", "family", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = sets.join(own, "sid").select("sid", "tokens", "family", "blocks", "own", other.alias("other"))
+    rows = sets.join(own, "sid").select("sid", "tokens", "copies", "family", "blocks", "own", other.alias("other"))
     # a family of one block is one task; else each pair of different blocks is one, which also joins either block with itself
-    rows = rows.where("blocks = 1 or own <> other").select("sid", "tokens", "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return connected_components(rows.groupBy("family", "i", "j").applyInArrow(_join_block(percent), "a long, b long"))
+    rows = rows.where("blocks = 1 or own <> other").select("sid", "tokens", "copies", "family", "blocks", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return rows.groupBy("family", "i", "j").applyInArrow(_join_block(percent, links), FOUND)
 
 
-def similar_documents(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+def similar_documents(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, links: bool = True) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and, with `links`, n_links (other rows linked with it)."""
     rows = document_sets(docs, width, percent)
-    sets = written(rows.where("tokens is not null").select("sid", "tokens").dropDuplicates(["sid"]), "distinct")
-    linked = written(linked_sets(sets, percent), "linked")
+    copies = rows.where("linkable").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"))
+    one = rows.where("tokens is not null").select("sid", "tokens").dropDuplicates(["sid"])
+    sets = written(one.join(copies, "sid") if links else one.withColumn("copies", F.lit(1).cast("long")), "distinct")
+    found = written(block_links(sets, percent, links), "found")
+    linked = written(connected_components(found.where("b is not null").select("a", "b")), "linked")
     able = rows.where("linkable").select("doc_id", "sid")
     classed = able.join(linked, able["sid"] == linked["node"], "left").select("doc_id", "sid", F.coalesce("component", "sid").alias("class"))
     smallest = written(classed.groupBy("class").agg(F.min("doc_id").alias("component_id")), "smallest")
     named = classed.select("sid", "class").distinct().join(smallest, "class").select("sid", "component_id")
+    count: list[str] = []
+    if links:
+        count = ["n_links"]
+        to_others = found.where("b is null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("n"))
+        # a set's copies are linked with each other
+        named = named.join(sets.select("sid", "copies"), "sid", "left").join(to_others, "sid", "left")
+        named = named.select("sid", "component_id", (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     named = written(named, "named")
     size = F.col("n_shingles")
-    alone = rows.where("not linkable").select("doc_id", size, F.col("doc_id").alias("component_id"))
-    grouped = rows.where("linkable").join(named, "sid").select("doc_id", size, "component_id")
+    alone = rows.where("not linkable").select("doc_id", size, F.col("doc_id").alias("component_id"), *[F.lit(0).cast("long").alias(c) for c in count])
+    grouped = rows.where("linkable").join(named, "sid").select("doc_id", size, "component_id", *count)
     return alone.unionByName(grouped)
 
 
@@ -300,7 +352,7 @@ def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows equal in doc_id and text are one document; without a doc_id, different texts all stay.
     """
-    found = similar_documents(docs, SHINGLE, percent).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    found = similar_documents(docs, SHINGLE, percent, links=False).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     found = written(found, "kept")
     plain = by_place(docs)
     own_id, text = (F.col(f"_c{i}") for i in places_of(docs.columns, "doc_id", "text"))
@@ -312,4 +364,8 @@ def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    return similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), links=False)
+
+
+def op3_ngram_jaccard_links(spark, sf_dir: str) -> DataFrame:
     return similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -10,6 +10,7 @@ QUERIES = {
     "op9_license_scan": licenses.op9_license_scan,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_ngram_jaccard_join": jaccard.op3_ngram_jaccard_join,
+    "op3_ngram_jaccard_links": jaccard.op3_ngram_jaccard_links,
     "op7_substring_dedup": substrings.op7_substring_dedup,
     "op5_warc": warc.op5_warc,
     "op4_sharding": sharding.op4_sharding,

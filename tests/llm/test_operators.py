@@ -135,6 +135,18 @@ def test_links_derived_from_a_similar_set():
         assert len(set(zip(label, own, strict=True))) == len(set(label)) == len(set(own))
 
 
+@pytest.mark.parametrize("block", [256, 3])
+def test_jaccard_join_counts_every_link(spark, docs, none, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in DOCS if (w := words(t, lower=True))}
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    want = {i: sum(linked(i, j) for j in sets if j != i) if i in sets else 0 for i, _ in DOCS}
+    assert {i: r.n_links for i, r in by_id(jaccard.similar_documents(docs)).items()} == want
+    assert sum(want.values()) > 4 * len(DOCS) and jaccard.similar_documents(none).columns[-1] == "n_links"
+    copies = spark.createDataFrame([(1, "a b c d e f"), (1, "A b c d e f"), (None, "a b c d e f"), (2, "x"), (3, None)], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.n_links) for r in jaccard.similar_documents(copies).collect()) == [(0, 2), (1, 2), (1, 2), (2, 0), (3, 0)]
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "a b c d e f g"), (None, None), (7, "a b c d e f g")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
