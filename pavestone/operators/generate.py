@@ -53,8 +53,9 @@ def triangle(x: Column, y: Column, azimuth: Column, radius: float) -> Column:
 
 
 def turn_arrows(lines: DataFrame) -> DataFrame:
-    """E-02: arrow places of lines (line_id, total, end_offset): every 12 back from 7.5 before the end offset, 40 at most, 5 from the end, 2.5 from the start."""
-    k = F.explode(F.sequence(F.lit(0), F.lit(39)))
+    """E-02: arrow places of lines (line_id, total, end_offset): every 12 back from 7.5 before the end offset, 40 at most, and forward from there (k < 0), 5 from the end, 2.5 from the start."""
+    ahead = F.greatest(F.least(F.floor((F.col("end_offset") + 2.5) / 12), F.lit(40)), F.lit(0)).cast("int")
+    k = F.explode(F.sequence(-ahead, F.lit(39)))
     rows = lines.select("line_id", "total", "end_offset", k.alias("k"))
     at = F.col("total") - F.col("end_offset") - 7.5 - 12 * F.col("k")
     return rows.withColumn("at", at).where((F.col("at") <= F.col("total") - 5) & (F.col("at") >= 2.5)).select("line_id", "k", "at")

@@ -138,3 +138,16 @@ def test_sources(spark, tmp_path):
     (tmp_path / "t.png").write_bytes(png)
     r = checks.tile_inventory(spark.read.format("binaryFile").load(str(tmp_path / "t.png"))).first()
     assert (r.kind, r.width, r.height, r.valid) == ("png", 256, 128, True)
+
+
+def test_turn_arrows_go_forward_from_a_large_end_offset(spark):
+    rows = [(1, 100.0, 8.0), (2, 100.0, 9.5), (3, 100.0, 40.0), (4, 20.0, 15.0)]
+    got = {}
+    for r in generate.turn_arrows(spark.createDataFrame(rows, "line_id int, total double, end_offset double")).collect():
+        got.setdefault(r.line_id, []).append(r["at"])
+    want = {}
+    for i, total, off in rows:
+        places = [total - off - 7.5 - 12 * k for k in range(-40, 40)]
+        want[i] = sorted(p for p in places if 2.5 <= p <= total - 5)
+    assert {i: sorted(v) for i, v in got.items()} == want
+    assert max(got[2]) == 95.0 and max(got[3]) == 88.5
