@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .chunks import Ranges, answered, block_rows, document_chunks, emit_from_chunks, in_several, join_parts, pack_ints, pack_sorted, ranges_of, split_parts, unpack_ints, unpack_sorted, with_answers
 from .common import by_place, drop_written, places_of, written
@@ -218,13 +219,18 @@ def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """`docs` (all columns, n_chars brought up to date) with byte spans cut from their texts.
 
     `spans`: (doc_id, text_sha256, spans); rows are matched by doc_id and the text's SHA-256.
+    Of rows equal in both, as many are cut as `spans` has rows for them.
     """
     plain = by_place(docs)
     id_at, text_at = places_of(docs.columns, "doc_id", "text")
     length_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
-    own = spans.select(F.col("doc_id").alias("s_id"), "text_sha256", "spans").dropDuplicates(["s_id", "text_sha256"])
-    same = F.col(f"_c{id_at}").eqNullSafe(F.col("s_id")) & (F.sha2(F.col(f"_c{text_at}").cast("binary"), 256) == F.col("text_sha256"))
-    joined = plain.join(own, same, "left").select(*plain.columns, "spans")
+    keys = lambda i, sha: (F.coalesce(i.cast("long"), F.lit(NULL_ID)).alias("k_id"), i.isNull().alias("k_null"), sha.alias("k_sha"))
+    own = spans.select(*keys(F.col("doc_id"), F.col("text_sha256")), "spans").groupBy("k_id", "k_null", "k_sha").agg(F.collect_list("spans").alias("cuts"))
+    told = plain.select("*", *keys(F.col(f"_c{id_at}"), F.sha2(F.col(f"_c{text_at}").cast("binary"), 256)))
+    joined = told.join(own, ["k_id", "k_null", "k_sha"], "left")
+    # equal rows are numbered where the join has dealt them
+    number = F.row_number().over(Window.partitionBy("k_id", "k_null", "k_sha").orderBy(F.lit(1)))
+    joined = joined.withColumn("number", number).select(*plain.columns, F.get("cuts", F.col("number") - 1).alias("spans"))
     return joined.mapInArrow(_cut_task(text_at, length_at), plain.schema).toDF(*docs.columns)
 
 

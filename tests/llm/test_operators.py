@@ -176,6 +176,16 @@ def test_substring_dedup(docs, none):
     assert cut.columns == docs.columns and cut.count() == len(DOCS)
 
 
+def test_remove_repeats_keeps_one_of_repeated_rows(spark):
+    text = " ".join(f"u{i}" for i in range(25))
+    rows = [(1, text, 9), (1, text, 9), (1, text, 9), (None, text, 9), (None, text, 9), (2, "short", 9), (2, "short", 9), (3, None, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(3)
+    got = sorted(((r.doc_id or 0, r.text, r.n_chars) for r in substrings.remove_repeats(df).collect()), key=repr)
+    assert got == sorted([(0, text, len(text)), (0, "", 0), (1, "", 0), (1, "", 0), (1, "", 0), (2, "short", 5), (2, "short", 5), (3, None, 9)], key=repr)
+    own = substrings.remove_repeats(df.where("doc_id = 1")).collect()
+    assert sorted(r.text for r in own) == ["", "", text]
+
+
 BENCH = [(1, DOCS[6][1].split("\n")[1]), (2, "ONE"), (3, None), (4, ""), (5, "w1 w2 w3"), (6, " ".join(DOCS[8][1].split(" ")[100:115])), (6, "w5")]
 
 
