@@ -145,7 +145,8 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     least, most = min(x for x, _ in bounds.values()), max(y for _, y in bounds.values())
     # only texts and segments with a signal word of some template are looked at closer;
     # a segment of n distinct bigrams has more than n words; long segments may repeat theirs, so only a lower bound is known before
-    told = rows.where("text is not null").select("doc_id", "th", F.lower("text").alias("low")).where(F.col("low").rlike(signal))
+    # rows equal in doc_id and text are looked at once, so no copy adds to another's counts; few rows have a signal word, so few are dealt
+    told = rows.where("text is not null").select("doc_id", "th", F.lower("text").alias("low")).where(F.col("low").rlike(signal)).dropDuplicates(["doc_id", "th"])
     runs = _passages(told.select("doc_id", "th", clean.alias("clean")), known, threshold)
     segment = told.select("doc_id", "th", F.posexplode(F.concat(lines, whole)).alias("segment", "line")).where(F.col("line").rlike(signal))
     words = F.split(F.trim(F.regexp_replace("line", " +", " ")), " ")

@@ -390,6 +390,15 @@ def test_license_scan(spark, none):
     assert licenses.license_scan(none).count() == 0
 
 
+def test_license_scan_of_repeated_rows(spark):
+    long = "x y z " * 30000 + "\nReleased under the MIT License.\n" + "x y z " * 30000
+    rows = [(1, "Released under the MIT License."), (2, "Released under the BSD License now"), (None, "Released under\nthe MIT License."), (3, long)]
+    once = sorted((r.doc_id or 0, r.license or "", r.score or 0, r.n_matches, r.licenses or "") for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    thrice = sorted((r.doc_id or 0, r.license or "", r.score or 0, r.n_matches, r.licenses or "") for r in licenses.license_scan(spark.createDataFrame(rows * 3, "doc_id long, text string")).collect())
+    assert thrice == sorted(once * 3)
+    assert [x[1] for x in once] == ["MIT", "MIT", "", "MIT"] and once[1][2] == 1.0
+
+
 def test_license_scan_of_wrapped_and_running_notices(spark):
     r = random.Random(4)
     prose = lambda n: " ".join(f"w{r.randrange(500)}" for _ in range(n))
