@@ -1,11 +1,15 @@
 """Which keys of a corpus occur more than once, without a row per key.
 
-Texts are kept in chunks of a few MB, one compressed row each, dealt by chunk
-once.  A chunk sends its distinct keys (hashes of windows) as sorted blocks, one
-per range of keys; the task of a range sees that range of every chunk, and
-answers with one flag or byte per key, in the same order.  The answers of a chunk
-meet it again by its number.  So a key costs a few bytes in the shuffle, no
+Texts are kept in chunks of a few MB, one compressed row each, and neighbouring
+chunks form a group, dealt once.  A group sends the distinct keys of its chunks (hashes of windows) as
+sorted blocks, one row per range of keys; the task of a range sees that range of every
+chunk, and answers with one flag or byte per key, in the same order.  The answers of
+a group meet it again by its number.  So a key costs a few bytes in the shuffle, no
 group of equal keys is ever gathered, and a very frequent key counts once per chunk.
+
+A block row holds about `keys of a group / number of ranges` keys.  Groups are as large as
+the input's partitions, up to GROUP_BYTES, and ranges as large as RANGE_KEYS, so block rows stay
+few compared with keys: at 30 GB in partitions of 128 MB about 1,300 keys a row, at 1 TB about 40.
 """
 
 from __future__ import annotations
@@ -21,11 +25,15 @@ from pyspark.sql import functions as F
 from .common import only, width, written_by_key
 
 CHUNK_BYTES = 4 << 20
-#: Keys that one range should hold.
-RANGE_KEYS = 1 << 18
-CHUNKS = "chunk long, n_words long, payload binary"
-BLOCKS = "range int, chunk long, block binary"
-ANSWERS = "chunk long, level int, range int, answer binary"
+#: Bytes of text of a group of chunks, which one task handles chunk by chunk.
+GROUP_BYTES = 64 << 20
+#: Keys that one range should hold; small inputs have smaller ranges, but not below LEAST_KEYS.
+RANGE_KEYS, LEAST_KEYS = 1 << 20, 1 << 18
+CHUNKS = "grp long, chunk long, n_words long, payload binary"
+BLOCKS = "range int, grp long, block binary"
+#: Key of a chunk's own state among its blocks: it comes back to the group with the answers.
+STATE = -2
+ANSWERS = "grp long, level int, range int, answer binary"
 
 
 def pack_table(table: pa.Table) -> bytes:
@@ -44,14 +52,18 @@ def _chunk_task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     base = TaskContext.get().partitionId() << 32
     held: list[pa.RecordBatch] = []
-    size = ordinal = 0
+    size = ordinal = group = grouped = 0
 
     def close() -> pa.RecordBatch:
-        nonlocal held, size, ordinal
+        nonlocal held, size, ordinal, group, grouped
+        if grouped >= GROUP_BYTES:
+            group, grouped = group + 1, 0
+        grouped += size
         table = pa.Table.from_batches(held).combine_chunks()
         table = table.sort_by("doc_id") if "doc_id" in table.column_names else table
         weight = size // 6
-        out = pa.RecordBatch.from_arrays([pa.array([base + ordinal], pa.int64()), pa.array([weight], pa.int64()), pa.array([pack_table(table)], pa.binary())], ["chunk", "n_words", "payload"])
+        one = lambda x: pa.array([x], pa.int64())
+        out = pa.RecordBatch.from_arrays([one(base + group), one(base + ordinal), one(weight), pa.array([pack_table(table)], pa.binary())], ["grp", "chunk", "n_words", "payload"])
         held, size, ordinal = [], 0, ordinal + 1
         return out
 
@@ -70,8 +82,8 @@ def _chunk_task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def chunk_table(rows: DataFrame, name: str = "chunks") -> DataFrame:
-    """The rows in chunks (chunk, n_words, payload), written once and dealt by chunk; rows are sorted by doc_id inside."""
-    return written_by_key(rows.mapInArrow(_chunk_task, CHUNKS), "chunk", width(rows.sparkSession), name)
+    """The rows in chunks (CHUNKS), written once and dealt by group; rows are sorted by doc_id inside a chunk."""
+    return written_by_key(rows.mapInArrow(_chunk_task, CHUNKS), "grp", width(rows.sparkSession), name)
 
 
 def document_chunks(docs: DataFrame) -> DataFrame:
@@ -81,8 +93,9 @@ def document_chunks(docs: DataFrame) -> DataFrame:
 class Ranges:
     """How keys are dealt: `bits` leading bits name a range; slots keep `slot_bits` leading bits of a key."""
 
-    def __init__(self, total: int) -> None:
-        self.bits = max(0, math.ceil(math.log2(max(1, total / RANGE_KEYS))))
+    def __init__(self, total: int, tasks: int = 1) -> None:
+        log = lambda x: max(0, math.ceil(math.log2(max(1, x))))
+        self.bits = max(log(total / RANGE_KEYS), min(log(tasks), log(total / LEAST_KEYS)))
         # five bits more than the number of keys: one slot in 32 is taken by chance
         self.slot_bits = min(64, max(24, math.ceil(math.log2(max(2, total))) + 5))
 
@@ -96,7 +109,7 @@ class Ranges:
 
 
 def ranges_of(chunks: DataFrame) -> Ranges:
-    return Ranges(chunks.agg(F.sum("n_words")).first()[0] or 0)
+    return Ranges(chunks.agg(F.sum("n_words")).first()[0] or 0, 2 * width(chunks.sparkSession))
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
@@ -150,45 +163,96 @@ def split_parts(block: bytes) -> list[bytes]:
     return out
 
 
-def block_rows(chunk: int, cuts: np.ndarray, pack: Callable[[int, int], bytes]) -> pa.RecordBatch:
-    """The blocks of a chunk: one row per range that has keys; `pack` gets the range's first and end place."""
-    full = np.flatnonzero(np.diff(cuts))
-    blocks = [pack(int(cuts[r]), int(cuts[r + 1])) for r in full]
-    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([chunk] * len(full), pa.int64()), pa.array(blocks, pa.binary())], ["range", "chunk", "block"])
+def block_rows(cuts: np.ndarray, pack: Callable[[int, int], bytes]) -> dict[int, bytes]:
+    """The blocks of a chunk, by range, for those that have keys; `pack` gets the range's first and end place."""
+    return {int(r): pack(int(cuts[r]), int(cuts[r + 1])) for r in np.flatnonzero(np.diff(cuts))}
+
+
+class Answers:
+    """What a group of chunks was told; each chunk in turn takes its own, in the order in which it sent its keys."""
+
+    def __init__(self, table: pa.Table) -> None:
+        rows = list(zip(table["level"].to_pylist(), table["range"].to_pylist(), table["answer"].to_pylist(), strict=True))
+        self.told = {(k, r): a for k, r, a in rows if r >= 0}
+        self.states = iter([p for _, r, a in rows if r <= STATE for p in split_parts(a)])
+        self.at: dict[tuple[int, int], int] = {}
+
+    def state(self) -> bytes:
+        """The state that this chunk sent with its blocks."""
+        return next(self.states)
+
+    def take(self, level: int, cuts: np.ndarray, size: int = 1) -> bytes:
+        """The answers of a chunk's keys, of `size` bytes each; `cuts` are those that it sent its keys with."""
+        out = []
+        for r in np.flatnonzero(np.diff(cuts)).tolist():
+            a = self.at.get((level, r), 0)
+            self.at[level, r] = b = a + size * int(cuts[r + 1] - cuts[r])
+            out.append(self.told[level, r][a:b])
+            assert len(out[-1]) == b - a
+        return b"".join(out)
+
+
+def _in_order(table: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+    table = table.sort_by("chunk")
+    for chunk, payload in zip(table["chunk"].to_pylist(), table["payload"], strict=True):
+        yield chunk, unpack_table(payload.as_buffer())
+
+
+def _merged(group: int, blocks: Iterator[tuple[int, dict[int, bytes]]]) -> pa.Table:
+    """The blocks of a group's chunks, one row per range: each chunk's number, then its block."""
+    by_range: dict[int, list[bytes]] = {}
+    for chunk, own in blocks:
+        for r, block in own.items():
+            by_range.setdefault(r if r >= 0 else STATE - group % (1 << 30), []).append(chunk.to_bytes(8, "little") + block if r >= 0 else block)
+    return pa.table({"range": pa.array(list(by_range), pa.int32()), "grp": pa.array([group] * len(by_range), pa.int64()), "block": pa.array([join_parts(*v) for v in by_range.values()], pa.binary())})
 
 
-def emit_from_chunks(chunks: DataFrame, emit: Callable[[int, pa.Table], pa.RecordBatch]) -> DataFrame:
-    def task(it):
-        for b in it:
-            for chunk, payload in zip(b.column(0).to_pylist(), b.column(2), strict=True):
-                yield emit(chunk, unpack_table(payload.as_buffer()))
+def emit_from_chunks(chunks: DataFrame, emit: Callable[[pa.Table], dict[int, bytes]]) -> DataFrame:
+    """BLOCKS of all groups; `emit` gives those of a chunk by range."""
+
+    def task(group: pa.Table) -> pa.Table:
+        return _merged(group["grp"][0].as_py(), ((chunk, emit(table)) for chunk, table in _in_order(group)))
+
+    return chunks.groupBy("grp").applyInArrow(task, BLOCKS)
+
+
+def _told(chunks: DataFrame, answers: DataFrame, task, schema: str) -> DataFrame:
+    # a group without keys is told nothing; one empty answer keeps it in the join
+    every = chunks.select("grp", F.lit(-1).alias("level"), F.lit(-1).alias("range"), F.lit(b"").alias("answer"))
+    return chunks.groupBy("grp").cogroup(answers.unionByName(every).groupBy("grp")).applyInArrow(task, schema)
+
+
+def emit_with_answers(chunks: DataFrame, answers: DataFrame, emit: Callable[[pa.Table, Answers], dict[int, bytes]]) -> DataFrame:
+    """Like `emit_from_chunks`, for chunks that know their answers."""
+
+    def task(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = Answers(right)
+        return _merged(left["grp"][0].as_py(), ((chunk, emit(table, own)) for chunk, table in _in_order(left)))
 
-    return chunks.mapInArrow(task, BLOCKS)
+    return _told(chunks, answers, task, BLOCKS)
 
 
-def with_answers(chunks: DataFrame, answers: DataFrame, work: Callable[[int, pa.Table, dict[int, bytes]], pa.RecordBatch], schema: str) -> DataFrame:
-    """Each chunk with its answers, {level: all its answers in the order of its keys}, given to `work`."""
+def with_answers(chunks: DataFrame, answers: DataFrame, work: Callable[[pa.Table, Answers], pa.RecordBatch], schema: str) -> DataFrame:
+    """`work` of each chunk and the answers of its group."""
 
     def task(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            raise RuntimeError("answers without their chunk")
-        right = right.sort_by([("level", "ascending"), ("range", "ascending")])
-        own: dict[int, list[bytes]] = {}
-        for level, answer in zip(right["level"].to_pylist(), right["answer"].to_pylist(), strict=True):
-            own.setdefault(level, []).append(answer)
-        out = [work(chunk, unpack_table(payload), {k: b"".join(v) for k, v in own.items()}) for chunk, payload in zip(left["chunk"].to_pylist(), left["payload"].to_pylist(), strict=True)]
-        return pa.Table.from_batches(out)
+        own = Answers(right)
+        return pa.Table.from_batches([work(table, own) for _, table in _in_order(left)])
 
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(task, schema)
+    return _told(chunks, answers, task, schema)
 
 
 def answered(blocks: DataFrame, level: int, answer: Callable[[list[int], list[bytes]], list[bytes]]) -> DataFrame:
-    """Per range of keys: `answer` gets the chunks and their blocks, and returns each one's answer, a byte per key."""
+    """Per range of keys: `answer` gets the chunks and their blocks, and returns each one's answer, so many bytes per key."""
 
     def task(group: pa.Table) -> pa.Table:
-        out = answer(group["chunk"].to_pylist(), group["block"].to_pylist())
-        n = group.num_rows
-        return pa.Table.from_arrays([group["chunk"].combine_chunks(), pa.array([level] * n, pa.int32()), group["range"].combine_chunks(), pa.array(out, pa.binary())], ["chunk", "level", "range", "answer"])
+        if group["range"][0].as_py() < 0:  # states go back as they are
+            return pa.table({"grp": group["grp"], "level": pa.array([level] * group.num_rows, pa.int32()), "range": group["range"], "answer": group["block"]}).combine_chunks()
+        parts = [split_parts(b) for b in group["block"].to_pylist()]
+        chunks = [int.from_bytes(p[:8], "little") for own in parts for p in own]
+        told = iter(answer(chunks, [p[8:] for own in parts for p in own]))
+        out = [b"".join([next(told) for _ in own]) for own in parts]
+        return pa.table({"grp": group["grp"].combine_chunks(), "level": pa.array([level] * len(out), pa.int32()), "range": group["range"].combine_chunks(), "answer": pa.array(out, pa.binary())})
 
     return blocks.groupBy("range").applyInArrow(task, ANSWERS)
 

@@ -2,8 +2,8 @@
 
 Windows of a short length that occur once alone cannot be part of a longer
 repeated window, so each level keeps only windows both of whose halves were
-repeated, and doubles the length until the wanted one is reached (or none is
-left).  Below the last level a chunk sends slots (leading bits of a window's
+repeated, and doubles the length (5, 10, 20 words) until the wanted one is reached,
+or no candidate survives: then nothing is removed and no further level runs.  Below the last level a chunk sends slots (leading bits of a window's
 hash); a slot that two windows share by chance only keeps a candidate longer.
 At the last level it sends full 64-bit hashes with the smallest doc_id of each, so
 that every chunk learns which of its windows start earlier elsewhere.
@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .chunks import Ranges, answered, block_rows, document_chunks, emit_from_chunks, in_several, join_parts, pack_ints, pack_sorted, ranges_of, split_parts, unpack_ints, unpack_sorted, with_answers
+from .chunks import STATE, Answers, Ranges, answered, block_rows, document_chunks, emit_from_chunks, emit_with_answers, in_several, join_parts, pack_ints, pack_sorted, ranges_of, split_parts, unpack_ints, unpack_sorted, with_answers
 from .common import by_place, drop_written, places_of, written
 from .textkit import Words, window_hashes, window_starts
 
-WINDOW, FIRST_LEVEL = 20, 10
+WINDOW, FIRST_LEVEL = 20, 5
 NULL_ID = -(1 << 63)
 
 
@@ -43,30 +43,31 @@ def levels(window: int, first: int) -> list[int]:
 class Windows:
     """The windows of a chunk's texts that can still be repeated, level by level."""
 
-    def __init__(self, table: pa.Table, ranges: Ranges, lengths: list[int]) -> None:
+    def __init__(self, table: pa.Table, ranges: Ranges, lengths: list[int], alive: bytes | None = None) -> None:
         self.words = Words(table["text"])
         self.ids = table["doc_id"].combine_chunks().fill_null(NULL_ID).to_numpy(zero_copy_only=False)
         self.hashes = self.words.hashes()
         self.ranges, self.lengths = ranges, lengths
         self.starts, self.doc = window_starts(self.words.doc_start, lengths[-1])
-        self.alive = np.ones(len(self.starts), bool)
+        self.alive = np.ones(len(self.starts), bool) if alive is None else np.unpackbits(np.frombuffer(alive, np.uint8), count=len(self.starts)).astype(bool)
 
     def slots(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct slots of the level's windows inside candidates, with each window's place, count and start."""
         length = self.lengths[level]
-        inside = np.zeros(len(self.hashes) + 1, bool)
-        for shift in range(0, self.lengths[-1] - length + 1):
-            inside[self.starts[self.alive] + shift] = True
-        at = np.flatnonzero(inside)
+        # a candidate's inner windows start at its own start and up to `reach` words behind
+        edges = np.zeros(len(self.hashes) + 2, np.int32)
+        alive, reach = self.starts[self.alive], self.lengths[-1] - length
+        edges[alive] = 1
+        np.subtract.at(edges, alive + reach + 1, 1)
+        at = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
         slots = self.ranges.slots(window_hashes(self.hashes, length)[at])
         distinct, inverse, counts = np.unique(slots, return_inverse=True, return_counts=True)
         return distinct, inverse, counts, at
 
-    def settle(self, level: int, answer: bytes) -> None:
+    def settle(self, level: int, own: Answers) -> None:
         """Keeps the candidates all of whose windows at this level are repeated."""
         distinct, inverse, counts, at = self.slots(level)
-        flags = np.frombuffer(answer, np.uint8)
-        assert len(flags) == len(distinct)
+        flags = np.frombuffer(own.take(level, self.ranges.cuts(distinct, self.ranges.slot_bits)), np.uint8)
         repeated = np.zeros(len(self.hashes) + 1, bool)
         repeated[at] = ((flags > 0) | (counts > 1))[inverse]
         length = self.lengths[level]
@@ -107,40 +108,46 @@ def removed_words(docs: DataFrame, finish, schema: str, window: int = WINDOW, fi
     found: DataFrame | None = None
     made: list[DataFrame] = [chunks]
 
-    def state(table: pa.Table, upto: int, own: dict[int, bytes]) -> Windows:
-        w = Windows(table, ranges, lengths)
-        for k in range(upto):
-            w.settle(k, own.get(k, b""))
+    def state(table: pa.Table, level: int, own: Answers | None) -> Windows:
+        """The candidates before a level: those that the level before told, of those that this chunk had then."""
+        w = Windows(table, ranges, lengths, own.state() if level > 1 else None)
+        if level:
+            w.settle(level - 1, own)
         return w
 
     def emitter(level: int):
-        def emit(chunk: int, table: pa.Table, own: dict[int, bytes]) -> pa.RecordBatch:
+        def emit(table: pa.Table, own: Answers | None = None) -> dict[int, bytes]:
             w = state(table, level, own)
             if level < len(lengths) - 1:
                 slots = w.slots(level)[0]
-                return block_rows(chunk, ranges.cuts(slots, ranges.slot_bits), lambda a, b: pack_sorted(slots[a:b]))
-            keys, first_at, _, _ = w.last()
-            ids = w.ids[w.doc[w.alive]][first_at]
-            return block_rows(chunk, ranges.cuts(keys), lambda a, b: join_parts(pack_sorted(keys[a:b]), pack_ints(ids[a:b])))
+                blocks = block_rows(ranges.cuts(slots, ranges.slot_bits), lambda a, b: pack_sorted(slots[a:b]))
+            else:
+                keys, first_at, _, _ = w.last()
+                ids = w.ids[w.doc[w.alive]][first_at]
+                blocks = block_rows(ranges.cuts(keys), lambda a, b: join_parts(pack_sorted(keys[a:b]), pack_ints(ids[a:b])))
+            if level:
+                blocks[STATE] = np.packbits(w.alive).tobytes()
+            return blocks
 
         return emit
 
+    survive = True
     for level in range(len(lengths)):
-        emit = emitter(level)
-        if found is None:
-            blocks = emit_from_chunks(chunks, lambda c, t, emit=emit: emit(c, t, {}))
-        else:
-            blocks = with_answers(chunks, found, emit, "range int, chunk long, block binary")
+        blocks = emit_from_chunks(chunks, emitter(level)) if found is None else emit_with_answers(chunks, found, emitter(level))
         new = written(answered(blocks, level, in_several if level < len(lengths) - 1 else earlier_elsewhere), "answers")
         made.append(new)
-        found = new if found is None else found.unionByName(new)
-
-    def end(chunk: int, table: pa.Table, own: dict[int, bytes]) -> pa.RecordBatch:
-        w = state(table, len(lengths) - 1, own)
+        found = new
+        if new.where("range >= 0").limit(1).count() == 0:  # no window of this length can be repeated, nor a longer one
+            survive = False
+            break
+
+    def end(table: pa.Table, own: Answers) -> pa.RecordBatch:
+        if not survive:
+            words = Words(table["text"])
+            return finish(table, words, np.zeros(len(words.start), bool))
+        w = Windows(table, ranges, lengths, own.state() if len(lengths) > 1 else None)
         keys, first_at, inverse, start = w.last()
-        flags = np.frombuffer(own.get(len(lengths) - 1, b""), np.uint8) > 0
-        assert len(flags) == len(keys)
-        later = flags[inverse]
+        later = (np.frombuffer(own.take(len(lengths) - 1, ranges.cuts(keys)), np.uint8) > 0)[inverse]
         later |= first_at[inverse] != np.arange(len(start))
         edges = np.zeros(len(w.hashes) + 1, np.int32)
         np.add.at(edges, start[later], 1)
