@@ -38,7 +38,11 @@ from .common import batches, only
 
 TRAINING_PAGES = 500
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*(?:>|\Z)", re.S)
+#: Where markup begins: a comment, a tag's name, or a declaration.
+MARKUP = re.compile(r"<(?:(!--)|(/?)([A-Za-z][^\s/>]*)|([!?]))")
+#: The rest of a tag, its attributes with their quotes closed.
+REST = re.compile(r"((?:\"[^\"]*\"|'[^']*'|[^'\">]++)*+)>")
+SPECIAL = re.compile(r"['\">]")
 ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements whose content is never text of the page.
 OPAQUE = frozenset("script style head noscript template svg math iframe object canvas audio video select textarea button title".split())
@@ -48,6 +52,8 @@ BLOCK = frozenset(
 )
 #: A start tag of the key closes an open element of the value before it.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+#: Elements beyond which no start tag closes anything.
+LIMITS = frozenset("ul ol dl table menu div section article body".split())
 KINDS = [
     frozenset({"article", "main"}), frozenset({"section", "div", "body", "html", "center"}), frozenset({"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}), frozenset({"p", "pre", "blockquote"}),
     frozenset({"ul", "ol", "dl", "menu", "li", "dt", "dd"}), frozenset({"nav", "search"}), frozenset({"header"}), frozenset({"footer", "address"}), frozenset({"aside", "dialog"}), frozenset({"form", "fieldset"}),
@@ -71,7 +77,7 @@ N_TOKENS, N_KINDS = len(TOKENS), len(KINDS)
 
 
 class Node:
-    __slots__ = ("tag", "up", "below", "depth", "marks", "runs", "chars", "links", "stops", "tags", "order", "controls", "paragraphs", "items", "before", "label")
+    __slots__ = ("tag", "up", "below", "depth", "marks", "runs", "chars", "links", "stops", "tags", "order", "controls", "paragraphs", "items", "before", "label", "ends")
 
     def __init__(self, tag: str, up: Node | None, marks: int) -> None:
         self.tag, self.up, self.marks = tag, up, marks
@@ -82,6 +88,11 @@ class Node:
         self.tags = 1
         self.order = 0
         self.label = None
+        #: What a start tag inside would close, by its name.
+        self.ends: dict[str, Node] = {} if not up or tag in LIMITS else up.ends
+        own = [t for t, closed in CLOSES.items() if tag in closed]
+        if own:
+            self.ends = self.ends | dict.fromkeys(own, self)
         if up:
             up.below.append(self)
 
@@ -103,11 +114,54 @@ def _end_of(tag: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I)
 
 
+class Tags:
+    """Ends of the tags of a page; a place from which no end was found is not passed again, so all tags together take one walk."""
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.dead: set[int] = set()
+        self.none_from = len(html)  # no quote and no end from here on
+
+    def end(self, at: int) -> int:
+        """The place of the > that ends a tag whose name ends at `at`, or -1."""
+        if not self.dead and at < self.none_from:
+            m = REST.match(self.html, at)
+            if m:
+                return m.end() - 1
+        seen = []
+        while at < self.none_from:
+            m = SPECIAL.search(self.html, at)
+            if not m:
+                self.none_from = at
+                break
+            p = m.start()
+            if p in self.dead:
+                break
+            if self.html[p] == ">":
+                return p
+            seen.append(p)
+            close = self.html.find(self.html[p], p + 1)
+            if close < 0:
+                break
+            at = close + 1
+        self.dead.update(seen)
+        return -1
+
+
 def parse(html: str) -> Node:
     """The tree of block elements of a page; text lies in runs of (order, text) at its nearest block."""
     root = here = Node("html", None, 0)
     parts: list[str] = []
     at, order, in_link, link_chars, end = 0, 0, 0, 0, len(html)
+    tags, opened, head_ends = Tags(html), dict.fromkeys(BLOCK, 0), True
+
+    def leave(node: Node) -> None:
+        """Ends a node and all open ones inside it."""
+        nonlocal here
+        stop = node.up
+        while here is not stop:
+            opened[here.tag] -= 1
+            here = here.up
 
     def flush() -> None:
         nonlocal parts, order, link_chars
@@ -122,33 +176,40 @@ def parse(html: str) -> Node:
             parts = []
         link_chars = 0
 
+    text_at = at  # where the text begins that isn't taken yet
     while at < end:
-        m = TOKEN.search(html, at)
+        m = MARKUP.search(html, at)
+        close = tags.end(m.end()) if m and m[3] else -1
+        if m and m[3] and close < 0:
+            at = m.end()  # no tag: its characters are text
+            continue
         stop = m.start() if m else end
-        if stop > at:
-            text = html[at:stop]
+        if stop > text_at:
+            text = html[text_at:stop]
             if "&" in text:
                 text = unescape(text)
             parts.append(text)
             if in_link:
                 link_chars += len(text)
+        text_at = end
         if not m:
             break
-        at = m.end()
-        name = m[2]
-        if name is None:
+        if not m[3]:
+            found = html.find("-->" if m[1] else ">", m.end())
+            at = text_at = end if found < 0 else found + (3 if m[1] else 1)
             continue
-        tag = name.lower()
-        if m[1]:
+        at = text_at = close + 1
+        tag, attributes = m[3].lower(), html[m.end() : close]
+        if m[2]:
             if tag == "a":
                 in_link = 0
             elif tag in BLOCK:
                 node = here
-                while node and node.tag != tag:
-                    node = node.up
-                if node and node.up:
+                if opened[tag]:
+                    while node.tag != tag:
+                        node = node.up
                     flush()
-                    here = node.up
+                    leave(node)
                 elif tag in ("body", "html", "p"):
                     flush()
             continue
@@ -156,12 +217,13 @@ def parse(html: str) -> Node:
             if tag in ("select", "textarea", "button"):
                 here.controls += 1
             here.tags += 1
-            if not m[3].endswith("/"):
+            if not attributes.endswith("/"):
                 if tag == "head":  # a body start tag ends a head that isn't closed
-                    found = re.compile(r"</head\s*>|(?=<body[\s>])", re.I).search(html, at)
+                    found = re.compile(r"</head\s*>|(?=<body[\s>])", re.I).search(html, at) if head_ends else None
+                    head_ends = found is not None
                 else:
                     found = _end_of(tag).search(html, at)
-                at = found.end() if found else (at if tag == "head" else end)
+                at = text_at = found.end() if found else (at if tag == "head" else end)
             continue
         if tag == "a":
             in_link = 1
@@ -175,36 +237,24 @@ def parse(html: str) -> Node:
             flush()
             in_link = 0
             if tag in ("html", "body"):
-                if tag == "html" or any(True for _ in _lineage(here, "body")):
-                    root.marks |= token_marks(m[3])
+                if tag == "html" or opened["body"]:
+                    root.marks |= token_marks(attributes)
                     continue
-            for node in _lineage(here, "p"):  # a block ends an open paragraph
-                here = node.up
-                break
-            closes = CLOSES.get(tag)
-            if closes:
-                node = here
-                while node and node.tag not in closes and node.tag not in ("ul", "ol", "dl", "table", "menu", "div", "section", "article", "body"):
-                    node = node.up
-                if node and node.tag in closes:
-                    here = node.up
-            here = Node(tag, here, token_marks(m[3]))
+            if here.tag == "p":  # a block ends an open paragraph, so a paragraph never holds one
+                leave(here)
+            if tag in here.ends:
+                leave(here.ends[tag])
+            here = Node(tag, here, token_marks(attributes))
+            opened[tag] += 1
             continue
         here.tags += 1
+    if text_at < end:
+        parts.append(unescape(html[text_at:end]))
+        link_chars += (end - text_at) * in_link
     flush()
     return root
 
 
-def _lineage(node: Node | None, tag: str) -> Iterator[Node]:
-    while node:
-        if node.tag == tag:
-            yield node
-            return
-        if tag == "p" and node.tag in ("td", "th", "table", "article", "section", "body"):
-            return
-        node = node.up
-
-
 def flat(root: Node) -> list[Node]:
     """All nodes, parents first; the text of a node that also holds blocks becomes nodes of its own."""
     out, todo = [], [root]
