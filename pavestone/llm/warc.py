@@ -2,9 +2,10 @@
 
 Writing: of pages with equal payloads, the one with the largest page_id becomes
 the response record and the others revisit it.  A record is one text row ending
-in two line ends, so Spark's text writer makes the archives, in bounded files.
+in two line ends, so Spark's text writer makes the archives: as many files as the payloads
+fill, of FILE_BYTES each on average, and no more than FILE_RECORDS records in one.
 
-Reading: each task takes whole archive files and emits every place where the
+Reading: each task takes one archive file after the other and emits every place where the
 magic stands as a candidate, with the offset of the record that would follow
 it.  Only the candidates that the chain of successors reaches from the start of
 the file are records; a magic inside a payload is never reached.  A task jumps along the
@@ -35,6 +36,8 @@ MAGIC = b"WARC/1.1\r\n"
 SEPARATOR = "\r\n\r\n"
 #: A task compresses the chain within this many bytes.
 BLOCK_BYTES = 4 << 20
+#: Payload bytes of an archive file on average, and its most records.
+FILE_BYTES, FILE_RECORDS = 32 << 20, 20_000
 DATE = "2026-01-01T00:00:00Z"
 
 
@@ -45,14 +48,14 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*[part(k) for k in range(4)]), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(page_id, payload_digest, refers_to) of the captures whose payload a larger page_id holds too."""
-    narrow = captures(pages).where(F.col("payload_bytes") >= least_bytes).select("page_id", "payload_digest")
+def revisits(narrow: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """(page_id, payload_digest, refers_to) of the captures (page_id, payload_digest, payload_bytes) whose payload a larger page_id holds too."""
+    narrow = narrow.where(F.col("payload_bytes") >= least_bytes).select("page_id", "payload_digest")
     # partial maxima before the shuffle: a payload may be on a third of the pages
     last = narrow.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("first")).where("first < refers_to").drop("first")
     # written: both sides of the join are then plain exchanges, which adaptive execution can split
     last = written(last, "responses")
-    return narrow.join(last, "payload_digest").where("page_id < refers_to").distinct()
+    return narrow.join(last.hint("merge"), "payload_digest").where("page_id < refers_to").distinct()
 
 
 def captures(pages: DataFrame) -> DataFrame:
@@ -76,12 +79,17 @@ def record_text() -> Column:
     )
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, compression: str | None = "gzip") -> None:
-    """Writes the pages as archives below `path`, one file a partition."""
-    left, right = captures(pages).alias("l"), revisits(pages, least_bytes).alias("r")
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, compression: str | None = "gzip", file_bytes: int = FILE_BYTES) -> None:
+    """Writes the pages as archives below `path`."""
+    every = captures(pages)
+    narrow = written(every.select("page_id", "payload_digest", "payload_bytes"), "captures")
+    # header and payload of all records, so that files grow in number and not in size
+    total = narrow.agg(F.sum(F.col("payload_bytes") + 500)).first()[0] or 0
+    keys = ["page_id", "payload_digest"]
+    l, r = every.repartition(max(1, -(-total // file_bytes)), *keys).alias("l"), revisits(narrow, least_bytes).hint("merge").alias("r")
     same = (F.col("l.page_id") == F.col("r.page_id")) & (F.col("l.payload_digest") == F.col("r.payload_digest"))
-    rows = left.join(right, same, "left").select("l.*", "r.refers_to")
-    rows.select(record_text().alias("value")).write.option("lineSep", SEPARATOR).option("compression", compression or "none").text(path)
+    rows = l.join(r, same, "left").select("l.*", "r.refers_to")
+    rows.select(record_text().alias("value")).write.option("lineSep", SEPARATOR).option("compression", compression or "none").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 CANDIDATES = (
@@ -90,8 +98,18 @@ CANDIDATES = (
 )
 
 
-def _header(raw: bytes) -> dict[str, str]:
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in raw.decode("utf-8", "replace").split("\r\n")[1:])}
+NAMES = frozenset("content-length warc-type warc-record-id warc-target-uri warc-refers-to warc-payload-length warc-payload-digest".split())
+
+
+def _named_lines(data: bytes, at: int, end: int) -> list[tuple[int, str, str]]:
+    """(place, name, value) of the last line of each name that this module reads, between a magic and the empty line."""
+    out: dict[str, tuple[int, str, bytes]] = {}
+    for line in data[at:end].split(b"\r\n"):
+        name, colon, value = line.partition(b":")
+        if colon and (name := name.strip().lower().decode("latin-1")) in NAMES:
+            out[name] = (at, name, value)
+        at += len(line) + 2
+    return [(place, name, value.decode("utf-8", "replace").strip()) for place, name, value in out.values()]
 
 
 def _number(x: str | None) -> int | None:
@@ -101,12 +119,14 @@ def _number(x: str | None) -> int | None:
 
 def scan(data: bytes, block_bytes: int, keep_payload: bool) -> list[tuple]:
     """The candidates of one file: its magics, where each one's record would end, and where the chain leaves their block."""
-    found, at = [], data.find(MAGIC)
+    found, at, end = [], data.find(MAGIC), -1
     while at >= 0:
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0:
-            break
-        head = _header(data[at:end])
+        if end < at:  # magics without an empty line between them share the one behind, and its header lines
+            end = data.find(b"\r\n\r\n", at)
+            if end < 0:
+                break
+            lines = _named_lines(data, at, end)
+        head = {name: value for place, name, value in lines if place > at}
         length = head.get("content-length", "")
         if length.isdigit() and (after := end + 4 + int(length)) <= len(data) and data[after : after + 4] == b"\r\n\r\n":
             found.append((at, after + 4, head, end + 4, after))
@@ -116,15 +136,16 @@ def scan(data: bytes, block_bytes: int, keep_payload: bool) -> list[tuple]:
     for at, after, *_ in reversed(found):
         leaves[at] = leaves[after] if after // block_bytes == at // block_bytes and after in leaves else after
     out = []
+    digests: dict[tuple[int, int], str] = {}
     for at, after, head, begin, end in found:
-        payload = data[begin:end]
         digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
         kind = head.get("warc-type", "")
         if kind == "revisit":
             size, own = int(head.get("warc-payload-length", "0") or 0), digest
         else:
-            size, own = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
-        out.append((at, after, at // block_bytes, leaves[at], kind, _number(head.get("warc-record-id")), head.get("warc-target-uri"), _number(head.get("warc-refers-to")), size, own, digest, payload if keep_payload else None))
+            size = end - begin
+            own = digests.get((begin, end)) or digests.setdefault((begin, end), base64.b32encode(hashlib.sha1(memoryview(data)[begin:end]).digest()).decode())
+        out.append((at, after, at // block_bytes, leaves[at], kind, _number(head.get("warc-record-id")), head.get("warc-target-uri"), _number(head.get("warc-refers-to")), size, own, digest, data[begin:end] if keep_payload else None))
     return out
 
 
@@ -137,8 +158,9 @@ def _scan_task(block_bytes: int, keep_payload: bool):
                 if data[:2] == b"\x1f\x8b":
                     data = gzip.decompress(data)
                 rows = scan(data, block_bytes, keep_payload)
-                for i in range(0, len(rows), 5000):
-                    part = list(zip(*[(file.as_py(), *r) for r in rows[i : i + 5000]], strict=True))
+                step = 64 if keep_payload else 5000
+                for i in range(0, len(rows), step):
+                    part = list(zip(*[(file.as_py(), *r) for r in rows[i : i + step]], strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, schema.types, strict=True)], schema=schema)
 
     return task
@@ -155,13 +177,14 @@ def entries(candidates: DataFrame) -> DataFrame:
     reached = written(known.where("at = 0").distinct(), "reached")
     n = reached.count()
     while True:
-        step = reached.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))
-        reached = written(reached.unionByName(step.join(known, ["file", "at"], "left_semi")).distinct(), "reached")
+        # no side is bounded: none is broadcast
+        step = reached.join(jump.hint("merge"), ["file", "at"]).select("file", F.col("to").alias("at"))
+        reached = written(reached.unionByName(step.join(known.hint("merge"), ["file", "at"], "left_semi")).distinct(), "reached")
         m = reached.count()
         if m == n:
             return reached
         n = m
-        jump = written(jump.alias("a").join(jump.select("file", F.col("at").alias("to"), F.col("to").alias("to2")), ["file", "to"]).select("file", "at", F.col("to2").alias("to")), "jumps")
+        jump = written(jump.alias("a").join(jump.select("file", F.col("at").alias("to"), F.col("to").alias("to2")).hint("merge"), ["file", "to"]).select("file", "at", F.col("to2").alias("to")), "jumps")
 
 
 def _on_chain(pdf):
@@ -184,9 +207,9 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = False, bl
     found = written(files.mapInArrow(_scan_task(block_bytes, keep_payload), CANDIDATES), "candidates")
     chain = found.select("file", "at", "next", "block", "leaves")
     entry = entries(chain).withColumn("entry", F.lit(True))
-    marked = chain.join(entry, ["file", "at"], "left").select("file", "at", "next", "block", F.coalesce("entry", F.lit(False)).alias("entry"))
+    marked = chain.join(entry.hint("merge"), ["file", "at"], "left").select("file", "at", "next", "block", F.coalesce("entry", F.lit(False)).alias("entry"))
     reached = marked.groupBy("file", "block").applyInPandas(_on_chain, "file string, at long")
-    return found.join(reached, ["file", "at"], "left_semi")
+    return found.join(reached.hint("merge"), ["file", "at"], "left_semi")
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:

@@ -336,6 +336,28 @@ def test_warc_rejects_magic_in_payloads(spark):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def test_warc_scan_takes_time_in_proportion():
+    import time
+
+    magic = warc.MAGIC.decode()
+    for data in (magic * 100_000, (magic + "Content-Length: 0\r\n") * 40_000 + "\r\n\r\n", (magic + "A: b\r\n\r\n") * 50_000):
+        began = time.process_time()
+        warc.scan(data.encode(), 1 << 20, False)
+        assert time.process_time() - began < 8
+    # the last value of a header counts, and only of lines behind the magic
+    inner = f"{magic}Content-Length: 9\r\nX: {magic}Content-Length: 3\r\n\r\nabc\r\n\r\n"
+    assert [(x[0], x[1]) for x in warc.scan(inner.encode(), 1 << 20, False)] == [(0, len(inner)), (inner.index("X: ") + 3, len(inner))]
+
+
+def test_warc_long_repeated_and_empty_pages(spark):
+    long = "é" * 3_000_000
+    rows = [(1, "u", long), (2, "u", long), (2, "u", long), (3, "u", None), (4, None, ""), (None, None, None), (5, "u", warc.MAGIC.decode() * 20_000)]
+    path = new_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), path, file_bytes=1 << 20)
+    got = sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to or 0) for r in warc.read_archives(spark, path).collect()))
+    assert got == sorted([(1, 6_000_000, "revisit", 2), (2, 6_000_000, "response", 0), (2, 6_000_000, "response", 0), (3, 0, "revisit", 4), (4, 0, "response", 0), (0, 0, "response", 0), (5, 20_000 * len(warc.MAGIC), "response", 0)])
+
+
 def test_html_main_text(spark):
     held = [html_text._Page(seed) for seed in range(100_000, 100_120)]
     model = html_text.fitted()
@@ -350,6 +372,21 @@ def test_html_main_text(spark):
         assert r.text == ("A & B\n\nOne two three\n\nNext one." if r.page_id in (1, None) else "") and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("html", ["<a " * 350_000, '<a "' * 250_000, "<div>" * 200_000, "<nav>" * 50_000 + "<li></li>" * 60_000, "<div>" * 100_000 + "</p>" * 100_000, "<head>" * 170_000, "<" * 1_000_000])
+def test_hostile_pages_take_time_in_proportion(html):
+    import time
+
+    began = time.process_time()
+    html_text.flat(html_text.parse(html))
+    assert time.process_time() - began < 8
+
+
+def test_markup_that_never_ends_is_text():
+    assert html_text.parse("<p>a < b <a 'x").below[0].runs == [(0, "a < b <a 'x")]
+    assert html_text.parse("x<!-- never").runs == [(0, "x")]
+    assert html_text.parse("<p title='a>b'>c<p>d").below[0].runs == [(0, "c")]
+
+
 def test_decoding_keeps_nothing_below_a_dropped_node():
     import numpy as np
 
