@@ -8,22 +8,28 @@ samples, and suffix positions are kept at every 16th place.  All phrases are
 searched backwards at once, the places of their occurrences are found by walking
 to sampled positions, and overlapping occurrences merge into removal spans.
 
-The phrases are the stated query set: each task gets them in blocks of bounded
-size, so the benchmark may grow.  Defined results: a null text or item has no
-words; an item shorter than a window is one window; an empty table (either) gives
-no hits; repeated items each count; repeated documents each get a row; other columns are ignored.
+The phrases are the stated query set.  Where the benchmark's text is measured to fit one block, it goes with the tasks, which read the
+documents once and move none.  A larger one stays a table: documents are dealt in groups of chunks, each group
+meets all blocks of items, and its task searches them one after the other, so the documents are read once in
+either way and the driver never holds more than one block.  Both ways give the same rows.
+
+Defined results: a null text or item has no words; an item shorter than a window is one window; a text of any length is
+searched whole; an empty table (either) gives no hits; items of one id count once; repeated documents each get a row;
+other columns are ignored, also those whose names differ in case only.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, only, written
+from .chunks import document_chunks, pack_table, unpack_table
+from .common import batches, only
 from .substrings import _runs, cut_spans
 from .textkit import ALNUM, Words
 
@@ -236,94 +242,105 @@ def shard_hits(w: Words, hashes: np.ndarray, p: Phrases) -> tuple[np.ndarray, np
 HITS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, text_sha256 string, spans array<struct<first:long,end:long>>"
 
 
-def _task(p: Phrases):
-    span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+class Found:
+    """What was found in a batch of texts so far, block by block."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        self.w = Words(texts, ALNUM, lower=True)
+        self.hashes = self.w.hashes()
+        self.edges = np.zeros(len(self.w.start) + 1, np.int32)
+        self.items: dict[int, set[str]] = {}
+
+    def search(self, p: Phrases) -> None:
+        if not len(p.rows):
+            return
+        phrase, at = shard_hits(self.w, self.hashes, p)
+        np.add.at(self.edges, at, 1)
+        np.add.at(self.edges, at + p.length[phrase], -1)
+        doc = np.searchsorted(self.w.doc_start, at, "right") - 1
+        for d, x in np.unique(np.stack([doc, phrase], 1), axis=0).tolist():
+            self.items.setdefault(d, set()).update(p.items_of(x))
+
+    def rows(self, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        w, hit = self.w, np.cumsum(self.edges[:-1]) > 0
+        n_hit, spans, text = [0] * len(ids), [[] for _ in range(len(ids))], [None] * len(ids)
+        for d in self.items:
+            a, c = w.doc_start[d], w.doc_start[d + 1]
+            n_hit[d] = int(hit[a:c].sum())
+            first, end = _runs(hit[a:c])
+            spans[d] = [{"first": int(x), "end": int(y)} for x, y in zip(w.start[a + first] - w.offsets[d], w.end[a + end - 1] - w.offsets[d], strict=True)]
+            text[d] = hashlib.sha256(texts[d].as_buffer()).hexdigest()
+        items = [sorted(self.items.get(d, ())) for d in range(len(ids))]
+        digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+        span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(w.n_words), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(items, pa.list_(pa.string())), pa.array(text, pa.string()), pa.array(spans, span)],
+            [x.strip().split(" ")[0] for x in ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "text_sha256", "spans"]],
+        )
 
+
+def _task(p: Phrases):
     def task(it):
         for b in batches(it, SHARD_BYTES):
-            w = Words(b.column(1), ALNUM, lower=True)
-            phrase, at = shard_hits(w, w.hashes(), p) if len(p.rows) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            hit = np.zeros(len(w.start) + 1, np.int32)
-            np.add.at(hit, at, 1)
-            np.add.at(hit, at + p.length[phrase], -1)
-            hit = np.cumsum(hit[:-1]) > 0
-            doc = np.searchsorted(w.doc_start, at, "right") - 1
-            order = np.argsort(doc, kind="stable")
-            phrase, doc = phrase[order], doc[order]
-            ends = np.searchsorted(doc, np.arange(len(b) + 1))
-            n_hit, items, spans, text = [], [], [], []
-            raw = None
-            for d in range(len(b)):
-                own = phrase[ends[d] : ends[d + 1]]
-                if not len(own):
-                    n_hit.append(0)
-                    items.append([])
-                    spans.append([])
-                    text.append(None)
-                    continue
-                a, c = w.doc_start[d], w.doc_start[d + 1]
-                n_hit.append(int(hit[a:c].sum()))
-                items.append(sorted({i for x in np.unique(own) for i in p.items_of(x)}))
-                first, end = _runs(hit[a:c])
-                spans.append([{"first": int(x), "end": int(y)} for x, y in zip(w.start[a + first] - w.offsets[d], w.end[a + end - 1] - w.offsets[d], strict=True)])
-                raw = b.column(1)[d].as_buffer().to_pybytes()
-                text.append(hashlib.sha256(raw).hexdigest())
-            digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(w.n_words), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest, pa.string()), pa.array([n > 0 for n in n_hit]), pa.array(items, pa.list_(pa.string())), pa.array(text, pa.string()), pa.array(spans, span)],
-                [x.strip().split(" ")[0] for x in ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "text_sha256", "spans"]],
-            )
+            found = Found(b.column(1))
+            found.search(p)
+            yield found.rows(b.column(0), b.column(1))
 
     return task
 
 
-def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[Phrases]:
-    """The benchmark's phrases in blocks of bounded size: the stated query set."""
-    out, ids, texts, size = [], [], [], 0
-    for r in only(benchmark, "item_id", "text").toLocalIterator():
-        ids.append(r["item_id"])
-        texts.append(r["text"])
-        size += len(r["text"] or "")
-        if size >= block_bytes:
-            out.append(Phrases(ids, texts, window))
-            ids, texts, size = [], [], 0
-    return out + [Phrases(ids, texts, window)] if ids or not out else out
+def _item_blocks(block_bytes: int):
+    """Items (item_id, text) in blocks of bounded size, or one item: (payload)."""
+
+    def task(it):
+        for b in it:
+            at, size = 0, 0
+            lengths = [len(t.as_buffer()) if t.is_valid else 0 for t in b.column(1)]
+            for i, n in enumerate(lengths, 1):
+                size += n
+                if size >= block_bytes or i == len(lengths):
+                    yield pa.RecordBatch.from_arrays([pa.array([pack_table(pa.Table.from_batches([b.slice(at, i - at)]))], pa.binary())], ["payload"])
+                    at, size = i, 0
+
+    return task
+
+
+def _group_task(window: int):
+    def task(left: pa.Table, right: pa.Table) -> pa.Table:
+        blocks = list(right["payload"])
+
+        @lru_cache(16)  # a task keeps the phrases of so many blocks, and makes those of others anew for each chunk
+        def phrases(k: int) -> Phrases:
+            items = unpack_table(blocks[k].as_buffer())
+            return Phrases(items["item_id"].to_pylist(), items["text"].to_pylist(), window)
+
+        out = [Found(pa.array([], pa.string())).rows(pa.array([], pa.int64()), pa.array([], pa.string()))]
+        for payload in left["payload"]:
+            docs = unpack_table(payload.as_buffer()).combine_chunks()
+            texts = docs["text"].combine_chunks()
+            found = Found(texts)
+            for k in range(len(blocks)):
+                found.search(phrases(k))
+            out.append(found.rows(docs["doc_id"].combine_chunks(), texts))
+        return pa.Table.from_batches(out)
+
+    return task
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, text_sha256 (of hit texts), spans (bytes)."""
     rows = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    blocks = phrase_blocks(benchmark, window, block_bytes)
-    found = [rows.mapInArrow(_task(p), HITS) for p in blocks]
-    if len(found) == 1:
-        return found[0]
-    # several blocks: every row keeps its first block's answer, the hits of the others are added by document
-    from functools import reduce
-
-    every = written(reduce(DataFrame.unionByName, [f.withColumn("block", F.lit(i)) for i, f in enumerate(found)]), "hits")
-    hits = every.where("contaminated").groupBy("doc_id", "text_sha256").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
-    raise_if = rows.join(hits, rows["doc_id"].eqNullSafe(hits["doc_id"]) & (F.sha2(rows["text"].cast("binary"), 256) == hits["text_sha256"]), "left").select(rows["doc_id"], rows["text"], "items", "spans")
-    return raise_if.mapInArrow(_merge_task, HITS)
-
-
-def _merge_task(it):
-    """Hits of several blocks of phrases for each row: the spans are laid over each other."""
-    span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-    for b in batches(it, SHARD_BYTES):
-        w = Words(b.column(1), ALNUM, lower=True)
-        out = []
-        for d, (i, text, items, spans) in enumerate(zip(*[b.column(k).to_pylist() for k in range(4)], strict=True)):
-            a, c = w.doc_start[d], w.doc_start[d + 1]
-            hit = np.zeros(c - a, bool)
-            for s in spans or []:
-                hit[np.searchsorted(w.start[a:c] - w.offsets[d], s["first"]) : np.searchsorted(w.end[a:c] - w.offsets[d], s["end"], "right")] = True
-            first, end = _runs(hit)
-            merged = [{"first": int(x), "end": int(y)} for x, y in zip(w.start[a + first] - w.offsets[d], w.end[a + end - 1] - w.offsets[d], strict=True)]
-            items = items or []
-            out.append((i, int(c - a), int(hit.sum()), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(hit.any()), items, hashlib.sha256((text or "").encode()).hexdigest() if hit.any() else None, merged))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.string(), span]
-        names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "text_sha256", "spans"]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 9, types, strict=True)], names)
+    items = only(benchmark, "item_id", "text")
+    size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
+    if size <= block_bytes:  # measured: all items are one block
+        got = items.collect()
+        return rows.mapInArrow(_task(Phrases([r["item_id"] for r in got], [r["text"] for r in got], window)), HITS)
+    chunks = document_chunks(rows)
+    tasks = max(1, chunks.select("grp").distinct().count())
+    left = chunks.select(F.pmod(F.xxhash64("grp"), F.lit(tasks)).alias("task"), "payload")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tasks - 1).cast("long"))).alias("task")
+    right = items.mapInArrow(_item_blocks(block_bytes), "payload binary").select(every, "payload")
+    return left.groupBy("task").cogroup(right.groupBy("task")).applyInArrow(_group_task(window), HITS)
 
 
 def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -211,6 +211,9 @@ def test_decontamination(spark, docs, none, block):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (len(w), len(hit), len(items), digest, bool(hit)), i
     assert decontaminate.benchmark_hits(none, bench).count() == 0
     assert decontaminate.benchmark_hits(docs, bench.limit(0)).where("contaminated").count() == 0
+    rows = [(1, DOCS[9][1]), (1, DOCS[9][1]), (None, DOCS[9][1]), (None, None), (2, "x " * 200_000 + DOCS[9][1])]
+    again = decontaminate.benchmark_hits(spark.createDataFrame(rows, "doc_id long, text string"), bench, block_bytes=block).collect()
+    assert sorted((r.doc_id or 0, r.n_hit) for r in again) == [(0, 0), (0, 60), (1, 60), (1, 60), (2, 60)]
     clean = decontaminate.remove_hits(docs, bench)
     assert clean.columns == docs.columns
     assert decontaminate.benchmark_hits(clean, bench).where("n_items > 0 and array_contains(items, '1')").count() == 0
