@@ -122,10 +122,11 @@ def placement(x: Column | str) -> Column:
     return F.when(kind == "left_of", n - 1).when(kind == "right_of", n).when(kind == "middle_of", n - 0.5)
 
 
-def side_tag(tags: Column, base: str, side: str, key: str = "") -> Column:
-    """P-22: base:side[:key], then base:both[:key]."""
+def side_tag(tags: Column, base: str, side: str | Column, key: str = "") -> Column:
+    """P-22: base:side[:key], then base:both[:key]; the side may differ by row."""
     end = f":{key}" if key else ""
-    return F.coalesce(tags[f"{base}:{side}{end}"], tags[f"{base}:both{end}"])
+    own = tags[f"{base}:{side}{end}"] if isinstance(side, str) else tags[F.concat(F.lit(f"{base}:"), side, F.lit(end))]
+    return F.coalesce(own, tags[f"{base}:both{end}"])
 
 
 def conditional_has(x: Column, value: str) -> Column:
@@ -133,51 +134,9 @@ def conditional_has(x: Column, value: str) -> Column:
     return F.coalesce(x.rlike(rf"(^|;\s*){value}\s*@"), F.lit(False))
 
 
-def _listed(flags: list[tuple[str, Column]]) -> Column:
-    return F.nullif(F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in flags])), ";"), F.lit(""))
-
-
-def vehicles_designated(tags: Column, side: str) -> Column:
-    """P-25: modes that a side is reserved for."""
-    own = lambda k: side_tag(tags, "parking", side, k)
-    yes = lambda k: F.coalesce(own(k).isin("yes", "designated"), F.lit(False)) | F.coalesce(own(f"restriction:{k}") == "none", F.lit(False))
-    return _listed([(k, yes(k) | conditional_has(own(f"{k}:conditional"), "yes") | conditional_has(own(f"{k}:conditional"), "designated")) for k in MODES])
-
-
-def vehicles_excluded(tags: Column, side: str) -> Column:
-    """P-25: modes that a side is closed to."""
-    own = lambda k: side_tag(tags, "parking", side, k)
-    return _listed([(k, F.coalesce(own(k) == "no", F.lit(False)) | conditional_has(own(f"{k}:conditional"), "no")) for k in MODES])
-
-
-def condition_class(tags: Column, side: str) -> Column:
-    """P-24: who may park, then what is restricted, joined by semicolons."""
-    own = lambda k: F.coalesce(side_tag(tags, "parking", side, k), F.lit(""))
-    fee, fee_c, zone, stay, stay_c = own("fee"), own("fee:conditional"), own("zone"), own("maxstay"), own("maxstay:conditional")
-    access = F.coalesce(side_tag(tags, "parking", side, "access"), tags["motor_vehicle"], tags["vehicle"], tags["access"], F.lit(""))
-    access_c, rule, rule_c = own("access:conditional"), own("restriction"), own("restriction:conditional")
-    zoned, paid = ~zone.isin("", "no", "none"), (fee == "yes") | conditional_has(fee_c, "yes")
-    first = (
-        F.when(paid & zoned, "mixed")
-        .when(((access == "private") | conditional_has(access_c, "private")) & zoned, "residents")
-        .when(paid & access.isin("", "yes", "permissive", "designated"), "paid")
-        .when(((fee == "no") | conditional_has(fee_c, "no")) & stay.isin("", "no", "none") & ~zoned, "free")
-    )
-    # a paid place needs no zone; with one it is mixed already
-    loading = F.when((rule == "loading_only") | conditional_has(rule_c, "loading_only"), "loading")
-    charging = F.when((rule == "charging_only") | conditional_has(rule_c, "charging_only"), "charging")
-    limited = F.when(~stay.isin("", "no", "none") | (stay_c != ""), "time_limited")
-    plain = lambda k: side_tag(tags, "parking", side, k)
-    reserved = lambda k: F.coalesce(plain(k).isin("yes", "designated"), F.lit(False)) | F.coalesce(plain(f"restriction:{k}") == "none", F.lit(False))
-    any_mode = reserved(MODES[0])
-    for k in MODES[1:]:
-        any_mode = any_mode | reserved(k)
-    closed = (access == "no") | conditional_has(access_c, "no")
-    vehicle = F.when(any_mode & closed, F.when(reserved("disabled"), "disabled").when(reserved("taxi"), "taxi").when(reserved("car_sharing"), "car_sharing").otherwise("vehicle_restriction"))
-    so_far = F.concat_ws(";", first, loading, charging, limited, vehicle)
-    only = F.when(~access.isin("", "yes", "destination", "designated", "permissive") & ~so_far.rlike("residents|paid|loading|charging|vehicle_restriction"), "access_restriction")
-    stops = [F.when((rule == k) | conditional_has(rule_c, k), k) for k in ("no_parking", "no_standing", "no_stopping")]
-    return F.nullif(F.concat_ws(";", first, loading, charging, limited, vehicle, only, *stops), F.lit(""))
+def joined(labels: list[tuple[str, Column]]) -> Column:
+    """The labels whose condition holds, in order, joined by semicolons; null if none does."""
+    return F.nullif(F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in labels])), ";"), F.lit(""))
 
 
 def road_width(tags: Column) -> Column:

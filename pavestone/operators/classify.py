@@ -1,4 +1,4 @@
-"""Typed layers from free-form tags (P-13 .. P-20, P-38)."""
+"""Typed layers from free-form tags (P-13 .. P-20, P-24, P-25, P-38)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tags import metric_number, tag_present
+from ..functions.tags import MODES, conditional_has, joined, metric_number, side_tag, tag_present
 
 # fixed values: rank of road classes, lower is more important
 HIERARCHY = {
@@ -107,3 +107,46 @@ def route_elements(df: DataFrame) -> DataFrame:
         rule(t["road_marking"].isNotNull() & (t["direction"] == "both"), "road_marking", "backward"),
     ]
     return df.select(*df.columns, F.explode(F.array_compact(F.array(*layers))).alias("l")).select(*df.columns, "l.layer", "l.direction")
+
+
+# fixed values: keys of a side that decide who may park there
+CONDITION_KEYS = ["fee", "zone", "maxstay", "restriction", "access", "fee:conditional", "access:conditional", "maxstay:conditional", "restriction:conditional"]
+# fixed values: values that say nothing, and those of a public access
+NOTHING, PUBLIC = ["", "no", "none"], ["", "yes", "permissive", "designated"]
+
+
+def parking_conditions(df: DataFrame) -> DataFrame:
+    """P-24, P-25: rows (tags, side) with condition_class, vehicle_designated and vehicle_excluded.
+
+    Tags are looked up once, as columns; conditions are columns over them, and each rule is a label with its condition.
+    """
+    t, side = F.col("tags"), F.col("side")
+    own = lambda k: side_tag(t, "parking", side, k)
+    empty = F.lit("")
+    looked = [F.coalesce(own(k), *([t["motor_vehicle"], t["vehicle"], t["access"]] if k == "access" else []), empty).alias(f"_{k}") for k in CONDITION_KEYS]
+    modes = [c for m in MODES for c in (own(m).alias(f"_m_{m}"), own(f"restriction:{m}").alias(f"_r_{m}"), own(f"{m}:conditional").alias(f"_c_{m}"))]
+    c = lambda k: F.col(f"`_{k}`")
+    says = lambda k, v: (c(k) == v) | conditional_has(c(f"{k}:conditional"), v)
+    plain = {m: F.coalesce(c(f"m_{m}").isin("yes", "designated") | (c(f"r_{m}") == "none"), F.coalesce(c(f"r_{m}") == "none", F.lit(False))) for m in MODES}
+    sometimes = {m: conditional_has(c(f"c_{m}"), "yes") | conditional_has(c(f"c_{m}"), "designated") for m in MODES}
+    closed_to = {m: F.coalesce(c(f"m_{m}") == "no", F.lit(False)) | conditional_has(c(f"c_{m}"), "no") for m in MODES}
+    flags = df.select("*", *looked, *modes).select(
+        *df.columns, *[c(k) for k in CONDITION_KEYS], (~c("zone").isin(NOTHING)).alias("_zoned"), says("fee", "yes").alias("_paid"), says("access", "no").alias("_closed"),
+        F.array_compact(F.array(*[F.when(plain[m], F.lit(m)) for m in MODES])).alias("_reserved"),
+        joined([(m, plain[m] | sometimes[m]) for m in MODES]).alias("vehicle_designated"), joined([(m, closed_to[m]) for m in MODES]).alias("vehicle_excluded"),
+    )
+    zoned, paid = F.col("_zoned"), F.col("_paid")
+    payment = F.coalesce(*[F.when(cond, F.lit(label)) for label, cond in [
+        ("mixed", paid & zoned),
+        ("residents", says("access", "private") & zoned),
+        ("paid", paid & c("access").isin(PUBLIC)),
+        ("free", says("fee", "no") & c("maxstay").isin(NOTHING) & ~zoned),
+    ]])
+    held = lambda m: F.array_contains("_reserved", m)
+    vehicle = F.when(F.col("_closed") & (F.size("_reserved") > 0), F.coalesce(*[F.when(held(m), F.lit(m)) for m in ("disabled", "taxi", "car_sharing")], F.lit("vehicle_restriction")))
+    uses = [("loading", says("restriction", "loading_only")), ("charging", says("restriction", "charging_only")), ("time_limited", ~c("maxstay").isin(NOTHING) | (c("maxstay:conditional") != ""))]
+    stops = [(k, says("restriction", k)) for k in ("no_parking", "no_standing", "no_stopping")]
+    told = flags.withColumn("_who", F.concat_ws(";", payment, joined(uses), vehicle))
+    private = ~c("access").isin([*PUBLIC, "destination"]) & ~F.col("_who").rlike("residents|paid|loading|charging|vehicle_restriction")
+    found = F.nullif(F.concat_ws(";", F.nullif(F.col("_who"), empty), joined([("access_restriction", private), *stops])), empty)
+    return told.select(*df.columns, found.alias("condition_class"), "vehicle_designated", "vehicle_excluded")

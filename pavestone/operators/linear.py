@@ -124,29 +124,42 @@ def cut_lines(lines: DataFrame, parts: DataFrame, key: str = "line_id") -> DataF
     return parts.join(lines.select(key, "line"), key).withColumn("line", G.substring(F.col("line"), F.col("from_m"), F.col("to_m")))
 
 
-def disc_intervals(lines: DataFrame, discs: DataFrame, key: str = "line_id") -> DataFrame:
+def disc_intervals(lines: DataFrame, discs: DataFrame, key: str = "line_id", cell: float = 64.0) -> DataFrame:
     """F-03: where lines run inside discs: (key, disc_id, from_m, to_m).
 
     `lines` has segments (key, x1, y1, x2, y2, at: distance at the segment's
     start); `discs` (disc_id, x, y, radius).  Segments and discs meet by grid
-    cells, and the roots of the distance along the segment bound the interval.
+    cells, of a size for each class of radii; a pair counts in the cell of the segment's point closest to
+    the disc's centre, so it comes once.  The roots of the distance along the segment bound the interval.
     """
-    from .spatial import box_cells
+    from .spatial import box_cells, point_cell, segment_cells
 
-    # cells much smaller than the lines would copy each segment into very many of them
-    size = max(64.0, 2.0 * (discs.agg(F.max("radius")).first()[0] or 1.0) + 1.0)
-    seg = lines.withColumn("cell", F.explode(box_cells(F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2"), size)))
     r = F.col("radius")
-    disc = discs.where("radius > 0").withColumn("cell", F.explode(box_cells(F.col("x") - r, F.col("y") - r, F.col("x") + r, F.col("y") + r, size)))
-    pair = seg.join(disc, "cell").dropDuplicates([key, "at", "disc_id"])
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    fx, fy = F.col("x1") - F.col("x"), F.col("y1") - F.col("y")
-    pair = pair.withColumn("qa", dx * dx + dy * dy).withColumn("qb", 2 * (fx * dx + fy * dy)).withColumn("qc", fx * fx + fy * fy - r * r).withColumn("disc2", F.col("qb") * F.col("qb") - 4 * F.col("qa") * F.col("qc"))
-    pair = pair.where("qa > 0 and disc2 > 0")
-    t0 = F.greatest((-F.col("qb") - F.sqrt("disc2")) / (2 * F.col("qa")), F.lit(0.0))
-    t1 = F.least((-F.col("qb") + F.sqrt("disc2")) / (2 * F.col("qa")), F.lit(1.0))
-    length = F.sqrt("qa")
-    return pair.select(key, "disc_id", (F.col("at") + t0 * length).alias("from_m"), (F.col("at") + t1 * length).alias("to_m")).where("to_m > from_m")
+    # classes double in size: a disc covers few cells of its own class, and there are few classes
+    of = F.greatest(F.ceil(F.log2(2 * r / cell)), F.lit(0)).cast("int")
+    sized = discs.where("radius > 0").withColumn("class", of)
+    classes = sorted(row["class"] for row in sized.select("class").distinct().collect())
+    out = None
+    for k in classes:
+        size = cell * 2.0**k
+        seg = lines.withColumn("cell", F.explode(segment_cells(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), size)))
+        disc = sized.where(F.col("class") == k).drop("class").withColumn("cell", F.explode(box_cells(F.col("x") - r, F.col("y") - r, F.col("x") + r, F.col("y") + r, size)))
+        dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+        fx, fy = F.col("x1") - F.col("x"), F.col("y1") - F.col("y")
+        qa, qb, qc = dx * dx + dy * dy, 2 * (fx * dx + fy * dy), fx * fx + fy * fy - r * r
+        pair = seg.join(disc, "cell").select(key, "disc_id", "at", "x1", "y1", "x2", "y2", "cell", qa.alias("qa"), qb.alias("qb"), (qb * qb - 4 * qa * qc).alias("disc2")).where("qa > 0 and disc2 > 0")
+        t = F.least(F.greatest(-F.col("qb") / (2 * F.col("qa")), F.lit(0.0)), F.lit(1.0))
+        inside = lambda v, a, b: F.least(F.greatest(v, F.least(a, b)), F.greatest(a, b))
+        home = point_cell(inside(F.col("x1") + t * dx, F.col("x1"), F.col("x2")), inside(F.col("y1") + t * dy, F.col("y1"), F.col("y2")), size)
+        pair = pair.where(F.col("cell") == home)
+        t0 = F.greatest((-F.col("qb") - F.sqrt("disc2")) / (2 * F.col("qa")), F.lit(0.0))
+        t1 = F.least((-F.col("qb") + F.sqrt("disc2")) / (2 * F.col("qa")), F.lit(1.0))
+        got = pair.select(key, "disc_id", (F.col("at") + t0 * F.sqrt("qa")).alias("from_m"), (F.col("at") + t1 * F.sqrt("qa")).alias("to_m")).where("to_m > from_m")
+        out = got if out is None else out.unionByName(got)
+    if out is None:  # no discs
+        none = F.lit(None).cast("double")
+        return lines.join(discs.select("disc_id").limit(0), F.lit(True), "inner").select(key, "disc_id", none.alias("from_m"), none.alias("to_m"))
+    return out
 
 
 def line_segments(lines: DataFrame, key: str = "line_id") -> DataFrame:

@@ -20,6 +20,22 @@ def point_cell(x: Column, y: Column, size: float) -> Column:
     return F.struct(F.floor(x / size).cast("long").alias("cx"), F.floor(y / size).cast("long").alias("cy"))
 
 
+def segment_cells(x1: Column, y1: Column, x2: Column, y2: Column, size: float) -> Column:
+    """The grid cells that a segment runs through, column by column: about as many as its length has cells, however it lies."""
+    lo = lambda v: F.floor(v / size).cast("long")
+    slope = F.when(x1 == x2, F.lit(0.0)).otherwise((y2 - y1) / (x2 - x1))
+    left, right, low, high = F.least(x1, x2), F.greatest(x1, x2), F.least(y1, y2), F.greatest(y1, y2)
+
+    def column(a: Column) -> Column:
+        u, v = F.greatest(left, a * F.lit(size)), F.least(right, (a + 1) * F.lit(size))
+        at = lambda x: F.when(x1 == x2, y1).otherwise(y1 + (x - x1) * slope)
+        # rounding must not lose a cell that only a corner is in
+        p, q = F.when(x1 == x2, low).otherwise(F.least(at(u), at(v))) - size * 1e-6, F.when(x1 == x2, high).otherwise(F.greatest(at(u), at(v))) + size * 1e-6
+        return F.transform(F.sequence(lo(p), lo(q)), lambda b: F.struct(a.alias("cx"), b.alias("cy")))
+
+    return F.flatten(F.transform(F.sequence(lo(left), lo(right)), column))
+
+
 def points_within(left: DataFrame, right: DataFrame, distance: float) -> DataFrame:
     """J-01: pairs of points (l_id, lx, ly), (r_id, rx, ry) at most `distance` apart, with their distance d.
 
@@ -61,7 +77,8 @@ def match_cascade(left: DataFrame, steps: list, key: str = "l_id") -> DataFrame:
     for number, step in enumerate(steps, 1):
         got = written(step(todo).withColumn("step", F.lit(number)), "step")
         out = got if out is None else out.unionByName(got)
-        todo = todo.join(got.select(key), key, "left_anti")
+        if number < len(steps):  # written: a step does not repeat the former ones
+            todo = written(todo.join(got.select(key), key, "left_anti"), "todo")
     return out
 
 

@@ -133,12 +133,12 @@ def f05(spark, sf):
 
 @query(
     "f09_best_overlap_piece",
-    """WITH a AS (SELECT l_orderkey AS k, l_linenumber AS i, l_suppkey AS x, l_suppkey + l_quantity AS y, l_partkey AS p FROM lineitem WHERE l_orderkey % 5 = 0),
+    """WITH a AS (SELECT l_orderkey AS k, l_linenumber AS i, l_suppkey AS x, l_suppkey + l_quantity AS y, l_partkey AS p FROM lineitem),
 o AS (SELECT w.k, w.p AS a_id, b.p AS b_id, least(w.y, b.y) - greatest(w.x, b.x) AS c FROM a w JOIN a b ON w.k = b.k AND w.i = 1 AND b.i > 1 AND least(w.y, b.y) > greatest(w.x, b.x))
 SELECT k AS line_id, a_id, arg_min(b_id, (-c, b_id)) AS b_id FROM o GROUP BY k, a_id""",
 )
-def f09(spark, sf, only="l_orderkey % 5 = 0"):
-    l = table(spark, sf, "lineitem").where(only).select(F.col("l_orderkey").alias("line_id"), "l_linenumber", F.col("l_partkey").alias("p"), F.col("l_suppkey").cast("double").alias("from_m"), (F.col("l_suppkey") + F.col("l_quantity")).cast("double").alias("to_m"))
+def f09(spark, sf):
+    l = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("line_id"), "l_linenumber", F.col("l_partkey").alias("p"), F.col("l_suppkey").cast("double").alias("from_m"), (F.col("l_suppkey") + F.col("l_quantity")).cast("double").alias("to_m"))
     return D.best_overlap_piece(l.where("l_linenumber = 1").withColumnRenamed("p", "a_id"), l.where("l_linenumber > 1").withColumnRenamed("p", "b_id")).select("line_id", "a_id", "b_id")
 
 
@@ -250,10 +250,10 @@ def e16(spark, sf):
 
 @query(
     "f06_clip_to_segment",
-    """WITH v AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= 2) SELECT k AS lane_id, TRUE AS inside FROM v WHERE k % 10 = 0""",
+    """WITH v AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= 2) SELECT k AS lane_id, TRUE AS inside FROM v""",
 )
-def f06(spark, sf, only="line_id % 10 = 0"):
-    l = lines(spark, sf).where(only).select(F.col("line_id").alias("lane_id"), F.col("line_id").alias("segment"), "line")
+def f06(spark, sf):
+    l = lines(spark, sf).select(F.col("line_id").alias("lane_id"), F.col("line_id").alias("segment"), "line")
     s = l.select("segment", G.start(F.col("line"))["x"].alias("sx"), G.start(F.col("line"))["y"].alias("sy"), G.end(F.col("line"))["x"].alias("ex"), G.end(F.col("line"))["y"].alias("ey"))
     cut = D.clip_to_segment(l, s).join(l, "lane_id")
     return cut.select("lane_id", ((F.col("from_m") >= 0) & (F.col("to_m") <= G.length(F.col("line")) + 1e-6)).alias("inside"))

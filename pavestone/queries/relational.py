@@ -248,7 +248,8 @@ def w11(spark, sf):
     return W.drop_prefix_before(table(spark, sf, "events"), "user_id", "event_id", k >= 3, k == 0).select("user_id", "event_id")
 
 
-_EDGES = "SELECT DISTINCT l_orderkey % 400 AS a, 1000 + l_suppkey AS b FROM lineitem WHERE l_orderkey % 11 = 0 AND l_suppkey % 37 = l_orderkey % 37"
+# every row links its order with a group of three orders, or with the next group: components are chains of groups
+_EDGES = "SELECT DISTINCT l_orderkey AS a, 1000000000 + l_orderkey // 3 + CASE WHEN l_linenumber = 7 AND l_partkey % 4 = 0 THEN 1 ELSE 0 END AS b FROM lineitem"
 
 
 @query(
@@ -257,8 +258,16 @@ _EDGES = "SELECT DISTINCT l_orderkey % 400 AS a, 1000 + l_suppkey AS b FROM line
 SELECT n AS node, min(m) AS component FROM c GROUP BY n""",
 )
 def r01(spark, sf):
-    l = table(spark, sf, "lineitem").where("l_orderkey % 11 = 0 and l_suppkey % 37 = l_orderkey % 37")
-    return connected_components(l.select((F.col("l_orderkey") % 400).alias("a"), (F.lit(1000) + F.col("l_suppkey")).alias("b")).distinct())
+    k = F.col("l_orderkey")
+    group = F.lit(1000000000) + F.floor(k / 3) + F.when((F.col("l_linenumber") == 7) & (F.col("l_partkey") % 4 == 0), 1).otherwise(0)
+    return connected_components(table(spark, sf, "lineitem").select(k.cast("long").alias("a"), group.cast("long").alias("b")).distinct())
+
+
+@query("r01_components_whole")
+def r01_whole(spark, sf):
+    """One large component: orders and suppliers (as -1 - key) of all rows."""
+    l = table(spark, sf, "lineitem")
+    return connected_components(l.select(F.col("l_orderkey").alias("a"), (-1 - F.col("l_suppkey")).alias("b")).distinct())
 
 
 @query(
@@ -302,11 +311,11 @@ def r04(spark, sf):
 
 @query(
     "r05_prev_next",
-    """WITH m AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_partkey % 40 = l_suppkey % 40 AND l_partkey < 100)
+    """WITH m AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem)
 SELECT s_suppkey AS n, (SELECT min(b) FROM m WHERE a = s_suppkey) AS next_id, (SELECT min(a) FROM m WHERE b = s_suppkey) AS prev_id FROM supplier""",
 )
-def r05(spark, sf, only="l_partkey % 40 = l_suppkey % 40 and l_partkey < 100"):
-    m = table(spark, sf, "lineitem").where(only).select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
+def r05(spark, sf):
+    m = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
     return R.link_prev_next(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("n")), m, "n", "a", "b")
 
 

@@ -205,9 +205,10 @@ SELECT o_orderkey, nullif(concat_ws(';', a, b, c, d, e,
 """,
 )
 def p24(spark, sf):
-    roads = table(spark, sf, "orders").select("o_orderkey", _parking_tags().alias("tags"))
-    t = F.col("tags")
-    return roads.select("o_orderkey", T.condition_class(t, "right").alias("condition"), T.vehicles_designated(t, "right").alias("designated"), T.vehicles_excluded(t, "right").alias("excluded"))
+    from ..operators.classify import parking_conditions
+
+    roads = table(spark, sf, "orders").select("o_orderkey", _parking_tags().alias("tags"), F.lit("right").alias("side"))
+    return parking_conditions(roads).select("o_orderkey", F.col("condition_class").alias("condition"), F.col("vehicle_designated").alias("designated"), F.col("vehicle_excluded").alias("excluded"))
 
 
 @query(

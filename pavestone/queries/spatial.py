@@ -60,10 +60,10 @@ def j02(spark, sf):
 
 @query(
     "j03_nearest",
-    f"""WITH {NODE}, {PLACE} SELECT n.id AS l_id, round(min(sqrt(pow(n.x - c.x, 2) + pow(n.y - c.y, 2))), 6) AS d FROM n, (SELECT * FROM c WHERE id % 20 = 0) c GROUP BY n.id""",
+    f"""WITH {NODE}, {PLACE} SELECT n.id AS l_id, round(min(sqrt(pow(n.x - c.x, 2) + pow(n.y - c.y, 2))), 6) AS d FROM n, c GROUP BY n.id""",
 )
-def j03(spark, sf, only="r_id % 20 = 0"):
-    return S.nearest(nodes(spark, sf, "l"), places(spark, sf, "r").where(only), 10.0).select("l_id", F.round("d", 6).alias("d"))
+def j03(spark, sf):
+    return S.nearest(nodes(spark, sf, "l"), places(spark, sf, "r"), 10.0).select("l_id", F.round("d", 6).alias("d"))
 
 
 @query(
@@ -224,10 +224,10 @@ def j17(spark, sf):
 
 @query(
     "j18_fill_from",
-    "SELECT p_partkey, coalesce(CASE WHEN p_partkey < 1500 THEN (SELECT c_mktsegment FROM customer WHERE c_custkey = p_partkey AND c_acctbal > 0) END, p_brand) AS p_brand FROM part",
+    "SELECT p_partkey, coalesce((SELECT c_mktsegment FROM customer WHERE c_custkey = p_partkey AND c_acctbal > 0), p_brand) AS p_brand FROM part",
 )
-def j18(spark, sf, only="c_custkey < 1500"):
-    m = table(spark, sf, "customer").where("c_acctbal > 0").where(only).select(F.col("c_custkey").alias("p_partkey"), F.col("c_mktsegment").alias("p_brand"))
+def j18(spark, sf):
+    m = table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("p_partkey"), F.col("c_mktsegment").alias("p_brand"))
     return S.fill_from(table(spark, sf, "part").select("p_partkey", "p_brand"), m, "p_partkey", "p_brand")
 
 
@@ -282,24 +282,24 @@ def f04b(spark, sf):
 
 @query(
     "f01_split_at",
-    """WITH c AS (SELECT DISTINCT l_orderkey AS line_id, CAST(l_suppkey AS DOUBLE) AS pos FROM lineitem WHERE l_suppkey > 5 AND l_suppkey < 90 AND l_linenumber <= 3),
+    """WITH c AS (SELECT DISTINCT l_orderkey AS line_id, CAST(l_suppkey AS DOUBLE) AS pos FROM lineitem WHERE l_suppkey > 5 AND l_suppkey < 90),
 e AS (SELECT DISTINCT line_id, pos FROM c UNION SELECT DISTINCT l_orderkey, 5.0 FROM lineitem)
 SELECT line_id, row_number() OVER w - 1 AS piece, pos AS from_m, coalesce(lead(pos) OVER w, 90) AS to_m FROM e WINDOW w AS (PARTITION BY line_id ORDER BY pos)""",
 )
-def f01(spark, sf, only="l_linenumber <= 3"):
+def f01(spark, sf):
     l = table(spark, sf, "lineitem")
     whole = l.select(F.col("l_orderkey").alias("line_id")).distinct().select("line_id", F.lit(5.0).alias("from_m"), F.lit(90.0).alias("to_m"))
-    at = l.where(only).select(F.col("l_orderkey").alias("line_id"), F.col("l_suppkey").cast("double").alias("at"))
+    at = l.select(F.col("l_orderkey").alias("line_id"), F.col("l_suppkey").cast("double").alias("at"))
     return L.split_at(whole, at).withColumn("piece", F.col("piece").cast("long"))
 
 
 @query(
     "a07_overlap_length",
-    """WITH a AS (SELECT l_orderkey AS k, l_linenumber % 2 AS t, CAST(l_suppkey AS DOUBLE) AS x, l_suppkey + l_quantity AS y FROM lineitem WHERE l_orderkey % 3 = 0)
+    """WITH a AS (SELECT l_orderkey AS k, l_linenumber % 2 AS t, CAST(l_suppkey AS DOUBLE) AS x, l_suppkey + l_quantity AS y FROM lineitem)
 SELECT p.k AS line_id, round(sum(greatest(0, least(p.y, q.y) - greatest(p.x, q.x))), 4) AS common FROM a p JOIN a q ON p.k = q.k AND p.t = 0 AND q.t = 1 AND least(p.y, q.y) > greatest(p.x, q.x) GROUP BY p.k""",
 )
-def a07(spark, sf, only="l_orderkey % 3 = 0"):
-    l = table(spark, sf, "lineitem").where(only).select(F.col("l_orderkey").alias("line_id"), "l_linenumber", F.col("l_suppkey").cast("double").alias("from_m"), (F.col("l_suppkey") + F.col("l_quantity")).alias("to_m"))
+def a07(spark, sf):
+    l = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("line_id"), "l_linenumber", F.col("l_suppkey").cast("double").alias("from_m"), (F.col("l_suppkey") + F.col("l_quantity")).alias("to_m"))
     a = l.where("l_linenumber % 2 = 0").withColumn("a_id", F.col("l_linenumber"))
     b = l.where("l_linenumber % 2 = 1").withColumn("b_id", F.col("l_linenumber"))
     return L.overlaps(a, b).groupBy("line_id").agg(F.round(F.sum("common"), 4).alias("common"))
@@ -331,14 +331,14 @@ def f07(spark, sf):
     "f03_line_in_discs",
     f"""WITH {LINES}, d AS (SELECT s_suppkey AS id, CAST(s_suppkey * 19 % 2000 AS DOUBLE) AS x, CAST(s_suppkey * 7 % 100 AS DOUBLE) AS y, s_suppkey % 5 + 2.0::DOUBLE AS r FROM supplier),
 g AS (SELECT line_id, id, before, d, pow(qx - ax, 2) + pow(qy - ay, 2) AS a, 2 * ((ax - x) * (qx - ax) + (ay - y) * (qy - ay)) AS b, pow(ax - x, 2) + pow(ay - y, 2) - r * r AS c
- FROM (SELECT * FROM s WHERE line_id % 10 = 0) s JOIN d ON least(ax, qx) - r <= x AND greatest(ax, qx) + r >= x),
+ FROM s JOIN d ON least(ax, qx) - r <= x AND greatest(ax, qx) + r >= x),
 h AS (SELECT *, greatest((-b - sqrt(b * b - 4 * a * c)) / (2 * a), 0) AS t0, least((-b + sqrt(b * b - 4 * a * c)) / (2 * a), 1) AS t1 FROM g WHERE a > 0 AND b * b - 4 * a * c > 0)
 SELECT line_id, id AS disc_id, round(before + t0 * d, 3) AS from_m, round(before + t1 * d, 3) AS to_m FROM h WHERE t1 > t0""",
 )
-def f03(spark, sf, only="line_id % 10 = 0"):
+def f03(spark, sf):
     k = F.col("s_suppkey")
     d = table(spark, sf, "supplier").select(k.alias("disc_id"), (k * 19 % 2000).cast("double").alias("x"), (k * 7 % 100).cast("double").alias("y"), (k % 5 + 2).cast("double").alias("radius"))
-    s = L.line_segments(lines(spark, sf).where(only))
+    s = L.line_segments(lines(spark, sf))
     return L.disc_intervals(s, d).select("line_id", "disc_id", F.round("from_m", 3).alias("from_m"), F.round("to_m", 3).alias("to_m"))
 
 
@@ -372,17 +372,17 @@ def f20(spark, sf):
 k AS (SELECT line_id, id, d, CASE WHEN qx <> ax THEN least((x0 - ax) / (qx - ax), (x0 + w - ax) / (qx - ax)) WHEN ax BETWEEN x0 AND x0 + w THEN 0 ELSE 2 END AS tx0,
  CASE WHEN qx <> ax THEN greatest((x0 - ax) / (qx - ax), (x0 + w - ax) / (qx - ax)) WHEN ax BETWEEN x0 AND x0 + w THEN 1 ELSE -1 END AS tx1,
  CASE WHEN qy <> ay THEN least((y0 - ay) / (qy - ay), (y0 + h - ay) / (qy - ay)) WHEN ay BETWEEN y0 AND y0 + h THEN 0 ELSE 2 END AS ty0,
- CASE WHEN qy <> ay THEN greatest((y0 - ay) / (qy - ay), (y0 + h - ay) / (qy - ay)) WHEN ay BETWEEN y0 AND y0 + h THEN 1 ELSE -1 END AS ty1 FROM (SELECT * FROM s WHERE line_id % 20 = 0) s, b)
+ CASE WHEN qy <> ay THEN greatest((y0 - ay) / (qy - ay), (y0 + h - ay) / (qy - ay)) WHEN ay BETWEEN y0 AND y0 + h THEN 1 ELSE -1 END AS ty1 FROM s, b)
 SELECT line_id, id AS poly_id, round(sum((least(tx1, ty1, 1) - greatest(tx0, ty0, 0)) * d), 3) AS inside FROM k WHERE least(tx1, ty1, 1) > greatest(tx0, ty0, 0) GROUP BY line_id, id""",
 )
-def f02(spark, sf, only="line_id % 20 = 0"):
+def f02(spark, sf):
     from ..operators.overlay import line_in_polygon
 
     k = F.col("s_suppkey")
     x, y, w, h = k * 19 % 1900 + 0.5, k * 7 % 90 + 0.5, k % 9 * 4 + 20.0, k % 7 + 4.0
     ring = F.array(*[G.point(a, b) for a, b in [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]])
     p = table(spark, sf, "supplier").select(k.alias("poly_id"), F.array(ring).alias("rings"))
-    inside = line_in_polygon(L.line_segments(lines(spark, sf).where(only)), p, 64.0)
+    inside = line_in_polygon(L.line_segments(lines(spark, sf)), p, 64.0)
     return inside.groupBy("line_id", "poly_id").agg(F.round(F.sum(F.col("to_m") - F.col("from_m")), 3).alias("inside"))
 
 
