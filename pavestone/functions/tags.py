@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: degrees of cardinal words
@@ -285,3 +285,76 @@ def parse_traffic_sign(tags: Column, country: str = "DE") -> Column:
     main = F.regexp_replace(F.try_element_at(numbers, F.lit(1)), r"\[[^\]]*\]", "")
     found = F.struct(F.coalesce(code, F.when(worded, country)).alias("country_code"), main.alias("sign_main"), F.array_join(numbers, ";").alias("sign_list"))
     return F.when(F.size(parts) > 0, found)
+
+
+def pass_through(tags: Column, columns: list[str], numbers: list[str]) -> Column:
+    """P-11: the tags of a layer's columns as a struct: those in `numbers` as metric numbers; a surface colour may stand under `colour`."""
+    text = lambda k: F.coalesce(tags[k], tags["colour"]) if k == "surface:colour" else tags[k]
+    return F.struct(*[(metric_number(text(k)) if k in numbers else text(k)).alias(k) for k in columns])
+
+
+# fixed values: parking positions on the carriageway, and uses that a space's symbol shows, first ones first
+ON_CARRIAGEWAY = ["lane", "street_side"]
+SPACE_SYMBOLS = [("wheelchair", "disabled", "disabled", "designated"), ("charging", "charging", "restriction", "charging_only"), ("loading", "loading", "restriction", "loading_only")]
+
+
+def parking_area(tags: Column) -> Column:
+    """P-17: (area_highway, type, class, symbol) of a parking area that belongs to the carriageway; null for others."""
+    row = lambda area, kind, sub=None, symbol=None: F.struct(F.lit(area).alias("area_highway"), kind.alias("type"), (F.lit(None).cast("string") if sub is None else sub).alias("class"), (F.lit(None).cast("string") if symbol is None else symbol).alias("symbol"))
+    use = tags["parking_space"]
+    shows = lambda value, key, word: F.coalesce(use == value, F.lit(False)) | F.coalesce(tags[key] == word, F.lit(False)) | F.coalesce(tags[f"{key}:conditional"].contains(word), F.lit(False))
+    symbol = F.coalesce(*[F.when(shows(value, key, word), F.lit(name)) for name, value, key, word in SPACE_SYMBOLS])
+    placed = lambda k: F.when(tags[k].isin(ON_CARRIAGEWAY), tags[k])
+    two_wheel = F.coalesce(placed("parking"), placed("position"))
+    return (
+        F.when(tags["amenity"] == "parking_space", row("parking_space", F.lit("parking_space"), F.when(~use.isin("", "yes", "no", "none"), use), symbol))
+        .when((tags["amenity"] == "motorcycle_parking") & two_wheel.isNotNull(), row("parking_two_wheel", two_wheel))
+        .when((tags["amenity"] == "parking") & placed("parking").isNotNull(), row("parking", placed("parking")))
+    )
+
+
+# fixed values: strokes of crossing markings by how the value begins, and those of exact values
+CROSSING_AREAS = ["zebra", "ladder", "pictograms"]
+CROSSING_LINES = {"dots": "dots", "dashes": "dashed", "lines": "solid", "lines:paired": "double_solid"}
+
+
+def crossing_kind(crossing: Column, reference: Column, markings: Column, buffer: Column, is_surface: Column) -> Column:
+    """P-39: (kind, stroke): marked along the centreline (zebra, ladder, pictograms), by a buffer at its side, or at its edges."""
+    begins = lambda word: F.coalesce(markings.startswith(word), F.lit(False))
+    zebra = begins("zebra") | F.coalesce(crossing == "zebra", F.lit(False)) | F.coalesce(reference == "zebra", F.lit(False))
+    along = zebra | begins("ladder") | begins("pictograms")
+    signed = F.coalesce(crossing.isin("traffic_signals", "marked", "zebra"), F.lit(False)) | F.coalesce(~markings.isin("no", "surface"), F.lit(False))
+    kind = F.when(along, "centerline").when(buffer.isNotNull() & ~signed, "side").when((signed | buffer.isNotNull()) & ~is_surface, "edge")
+    lines = F.create_map(*[F.lit(x) for kv in CROSSING_LINES.items() for x in kv])
+    stroke = F.coalesce(F.when(zebra, F.lit("zebra")), *[F.when(begins(w), F.lit(w)) for w in CROSSING_AREAS[1:]], lines[markings], F.when(crossing.isin("traffic_signals", "marked"), F.lit("dashed")))
+    return F.struct(kind.alias("kind"), stroke.alias("stroke"))
+
+
+def needs_lanes(tags: Column, roads: list[str]) -> Column:
+    """L-09: whether a way gets lanes: roads of these classes, cycleways that are no links, marked ways and those with turn lanes."""
+    value = F.when((tags["highway"] == "construction") & tag_present(tags["construction"]), tags["construction"]).otherwise(tags["highway"])
+    turns = F.size(F.map_filter(tags, lambda k, v: ((k == "turn") | (k == "turn:lanes") | k.startswith("turn:lanes:")) & tag_present(v))) > 0
+    some = F.coalesce(value.isin([*roads, "cycleway"]), F.lit(False)) | F.coalesce(tags["road_marking"] == "yes", F.lit(False)) | turns
+    link = F.coalesce((value == "cycleway") & (tags["cycleway"] == "link"), F.lit(False))
+    return some & ~link
+
+
+# fixed values: symbols by class, then by what the subclass holds; the first rule that fits counts
+SYMBOLS = [
+    ("bench", "backrest_no", "icon-amenity-bench-backrest-no", 1.7), ("bench", "", "icon-amenity-bench", 1.7), ("bicycle_parking", "cargo_bike", "icon-amenity-bicycle", 2.2), ("bicycle_parking", "", "icon-amenity-bicycle", 1.8),
+    ("fountain", "", "icon-amenity-fountain", 3.2), ("information", "guidepost", "icon-tourism-guidepost", 1.8), ("information", "", "icon-tourism-information", 1.2), ("manhole", "", "icon-man-made-manhole", 0.75),
+    ("post_box", "PIN Mail", "icon-amenity-post-box-yellow", 1.2), ("post_box", "", "icon-amenity-post-box-green", 1.2), ("recycling", "", "icon-amenity-recycling", 1.4), ("telephone", "", "icon-amenity-telephone", 1.2),
+    ("toilets", "", "icon-amenity-toilets", 1.6), ("entrance", "subway", "icon-public-transport-subway", 2.0), ("entrance", "s-train", "icon-public-transport-s-train", 2.2),
+    ("street_lamp", "", "marker-street-lamp", 1.0), ("street_cabinet", "", "marker-street-cabinet", 1.0), ("vending_machine", "parking_tickets", "marker-parking-tickets", 0.7), ("vending_machine", "", "marker-vending-machine", 0.5),
+    ("charging_station", "", "marker-charging-station", 0.7), ("planter", "", "marker-planter", 1.0), ("pole", "", "marker-pole", 0.6), ("mast", "", "marker-mast", 0.9), ("guard_stone", "", "marker-guard-stone", 0.8),
+]
+# fixed values: turns of symbols against the direction of what they show; the second is the direction where there is none
+SYMBOL_TURNS = {"bench": (-180.0, None), "street_cabinet": (90.0, 0.0), "vending_machine": (90.0, 0.0), "charging_station": (0.0, 0.0), "guard_stone": (-90.0, 0.0), "traffic_sign": (180.0, 0.0)}
+
+
+def symbolise(df: DataFrame, rules: list[tuple[str, str, str, float]] | None = None, turns: dict[str, tuple[float, float | None]] | None = None) -> DataFrame:
+    """P-30: adds symbol, size and rotation to rows (class, subclass, direction); classes without a rule have no symbol, and size 1.6."""
+    kind, sub = F.col("class"), F.coalesce("subclass", F.lit(""))
+    found = F.coalesce(*[F.when((kind == c) & sub.contains(s), F.struct(F.lit(name).alias("symbol"), F.lit(size).alias("size"))) for c, s, name, size in rules or SYMBOLS])
+    turn = F.coalesce(*[F.when(kind == c, (F.col("direction") if start is None else F.coalesce("direction", F.lit(start))) + by) for c, (by, start) in (turns or SYMBOL_TURNS).items()], F.lit(0.0))
+    return df.withColumn("_s", found).select(*df.columns, F.col("_s.symbol").alias("symbol"), F.coalesce("_s.size", F.lit(1.6)).alias("size"), turn.alias("rotation"))
