@@ -350,3 +350,77 @@ def geodesic_area(ring: Column) -> Column:
 def normal_degrees(x: Column) -> Column:
     """G-30: whole degrees of [0, 360)."""
     return F.pmod(F.round(x).cast("int"), F.lit(360))
+
+
+def closest_point(line: Column, p: Column) -> Column:
+    """G-07: the point of a line that is closest to p; the first of equal ones."""
+    return interpolate_at(line, locate(line, p)["at"])
+
+
+def connector(a: Column, b: Column) -> Column:
+    """G-07: (d, p, q): the shortest connection of two lines, from a to b; of length 0 where segments of theirs cross."""
+
+    def pair(g: Column, h: Column) -> Column:
+        dx, dy, ex, ey = g["b"]["x"] - g["a"]["x"], g["b"]["y"] - g["a"]["y"], h["b"]["x"] - h["a"]["x"], h["b"]["y"] - h["a"]["y"]
+        cross = F.nullif(dx * ey - dy * ex, F.lit(0.0))
+        t = ((h["a"]["x"] - g["a"]["x"]) * ey - (h["a"]["y"] - g["a"]["y"]) * ex) / cross
+        u = ((h["a"]["x"] - g["a"]["x"]) * dy - (h["a"]["y"] - g["a"]["y"]) * dx) / cross
+        meet = along(g["a"], g["b"], t)
+        from_ends = lambda s, q, first: F.struct(_nearest_on(s, q)["d"].alias("d"), (along(s["a"], s["b"], _nearest_on(s, q)["t"]) if first else q).alias("p"), (q if first else along(s["a"], s["b"], _nearest_on(s, q)["t"])).alias("q"))
+        near = F.array_min(F.array(from_ends(g, h["a"], True), from_ends(g, h["b"], True), from_ends(h, g["a"], False), from_ends(h, g["b"], False)))
+        return F.when(t.between(0, 1) & u.between(0, 1), F.struct(F.lit(0.0).alias("d"), meet.alias("p"), meet.alias("q"))).otherwise(near)
+
+    return F.array_min(F.flatten(F.transform(segments(a), lambda g: F.transform(segments(b), lambda h: pair(g, h)))))
+
+
+def label_point(polygon: Column) -> Column:
+    """G-29: a point inside a polygon: the centroid of its outer ring, or the middle of the widest stretch inside on the centroid's height."""
+    c = centroid(polygon[0])
+    edges = F.filter(F.flatten(F.transform(polygon, segments)), lambda g: (g["a"]["y"] > c["y"]) != (g["b"]["y"] > c["y"]))
+    xs = F.array_sort(F.transform(edges, lambda g: g["a"]["x"] + (c["y"] - g["a"]["y"]) * (g["b"]["x"] - g["a"]["x"]) / (g["b"]["y"] - g["a"]["y"])))
+    n = (F.size(xs) / 2).cast("int")
+    spans = F.transform(F.sequence(F.lit(1), n), lambda k: F.struct((F.try_element_at(xs, 2 * k - 1) - F.try_element_at(xs, 2 * k)).alias("w"), ((F.try_element_at(xs, 2 * k - 1) + F.try_element_at(xs, 2 * k)) / 2).alias("x")))
+    return F.when(contains(polygon, c) | (n < 1), c).otherwise(point(F.array_min(spans)["x"], c["y"]))
+
+
+def furthest_kept(x, y, tolerance: float):
+    """The places of the vertices that Douglas-Peucker keeps, without recursion."""
+    import numpy as np
+
+    keep, todo = np.zeros(len(x), bool), [(0, len(x) - 1)]
+    keep[[0, -1]] = True
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        size = dx * dx + dy * dy
+        px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
+        t = np.clip((px * dx + py * dy) / size, 0, 1) if size > 0 else 0.0
+        d = np.hypot(px - t * dx, py - t * dy)
+        k = int(d.argmax())
+        if d[k] > tolerance:
+            keep[a + 1 + k] = True
+            todo += [(a, a + 1 + k), (a + 1 + k, b)]
+    return keep
+
+
+def simplify(lines, tolerance: float, key: str = "line_id"):
+    """G-26: lines (key, line) simplified by Douglas-Peucker; the search is not a fold over the vertices, so Arrow batches go through numpy."""
+    import pyarrow as pa
+
+    def task(it):
+        import numpy as np
+
+        for b in it:
+            keys, rows = b.column(0), b.column(1)
+            flat, offsets = rows.flatten(), np.concatenate([[0], np.cumsum([len(v) if v.is_valid else 0 for v in rows])])
+            x, y = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            kept = [np.flatnonzero(furthest_kept(x[s:e], y[s:e], tolerance)) + s if e > s else np.zeros(0, np.int64) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
+            at = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in kept])])
+            line = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat.take(pa.array(at, pa.int64())))
+            yield pa.RecordBatch.from_arrays([keys, line], b.schema.names)
+
+    some = lines.select(key, "line")
+    return some.mapInArrow(task, some.schema)

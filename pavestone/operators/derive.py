@@ -203,3 +203,93 @@ def running_share(df: DataFrame, key: str, order: str, weight: str) -> DataFrame
     """W-09: adds `run`, the running sum of the weight."""
     w = Window.partitionBy(key).orderBy(order)
     return df.withColumn("run", F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def end_stats(ends: DataFrame, tolerance: float = 25.0) -> DataFrame:
+    """A-15: per end of a line (id, which, name, az, gx, gy): the other lines there, and whether one of its name goes straight on."""
+    other = ends.select(F.col("id").alias("o_id"), F.col("name").alias("o_name"), F.col("az").alias("o_az"), "gx", "gy").distinct()
+    met = ends.join(other, ["gx", "gy"]).where("o_id <> id")
+    on = (F.col("o_name") == F.col("name")) & (G.angle_difference_undirected(F.col("az"), F.col("o_az")) <= tolerance)
+    return met.groupBy("id", "which").agg(F.countDistinct("o_id").alias("others"), F.coalesce(F.bool_or(on), F.lit(False)).alias("goes_on"))
+
+
+def end_offset(ends: DataFrame, stops: DataFrame, touching: DataFrame, near: float = 7.5, far: float = 15.0) -> DataFrame:
+    """E-03: (line_id, stop_id, end_offset): signed distance of a line's end (line_id, x, y) from its best stop line (stop_id, x1, y1, x2, y2, backward).
+
+    Stop lines count that come within `near` of the end, or that the line or one of its way touches (line_id, stop_id) if not farther than `far`.
+    Left of the bar is positive; bars for the opposite direction are turned.
+    """
+    from .spatial import box_cells, point_cell
+
+    l, r = F.least, F.greatest
+    at = ends.withColumn("cell", point_cell(F.col("x"), F.col("y"), far))
+    bars = stops.withColumn("cell", F.explode(box_cells(l("x1", "x2") - near, l("y1", "y2") - near, r("x1", "x2") + near, r("y1", "y2") + near, far)))
+    close = at.join(bars, "cell").drop("cell")
+    joined = close.unionByName(ends.join(touching, "line_id").join(stops, "stop_id").select(close.columns))
+    bar = F.struct(G.point(F.col("x1"), F.col("y1")).alias("a"), G.point(F.col("x2"), F.col("y2")).alias("b"))
+    told = joined.withColumn("d", G._nearest_on(bar, G.point(F.col("x"), F.col("y")))["d"])
+    # a touching bar stands in both lists, with the same distance
+    told = close_or_touching(told, touching, near, far)
+    side = F.signum((F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("x") - F.col("x1"))) * F.when(F.col("backward"), -1).otherwise(1)
+    best = told.groupBy("line_id").agg(F.min(F.struct("d", "stop_id", side.alias("side"))).alias("m"))
+    return best.select("line_id", "m.stop_id", (F.col("m.d") * F.col("m.side")).alias("end_offset"))
+
+
+def close_or_touching(pairs: DataFrame, touching: DataFrame, near: float, far: float) -> DataFrame:
+    """Pairs (line_id, stop_id, d) within `near`, or touching and within `far`."""
+    known = touching.select("line_id", "stop_id", F.lit(True).alias("touches")).distinct()
+    return pairs.join(known, ["line_id", "stop_id"], "left").where((F.col("d") <= near) | (F.coalesce("touches", F.lit(False)) & (F.col("d") <= far))).drop("touches")
+
+
+def spread_ends(ends: DataFrame, singles: DataFrame) -> DataFrame:
+    """F-17: ends of dual-carriageway pieces (end_id, name, highway, x, y, az, left_offset) moved beside the road they come from.
+
+    `singles` has ends of other roads (s_id, name, highway, x, y, az: degrees away from the point).  The road of the same name and class
+    with the smallest angle counts, else a road of the class if it is the only one there; without one an end stays.
+    """
+    off = G.angle_difference(F.col("az"), F.col("s_az"))
+    s = singles.select("s_id", F.col("name").alias("s_name"), "highway", "x", "y", F.col("az").alias("s_az"))
+    met = ends.join(s, ["highway", "x", "y"])
+    # one pass: the best of the same name, the number of all, and the one if it is alone
+    told = met.groupBy("end_id").agg(F.min(F.when(F.col("name") == F.col("s_name"), F.struct(off.alias("off"), "s_id", "s_az"))).alias("same"), F.countDistinct("s_id").alias("n"), F.min(F.struct("s_id", "s_az")).alias("any"))
+    az = F.coalesce("same.s_az", F.when(F.col("n") == 1, F.col("any.s_az")))
+    found = told.select("end_id", F.radians(az + 90).alias("turn")).where("turn is not null")
+    moved = ends.join(found, "end_id", "left")
+    shift = lambda c, f: F.when(F.col("turn").isNotNull(), F.col(c) - f("turn") * F.col("left_offset")).otherwise(F.col(c))
+    return moved.select("end_id", shift("x", F.sin).alias("x"), shift("y", F.cos).alias("y"), F.col("turn").isNotNull().alias("moved"))
+
+
+def line_to_symbol(lines: DataFrame) -> DataFrame:
+    """E-04: arrow ways (line_id, line, direction, length) as symbols in their middle: (line_id, x, y, direction, length)."""
+    total = G.length(F.col("line"))
+    rows = lines.withColumn("_n", total).where("_n > 0.01")
+    az = F.degrees(G.azimuth(G.interpolate_at(F.col("line"), F.col("_n") * 0.02), G.interpolate_at(F.col("line"), F.col("_n") * 0.98)))
+    mid = G.interpolate_at(F.col("line"), F.col("_n") * 0.5)
+    return rows.select("line_id", mid.alias("p"), F.round(F.coalesce("direction", az), 1).alias("direction"), F.coalesce("length", F.round("_n", 1)).alias("length")).select("line_id", "p.x", "p.y", "direction", "length")
+
+
+def to_node(polygons: DataFrame, nodes: DataFrame, largest: float = 50.0, cell: float = 16.0) -> DataFrame:
+    """E-14: small polygons (l_id, ring) that hold no node (r_id, rx, ry) as their centroids."""
+    from .spatial import box_cells, point_cell
+
+    small = polygons.select("l_id", "ring", G.area(F.col("ring")).alias("area")).where(F.col("area") < largest)
+    e = G.envelope(F.col("ring"))
+    cells = small.withColumn("cell", F.explode(box_cells(e["xmin"], e["ymin"], e["xmax"], e["ymax"], cell)))
+    held = cells.join(nodes.withColumn("cell", point_cell(F.col("rx"), F.col("ry"), cell)), "cell").where(G.contains(F.array("ring"), G.point(F.col("rx"), F.col("ry")))).select("l_id")
+    c = G.centroid(F.col("ring"))
+    return small.join(held, "l_id", "left_anti").select("l_id", c["x"].alias("x"), c["y"].alias("y"))
+
+
+def sign_direction(signs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """E-17: (sign_id, degrees) of signs (sign_id, x, y, direction: null, forward or backward) that stand on a vertex of a line but not its first (line_id, i, x, y).
+
+    A forward sign looks against the line's course to the next vertex, or from the one before at the end; of several lines the smallest counts.
+    """
+    w = Window.partitionBy("line_id").orderBy("i")
+    v = vertices.select("line_id", "i", "x", "y", F.lag("x").over(w).alias("px"), F.lag("y").over(w).alias("py"), F.lead("x").over(w).alias("nx"), F.lead("y").over(w).alias("ny")).where("px is not null")
+    met = signs.join(v, ["x", "y"])
+    here, before, after = G.point(F.col("x"), F.col("y")), G.point(F.col("px"), F.col("py")), G.point(F.col("nx"), F.col("ny"))
+    forward = F.coalesce(F.col("direction") == "forward", F.lit(True))
+    az = F.when(forward & F.col("nx").isNotNull(), G.azimuth(here, after)).otherwise(G.azimuth(before, here))
+    turned = F.round(F.degrees(az)) + F.when(forward, 180).otherwise(0)
+    return met.groupBy("sign_id").agg(F.min(F.struct("line_id", "i", F.pmod(turned, F.lit(360.0)).alias("degrees"))).alias("m")).select("sign_id", "m.degrees")

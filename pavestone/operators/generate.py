@@ -151,3 +151,25 @@ def face_road(nodes: DataFrame, major: DataFrame, others: DataFrame) -> DataFram
 def one_side(df: DataFrame, azimuth: str = "azimuth") -> DataFrame:
     """E-38: of two-sided streets the piece that bears 90 to 270 degrees."""
     return df.where((F.col(azimuth) >= 90) & (F.col(azimuth) < 270))
+
+
+def hatch(polygons: DataFrame, degrees: float, spacing: float) -> DataFrame:
+    """E-06: (poly_id, k, x1, y1, x2, y2): parallel lines at an angle (clockwise from north), clipped to polygons (poly_id, rings).
+
+    In a frame turned by the angle the lines are upright; each edge gives the heights at which lines cross it, and
+    the heights of a line, in order, bound its parts inside (even-odd, so holes stay free).
+    """
+    c, s = math.cos(math.radians(degrees)), math.sin(math.radians(degrees))
+    e = polygons.select("poly_id", F.explode("rings").alias("ring")).select("poly_id", F.explode(G.segments(F.col("ring"))).alias("e"))
+    u = lambda p: F.col(f"e.{p}.x") * c - F.col(f"e.{p}.y") * s
+    v = lambda p: F.col(f"e.{p}.x") * s + F.col(f"e.{p}.y") * c
+    e = e.select("poly_id", u("a").alias("u1"), v("a").alias("v1"), u("b").alias("u2"), v("b").alias("v2"))
+    low, high = F.ceil(F.least("u1", "u2") / spacing), F.ceil(F.greatest("u1", "u2") / spacing) - 1
+    at = e.withColumn("low", low).withColumn("high", high).where("high >= low").select("*", F.explode(F.sequence("low", "high")).alias("k"))
+    height = F.col("v1") + (F.col("k") * F.lit(spacing) - F.col("u1")) * (F.col("v2") - F.col("v1")) / (F.col("u2") - F.col("u1"))
+    lines = at.groupBy("poly_id", "k").agg(F.array_sort(F.collect_list(height)).alias("h"))  # bounded by a polygon's edges
+    pairs = F.transform(F.sequence(F.lit(1), (F.size("h") / 2).cast("int")), lambda i: F.struct(F.element_at("h", 2 * i - 1).alias("a"), F.element_at("h", 2 * i).alias("b")))
+    parts = lines.where(F.size("h") >= 2).select("poly_id", "k", F.explode(pairs).alias("p"), (F.col("k") * F.lit(spacing)).alias("u")).where("p.b > p.a")
+    back = lambda h: (F.col("u") * c + F.col(h) * s, F.col(h) * c - F.col("u") * s)
+    (x1, y1), (x2, y2) = back("p.a"), back("p.b")
+    return parts.select("poly_id", "k", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))

@@ -167,3 +167,25 @@ def line_segments(lines: DataFrame, key: str = "line_id") -> DataFrame:
     w = Window.partitionBy(key).orderBy("i")
     v = vertices(lines, key)
     return v.select(key, "i", F.col("x").alias("x1"), F.col("y").alias("y1"), F.lead("x").over(w).alias("x2"), F.lead("y").over(w).alias("y2"), "at", "total").where("x2 is not null")
+
+
+def corridor_intervals(segments: DataFrame, corridors: DataFrame, cell: float = 64.0) -> DataFrame:
+    """F-03: (line_id, cor_id, from_m, to_m) where segments (line_id, i, x1, y1, x2, y2, at) run within `half` of corridors (cor_id, x1, y1, x2, y2, half).
+
+    What lies within a distance of a segment is a disc at each end and a rectangle between; intervals of one corridor overlap.
+    """
+    from .overlay import line_in_polygon
+
+    ends = F.explode(F.array(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2"))))
+    discs = corridors.select(F.col("cor_id").alias("disc_id"), ends.alias("p"), F.col("half").alias("radius")).select("disc_id", "p.x", "p.y", "radius")
+    round_ = disc_intervals(segments, discs, "line_id", cell).withColumnRenamed("disc_id", "cor_id")
+    quad = G.corridor_quads(F.array(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2"))), F.col("half"), F.col("half"))
+    rings = corridors.select(F.col("cor_id").alias("poly_id"), F.transform(quad, lambda q: F.concat(q, F.slice(q, 1, 1))).alias("rings")).where(F.size("rings") > 0)
+    between = line_in_polygon(segments, rings, cell).withColumnRenamed("poly_id", "cor_id")
+    return round_.unionByName(between)
+
+
+def cut_by(lines: DataFrame, zones: DataFrame, long_tunnel: float = 100.0, least: float = 0.0, key: str = "line_id") -> DataFrame:
+    """F-22: what is left of label lines (key, total, tunnel) outside zones (key, from_m, to_m); tunnels longer than `long_tunnel` go as a whole."""
+    kept = lines.where(~(F.col("tunnel") & (F.col("total") > long_tunnel)))
+    return subtract_intervals(kept.select(key, F.lit(0.0).alias("from_m"), F.col("total").alias("to_m")), zones.select(key, "from_m", "to_m"), least, key)
