@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO_PI = 2 * math.pi
@@ -100,17 +100,17 @@ def _nearest_on(g: Column, p: Column) -> Column:
     return F.struct(distance(along(g["a"], g["b"], t), p).alias("d"), t.alias("t"))
 
 
+def _closest_segment(line: Column, p: Column) -> Column:
+    """(d, i, t) of the segment closest to p: distance, its number from 0, and the fraction along it; the first of equal ones."""
+    return F.array_min(F.transform(segments(line), lambda g, i: F.struct(_nearest_on(g, p)["d"].alias("d"), i.alias("i"), _nearest_on(g, p)["t"].alias("t"))))
+
+
 def locate(line: Column, p: Column) -> Column:
     """G-05: (d, at, total): distance to the line, where its closest point lies along it, and its length; the first of equal ones."""
-    return F.aggregate(
-        segments(line),
-        F.struct(F.lit(None).cast("double").alias("d"), F.lit(0.0).alias("at"), F.lit(0.0).alias("total")),
-        lambda s, g: F.struct(
-            F.when(s["d"].isNull() | (_nearest_on(g, p)["d"] < s["d"]), _nearest_on(g, p)["d"]).otherwise(s["d"]).alias("d"),
-            F.when(s["d"].isNull() | (_nearest_on(g, p)["d"] < s["d"]), s["total"] + _nearest_on(g, p)["t"] * distance(g["a"], g["b"])).otherwise(s["at"]).alias("at"),
-            (s["total"] + distance(g["a"], g["b"])).alias("total"),
-        ),
-    )
+    near = _closest_segment(line, p)
+    last = F.try_element_at(segments(line), near["i"] + 1)
+    at = length(F.slice(line, F.lit(1), near["i"] + 1)) + near["t"] * distance(last["a"], last["b"])
+    return F.struct(near["d"].alias("d"), at.alias("at"), length(line).alias("total"))
 
 
 def substring(line: Column, a: Column, b: Column) -> Column:
@@ -354,33 +354,40 @@ def normal_degrees(x: Column) -> Column:
 
 def closest_point(line: Column, p: Column) -> Column:
     """G-07: the point of a line that is closest to p; the first of equal ones."""
-    return interpolate_at(line, locate(line, p)["at"])
-
-
-def connector(a: Column, b: Column) -> Column:
-    """G-07: (d, p, q): the shortest connection of two lines, from a to b; of length 0 where segments of theirs cross."""
-
-    def pair(g: Column, h: Column) -> Column:
-        dx, dy, ex, ey = g["b"]["x"] - g["a"]["x"], g["b"]["y"] - g["a"]["y"], h["b"]["x"] - h["a"]["x"], h["b"]["y"] - h["a"]["y"]
-        cross = F.nullif(dx * ey - dy * ex, F.lit(0.0))
-        t = ((h["a"]["x"] - g["a"]["x"]) * ey - (h["a"]["y"] - g["a"]["y"]) * ex) / cross
-        u = ((h["a"]["x"] - g["a"]["x"]) * dy - (h["a"]["y"] - g["a"]["y"]) * dx) / cross
-        meet = along(g["a"], g["b"], t)
-        from_ends = lambda s, q, first: F.struct(_nearest_on(s, q)["d"].alias("d"), (along(s["a"], s["b"], _nearest_on(s, q)["t"]) if first else q).alias("p"), (q if first else along(s["a"], s["b"], _nearest_on(s, q)["t"])).alias("q"))
-        near = F.array_min(F.array(from_ends(g, h["a"], True), from_ends(g, h["b"], True), from_ends(h, g["a"], False), from_ends(h, g["b"], False)))
-        return F.when(t.between(0, 1) & u.between(0, 1), F.struct(F.lit(0.0).alias("d"), meet.alias("p"), meet.alias("q"))).otherwise(near)
-
-    return F.array_min(F.flatten(F.transform(segments(a), lambda g: F.transform(segments(b), lambda h: pair(g, h)))))
-
-
-def label_point(polygon: Column) -> Column:
-    """G-29: a point inside a polygon: the centroid of its outer ring, or the middle of the widest stretch inside on the centroid's height."""
-    c = centroid(polygon[0])
-    edges = F.filter(F.flatten(F.transform(polygon, segments)), lambda g: (g["a"]["y"] > c["y"]) != (g["b"]["y"] > c["y"]))
-    xs = F.array_sort(F.transform(edges, lambda g: g["a"]["x"] + (c["y"] - g["a"]["y"]) * (g["b"]["x"] - g["a"]["x"]) / (g["b"]["y"] - g["a"]["y"])))
-    n = (F.size(xs) / 2).cast("int")
-    spans = F.transform(F.sequence(F.lit(1), n), lambda k: F.struct((F.try_element_at(xs, 2 * k - 1) - F.try_element_at(xs, 2 * k)).alias("w"), ((F.try_element_at(xs, 2 * k - 1) + F.try_element_at(xs, 2 * k)) / 2).alias("x")))
-    return F.when(contains(polygon, c) | (n < 1), c).otherwise(point(F.array_min(spans)["x"], c["y"]))
+    near = _closest_segment(line, p)
+    last = F.try_element_at(segments(line), near["i"] + 1)
+    return along(last["a"], last["b"], near["t"])
+
+
+def connectors(pairs: DataFrame, key: str = "pair_id") -> DataFrame:
+    """G-07: (key, d, p, q): the shortest connection of the lines a and b of each row (key, a, b), from a to b; of length 0 where segments of theirs cross."""
+    rows = pairs.select(key, F.explode(segments(F.col("a"))).alias("g"), "b").select(key, "g", F.explode(segments(F.col("b"))).alias("h"))
+    g, h = F.col("g"), F.col("h")
+    # each end against the other segment: the place on it and the distance
+    near = rows.select(key, "g", "h", _nearest_on(g, h["a"]).alias("n1"), _nearest_on(g, h["b"]).alias("n2"), _nearest_on(h, g["a"]).alias("n3"), _nearest_on(h, g["b"]).alias("n4"))
+    on = lambda s, n: along(s["a"], s["b"], F.col(f"{n}.t"))
+    link = lambda n, p, q: F.struct(F.col(f"{n}.d").alias("d"), p.alias("p"), q.alias("q"))
+    dx, dy, ex, ey = g["b"]["x"] - g["a"]["x"], g["b"]["y"] - g["a"]["y"], h["b"]["x"] - h["a"]["x"], h["b"]["y"] - h["a"]["y"]
+    cross = F.nullif(dx * ey - dy * ex, F.lit(0.0))
+    t = ((h["a"]["x"] - g["a"]["x"]) * ey - (h["a"]["y"] - g["a"]["y"]) * ex) / cross
+    u = ((h["a"]["x"] - g["a"]["x"]) * dy - (h["a"]["y"] - g["a"]["y"]) * dx) / cross
+    links = near.select(key, "g", "h", t.alias("t"), u.alias("u"), F.least(link("n1", on(g, "n1"), h["a"]), link("n2", on(g, "n2"), h["b"]), link("n3", g["a"], on(h, "n3")), link("n4", g["b"], on(h, "n4"))).alias("m"))
+    meet = along(g["a"], g["b"], F.col("t"))
+    best = F.when(F.col("t").between(0, 1) & F.col("u").between(0, 1), F.struct(F.lit(0.0).alias("d"), meet.alias("p"), meet.alias("q"))).otherwise(F.col("m"))
+    return links.groupBy(key).agg(F.min(best).alias("m")).select(key, "m.*")
+
+
+def label_points(polygons: DataFrame, key: str = "poly_id") -> DataFrame:
+    """G-29: (key, x, y): a point inside each polygon (key, rings): the centroid of its outer ring, or the middle of the widest stretch inside on the centroid's height."""
+    at = polygons.select(key, "rings", centroid(F.col("rings")[0]).alias("c"))
+    c = F.col("c")
+    over = F.filter(F.flatten(F.transform("rings", segments)), lambda g: (g["a"]["y"] > c["y"]) != (g["b"]["y"] > c["y"]))
+    cut = at.select(key, "c", over.alias("edges")).select(key, "c", F.array_sort(F.transform("edges", lambda g: g["a"]["x"] + (c["y"] - g["a"]["y"]) * (g["b"]["x"] - g["a"]["x"]) / (g["b"]["y"] - g["a"]["y"]))).alias("xs"))
+    xs = F.col("xs")
+    spans = F.transform(F.sequence(F.lit(1), (F.size(xs) / 2).cast("int")), lambda k: F.struct((F.element_at(xs, 2 * k - 1) - F.element_at(xs, 2 * k)).alias("w"), F.element_at(xs, 2 * k - 1).alias("a"), F.element_at(xs, 2 * k).alias("b")))
+    told = cut.withColumn("spans", F.when(F.size("xs") >= 2, spans)).withColumn("widest", F.array_min("spans"))
+    inside = F.coalesce(F.exists("spans", lambda s: (s["a"] < c["x"]) & (c["x"] < s["b"])), F.lit(True))
+    return told.select(key, F.when(inside, c["x"]).otherwise((F.col("widest.a") + F.col("widest.b")) / 2).alias("x"), c["y"].alias("y"))
 
 
 def furthest_kept(x, y, tolerance: float):
@@ -405,7 +412,7 @@ def furthest_kept(x, y, tolerance: float):
     return keep
 
 
-def simplify(lines, tolerance: float, key: str = "line_id"):
+def simplify(lines: DataFrame, tolerance: float, key: str = "line_id") -> DataFrame:
     """G-26: lines (key, line) simplified by Douglas-Peucker; the search is not a fold over the vertices, so Arrow batches go through numpy."""
     import pyarrow as pa
 

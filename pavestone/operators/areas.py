@@ -58,7 +58,7 @@ def merge_areas(mapped: DataFrame, derived: DataFrame) -> DataFrame:
     return mapped.withColumn("source", F.lit("mapped")).unionByName(derived.withColumn("source", F.lit("centerline")), allowMissingColumns=True)
 
 
-def parking_class(parking: DataFrame, overlaps: DataFrame, centres: DataFrame, roads: DataFrame, reach: float = 20.0) -> DataFrame:
+def parking_class(overlaps: DataFrame, centres: DataFrame, roads: DataFrame, reach: float = 20.0) -> DataFrame:
     """E-32: (parking_id, road_class, step): the class whose areas share most with a parking area, of its own layer where any do; else that of the nearest road.
 
     `overlaps` has (parking_id, road_class, hierarchy, area, same_layer), `centres` (l_id, lx, ly), `roads` points of roads (r_id, rx, ry, road_class).

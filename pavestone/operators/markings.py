@@ -132,18 +132,18 @@ def limit_to_lanes(stops: DataFrame, lanes: DataFrame, cell: float = 64.0, more:
     t = ((F.col("x1") - F.col("sx1")) * ly - (F.col("y1") - F.col("sy1")) * lx) / cross
     u = ((F.col("x1") - F.col("sx1")) * sy - (F.col("y1") - F.col("sy1")) * sx) / cross
     length = F.sqrt(sx * sx + sy * sy)
-    # the lane's left lies to the low end of the stop line where it comes from its right
-    rising = (sx * ly - sy * lx) < 0
+    # whether the lane's left lies to the high end of the stop line
+    left_high = (sx * ly - sy * lx) < 0
     met = s.join(l, "cell").withColumn("t", t).withColumn("u", u).where("t between 0 and 1 and u between 0 and 1")
     home = point_cell(F.least(F.greatest(F.col("sx1") + F.col("t") * sx, F.least("sx1", "sx2")), F.greatest("sx1", "sx2")), F.least(F.greatest(F.col("sy1") + F.col("t") * sy, F.least("sy1", "sy2")), F.greatest("sy1", "sy2")), cell)
-    met = met.where(F.col("cell") == home).select("stop_id", "direction", "lane_id", "lane_direction", (F.col("t") * length).alias("at"), length.alias("total"), rising.alias("rising"), (F.col("width") / 2 + F.col("buffer_left") + more).alias("left"), (F.col("width") / 2 + F.col("buffer_right") + more).alias("right"))
+    met = met.where(F.col("cell") == home).select("stop_id", "direction", "lane_id", "lane_direction", (F.col("t") * length).alias("at"), length.alias("total"), left_high.alias("left_high"), (F.col("width") / 2 + F.col("buffer_left") + more).alias("left"), (F.col("width") / 2 + F.col("buffer_right") + more).alias("right"))
     both = met.groupBy("stop_id").agg(F.countDistinct(F.when(F.col("lane_direction") == "both_ways", F.col("lane_id"))).alias("n_both"))
     ok = met.join(both, "stop_id").where("lane_direction = direction or (lane_direction = 'both_ways' and n_both = 1)")
     # a lane for both ways: traffic keeps right, so forward takes its right half
     shared = F.col("lane_direction") == "both_ways"
     left = F.when(shared & (F.col("direction") == "forward"), 0.0).otherwise(F.col("left"))
     right = F.when(shared & (F.col("direction") == "backward"), 0.0).otherwise(F.col("right"))
-    low, high = F.when(F.col("rising"), left).otherwise(right), F.when(F.col("rising"), right).otherwise(left)
+    low, high = F.when(F.col("left_high"), right).otherwise(left), F.when(F.col("left_high"), left).otherwise(right)
     return ok.groupBy("stop_id").agg(F.greatest(F.min(F.col("at") - low), F.lit(0.0)).alias("from_m"), F.least(F.max(F.col("at") + high), F.max("total")).alias("to_m"))
 
 
@@ -153,13 +153,13 @@ def outline_groups(edges: DataFrame, anchors: DataFrame, reach: float = 25.0) ->
     `edges` has (area_id, idx: from 1 along the outline, n, az: degrees), `anchors` (stop_id, area_id, idx).  Segments within `reach` of the
     anchor's azimuth form chains around the ring; the anchor's chain counts, and it goes if its mean is farther off than `reach`.
     """
-    ref = anchors.join(edges.select("area_id", "idx", F.col("az").alias("ref")), ["area_id", "idx"]).select("stop_id", "area_id", F.col("idx").alias("anchor"), "ref")
-    near = edges.join(ref, "area_id").where(G.angle_difference(F.col("az"), F.col("ref")) <= reach)
+    ref = anchors.join(edges.select("area_id", "idx", F.col("az").alias("own_az")), ["area_id", "idx"]).select("stop_id", "area_id", F.col("idx").alias("anchor"), "own_az")
+    near = edges.join(ref, "area_id").where(G.angle_difference(F.col("az"), F.col("own_az")) <= reach)
     chains = ring_chains(near.select("stop_id", "idx", "n"), "stop_id", "idx", "n")
     kept = anchored_chains(chains, ref.select("stop_id", F.col("anchor").alias("idx")), "stop_id", "idx").select("stop_id", "idx")
-    own = kept.join(near.select("stop_id", "area_id", "idx", "az", "ref"), ["stop_id", "idx"])
+    own = kept.join(near.select("stop_id", "area_id", "idx", "az", "own_az"), ["stop_id", "idx"])
     mean = circular_mean(own, "stop_id", "az", "idx")
-    return own.join(mean, "stop_id").where(G.angle_difference(F.col("angle"), F.col("ref")) <= reach).select("stop_id", "area_id", "idx")
+    return own.join(mean, "stop_id").where(G.angle_difference(F.col("angle"), F.col("own_az")) <= reach).select("stop_id", "area_id", "idx")
 
 
 def crossing_lines(nodes: DataFrame, paths: DataFrame, reach: float = 45.0, extension: float = 5.0, generic: float = 3.0) -> DataFrame:

@@ -13,9 +13,8 @@ from ..operators import linear as L
 from ..operators import network as R
 from ..operators import spatial as S
 from ..registry import query, table
-from .derived import _pick, _tags
 from .geometric import LINES, _ring, lines
-from .spatial import _CUTS, _MERGED, NODE, PLACE, cuts, nodes, places
+from .spatial import _MERGED, NODE, PLACE, cuts, nodes, places
 
 
 @query("g02_azimuth", f"WITH {LINES} SELECT line_id, i, round(sin(atan2(qx - ax, qy - ay)), 6) + 0.0 AS sine, round(cos(atan2(qx - ax, qy - ay)), 6) + 0.0 AS cosine FROM s WHERE d > 0")
@@ -38,20 +37,20 @@ def _u_shapes(spark, sf):
 
 @query("g07_closest_and_distance", f"WITH u AS ({_U}) SELECT k, 0.0::DOUBLE AS crossing, round(h * 1.0, 6) AS apart, round(w * 1.5, 6) AS x, round(h * 1.0, 6) AS y FROM u")
 def g07(spark, sf):
-    """A line through the arms crosses them; one in the notch above its floor is h apart; the closest point of the outline to a point in the notch's middle lies below it or at a side."""
+    """A line through the arms crosses them; one above the arms is h apart; the closest point of the notch's floor to one above its middle lies below that."""
     w, h = F.col("w"), F.col("h")
-    through = F.array(G.point(-w, 2 * h), G.point(5 * w, 2 * h))
-    above = F.array(G.point(w * 0, h * 4), G.point(w * 4, h * 4))
     floor = F.array(G.point(w, h), G.point(2 * w, h))
     p = G.closest_point(floor, G.point(1.5 * w, 2 * h))
     d = _u_shapes(spark, sf)
-    return d.select("k", G.connector(F.col("ring"), through)["d"].alias("crossing"), F.round(G.connector(F.col("ring"), above)["d"], 6).alias("apart"), F.round(p["x"], 6).alias("x"), F.round(p["y"], 6).alias("y"))
+    through = G.connectors(d.select("k", F.col("ring").alias("a"), F.array(G.point(-w, 2 * h), G.point(5 * w, 2 * h)).alias("b")), "k").select("k", F.col("d").alias("crossing"))
+    above = G.connectors(d.select("k", F.col("ring").alias("a"), F.array(G.point(w * 0, h * 4), G.point(w * 4, h * 4)).alias("b")), "k").select("k", F.round("d", 6).alias("apart"))
+    return d.select("k", F.round(p["x"], 6).alias("x"), F.round(p["y"], 6).alias("y")).join(through, "k").join(above, "k")
 
 
 @query("g29_label_point", f"WITH u AS ({_U}) SELECT k, round(w * 2.75, 6) AS x, round(h * 11.75 / 8.5, 6) AS y FROM u")
 def g29(spark, sf):
-    p = G.label_point(F.array("ring"))
-    return _u_shapes(spark, sf).select("k", F.round(p["x"], 6).alias("x"), F.round(p["y"], 6).alias("y"))
+    p = G.label_points(_u_shapes(spark, sf).select("k", F.array("ring").alias("rings")), "k")
+    return p.select("k", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
 @query("g26_simplify")
@@ -188,16 +187,9 @@ def f13(spark, sf):
 @query("f15_reattribute", "SELECT l_orderkey AS line, arg_min(l_partkey, (-l_quantity, l_partkey * 10 + l_linenumber)) AS part FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL) GROUP BY 1")
 def f15(spark, sf):
     l = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_partkey", "l_linenumber").agg(F.max("l_quantity").alias("len"))
-    l = l.withColumn("edge_id", F.concat_ws("/", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_linenumber")])).withColumn("rank", F.col("l_partkey") * 10 + F.col("l_linenumber"))
-    sources = l.select("edge_id", "len", F.col("l_partkey").alias("part"), "rank")
-    own = l.select("edge_id", F.col("l_orderkey").alias("line")).join(sources, "edge_id").withColumn("edge_id", F.col("rank"))
-    return D.reattribute(own.select("edge_id", "line").distinct().join(own.select("line", "edge_id", "len", "part").distinct(), ["line", "edge_id"]).select("edge_id", "line"), own.select("edge_id", "len", "part").distinct(), ["part"]) if False else _longest(own)
-
-
-def _longest(own):
-    """Edge ids repeat between lines here, so each line is told apart by its own key."""
-    key = F.concat_ws("/", F.col("line").cast("string"), F.lpad(F.col("edge_id").cast("string"), 12, "0"))
-    rows = own.withColumn("edge_id", key)
+    # ids of edges in the order that decides on ties, told apart by their line
+    edge = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.lpad((F.col("l_partkey") * 10 + F.col("l_linenumber")).cast("string"), 12, "0"))
+    rows = l.select(edge.alias("edge_id"), F.col("l_orderkey").alias("line"), "len", F.col("l_partkey").alias("part"))
     return D.reattribute(rows.select("edge_id", "line"), rows.select("edge_id", "len", "part"), ["part"])
 
 
