@@ -316,7 +316,7 @@ def spanning(pairs: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
 
 
 def _columns(group: pa.Table, *names: str) -> list[np.ndarray]:
-    return [group[c].combine_chunks().to_numpy() for c in names]
+    return [group[c].combine_chunks().to_numpy(zero_copy_only=False) for c in names]
 
 
 def _tokens(group: pa.Table) -> list[np.ndarray]:
