@@ -25,10 +25,14 @@ def winner_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], colu
 
 
 def weighted_median(df: DataFrame, key: str, value: str, weight: str, row_id: str) -> DataFrame:
-    """A-03: per key the first value, in order of (value, row id), whose running weight reaches half of all."""
-    w = Window.partitionBy(key).orderBy(value, row_id)
-    rows = df.where(F.col(value).isNotNull()).withColumn("_run", F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum(weight).over(Window.partitionBy(key)))
-    return rows.where(F.col("_run") * 2 >= F.col("_all")).groupBy(key).agg(F.min(F.struct(value, row_id)).alias("m")).select(key, F.col(f"m.{value}").alias(value))
+    """A-03: per key the first value, in order of (value, row id), whose running weight reaches half of all; weights are not negative.
+
+    Rows of equal values are summed first: a key of very many rows is then as long as its distinct values.
+    """
+    sums = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum(weight).alias("_w"))
+    w = Window.partitionBy(key).orderBy(value)
+    rows = sums.withColumn("_run", F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_w").over(Window.partitionBy(key)))
+    return rows.where(F.col("_run") * 2 >= F.col("_all")).groupBy(key).agg(F.min(value).alias(value))
 
 
 def vertex_degree(points: DataFrame) -> DataFrame:
@@ -78,7 +82,12 @@ def class_difference(pixels: DataFrame) -> DataFrame:
     """A-17: per class the medians of two colours (a_*, b_* channels), their difference, and its weight by the class's share."""
     from ..functions.tags import delta_e, lab
 
-    med = pixels.groupBy("class").agg(*[F.expr(f"percentile({p}_{c}, 0.5)").alias(f"{p}_{c}") for p in "ab" for c in "rgb"], F.count(F.lit(1)).alias("n"))
+    names = [f"{p}_{c}" for p in "ab" for c in "rgb"]
+    # channels have few values: counts of each come first, so no class is held in memory
+    each = pixels.select("class", F.explode(F.array(*[F.struct(F.lit(c).alias("channel"), F.col(c).cast("double").alias("v")) for c in names])).alias("e"))
+    counts = each.groupBy("class", "e.channel", "e.v").agg(F.count(F.lit(1)).alias("k"))
+    own = lambda c: F.expr(f"percentile(CASE WHEN channel = '{c}' THEN v END, 0.5, CASE WHEN channel = '{c}' THEN k ELSE 0 END)").alias(c)
+    med = counts.groupBy("class").agg(*[own(c) for c in names]).join(pixels.groupBy("class").agg(F.count(F.lit(1)).alias("n")), "class")
     total = F.sum("n").over(Window.partitionBy())
     d = delta_e(lab(F.col("a_r"), F.col("a_g"), F.col("a_b")), lab(F.col("b_r"), F.col("b_g"), F.col("b_b")))
     return med.select("class", "n", d.alias("delta_e"), (F.col("n") / total).alias("share")).withColumn("impact", F.col("delta_e") * F.col("share"))

@@ -44,14 +44,26 @@ def through_pairs(ends: DataFrame, tolerance: float = 25.0) -> DataFrame:
     at a node always pair; of more, those that are each other's best partner
     within `tolerance` of straight on (the smaller id on ties).
     """
-    n = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    l = ends.select("node", F.col("seg").alias("a"), F.col("degrees").alias("da")).join(n, "node")
-    r = ends.select("node", F.col("seg").alias("b"), F.col("degrees").alias("db"))
-    turn = F.pmod(F.col("da") - F.col("db") + 180.0, F.lit(360.0))
-    off = F.least(turn, 360.0 - turn)
-    pairs = l.join(r, "node").where("a <> b").withColumn("off", off)
-    two = pairs.where("n = 2 and a < b").select("node", "a", "b")
-    best = pairs.where((F.col("n") > 2) & (F.col("off") <= tolerance)).groupBy("node", "a").agg(F.min(F.struct("off", "b")).alias("m")).select("node", "a", F.col("m.b").alias("b"))
+    d = F.pmod(F.col("degrees").cast("double"), F.lit(360.0))
+    at = ends.select("node", "seg", d.alias("d"))
+    n = at.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b"))
+    two = n.where("n = 2 and a < b").select("node", "a", "b")
+    many = at.join(n.where("n > 2").select("node"), "node")
+    # around a node, the best partner of a segment is the direction before or after straight on: no pairs of all its segments are made
+    there = many.groupBy("node", "d").agg(F.min("seg").alias("b"))
+    around = Window.partitionBy("node")
+    edge = lambda f: f(F.struct(F.col("d"), F.col("b"))).over(around)
+    there = there.withColumn("low", edge(F.min)).withColumn("high", edge(F.max))
+    asks = many.select("node", F.pmod(F.col("d") + 180.0, F.lit(360.0)).alias("d"), F.col("seg").alias("a"))
+    rows = there.select("node", "d", F.struct("d", "b").alias("point"), "low", "high", F.lit(None).cast(dict(many.dtypes)["seg"]).alias("a"))
+    rows = rows.unionByName(asks, allowMissingColumns=True)
+    up = Window.partitionBy("node").orderBy("d").rangeBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("node").orderBy("d").rangeBetween(0, Window.unboundedFollowing)
+    told = rows.select("node", "d", "a", F.last("point", True).over(up).alias("before"), F.first("point", True).over(down).alias("after"), F.max("low").over(around).alias("low"), F.max("high").over(around).alias("high")).where("a is not null")
+    near = told.select("node", "a", "d", F.explode(F.array(F.coalesce("before", "high"), F.coalesce("after", "low"))).alias("p"))
+    turn = F.pmod(F.col("d") - F.col("p.d"), F.lit(360.0))
+    near = near.select("node", "a", F.col("p.b").alias("b"), F.least(turn, 360.0 - turn).alias("off")).where((F.col("off") <= tolerance) & (F.col("a") != F.col("b")))
+    best = near.groupBy("node", "a").agg(F.min(F.struct("off", "b")).alias("m")).select("node", "a", F.col("m.b").alias("b"))
     mutual = best.alias("p").join(best.select("node", F.col("a").alias("b"), F.col("b").alias("a")), ["node", "a", "b"]).where("a < b")
     return two.unionByName(mutual.select("node", "a", "b"))
 

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, or where it is unset (tests) a new local one."""
+    """The folder of spark.checkpoint.dir; where it is unset, a new local one in local mode (tests), and an error on a cluster, whose machines share no local folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="pavestone-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -52,10 +54,20 @@ def drop_written(*tables: DataFrame) -> None:
         remove(df.sparkSession, df.pavestone_path)
 
 
+def _forget(spark: SparkSession, table: str) -> None:
+    """Takes a table out of the catalog when the driver ends, if the session is still there."""
+    try:
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    except Exception:  # noqa: BLE001
+        pass
+
+
 def written_by_key(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
     """Like `written`, but dealt into buckets by `key`: grouping or joining by it moves none of these rows again."""
     spark = df.sparkSession
     table, path = f"pavestone_{name}_{uuid.uuid4().hex}", new_path(spark, name)
+    atexit.register(_forget, spark, table)
     df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
     out = spark.table(table)
     out.pavestone_table, out.pavestone_path = table, path
