@@ -113,24 +113,32 @@ def ranges_of(chunks: DataFrame) -> Ranges:
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
-    """Sorted keys as a first key and steps of 2, 4 or 8 bytes."""
+    """Sorted keys as a first key and steps of 1 to 8 bytes, of a width that nine in ten steps fit; what larger ones have above it is listed apart."""
     if not len(keys):
         return b"\0"
     steps = np.diff(keys)
-    most = int(steps.max()) if len(steps) else 0
-    code, kind = (2, np.uint16) if most < 1 << 16 else (4, np.uint32) if most < 1 << 32 else (8, np.uint64)
-    return bytes([code]) + int(keys[0]).to_bytes(8, "little") + steps.astype(kind).tobytes()
+    if not len(steps):
+        return bytes([1]) + int(keys[0]).to_bytes(8, "little") + bytes(4)
+    common = int(np.partition(steps, at := len(steps) * 9 // 10)[at])
+    size = max(1, -(-common.bit_length() // 8))
+    big = np.flatnonzero(steps >> np.uint64(8 * size)) if size < 8 else np.zeros(0, np.int64)
+    low = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T)
+    return b"".join([bytes([size]), int(keys[0]).to_bytes(8, "little"), len(big).to_bytes(4, "little"), big.astype("<u4").tobytes(), (steps[big] >> np.uint64(8 * size)).astype("<u8").tobytes() if size < 8 else b"", low.tobytes()])
 
 
 def unpack_sorted(block: bytes) -> np.ndarray:
     if block[0] == 0:
         return np.zeros(0, np.uint64)
-    steps = np.frombuffer(block, {2: np.uint16, 4: np.uint32, 8: np.uint64}[block[0]], offset=9)
-    out = np.empty(len(steps) + 1, np.uint64)
+    size, n_big = block[0], int.from_bytes(block[9:13], "little")
+    at = 13 + 12 * n_big
+    low = np.frombuffer(block, np.uint8, offset=at).reshape(size, -1)
+    out = np.zeros((low.shape[1] + 1, 8), np.uint8)
+    out[1:, :size] = low.T
+    out = out.view("<u8").reshape(-1)
+    if n_big:
+        out[np.frombuffer(block, "<u4", n_big, 13) + 1] += np.frombuffer(block, "<u8", n_big, 13 + 4 * n_big) << np.uint64(8 * size)
     out[0] = int.from_bytes(block[1:9], "little")
-    np.cumsum(steps, dtype=np.uint64, out=out[1:])
-    out[1:] += out[0]
-    return out
+    return np.cumsum(out, dtype=np.uint64)
 
 
 def pack_ints(x: np.ndarray) -> bytes:

@@ -370,9 +370,9 @@ def joined_in_rounds(sets: DataFrame, family: DataFrame, percent: int) -> DataFr
     """Edges (a, b) over the sids that connect what is linked inside the families (sid, family); sets: (sid, size, tokens)."""
     nodes = sets.join(family, "sid").select("sid", "family", "size", "tokens")
     counts = written(_blocks_of(sets.select("sid", "size").join(family, "sid"), ["family"], "blocks"), "counts")
-    many = counts.where("blocks > 1").select("family").withColumn("large", F.lit(True))
-    edges, step, large = None, 0, None
-    now = counts
+    many = written(counts.where("blocks > 1").select("family"), "many")
+    edges, step = None, 0
+    now, made = counts, [counts]
     while True:
         rows = nodes.join(now.select("family", "n", "blocks"), "family").select("sid", "family", "size", "tokens", "blocks", _part("blocks", step).alias("part"))
         got = written(rows.groupBy("family", "part").applyInArrow(_round_block(percent), ROUND), "round")
@@ -383,9 +383,11 @@ def joined_in_rounds(sets: DataFrame, family: DataFrame, percent: int) -> DataFr
         # families whose sets hardly link among each other gain nothing by another round
         after = after.join(now.select("family", "n"), "family").where("2 * n2 <= n").select("family", F.col("n2").alias("n"), F.col("blocks2").alias("blocks"))
         now, step = written(after, "counts"), step + 1
+        made += [got, now]
         if now.limit(1).count() == 0:
             break
     edges = written(edges, "forest")
+    drop_written(*made)
     large = written(family.join(many, "family").select("sid", "family"), "large")
     if large.limit(1).count() == 0:
         return edges
@@ -473,6 +475,8 @@ def similar_documents(docs: DataFrame, length: int = SHINGLE, percent: int = PER
     else:
         edges = joined_in_rounds(sets, family, percent)
     linked = written(connected_components(edges), "linked")
+    if not links:
+        drop_written(sets, family)
     able = rows.where("linkable").select("doc_id", "sid")
     classed = able.join(linked, able["sid"] == linked["node"], "left").select("doc_id", "sid", F.coalesce("component", "sid").alias("class"))
     smallest = written(classed.groupBy("class").agg(F.min("doc_id").alias("component_id")), "smallest")

@@ -147,6 +147,63 @@ def test_jaccard_join_counts_every_link(spark, docs, none, monkeypatch, block):
     assert sorted((r.doc_id or 0, r.n_links) for r in jaccard.similar_documents(copies).collect()) == [(0, 2), (1, 2), (1, 2), (2, 0), (3, 0)]
 
 
+@pytest.mark.parametrize("bits", [1, 8, 17, 33, 64])
+def test_packed_keys_come_back(bits):
+    import numpy as np
+
+    from pavestone.llm import chunks
+
+    r = np.random.default_rng(bits)
+    for n in (0, 1, 2, 3, 10, 1000, 5000):
+        keys = np.unique(r.integers(0, 1 << bits, n, np.uint64, endpoint=False) if bits < 64 else r.integers(0, (1 << 64) - 1, n, np.uint64, endpoint=True))
+        assert (chunks.unpack_sorted(chunks.pack_sorted(keys)) == keys).all() and len(chunks.unpack_sorted(chunks.pack_sorted(keys))) == len(keys)
+    edges = np.array([0, 5, 6, (1 << 64) - 1], np.uint64)
+    assert (chunks.unpack_sorted(chunks.pack_sorted(edges)) == edges).all()
+
+
+def test_joined_in_rounds_loses_no_component(spark, monkeypatch):
+    """Families with several components, of sets of different sizes, in blocks of 4: every component of the links is found."""
+    import numpy as np
+
+    from pavestone.operators.components import connected_components
+
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
+    r = random.Random(7)
+    sets, family = {}, {}
+    for f in range(4):
+        shared = [r.randrange(1 << 60) for _ in range(30)]
+        for kind in range(5):
+            base = shared + [r.randrange(1 << 60) for _ in range(10 + 8 * kind)]
+            for _ in range(1 if kind == 4 else 9):
+                own = {x if r.random() < 0.94 else r.randrange(1 << 60) for x in base} | {r.randrange(1 << 60) for _ in range(r.randrange(6))}
+                sets[len(sets) + 1] = np.array(sorted(own), np.uint64)
+                family[len(sets)] = f
+    df = spark.createDataFrame([(i, len(x), x.tobytes()) for i, x in sets.items()], "sid long, size long, tokens binary")
+    edges = jaccard.joined_in_rounds(df, spark.createDataFrame(list(family.items()), "sid long, family long"), 80)
+    got = {x.node: x.component for x in connected_components(edges).collect()}
+    label = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            n = len(np.intersect1d(sets[a], sets[b]))
+            if a < b and family[a] == family[b] and 180 * n >= 80 * (len(sets[a]) + len(sets[b])) and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {i: new if x == old else x for i, x in label.items()}
+    assert {i: got.get(i, i) for i in sets} == label and len(set(label.values())) > 12
+
+
+def test_skipped_blocks_hold_nothing_that_can_link():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for block in (1, 4, 32):
+        n = r.integers(1, 70, 20)
+        at = np.cumsum(n) - n
+        slack = np.concatenate([np.sort(r.integers(-50, 200, k)) for k in n])
+        least = r.integers(-80, 10, 20)
+        want = [i for i in range(n.sum()) if slack[i] + least[np.searchsorted(at, i, "right") - 1] <= 0]
+        assert jaccard.open_entries(at, slack, least, block).tolist() == want
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "a b c d e f g"), (None, None), (7, "a b c d e f g")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
