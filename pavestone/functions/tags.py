@@ -136,7 +136,8 @@ def conditional_has(x: Column, value: str) -> Column:
 
 def joined(labels: list[tuple[str, Column]]) -> Column:
     """The labels whose condition holds, in order, joined by semicolons; null if none does."""
-    return F.nullif(F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in labels])), ";"), F.lit(""))
+    # concat_ws passes over nulls, and stays inside generated code, which functions with a lambda leave
+    return F.nullif(F.concat_ws(";", *[F.when(c, F.lit(k)) for k, c in labels]), F.lit(""))
 
 
 def road_width(tags: Column) -> Column:

@@ -10,7 +10,7 @@ from ..functions.tags import shade_length
 from . import linear as L
 from .aggregates import dominant, winner_row
 from .overlay import line_in_polygon
-from .spatial import match_cascade, nearest_within, overlap_area, point_cell, segment_cells
+from .spatial import CELL, along_cells, home_cell, in_cells, match_cascade, nearest_within, overlap_area
 from .windows import cyclic_lag, runs
 
 
@@ -89,13 +89,11 @@ def inset_points(points: DataFrame, walls: DataFrame, inset: float = 2.0, reach:
     n = F.sqrt(dx * dx + dy * dy)
     nx, ny = -dy / n * inset, dx / n * inset
     w = walls.where("x1 <> x2 or y1 <> y2").select("wall_id", (F.col("x1") + nx).alias("x1"), (F.col("y1") + ny).alias("y1"), (F.col("x2") + nx).alias("x2"), (F.col("y2") + ny).alias("y2"))
-    w = w.withColumn("cell", F.explode(segment_cells(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), cell)))
+    w = along_cells(w, "x1", "y1", "x2", "y2", cell)
     # the closest place of a wall lies in a cell that it runs through, so a point looks into all cells within its reach
-    from .spatial import box_cells
-
-    p = points.withColumn("cell", F.explode(box_cells(F.col("x") - reach, F.col("y") - reach, F.col("x") + reach, F.col("y") + reach, cell)))
+    p = in_cells(points, F.col("x") - reach, F.col("y") - reach, F.col("x") + reach, F.col("y") + reach, cell)
     bar = F.struct(G.point(F.col("x1"), F.col("y1")).alias("a"), G.point(F.col("x2"), F.col("y2")).alias("b"))
-    near = p.join(w, "cell").withColumn("_n", G._nearest_on(bar, G.point(F.col("x"), F.col("y")))).where(F.col("_n.d") <= reach)
+    near = p.join(w, CELL).withColumn("_n", G._nearest_on(bar, G.point(F.col("x"), F.col("y")))).where(F.col("_n.d") <= reach)
     best = near.groupBy("point_id").agg(F.min(F.struct(F.col("_n.d").alias("d"), "wall_id", G.along(bar["a"], bar["b"], F.col("_n.t")).alias("p"))).alias("m"))
     return points.join(best, "point_id", "left").select("point_id", F.coalesce("m.p.x", "x").alias("x"), F.coalesce("m.p.y", "y").alias("y"), F.col("m").isNotNull().alias("moved"))
 
@@ -103,16 +101,17 @@ def inset_points(points: DataFrame, walls: DataFrame, inset: float = 2.0, reach:
 def crossing_segments(a: DataFrame, b: DataFrame, cell: float = 64.0) -> DataFrame:
     """(a_id, b_id, x, y) where segments (a_id, x1, y1, x2, y2) and (b_id, ...) cross; each crossing counts in its own cell."""
     cols = ("x1", "y1", "x2", "y2")
-    l = a.select("a_id", *[F.col(c).alias(f"a{c}") for c in cols]).withColumn("cell", F.explode(segment_cells(F.col("ax1"), F.col("ay1"), F.col("ax2"), F.col("ay2"), cell)))
-    r = b.select("b_id", *[F.col(c).alias(f"b{c}") for c in cols]).withColumn("cell", F.explode(segment_cells(F.col("bx1"), F.col("by1"), F.col("bx2"), F.col("by2"), cell)))
+    l = a.select("a_id", *[F.col(c).alias(f"a{c}") for c in cols])
+    r = b.select("b_id", *[F.col(c).alias(f"b{c}") for c in cols])
+    l, r = along_cells(l, "ax1", "ay1", "ax2", "ay2", cell), along_cells(r, "bx1", "by1", "bx2", "by2", cell)
     dx, dy, ex, ey = F.col("ax2") - F.col("ax1"), F.col("ay2") - F.col("ay1"), F.col("bx2") - F.col("bx1"), F.col("by2") - F.col("by1")
     cross = F.nullif(dx * ey - dy * ex, F.lit(0.0))
     t = ((F.col("bx1") - F.col("ax1")) * ey - (F.col("by1") - F.col("ay1")) * ex) / cross
     u = ((F.col("bx1") - F.col("ax1")) * dy - (F.col("by1") - F.col("ay1")) * dx) / cross
-    met = l.join(r, "cell").withColumn("t", t).withColumn("u", u).where("t between 0 and 1 and u between 0 and 1")
+    met = l.join(r, CELL).withColumn("t", t).withColumn("u", u).where("t between 0 and 1 and u between 0 and 1")
     clamp = lambda v, *c: F.least(F.greatest(v, *[F.least(f"{s}{c[0]}", f"{s}{c[1]}") for s in "ab"]), *[F.greatest(f"{s}{c[0]}", f"{s}{c[1]}") for s in "ab"])
     x, y = clamp(F.col("ax1") + F.col("t") * dx, "x1", "x2"), clamp(F.col("ay1") + F.col("t") * dy, "y1", "y2")
-    return met.where(F.col("cell") == point_cell(x, y, cell)).select("a_id", "b_id", x.alias("x"), y.alias("y"))
+    return met.where(home_cell(x, y, cell)).select("a_id", "b_id", x.alias("x"), y.alias("y"))
 
 
 def bridge_ends(outlines: DataFrame, ways: DataFrame, turn: float = 30.0) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +134,7 @@ def parking_conditions(df: DataFrame) -> DataFrame:
     closed_to = {m: F.coalesce(c(f"m_{m}") == "no", F.lit(False)) | conditional_has(c(f"c_{m}"), "no") for m in MODES}
     flags = df.select("*", *looked, *modes).select(
         *df.columns, *[c(k) for k in CONDITION_KEYS], (~c("zone").isin(NOTHING)).alias("_zoned"), says("fee", "yes").alias("_paid"), says("access", "no").alias("_closed"),
-        F.array_compact(F.array(*[F.when(plain[m], F.lit(m)) for m in MODES])).alias("_reserved"),
+        *[plain[m].alias(f"_p_{m}") for m in MODES],
         joined([(m, plain[m] | sometimes[m]) for m in MODES]).alias("vehicle_designated"), joined([(m, closed_to[m]) for m in MODES]).alias("vehicle_excluded"),
     )
     zoned, paid = F.col("_zoned"), F.col("_paid")
@@ -142,8 +144,8 @@ def parking_conditions(df: DataFrame) -> DataFrame:
         ("paid", paid & c("access").isin(PUBLIC)),
         ("free", says("fee", "no") & c("maxstay").isin(NOTHING) & ~zoned),
     ]])
-    held = lambda m: F.array_contains("_reserved", m)
-    vehicle = F.when(F.col("_closed") & (F.size("_reserved") > 0), F.coalesce(*[F.when(held(m), F.lit(m)) for m in ("disabled", "taxi", "car_sharing")], F.lit("vehicle_restriction")))
+    held = lambda m: F.col(f"_p_{m}")
+    vehicle = F.when(F.col("_closed") & reduce(or_, map(held, MODES)), F.coalesce(*[F.when(held(m), F.lit(m)) for m in ("disabled", "taxi", "car_sharing")], F.lit("vehicle_restriction")))
     uses = [("loading", says("restriction", "loading_only")), ("charging", says("restriction", "charging_only")), ("time_limited", ~c("maxstay").isin(NOTHING) | (c("maxstay:conditional") != ""))]
     stops = [(k, says("restriction", k)) for k in ("no_parking", "no_standing", "no_stopping")]
     told = flags.withColumn("_who", F.concat_ws(";", payment, joined(uses), vehicle))

@@ -219,12 +219,11 @@ def end_offset(ends: DataFrame, stops: DataFrame, touching: DataFrame, near: flo
     Stop lines count that come within `near` of the end, or that the line or one of its way touches (line_id, stop_id) if not farther than `far`.
     Left of the bar is positive; bars for the opposite direction are turned.
     """
-    from .spatial import box_cells, point_cell
+    from .spatial import CELL, at_cell, in_cells
 
     l, r = F.least, F.greatest
-    at = ends.withColumn("cell", point_cell(F.col("x"), F.col("y"), far))
-    bars = stops.withColumn("cell", F.explode(box_cells(l("x1", "x2") - near, l("y1", "y2") - near, r("x1", "x2") + near, r("y1", "y2") + near, far)))
-    close = at.join(bars, "cell").drop("cell")
+    bars = in_cells(stops, l("x1", "x2") - near, l("y1", "y2") - near, r("x1", "x2") + near, r("y1", "y2") + near, far)
+    close = at_cell(ends, F.col("x"), F.col("y"), far).join(bars, CELL).drop(*CELL)
     joined = close.unionByName(ends.join(touching, "line_id").join(stops, "stop_id").select(close.columns))
     bar = F.struct(G.point(F.col("x1"), F.col("y1")).alias("a"), G.point(F.col("x2"), F.col("y2")).alias("b"))
     told = joined.withColumn("d", G._nearest_on(bar, G.point(F.col("x"), F.col("y")))["d"])
@@ -270,12 +269,12 @@ def line_to_symbol(lines: DataFrame) -> DataFrame:
 
 def to_node(polygons: DataFrame, nodes: DataFrame, largest: float = 50.0, cell: float = 16.0) -> DataFrame:
     """E-14: small polygons (l_id, ring) that hold no node (r_id, rx, ry) as their centroids."""
-    from .spatial import box_cells, point_cell
+    from .spatial import CELL, at_cell, in_cells
 
     small = polygons.select("l_id", "ring", G.area(F.col("ring")).alias("area")).where(F.col("area") < largest)
     e = G.envelope(F.col("ring"))
-    cells = small.withColumn("cell", F.explode(box_cells(e["xmin"], e["ymin"], e["xmax"], e["ymax"], cell)))
-    held = cells.join(nodes.withColumn("cell", point_cell(F.col("rx"), F.col("ry"), cell)), "cell").where(G.contains(F.array("ring"), G.point(F.col("rx"), F.col("ry")))).select("l_id")
+    cells = in_cells(small, e["xmin"], e["ymin"], e["xmax"], e["ymax"], cell)
+    held = cells.join(at_cell(nodes, F.col("rx"), F.col("ry"), cell), CELL).where(G.contains(F.array("ring"), G.point(F.col("rx"), F.col("ry")))).select("l_id")
     c = G.centroid(F.col("ring"))
     return small.join(held, "l_id", "left_anti").select("l_id", c["x"].alias("x"), c["y"].alias("y"))
 

@@ -132,7 +132,7 @@ def disc_intervals(lines: DataFrame, discs: DataFrame, key: str = "line_id", cel
     cells, of a size for each class of radii; a pair counts in the cell of the segment's point closest to
     the disc's centre, so it comes once.  The roots of the distance along the segment bound the interval.
     """
-    from .spatial import box_cells, point_cell, segment_cells
+    from .spatial import CELL, along_cells, home_cell, in_cells
 
     r = F.col("radius")
     # classes double in size: a disc covers few cells of its own class, and there are few classes
@@ -142,16 +142,15 @@ def disc_intervals(lines: DataFrame, discs: DataFrame, key: str = "line_id", cel
     out = None
     for k in classes:
         size = cell * 2.0**k
-        seg = lines.withColumn("cell", F.explode(segment_cells(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), size)))
-        disc = sized.where(F.col("class") == k).drop("class").withColumn("cell", F.explode(box_cells(F.col("x") - r, F.col("y") - r, F.col("x") + r, F.col("y") + r, size)))
+        seg = along_cells(lines.select(key, "x1", "y1", "x2", "y2", "at"), "x1", "y1", "x2", "y2", size)
+        disc = in_cells(sized.where(F.col("class") == k).select("disc_id", "x", "y", "radius"), F.col("x") - r, F.col("y") - r, F.col("x") + r, F.col("y") + r, size)
         dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
         fx, fy = F.col("x1") - F.col("x"), F.col("y1") - F.col("y")
         qa, qb, qc = dx * dx + dy * dy, 2 * (fx * dx + fy * dy), fx * fx + fy * fy - r * r
-        pair = seg.join(disc, "cell").select(key, "disc_id", "at", "x1", "y1", "x2", "y2", "cell", qa.alias("qa"), qb.alias("qb"), (qb * qb - 4 * qa * qc).alias("disc2")).where("qa > 0 and disc2 > 0")
+        pair = seg.join(disc, CELL).select(key, "disc_id", "at", "x1", "y1", "x2", "y2", *CELL, qa.alias("qa"), qb.alias("qb"), (qb * qb - 4 * qa * qc).alias("disc2")).where("qa > 0 and disc2 > 0")
         t = F.least(F.greatest(-F.col("qb") / (2 * F.col("qa")), F.lit(0.0)), F.lit(1.0))
         inside = lambda v, a, b: F.least(F.greatest(v, F.least(a, b)), F.greatest(a, b))
-        home = point_cell(inside(F.col("x1") + t * dx, F.col("x1"), F.col("x2")), inside(F.col("y1") + t * dy, F.col("y1"), F.col("y2")), size)
-        pair = pair.where(F.col("cell") == home)
+        pair = pair.where(home_cell(inside(F.col("x1") + t * dx, F.col("x1"), F.col("x2")), inside(F.col("y1") + t * dy, F.col("y1"), F.col("y2")), size))
         t0 = F.greatest((-F.col("qb") - F.sqrt("disc2")) / (2 * F.col("qa")), F.lit(0.0))
         t1 = F.least((-F.col("qb") + F.sqrt("disc2")) / (2 * F.col("qa")), F.lit(1.0))
         got = pair.select(key, "disc_id", (F.col("at") + t0 * F.sqrt("qa")).alias("from_m"), (F.col("at") + t1 * F.sqrt("qa")).alias("to_m")).where("to_m > from_m")

@@ -14,7 +14,7 @@ from . import linear as L
 from .aggregates import circular_mean, similar_or_overlapping
 from .generate import zebra_stripes
 from .overlay import line_in_polygon, touching_intervals
-from .spatial import overlap_area, point_cell, segment_cells
+from .spatial import CELL, along_cells, home_cell, overlap_area
 from .windows import anchored_chains, ring_chains
 
 # fixed values: stroke widths in metres
@@ -124,8 +124,9 @@ def limit_to_lanes(stops: DataFrame, lanes: DataFrame, cell: float = 64.0, more:
     `lanes` has segments (lane_id, type, direction, width, buffer_left, buffer_right, x1, y1, x2, y2).  A lane takes the stretch of the
     stop line around the place where it crosses; of a lane for both ways, where it is the only one, only the half on the approaching side.
     """
-    s = stops.select("stop_id", "direction", *[F.col(c).alias(f"s{c}") for c in ("x1", "y1", "x2", "y2")], F.explode(segment_cells(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), cell)).alias("cell"))
-    l = lanes.where("type is null or type <> 'parking'").select("lane_id", F.col("direction").alias("lane_direction"), "width", "buffer_left", "buffer_right", "x1", "y1", "x2", "y2", F.explode(segment_cells(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), cell)).alias("cell"))
+    s = along_cells(stops.select("stop_id", "direction", *[F.col(c).alias(f"s{c}") for c in ("x1", "y1", "x2", "y2")]), "sx1", "sy1", "sx2", "sy2", cell)
+    l = lanes.where("type is null or type <> 'parking'").select("lane_id", F.col("direction").alias("lane_direction"), "width", "buffer_left", "buffer_right", "x1", "y1", "x2", "y2")
+    l = along_cells(l, "x1", "y1", "x2", "y2", cell)
     sx, sy = F.col("sx2") - F.col("sx1"), F.col("sy2") - F.col("sy1")
     lx, ly = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     cross = F.nullif(sx * ly - sy * lx, F.lit(0.0))
@@ -134,9 +135,9 @@ def limit_to_lanes(stops: DataFrame, lanes: DataFrame, cell: float = 64.0, more:
     length = F.sqrt(sx * sx + sy * sy)
     # whether the lane's left lies to the high end of the stop line
     left_high = (sx * ly - sy * lx) < 0
-    met = s.join(l, "cell").withColumn("t", t).withColumn("u", u).where("t between 0 and 1 and u between 0 and 1")
-    home = point_cell(F.least(F.greatest(F.col("sx1") + F.col("t") * sx, F.least("sx1", "sx2")), F.greatest("sx1", "sx2")), F.least(F.greatest(F.col("sy1") + F.col("t") * sy, F.least("sy1", "sy2")), F.greatest("sy1", "sy2")), cell)
-    met = met.where(F.col("cell") == home).select("stop_id", "direction", "lane_id", "lane_direction", (F.col("t") * length).alias("at"), length.alias("total"), left_high.alias("left_high"), (F.col("width") / 2 + F.col("buffer_left") + more).alias("left"), (F.col("width") / 2 + F.col("buffer_right") + more).alias("right"))
+    met = s.join(l, CELL).withColumn("t", t).withColumn("u", u).where("t between 0 and 1 and u between 0 and 1")
+    home = home_cell(F.least(F.greatest(F.col("sx1") + F.col("t") * sx, F.least("sx1", "sx2")), F.greatest("sx1", "sx2")), F.least(F.greatest(F.col("sy1") + F.col("t") * sy, F.least("sy1", "sy2")), F.greatest("sy1", "sy2")), cell)
+    met = met.where(home).select("stop_id", "direction", "lane_id", "lane_direction", (F.col("t") * length).alias("at"), length.alias("total"), left_high.alias("left_high"), (F.col("width") / 2 + F.col("buffer_left") + more).alias("left"), (F.col("width") / 2 + F.col("buffer_right") + more).alias("right"))
     both = met.groupBy("stop_id").agg(F.countDistinct(F.when(F.col("lane_direction") == "both_ways", F.col("lane_id"))).alias("n_both"))
     ok = met.join(both, "stop_id").where("lane_direction = direction or (lane_direction = 'both_ways' and n_both = 1)")
     # a lane for both ways: traffic keeps right, so forward takes its right half

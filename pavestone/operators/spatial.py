@@ -9,31 +9,41 @@ from pyspark.sql.window import Window
 from ..storage import written
 
 
-def box_cells(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float) -> Column:
-    """The grid cells that a box touches, as an array of (cx, cy)."""
-    lo = lambda v: F.floor(v / size).cast("long")
-    xs, ys = F.sequence(lo(xmin), lo(xmax)), F.sequence(lo(ymin), lo(ymax))
-    return F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda b: F.struct(a.alias("cx"), b.alias("cy")))))
+def _cell(v: Column, size: float) -> Column:
+    return F.floor(v / size).cast("long")
 
 
-def point_cell(x: Column, y: Column, size: float) -> Column:
-    return F.struct(F.floor(x / size).cast("long").alias("cx"), F.floor(y / size).cast("long").alias("cy"))
+def in_cells(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> DataFrame:
+    """A row for each grid cell (cx, cy) that a box touches; two plain explodes stay inside generated code."""
+    rows = df.select("*", F.explode(F.sequence(_cell(x0, size), _cell(x1, size))).alias("cx"))
+    return rows.select("*", F.explode(F.sequence(_cell(y0, size), _cell(y1, size))).alias("cy"))
 
 
-def segment_cells(x1: Column, y1: Column, x2: Column, y2: Column, size: float) -> Column:
-    """The grid cells that a segment runs through, column by column: about as many as its length has cells, however it lies."""
-    lo = lambda v: F.floor(v / size).cast("long")
-    slope = F.when(x1 == x2, F.lit(0.0)).otherwise((y2 - y1) / (x2 - x1))
-    left, right, low, high = F.least(x1, x2), F.greatest(x1, x2), F.least(y1, y2), F.greatest(y1, y2)
+def along_cells(df: DataFrame, x1: str, y1: str, x2: str, y2: str, size: float) -> DataFrame:
+    """A row for each grid cell (cx, cy) that a segment (columns) runs through, column by column: about as many as its length has cells, however it lies."""
+    ax, ay, bx, by = (F.col(c) for c in (x1, y1, x2, y2))
+    left, right, low, high = F.least(ax, bx), F.greatest(ax, bx), F.least(ay, by), F.greatest(ay, by)
+    rows = df.select("*", F.explode(F.sequence(_cell(left, size), _cell(right, size))).alias("cx"))
+    upright = ax == bx
+    slope = F.when(upright, 0.0).otherwise((by - ay) / (bx - ax))
+    u, v = F.greatest(left, F.col("cx") * F.lit(size)), F.least(right, (F.col("cx") + 1) * F.lit(size))
+    rows = rows.withColumn("_u", ay + (u - ax) * slope).withColumn("_v", ay + (v - ax) * slope)
+    # rounding must not lose a cell that only a corner is in
+    from_, to = F.when(upright, low).otherwise(F.least("_u", "_v")) - size * 1e-6, F.when(upright, high).otherwise(F.greatest("_u", "_v")) + size * 1e-6
+    return rows.withColumn("cy", F.explode(F.sequence(_cell(from_, size), _cell(to, size)))).drop("_u", "_v")
 
-    def column(a: Column) -> Column:
-        u, v = F.greatest(left, a * F.lit(size)), F.least(right, (a + 1) * F.lit(size))
-        at = lambda x: F.when(x1 == x2, y1).otherwise(y1 + (x - x1) * slope)
-        # rounding must not lose a cell that only a corner is in
-        p, q = F.when(x1 == x2, low).otherwise(F.least(at(u), at(v))) - size * 1e-6, F.when(x1 == x2, high).otherwise(F.greatest(at(u), at(v))) + size * 1e-6
-        return F.transform(F.sequence(lo(p), lo(q)), lambda b: F.struct(a.alias("cx"), b.alias("cy")))
 
-    return F.flatten(F.transform(F.sequence(lo(left), lo(right)), column))
+def at_cell(df: DataFrame, x: Column, y: Column, size: float) -> DataFrame:
+    """Adds the grid cell (cx, cy) of a point."""
+    return df.select("*", _cell(x, size).alias("cx"), _cell(y, size).alias("cy"))
+
+
+def home_cell(x: Column, y: Column, size: float) -> Column:
+    """Whether a row's cell is that of a point: a pair that meets in several cells is kept in one."""
+    return (F.col("cx") == _cell(x, size)) & (F.col("cy") == _cell(y, size))
+
+
+CELL = ["cx", "cy"]
 
 
 def points_within(left: DataFrame, right: DataFrame, distance: float) -> DataFrame:
@@ -42,11 +52,10 @@ def points_within(left: DataFrame, right: DataFrame, distance: float) -> DataFra
     Cells are as wide as the distance; the right point stands in its own cell and the left
     one in the nine around it, so a pair meets in one cell only.
     """
-    around = box_cells(F.col("lx") - distance, F.col("ly") - distance, F.col("lx") + distance, F.col("ly") + distance, distance)
-    l = left.withColumn("cell", F.explode(around))
-    r = right.withColumn("cell", point_cell(F.col("rx"), F.col("ry"), distance))
+    x, y = F.col("lx"), F.col("ly")
+    l, r = in_cells(left, x - distance, y - distance, x + distance, y + distance, distance), at_cell(right, F.col("rx"), F.col("ry"), distance)
     d = F.sqrt(F.pow(F.col("lx") - F.col("rx"), 2) + F.pow(F.col("ly") - F.col("ry"), 2))
-    return l.join(r, "cell").drop("cell").withColumn("d", d).where(F.col("d") <= distance)
+    return l.join(r, CELL).drop(*CELL).withColumn("d", d).where(F.col("d") <= distance)
 
 
 def nearest_within(left: DataFrame, right: DataFrame, distance: float) -> DataFrame:
@@ -87,13 +96,12 @@ def box_pairs(left: DataFrame, right: DataFrame, size: float, grow: float = 0.0)
 
     A pair is kept in the cell of the low corner of its common box, so it comes once.
     """
-    l = left.withColumn("cell", F.explode(box_cells(F.col("lx0") - grow, F.col("ly0") - grow, F.col("lx1") + grow, F.col("ly1") + grow, size)))
-    r = right.withColumn("cell", F.explode(box_cells(F.col("rx0"), F.col("ry0"), F.col("rx1"), F.col("ry1"), size)))
-    both = l.join(r, "cell").where(
+    l = in_cells(left, F.col("lx0") - grow, F.col("ly0") - grow, F.col("lx1") + grow, F.col("ly1") + grow, size)
+    r = in_cells(right, F.col("rx0"), F.col("ry0"), F.col("rx1"), F.col("ry1"), size)
+    both = l.join(r, CELL).where(
         (F.col("lx0") - grow <= F.col("rx1")) & (F.col("rx0") <= F.col("lx1") + grow) & (F.col("ly0") - grow <= F.col("ry1")) & (F.col("ry0") <= F.col("ly1") + grow)
     )
-    home = point_cell(F.greatest(F.col("lx0") - grow, F.col("rx0")), F.greatest(F.col("ly0") - grow, F.col("ry0")), size)
-    return both.where(F.col("cell") == home).drop("cell")
+    return both.where(home_cell(F.greatest(F.col("lx0") - grow, F.col("rx0")), F.greatest(F.col("ly0") - grow, F.col("ry0")), size)).drop(*CELL)
 
 
 def circle_pairs(circles: DataFrame, most_radius: float) -> DataFrame:
