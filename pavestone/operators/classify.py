@@ -126,13 +126,15 @@ def parking_conditions(df: DataFrame) -> DataFrame:
     own = lambda k: side_tag(t, "parking", side, k)
     empty = F.lit("")
     looked = [F.coalesce(own(k), *([t["motor_vehicle"], t["vehicle"], t["access"]] if k == "access" else []), empty).alias(f"_{k}") for k in CONDITION_KEYS]
-    modes = [c for m in MODES for c in (own(m).alias(f"_m_{m}"), own(f"restriction:{m}").alias(f"_r_{m}"), own(f"{m}:conditional").alias(f"_c_{m}"))]
+    # a look-up walks over a row's keys, so modes that none of them names are not looked up
+    named = lambda m, key: F.when(F.col("_keys").contains(m), own(key))
+    modes = [c for m in MODES for c in (named(m, m).alias(f"_m_{m}"), named(m, f"restriction:{m}").alias(f"_r_{m}"), named(m, f"{m}:conditional").alias(f"_c_{m}"))]
     c = lambda k: F.col(f"`_{k}`")
     says = lambda k, v: (c(k) == v) | conditional_has(c(f"{k}:conditional"), v)
     plain = {m: F.coalesce(c(f"m_{m}").isin("yes", "designated") | (c(f"r_{m}") == "none"), F.coalesce(c(f"r_{m}") == "none", F.lit(False))) for m in MODES}
     sometimes = {m: conditional_has(c(f"c_{m}"), "yes") | conditional_has(c(f"c_{m}"), "designated") for m in MODES}
     closed_to = {m: F.coalesce(c(f"m_{m}") == "no", F.lit(False)) | conditional_has(c(f"c_{m}"), "no") for m in MODES}
-    flags = df.select("*", *looked, *modes).select(
+    flags = df.select("*", F.concat_ws("|", F.map_keys(t)).alias("_keys")).select("*", *looked, *modes).select(
         *df.columns, *[c(k) for k in CONDITION_KEYS], (~c("zone").isin(NOTHING)).alias("_zoned"), says("fee", "yes").alias("_paid"), says("access", "no").alias("_closed"),
         *[plain[m].alias(f"_p_{m}") for m in MODES],
         joined([(m, plain[m] | sometimes[m]) for m in MODES]).alias("vehicle_designated"), joined([(m, closed_to[m]) for m in MODES]).alias("vehicle_excluded"),
