@@ -22,7 +22,9 @@ from .common import batches, by_place, only, places_of
 from .textkit import Words, window_hashes
 
 #: n-gram length -> largest share (in percent) of a text's word characters that may lie in repeated n-grams.
-NGRAM_LIMITS = {5: 60, 6: 56, 7: 52, 8: 48, 9: 44, 10: 40}
+#: The base rule bounds the words in repeated 8-grams by 30, so those of 8 to 10 words lie at it and below, and
+#: above what clean texts reach (a repeated header line gives a short one about 20).
+NGRAM_LIMITS = {5: 60, 6: 56, 7: 52, 8: 30, 9: 28, 10: 26}
 #: Largest share (in percent) of word characters in lines equal to an earlier line.
 LINE_LIMIT = 30
 MIN_WORDS = 20
