@@ -33,19 +33,23 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Column, ties: Sequence[Col
 
     A key may hold any share of the rows: its rows are dealt into 2**cell_bits
     cells by the leading bits of `order`, counted (with partial sums before the
-    shuffle), and numbered within a cell, so that no task sees a whole key.
+    shuffle), and numbered within a cell, so that no task sees a whole key.  Rows equal in all columns are
+    one row with a count until they have their ranks, so no number of copies makes a cell large.
     """
+    once = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     cell = F.shiftrightunsigned("_order", 64 - cell_bits) if cell_bits else F.lit(0).cast("long")  # a shift by 64 would do nothing
-    cells = df.withColumn("_order", order).withColumn("_cell", cell)
-    counts = cells.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    cells = once.withColumn("_order", order).withColumn("_cell", cell)
+    counts = cells.groupBy(*keys, "_cell").agg(F.sum("_copies").alias("_n"))
     before = counts.select(*keys, "_cell", (F.sum("_n").over(Window.partitionBy(*keys).orderBy("_cell")) - F.col("_n")).alias("_before"))
     # signed order of a cell's rows is their unsigned order: the leading bits are equal
-    inner = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy("_order", *ties)) - 1
+    upto = F.sum("_copies").over(Window.partitionBy(*keys, "_cell").orderBy("_order", *ties).rowsBetween(Window.unboundedPreceding, 0))
     same = F.lit(True)
-    left, right = cells.withColumn("_inner", inner).alias("l"), before.alias("r")
+    left, right = cells.withColumn("_first", upto - F.col("_copies")).alias("l"), before.alias("r")
     for k in [*keys, "_cell"]:
         same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    return left.join(right, same).select("l.*", (F.col("r._before") + F.col("l._inner")).cast("long").alias(name)).drop("_order", "_cell", "_inner")
+    placed = left.join(right, same).select("l.*", (F.col("r._before") + F.col("l._first")).cast("long").alias("_rank"))
+    each = placed.select(*df.columns, "_rank", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_k"))
+    return each.select(*df.columns, (F.col("_rank") + F.col("_k")).alias(name))
 
 
 def batches(it: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:

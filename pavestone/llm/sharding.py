@@ -2,7 +2,7 @@
 
 A key starts at the first virtual node clockwise of its place on the ring.  In
 each round all keys that wait at a node ask its shard for room; a shard that
-fills up accepts a prefix of them (nodes in ring order, keys in hash order) and
+fills up accepts a prefix of them (nodes in ring order, rows in hash order) and
 the others move on to the next node clockwise.  The loads of the shards are bounded by
 quotas that add up to the number of rows, so counts differ by at most one (law
 `rows`).  Keys at one node ask the same shards in the same order, so only the
@@ -42,6 +42,11 @@ def place_of_key() -> Column:
     return F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
 
 
+def rank_of_row() -> Column:
+    """The order of rows at a node: by all that tells them apart, as a doc_id (null, say) may stand on very many."""
+    return F.xxhash64("doc_id", "size", "text_crc32", F.lit("rank"))
+
+
 def with_node(df: DataFrame, points: Sequence[tuple[int, int]]) -> DataFrame:
     """Adds `node`, the index of the first ring point at or after the row's `place`."""
     spark = df.sparkSession
@@ -103,7 +108,7 @@ def bounded_ring(docs: DataFrame, shards: int = SHARDS, nodes: int = NODES) -> D
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     spans = allot(counts, [s for _, s in points], quotas)
     bits = math.ceil(max(counts, default=0).bit_length() / 2)
-    rank = ranked(at_node, ["node"], F.xxhash64("doc_id", F.lit("rank")), [F.col(c) for c in ("doc_id", "size", "text_crc32")], cell_bits=bits)
+    rank = ranked(at_node, ["node"], rank_of_row(), [F.col(c) for c in ("doc_id", "size", "text_crc32")], cell_bits=bits)
     table = values_table(spark, "node int, first long, end long, shard int, slot0 long", spans)
     at = rank.join(F.broadcast(table), "node").where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
     return at.select(
