@@ -66,7 +66,7 @@ def test_parking_fixture_gives_three_points(spark):
     raw = [(1, {"highway": "residential", "parking:right": "lane", "parking:right:orientation": "parallel", "parking:right:capacity": "3", "width": "8"}, [(13.4, 52.4), (13.402, 52.4)]), (2, {"highway": "service", "service": "driveway"}, [(13.401, 52.3995), (13.401, 52.4005)])]
     roads = spark.createDataFrame([(i, t, [{"lon": a, "lat": b} for a, b in p]) for i, t, p in raw], "line_id long, tags map<string,string>, p array<struct<lon:double,lat:double>>")
     roads = roads.select("line_id", "tags", F.transform("p", lambda q: G.to_utm33(q["lon"], q["lat"])).alias("line"))
-    nodes = spark.createDataFrame([(10, {"highway": "crossing", "crossing": "zebra"}, 13.401, 52.4)], "node_id long, tags map<string,string>, lon double, lat double")
+    nodes = spark.createDataFrame([(10, {"highway": "crossing", "crossing": "zebra"}, 13.401, 52.4), (11, {"amenity": "parking_space", "parking:orientation": "parallel"}, 13.4003, 52.4)], "node_id long, tags map<string,string>, lon double, lat double")
     nodes = nodes.withColumn("p", G.to_utm33(F.col("lon"), F.col("lat"))).select("node_id", "tags", "p.x", "p.y")
     points = parking.street_parking(roads, nodes)
     got = points.collect()
