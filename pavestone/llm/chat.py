@@ -15,7 +15,8 @@ conversation may hold any share of the rows.
 Defined results: turns are in order of turn, role and text (nulls first); repeated
 turns each stay; a null text is empty, a null role speaks as `unknown`; a null
 conv_id is one conversation; a conversation of narrators alone has no
-perspective and gives no rows; an empty table gives none; other columns are ignored.
+perspective and gives no rows; a text of any length is one row; an empty table gives none; other columns are ignored, also
+those whose names differ in case only.
 """
 
 from __future__ import annotations

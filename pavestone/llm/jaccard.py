@@ -28,7 +28,8 @@ Hashes of shingles have 64 bits.  Defined results: no words, or a null text: an
 empty set, linked with nothing; fewer words than a shingle: the whole sequence is
 the one shingle; rows are the nodes, so rows that share a doc_id are linked by
 their texts like any others; a null doc_id is passed over for the smallest of a
-component; an empty table gives an empty result; other columns are ignored.
+component; a text of any length is one set (a chunk holds one row at least, and a block of a family so many
+bytes of shingles); an empty table gives an empty result; other columns are ignored, also those whose names differ in case only.
 """
 
 from __future__ import annotations

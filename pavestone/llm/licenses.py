@@ -13,7 +13,8 @@ reaches the threshold is a match; of runs that overlap, the best counts in n_mat
 
 Defined results: a null or empty text, or one without a match, has no licence
 (null) and 0 matches; on equal coefficients the licence id decides; repeated
-rows each get their row; an empty table gives an empty result; other columns are ignored.
+rows each get their row, with the same score; a text of any length is looked at whole, in lines and blocks of bigrams; an
+empty table gives an empty result; other columns are ignored, also those whose names differ in case only.
 """
 
 from __future__ import annotations

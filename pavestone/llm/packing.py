@@ -11,8 +11,8 @@ Tokens are looked up per distinct word of a batch: the vocabulary's rules never
 join characters across white space, so a text's ids are its words' ids in turn.
 
 Defined results: a null text is empty and packs as the single id 0; repeated
-rows are packed one by one; an empty table gives an empty result; other columns
-are ignored.
+rows are packed one by one; a text longer than a sequence is cut, whatever its length; an empty table gives an
+empty result; other columns are ignored, also those whose names differ in case only.
 """
 
 from __future__ import annotations

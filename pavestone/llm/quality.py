@@ -7,7 +7,8 @@ groups are compared word by word, so a collision cannot change a result.
 
 Defined results: a null or empty text has no words, counts of 0 and fails the
 base rule (fewer than 20 words); rows are independent, so ties and repeated rows each
-get their own row; other columns of the input are ignored.
+get their own row; a text of any length is measured whole; an empty table gives an empty result; other columns of the input, clashing
+names among them, are ignored here and kept by `kept_documents`.
 """
 
 from __future__ import annotations

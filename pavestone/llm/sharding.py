@@ -12,7 +12,8 @@ shard up by (node, rank).
 
 Defined results: a null text has size 1 and CRC 0 like an empty one; a null
 doc_id is a key like any other; repeated rows are placed one by one (equal rows are
-interchangeable); an empty table gives an empty result; other columns are ignored.
+interchangeable), however many share a doc_id; a long text counts by its bytes alone; an empty table gives an empty
+result; other columns are ignored, also those whose names differ in case only.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ that every chunk learns which of its windows start earlier elsewhere.
 
 Order of occurrences: doc_id, then start; rows that share a doc_id follow their
 chunk and place.  Defined results: a null text has no words; a null doc_id comes
-first; texts shorter than the window lose nothing; an empty table gives an
-empty result; other columns are ignored here and kept by `remove_repeats`.
+first; texts shorter than the window lose nothing; a very long text is a chunk of its own and loses its own repeats too;
+of repeated rows the first stays whole; an empty table gives an empty result; other columns, clashing names among them, are
+ignored here and kept by `remove_repeats`.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ blocks finds where the chain enters each of them.
 
 Defined results: a null html is an empty payload; a null page_id or url is kept
 as null; rows equal in page_id and payload are one capture each (all of them
-response if theirs is the largest page_id); an empty table gives no rows; other columns are ignored.
+response if theirs is the largest page_id); a page of any length is one record, in a file of its own if it is longer than one;
+an empty table gives no rows; other columns are ignored, also those whose names differ in case only.
 """
 
 from __future__ import annotations
