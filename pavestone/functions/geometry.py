@@ -72,15 +72,20 @@ def cumulative(line: Column) -> Column:
 
 def interpolate_at(line: Column, d: Column) -> Column:
     """G-04: the point at a distance along the line, clamped to its ends."""
+    measured = F.transform(segments(line), lambda g: F.struct(g["a"].alias("a"), g["b"].alias("b"), distance(g["a"], g["b"]).alias("d")))
     state = F.aggregate(
-        segments(line),
+        measured,
         F.struct(F.lit(0.0).alias("done"), F.lit(None).cast("struct<x:double,y:double>").alias("p")),
         lambda s, g: F.struct(
-            (s["done"] + distance(g["a"], g["b"])).alias("done"),
-            F.when(s["p"].isNotNull(), s["p"]).when(d <= s["done"] + distance(g["a"], g["b"]), along(g["a"], g["b"], F.when(distance(g["a"], g["b"]) > 0, F.greatest(d - s["done"], F.lit(0.0)) / distance(g["a"], g["b"])).otherwise(0.0))).alias("p"),
+            (s["done"] + g["d"]).alias("done"),
+            F.when(s["p"].isNotNull(), s["p"]).when(d <= s["done"] + g["d"], along(g["a"], g["b"], F.when(g["d"] > 0, F.greatest(d - s["done"], F.lit(0.0)) / g["d"]).otherwise(0.0))).alias("p"),
         ),
     )
-    return F.coalesce(state["p"], end(line))
+    # most lines are one segment: no fold then
+    a, b = start(line), end(line)
+    whole = distance(a, b)
+    short = along(a, b, F.when(whole > 0, F.least(F.greatest(d, F.lit(0.0)) / whole, F.lit(1.0))).otherwise(0.0))
+    return F.when(F.size(line) == 2, short).otherwise(F.coalesce(state["p"], end(line)))
 
 
 def along(a: Column, b: Column, t: Column) -> Column:

@@ -11,10 +11,10 @@ from pyspark.sql.window import Window
 from ..functions import geometry as G
 
 
-def vertices(lines: DataFrame, key: str = "line_id", line: str = "line") -> DataFrame:
-    """W-08: (key, i, x, y, at, total): vertices with their distance along the line; repeated points are dropped."""
+def vertices(lines: DataFrame, key: str = "line_id", line: str = "line", carry: Sequence[str] = ()) -> DataFrame:
+    """W-08: (key, *carry, i, x, y, at, total): vertices with their distance along the line; repeated points are dropped."""
     w = Window.partitionBy(key).orderBy("i")
-    v = lines.select(key, F.posexplode(line).alias("i", "p")).select(key, "i", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    v = lines.select(key, *carry, F.posexplode(line).alias("i", "p")).select(key, *carry, "i", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
     step = F.sqrt(F.pow(F.col("x") - F.lag("x").over(w), 2) + F.pow(F.col("y") - F.lag("y").over(w), 2))
     v = v.withColumn("step", step).where("step is null or step > 0")
     v = v.withColumn("at", F.coalesce(F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)))
@@ -36,9 +36,10 @@ def offset_lines(lines: DataFrame, offset: Column, transition: Column | None = N
     expressions over the columns of `lines`.
     """
     zero, no = F.lit(0.0), F.lit(False)
-    rules = lines.select(key, offset.cast("double").alias("o"), (zero if transition is None else transition).alias("t"), (no if pin_start is None else pin_start).alias("p1"), (no if pin_end is None else pin_end).alias("p2"))
+    # the rules go with the vertices: nothing is joined back
+    ruled = lines.select(key, "line", offset.cast("double").alias("o"), (zero if transition is None else transition).alias("t"), (no if pin_start is None else pin_start).alias("p1"), (no if pin_end is None else pin_end).alias("p2"))
     w = Window.partitionBy(key).orderBy("i")
-    v = vertices(lines, key).where("total >= 0.001")
+    v = vertices(ruled, key, carry=["o", "t", "p1", "p2"]).where("total >= 0.001")
     d = lambda f: F.struct((f("x") - F.col("x")).alias("x"), (f("y") - F.col("y")).alias("y"))
     v = v.withColumn("n", d(lambda c: F.lead(c).over(w))).withColumn("b", d(lambda c: F.lag(c).over(w)))
     nl, bl = F.sqrt(F.pow("n.x", 2) + F.pow("n.y", 2)), F.sqrt(F.pow("b.x", 2) + F.pow("b.y", 2))
@@ -46,7 +47,6 @@ def offset_lines(lines: DataFrame, offset: Column, transition: Column | None = N
     v = v.withColumn("sx", F.coalesce("ax", zero) + F.coalesce("px", zero)).withColumn("sy", F.coalesce("ay", zero) + F.coalesce("py", zero))
     size = F.sqrt(F.col("sx") * F.col("sx") + F.col("sy") * F.col("sy"))
     v = v.withColumn("size", size).withColumn("tx", F.when(F.col("size") < 1e-12, F.col("ax")).otherwise(F.col("sx") / F.col("size"))).withColumn("ty", F.when(F.col("size") < 1e-12, F.col("ay")).otherwise(F.col("sy") / F.col("size")))
-    v = v.join(rules, key)
     shift = F.when((F.col("p1") & F.col("px").isNull()) | (F.col("p2") & F.col("ax").isNull()), zero).otherwise(F.col("o") + F.col("t") * F.col("at") / F.col("total"))
     moved = v.select(key, "i", (F.col("x") + F.col("ty") * shift).alias("x"), (F.col("y") - F.col("tx") * shift).alias("y"))
     return collect_line(moved, key, "i")
