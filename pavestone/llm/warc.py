@@ -2,8 +2,8 @@
 
 Writing: of pages with equal payloads, the one with the largest page_id becomes
 the response record and the others revisit it.  A record is one text row ending
-in two line ends, so Spark's text writer makes the archives: as many files as the payloads
-fill, of FILE_BYTES each on average, and no more than FILE_RECORDS records in one.
+in two line ends, so Spark's text writer makes the archives: files of FILE_BYTES of payload on average
+at most, and of no more than FILE_RECORDS records.
 
 Reading: each task takes one archive file after the other and emits every place where the
 magic stands as a candidate, with the offset of the record that would follow
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, only, written
+from .common import new_path, only, width, written
 
 MAGIC = b"WARC/1.1\r\n"
 SEPARATOR = "\r\n\r\n"
@@ -86,7 +86,9 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, compressio
     # header and payload of all records, so that files grow in number and not in size
     total = narrow.agg(F.sum(F.col("payload_bytes") + 500)).first()[0] or 0
     keys = ["page_id", "payload_digest"]
-    l, r = every.repartition(max(1, -(-total // file_bytes)), *keys).alias("l"), revisits(narrow, least_bytes).hint("merge").alias("r")
+    # with fewer partitions than Spark's own number the join would deal the pages once more
+    files = max(width(pages.sparkSession), -(-total // file_bytes))
+    l, r = every.repartition(files, *keys).alias("l"), revisits(narrow, least_bytes).hint("merge").alias("r")
     same = (F.col("l.page_id") == F.col("r.page_id")) & (F.col("l.payload_digest") == F.col("r.payload_digest"))
     rows = l.join(r, same, "left").select("l.*", "r.refers_to")
     rows.select(record_text().alias("value")).write.option("lineSep", SEPARATOR).option("compression", compression or "none").option("maxRecordsPerFile", FILE_RECORDS).text(path)
