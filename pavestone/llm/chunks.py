@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import only, width, written_by_key
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Bytes of text of a group of chunks, which one task handles chunk by chunk.
 GROUP_BYTES = 64 << 20
 #: Keys that one range should hold; small inputs have smaller ranges, but not below LEAST_KEYS.
