@@ -52,6 +52,28 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Column, ties: Sequence[Col
     return each.select(*df.columns, (F.col("_rank") + F.col("_k")).alias(name))
 
 
+def parts_before(totals: DataFrame, name: str = "before", per_block: int = 1024) -> DataFrame:
+    """(part, total) -> (part, `name`): the sum over smaller parts, by blocks of parts, so that no window holds a long list."""
+    block = F.expr(f"part div {per_block}").alias("_block")
+    rows = totals.select("part", "total", block)
+    inside = rows.select("part", "_block", (F.sum("total").over(Window.partitionBy("_block").orderBy("part")) - F.col("total")).alias("_inside"))
+    blocks = rows.groupBy("_block").agg(F.sum("total").alias("_sum"))
+    outer = blocks.select("_block", (F.sum("_sum").over(Window.orderBy("_block")) - F.col("_sum")).alias("_outer"))
+    return inside.join(outer, "_block").select("part", (F.col("_inside") + F.col("_outer")).cast("long").alias(name))
+
+
+def in_order(rows: DataFrame, order: Sequence[Column], name: str, parts: int | None = None) -> DataFrame:
+    """`rows`, a written table, by `order` over all partitions, with `part` and the place `at` inside it; not written yet.
+
+    Rows equal in `order` follow their place in the input, so no number of them ends in one partition.
+    """
+    n = parts or width(rows.sparkSession)
+    order = [*order, F.col("_tie")]
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_tie")
+    # the number of a row is 2**33 times its partition plus its place there
+    return dealt.withColumn("_m", F.monotonically_increasing_id()).select(*rows.columns, F.shiftright("_m", 33).alias("part"), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
+
+
 def batches(it: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose buffers hold about `most_bytes` at most, or one row."""
     for b in it:
