@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.tags import shade_length
+from ..storage import written
 from . import linear as L
 from .aggregates import dominant, winner_row
+from .arrangement import as_edges, grid_edges, noded, outlines, outlines_of_edges, ring_sizes
 from .overlay import line_in_polygon
-from .spatial import CELL, along_cells, home_cell, in_cells, match_cascade, nearest_within, overlap_area
+from .spatial import CELL, along_cells, box_pairs, home_cell, in_cells, match_cascade, nearest_within, overlap_area
 from .windows import cyclic_lag, runs
 
 
@@ -34,6 +36,51 @@ def carriageways(roads: DataFrame, areas: DataFrame, least: float = 0.5, extensi
     return rows.select("road_id", "chain", "layer", "surface", F.concat_ws("/", F.round("from_m", 3).cast("string"), F.col("k").cast("string")).alias("part"), "ring")
 
 
+def _outlined(rows: DataFrame, keys: list[str], schema: str) -> DataFrame:
+    """Outlines with the columns of their group's JSON."""
+    return rows.withColumn("_g", F.from_json("grp", schema)).select(*[F.col(f"_g.{k}").alias(k) for k in keys], "ring", "place", "x1", "y1", "x2", "y2")
+
+
+def _group(df: DataFrame, keys: list[str]) -> tuple[Column, str]:
+    """A group's key as JSON (nulls are left out, so they are equal), and its schema."""
+    kinds = dict(df.dtypes)
+    return F.to_json(F.struct(*keys)), ", ".join(f"{k} {kinds[k]}" for k in keys)
+
+
+def carriageway_outlines(quads: DataFrame, snap: float = 0.001, cell: float = 64.0) -> DataFrame:
+    """E-30: (chain, layer, surface, ring, place, x1, y1, x2, y2): the outline of all quads (road_id, part, chain, layer, surface, ring) of a chain and surface, without inner edges."""
+    keys = ["chain", "layer", "surface"]
+    grp, schema = _group(quads, keys)
+    polygons = quads.select(grp.alias("grp"), F.concat_ws("/", F.col("road_id").cast("string"), "part").alias("poly_id"), F.array("ring").alias("rings"))
+    return _outlined(outlines(polygons, 1, snap, cell), keys, schema)
+
+
+def junction_outlines(areas: DataFrame, snap: float = 0.001, cell: float = 64.0) -> DataFrame:
+    """E-30, E-41: (layer, ring, place, ...): where carriageways (rows of `carriageway_outlines`) of two or more chains and surfaces of a layer lie over each other."""
+    grp, schema = _group(areas, ["layer"])
+    own = F.to_json(F.struct("chain", "surface"))
+    return _outlined(outlines_of_edges(as_edges(areas, grp, own, 1, snap), 2, snap, cell), ["layer"], schema)
+
+
+def outside_junctions(areas: DataFrame, zones: DataFrame, least: float = 1.0, snap: float = 0.001, cell: float = 64.0) -> DataFrame:
+    """E-31: (chain, layer, surface, ring, place, ...): what zones (rows of `junction_outlines`) leave of carriageways; parts below `least` square metres go, holes stay with the part around them.
+
+    A zone is taken out of the carriageways whose box it meets, so it goes to a few chains and not to all of its layer.
+    """
+    keys = ["chain", "layer", "surface"]
+    grp, schema = _group(areas, keys)
+    named = areas.withColumn("grp", grp)
+    box = lambda df, key, p: df.groupBy(key.alias(f"{p}_id")).agg(F.min("x1").alias(f"{p}x0"), F.min("y1").alias(f"{p}y0"), F.max("x1").alias(f"{p}x1"), F.max("y1").alias(f"{p}y1"))
+    zone = F.to_json(F.struct("layer", "ring"))
+    met = box_pairs(box(named, F.col("grp"), "l"), box(zones, zone, "r"), cell).select(F.col("l_id").alias("grp"), F.col("r_id").alias("zone"))
+    same = F.from_json("grp", schema)["layer"].eqNullSafe(F.from_json("zone", schema)["layer"])
+    cut = zones.withColumn("zone", zone).join(met.where(same), "zone")
+    edges = as_edges(named, F.col("grp"), F.lit("own"), 1, snap).unionByName(as_edges(cut, F.col("grp"), F.col("zone"), -1000, snap))
+    left = written(outlines_of_edges(edges, 1, snap, cell), "outside")
+    small = ring_sizes(left).where((F.col("area") >= 0) & (F.col("area") < least)).select("grp", "ring")
+    return _outlined(left.join(small, ["grp", "ring"], "left_anti"), keys, schema)
+
+
 def junction_pairs(quads: DataFrame, cell: float = 16.0) -> DataFrame:
     """E-30: (l_id, r_id, area): quads (quad_id, chain, layer, ring) of different chains on a layer that overlap: the zones of junctions."""
     named = quads.select("quad_id", "chain", "layer", F.array("ring").alias("rings"))
@@ -125,13 +172,28 @@ def bridge_ends(outlines: DataFrame, ways: DataFrame, turn: float = 30.0) -> Dat
     return crossing_segments(a, b).where("a_id.layer = b_id.layer").select("a_id.bridge_id", "a_id.run").distinct()
 
 
-def building_walls(walls: DataFrame) -> DataFrame:
-    """E-36: (key, part, class, reach) of walls (part, height, x1, y1, x2, y2): `covered` where two parts share one, else `uncovered` with the reach of its shade."""
-    key = G.edge_key(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2")))
-    rows = walls.withColumn("key", key)
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("part", "height")).alias("m"))
-    covered = F.col("n") > 1
-    return shared.select("key", F.col("m.part").alias("part"), F.when(covered, "covered").otherwise("uncovered").alias("class"), F.when(~covered, shade_length(F.col("m.height"))).alias("reach"))
+def wall_pieces(parts: DataFrame, snap: float = 0.001, cell: float = 64.0) -> DataFrame:
+    """(x1, y1, x2, y2, left, right, n): stretches of the walls of building parts (part, height, rings), cut wherever another wall begins, ends or meets them.
+
+    `left` and `right` are the highest part (part, height; the smaller id on ties) with its wall there and its inside on that side, or null; `n` counts the parts.
+    Walls that coincide in a stretch only share that stretch.
+    """
+    edges = grid_edges(parts.select(F.lit("").alias("grp"), F.col("part").alias("poly_id"), "rings"), snap)
+    cut = noded(written(edges, "walls"), cell / snap).join(parts.select(F.col("part").alias("poly_id"), "height"), "poly_id")
+    most = lambda side: F.min(F.when(side, F.struct((-F.col("height")).alias("h"), F.col("poly_id").alias("part"))))
+    met = cut.groupBy("x1", "y1", "x2", "y2").agg(most(F.col("forward")).alias("l"), most(~F.col("forward")).alias("r"), F.countDistinct("poly_id").alias("n"))
+    side = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.part").alias("part"), (-F.col(f"{c}.h")).alias("height")))
+    return met.select(*[(F.col(c) * snap).alias(c) for c in ("x1", "y1", "x2", "y2")], side("l").alias("left"), side("r").alias("right"), "n")
+
+
+def building_walls(pieces: DataFrame) -> DataFrame:
+    """E-36: (part, class, x1, y1, x2, y2, reach) of `wall_pieces`, inside on the left: `covered` where two or more parts share the stretch (once, by the smaller part), else `uncovered` with the reach of its shade."""
+    both = F.col("n") > 1
+    own = F.when(F.col("left").isNull() | (F.col("right.part") < F.col("left.part")), "right").otherwise("left")
+    mirrored = own == "right"
+    at = lambda a, b: F.when(mirrored, F.col(a)).otherwise(F.col(b)).alias(b)
+    part, height = F.when(mirrored, F.col("right.part")).otherwise(F.col("left.part")), F.when(mirrored, F.col("right.height")).otherwise(F.col("left.height"))
+    return pieces.select(part.alias("part"), F.when(both, "covered").otherwise("uncovered").alias("class"), at("x2", "x1"), at("y2", "y1"), at("x1", "x2"), at("y1", "y2"), F.when(~both, shade_length(height)).alias("reach"))
 
 
 def area_direction(areas: DataFrame) -> DataFrame:

@@ -120,19 +120,19 @@ def outline_edges(edges: DataFrame, covered: DataFrame) -> DataFrame:
     return edges.join(covered.select(*keys).distinct(), keys, "left_anti").groupBy(*keys).agg(F.min("id").alias("id"))
 
 
-def height_steps(walls: DataFrame, bearing: float = 40.0) -> DataFrame:
-    """F-21: walls that two parts of different height share, the lower part on the left: (lower, upper, x1, y1, x2, y2, facing).
+def height_steps(pieces: DataFrame, bearing: float = 40.0) -> DataFrame:
+    """F-21: stretches where parts of different height touch, the lower part on the left: (lower, upper, x1, y1, x2, y2, facing).
 
-    `walls` has (part, height, x1, y1, x2, y2), parts wound counter-clockwise, so a part lies left of its own walls.
+    `pieces` are those of `areas.wall_pieces`, so walls need to coincide in a stretch only.
     """
-    a = walls.select(F.col("part").alias("lower"), F.col("height").alias("low"), "x1", "y1", "x2", "y2")
-    # the neighbour has the same wall the other way round
-    b = walls.select(F.col("part").alias("upper"), F.col("height").alias("high"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
-    both = a.join(b, ["x1", "y1", "x2", "y2"]).where("high > low")
+    both = pieces.where("left.height <> right.height")
+    turned = F.col("left.height") > F.col("right.height")
+    pick = lambda a, b: F.when(turned, F.col(a)).otherwise(F.col(b))
+    rows = both.select(pick("right.part", "left.part").alias("lower"), pick("left.part", "right.part").alias("upper"), pick("x2", "x1").alias("x1"), pick("y2", "y1").alias("y1"), pick("x1", "x2").alias("x2"), pick("y1", "y2").alias("y2"))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     n = F.sqrt(dx * dx + dy * dy)
     facing = (-dy / n) * F.sin(F.radians(F.lit(bearing))) + (dx / n) * F.cos(F.radians(F.lit(bearing)))
-    return both.select("lower", "upper", "x1", "y1", "x2", "y2", F.round(facing, 2).alias("facing"))
+    return rows.select("lower", "upper", "x1", "y1", "x2", "y2", F.round(facing, 2).alias("facing"))
 
 
 def node_azimuth(approaches: DataFrame) -> DataFrame:

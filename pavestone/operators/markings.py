@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from ..functions import geometry as G
 from . import linear as L
 from .aggregates import circular_mean, similar_or_overlapping
+from .arrangement import outlines
 from .generate import zebra_stripes
 from .overlay import line_in_polygon, touching_intervals
 from .spatial import CELL, along_cells, home_cell, overlap_area
@@ -49,13 +50,13 @@ def lane_edges(lanes: DataFrame, service: DataFrame | None = None) -> DataFrame:
 
 
 def _quads_beside(lines: DataFrame, key: str, left: Column, right: Column) -> DataFrame:
-    """(key, ring): closed quads beside lines (key, line), one per segment."""
+    """(key, k, ring): closed quads beside lines (key, line), one per segment."""
     quads = G.corridor_quads(F.col("line"), left, right)
-    return lines.select(key, F.explode(F.transform(quads, lambda q: F.concat(q, F.slice(q, 1, 1)))).alias("ring"))
+    return lines.select(key, F.posexplode(F.transform(quads, lambda q: F.concat(q, F.slice(q, 1, 1)))).alias("k", "ring"))
 
 
 def barred_areas(lanes: DataFrame, mapped: DataFrame) -> DataFrame:
-    """E-24: (edge_id, ring): corridors of `buffer` beside lane sides marked as barred, unless a mapped area (r_id, rings) is alike or covers a quarter of one."""
+    """E-24: (edge_id, k, ring): corridors of `buffer` beside lane sides marked as barred, unless a mapped area (r_id, rings) is alike or covers a quarter of one."""
     sides = lane_sides(lanes, "buffer").where("marking = 'barred_area' and buffer > 0")
     moved = L.offset_lines(sides.select(F.col("edge_id").alias("line_id"), "line", "shift"), F.col("shift")).select(F.col("line_id").alias("edge_id"), "line")
     edges = moved.join(sides.select("edge_id", "side", "buffer"), "edge_id")
@@ -64,13 +65,19 @@ def barred_areas(lanes: DataFrame, mapped: DataFrame) -> DataFrame:
     own = rings.groupBy("edge_id").agg(F.sum(G.area(F.col("ring"))).alias("area_a"), F.max(G.length(F.col("ring"))).alias("_p"))
     other = mapped.select("r_id", G.area(F.col("rings")[0]).alias("area_b"), G.length(F.col("rings")[0]).alias("_q"))
     # overlap by the pieces of an edge; the half outline stands for the diameter
-    pieces = rings.withColumn("l_id", F.concat_ws("#", "edge_id", F.monotonically_increasing_id().cast("string")))
+    pieces = rings.withColumn("l_id", F.concat_ws("#", "edge_id", F.col("k").cast("string")))
     common = overlap_area(pieces.select("l_id", F.array(G.force_ccw(F.col("ring"))).alias("rings")), mapped.select("r_id", "rings")).where("area > 1e-9")
     common = common.groupBy(F.substring_index("l_id", "#", 1).alias("edge_id"), "r_id").agg(F.sum("area").alias("common"))
     pairs = common.join(own, "edge_id").join(other, "r_id").select("edge_id", "area_a", "area_b", (F.col("_p") / 2).alias("diameter_a"), (F.col("_q") / 2).alias("diameter_b"), "common")
     return rings.join(similar_or_overlapping(pairs).select("edge_id").distinct(), "edge_id", "left_anti")
 
 
+def barred_outlines(rings: DataFrame) -> DataFrame:
+    """E-24: (edge_id, ring, place, x1, y1, x2, y2): the corridors (edge_id, k, ring) of each edge as one area, without inner edges."""
+    polygons = rings.select(F.col("edge_id").alias("grp"), F.col("k").cast("string").alias("poly_id"), F.array("ring").alias("rings"))
+    return outlines(polygons).withColumnRenamed("grp", "edge_id")
+
+
 def buffer_markings(places: DataFrame, mapped: DataFrame, back: float = 4.0, front: float = 2.0, depth: float = 1.5, parallel: float = 25.0, most: float = 4.0) -> DataFrame:
     """E-25: (place_id, ring): trapezoids at crossings' sides (place_id, x, y, facing, road: degrees; cycle_az, cycle_width: of a cycle lane beside it, or null).
 
@@ -199,23 +206,34 @@ def clip_by_zones(rows: DataFrame, inside: DataFrame) -> DataFrame:
     return L.subtract_intervals(rows.select("line_id", F.lit(0.0).alias("from_m"), F.col("total").alias("to_m")), cuts.select("line_id", "from_m", "to_m"))
 
 
-def junction_zones(junctions: DataFrame, stops: DataFrame, areas: DataFrame, reach: float = 18.0) -> DataFrame:
-    """E-41: (zone, source, ring): junction footprints (junction_id, x, y, ring), hulls of each stop line (stop_id, x1, y1, x2, y2) with its nearest junction, and areas (area_id, markings, ring) whose markings don't go through.
+def junction_zones(junctions: DataFrame, stops: DataFrame, areas: DataFrame, reach: float = 18.0, marked: bool = False) -> DataFrame:
+    """E-41: (zone, source, layer, ring): junction footprints (junction_id, layer, x, y, ring), hulls of each stop line (stop_id, x1, y1, x2, y2) with its nearest junction, and areas (area_id, layer, markings, ring) whose markings don't go through.
 
-    Zones stay separate convex parts, so that lanes can be cut by each of them.
+    Zones stay separate convex parts, so that lanes can be cut by each of them; `zone_outlines` joins them.  `marked`: the
+    second pass for arrows, which is cut by the areas alone whose markings do go through.
     """
     from .spatial import nearest_within
 
+    through = F.coalesce(F.col("markings") == "yes", F.lit(False))
+    more = areas.where(through if marked else ~through).select(F.concat_ws("/", F.lit("area"), F.col("area_id").cast("string")).alias("zone"), F.lit("area").alias("source"), "layer", "ring")
+    if marked:
+        return more
     mid = stops.select(F.col("stop_id").alias("l_id"), ((F.col("x1") + F.col("x2")) / 2).alias("lx"), ((F.col("y1") + F.col("y2")) / 2).alias("ly"))
     near = nearest_within(mid, junctions.select(F.col("junction_id").alias("r_id"), F.col("x").alias("rx"), F.col("y").alias("ry")), reach).select(F.col("l_id").alias("stop_id"), F.col("r_id").alias("junction_id"))
-    both = near.join(stops, "stop_id").join(junctions.select("junction_id", "ring"), "junction_id")
+    both = near.join(stops, "stop_id").join(junctions.select("junction_id", "layer", "ring"), "junction_id")
     hull = G.convex_hull(F.concat("ring", F.array(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2")))))
-    hulls = both.select(F.concat_ws("/", F.lit("stop"), F.col("stop_id").cast("string")).alias("zone"), F.lit("hull").alias("source"), hull.alias("h")).select("zone", "source", F.concat("h", F.slice("h", 1, 1)).alias("ring"))
-    own = junctions.select(F.concat_ws("/", F.lit("junction"), F.col("junction_id").cast("string")).alias("zone"), F.lit("junction").alias("source"), "ring")
-    more = areas.where("markings is null or markings <> 'yes'").select(F.concat_ws("/", F.lit("area"), F.col("area_id").cast("string")).alias("zone"), F.lit("area").alias("source"), "ring")
+    hulls = both.select(F.concat_ws("/", F.lit("stop"), F.col("stop_id").cast("string")).alias("zone"), F.lit("hull").alias("source"), "layer", hull.alias("h")).select("zone", "source", "layer", F.concat("h", F.slice("h", 1, 1)).alias("ring"))
+    own = junctions.select(F.concat_ws("/", F.lit("junction"), F.col("junction_id").cast("string")).alias("zone"), F.lit("junction").alias("source"), "layer", "ring")
     return own.unionByName(hulls).unionByName(more)
 
 
+def zone_outlines(zones: DataFrame) -> DataFrame:
+    """E-41: (layer, ring, place, x1, y1, x2, y2): zones (zone, layer, ring) of a layer as one area each, without inner edges."""
+    grp = F.to_json(F.struct("layer"))
+    rows = outlines(zones.select(grp.alias("grp"), F.col("zone").alias("poly_id"), F.array("ring").alias("rings")))
+    return rows.withColumn("layer", F.from_json("grp", f"layer {dict(zones.dtypes)['layer']}")["layer"]).drop("grp")
+
+
 def regenerate_stripes(lines: DataFrame, zones: DataFrame, cell: float = 64.0) -> DataFrame:
     """E-42: (line_id, piece, k, at): stripes on the pieces of centrelines (line_id, line) that lie outside restriction areas (poly_id, rings)."""
     inside = touching_intervals(line_in_polygon(L.line_segments(lines), zones, cell))

@@ -8,6 +8,7 @@ from ..functions import geometry as G
 from ..operators import classify as C
 from ..operators import derive as D
 from ..operators import linear as L
+from ..operators.areas import wall_pieces
 from ..registry import query, table
 from .geometric import lines
 from .spatial import _MERGED, cuts, nodes, places
@@ -179,13 +180,17 @@ def f16(spark, sf):
     return D.drop_connectors(s).select("id")
 
 
-def _walls(spark, sf):
+def _parts(spark, sf):
     """Unit squares on a grid, counter-clockwise, with a height each."""
     k = F.col("c_custkey")
     c = table(spark, sf, "customer").where("c_custkey % 5 <> 0").select(k.alias("part"), (k % 40).cast("double").alias("x"), F.floor(k / 40).cast("double").alias("y"), (k % 7).alias("height"))
     x, y = F.col("x"), F.col("y")
     ring = F.array(*[G.point(a, b) for a, b in [(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y)]])
-    e = c.select("part", "height", F.explode(G.segments(ring)).alias("e"))
+    return c.select("part", "height", F.array(ring).alias("rings"))
+
+
+def _walls(spark, sf):
+    e = _parts(spark, sf).select("part", "height", F.explode(G.segments(F.col("rings")[0])).alias("e"))
     return e.select("part", "height", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
 
 
@@ -195,7 +200,7 @@ def _walls(spark, sf):
 SELECT a.id AS lower, b.id AS upper, round(CASE WHEN b.y > a.y THEN -cos(radians(40)) WHEN b.y < a.y THEN cos(radians(40)) WHEN b.x > a.x THEN -sin(radians(40)) ELSE sin(radians(40)) END, 2) AS facing FROM c a JOIN c b ON abs(a.x - b.x) + abs(a.y - b.y) = 1 AND b.h > a.h""",
 )
 def f21(spark, sf):
-    return D.height_steps(_walls(spark, sf)).select("lower", "upper", "facing")
+    return D.height_steps(wall_pieces(_parts(spark, sf))).select("lower", "upper", "facing")
 
 
 @query(

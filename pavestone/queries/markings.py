@@ -10,7 +10,7 @@ from ..operators import linear as L
 from ..operators import markings as M
 from ..plans import parking as P
 from ..registry import query, table
-from .derived import _pick, _tags, _walls
+from .derived import _parts, _pick, _tags
 from .spatial import _OVERLAP, PLACE, boxes, nodes, places
 
 
@@ -192,10 +192,10 @@ UNION ALL SELECT 'hull', count(*), NULL FROM c WHERE EXISTS (SELECT 1 FROM j WHE
 def e41(spark, sf):
     k, c = F.col("s_suppkey"), F.col("l_id")
     x, y = (k * 97 % 1000).cast("double"), (k * 61 % 1000).cast("double")
-    j = table(spark, sf, "supplier").select(k.alias("junction_id"), x.alias("x"), y.alias("y"), _box(x - 2, y - 2, x + 2, y + 2).alias("ring"))
+    j = table(spark, sf, "supplier").select(k.alias("junction_id"), F.lit(0).alias("layer"), x.alias("x"), y.alias("y"), _box(x - 2, y - 2, x + 2, y + 2).alias("ring"))
     b = boxes(spark, sf, "l")
     s = b.select(c.alias("stop_id"), F.col("lx0").alias("x1"), F.col("ly0").alias("y1"), (F.col("lx0") + 2).alias("x2"), (F.col("ly0") + 2).alias("y2"))
-    a = b.select(c.alias("area_id"), F.when(c % 4 == 1, "yes").when(c % 4 == 2, "no").alias("markings"), _box(F.col("lx0"), F.col("ly0"), F.col("lx1"), F.col("ly1")).alias("ring"))
+    a = b.select(c.alias("area_id"), F.lit(0).alias("layer"), F.when(c % 4 == 1, "yes").when(c % 4 == 2, "no").alias("markings"), _box(F.col("lx0"), F.col("ly0"), F.col("lx1"), F.col("ly1")).alias("ring"))
     z = M.junction_zones(j, s, a)
     return z.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("source") != "hull", G.area(F.col("ring")))).alias("area"))
 
@@ -322,7 +322,7 @@ def e35(spark, sf):
 g AS (SELECT x, y, d, count(*) AS n, arg_min(h, id) AS h FROM e GROUP BY 1, 2, 3) SELECT CASE WHEN n > 1 THEN 'covered' ELSE 'uncovered' END AS class, count(*) AS walls, round(sum(CASE WHEN n = 1 THEN 5.0::DOUBLE * (1 - exp(-h / 30.0::DOUBLE)) END), 4) AS reach FROM g GROUP BY 1""",
 )
 def e36(spark, sf):
-    w = A.building_walls(_walls(spark, sf))
+    w = A.building_walls(A.wall_pieces(_parts(spark, sf)))
     return w.groupBy("class").agg(F.count(F.lit(1)).alias("walls"), F.round(F.sum("reach"), 4).alias("reach"))
 
 
