@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .chunks import document_chunks, pack_table, unpack_table
 from .common import batches, only
 from .substrings import _runs, cut_spans
-from .textkit import ALNUM, Words
+from .textkit import ALNUM, Words, lanes_of, same_bytes
 
 WINDOW = 10
 SAMPLE = 16
@@ -44,7 +44,14 @@ class Phrases:
 
     def __init__(self, ids: list, texts: list[str | None], window: int = WINDOW) -> None:
         w = Words(pa.array(texts, pa.string()), ALNUM, lower=True)
-        self.vocabulary, numbers = np.unique(w.hashes(), return_inverse=True)
+        h = w.hashes()
+        first, kind = w.distinct(h)
+        # words in order of their hashes; those that share one follow each other
+        order = np.argsort(h[first], kind="stable")
+        self.vocabulary, self.words, self.start, self.size = h[first][order], w.data, w.start[first][order], (w.end - w.start)[first][order]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        numbers = back[kind]
         rows, item = [], []
         for d in range(len(texts)):
             own = numbers[w.doc_start[d] : w.doc_start[d + 1]] + 1
@@ -63,6 +70,23 @@ class Phrases:
         self.length = (self.rows >= 0).sum(1)
         self.ids = [None if i is None else str(i) for i in ids]
 
+    def numbers(self, w: Words, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word in this vocabulary, -1 for others; bytes are compared, not hashes alone."""
+        place = np.searchsorted(self.vocabulary, hashes)
+        out = np.full(len(hashes), -1, np.int64)
+        lanes, size = lanes_of(self.words), w.end - w.start
+        left = np.flatnonzero(place < len(self.vocabulary))
+        while len(left):
+            k = place[left]
+            left, k = left[self.vocabulary[k] == hashes[left]], k[self.vocabulary[k] == hashes[left]]
+            equal = self.size[k] == size[left]
+            equal[equal] = same_bytes(w.lanes, w.start[left[equal]], lanes, self.start[k[equal]], size[left[equal]])
+            out[left[equal]] = k[equal]
+            left = left[~equal]  # another word of this hash may follow
+            place[left] += 1
+            left = left[place[left] < len(self.vocabulary)]
+        return out
+
     def items_of(self, row: int) -> list[str]:
         """The ids of the items that have a window; a null id is not listed."""
         return [self.ids[i] for i in self.item[self.item_start[row] : self.item_start[row + 1]] if self.ids[i] is not None]
@@ -205,9 +229,8 @@ class Index:
 
 def shard_hits(w: Words, hashes: np.ndarray, p: Phrases) -> tuple[np.ndarray, np.ndarray]:
     """(phrase, word) of every occurrence of the phrases in a shard's texts."""
-    place = np.searchsorted(p.vocabulary, hashes)
-    known = place < len(p.vocabulary)
-    known[known] = p.vocabulary[place[known]] == hashes[known]
+    place = p.numbers(w, hashes)
+    known = place >= 0
     # a run of known words inside one text that is shorter than the shortest phrase holds none
     doc = w.doc_of_word()
     edge = np.ones(len(hashes) + 1, bool)

@@ -46,7 +46,7 @@ def vocabulary_path() -> str:
 
 
 class WordIds:
-    """Ids of words by their hash; words not seen before are encoded once."""
+    """Ids of words by their bytes; words not seen before are encoded once."""
 
     #: Letters that lower case one to one and have no decomposed form, then plain punctuation.
     PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
@@ -63,9 +63,9 @@ class WordIds:
         self.reset()
 
     def reset(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.known: dict[bytes, int] = {}
+        self.first = np.zeros(1 << 12, np.int64)
+        self.count = np.zeros(1 << 12, np.int64)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.pieces.clear()
@@ -86,31 +86,31 @@ class WordIds:
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of a batch's words, and how many each word has."""
-        distinct, at, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > MOST_WORDS:
+        at, kind = w.distinct()
+        if len(self.known) + len(at) > MOST_WORDS:
             self.reset()
-        place = np.searchsorted(self.hashes, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = place < len(self.hashes)
-        known[inside] = self.hashes[place[inside]] == distinct[inside]
-        if not known.all():
-            raw = w.data.tobytes()
-            new = np.flatnonzero(~known)
-            counts, flat = [], []
-            for i in at[new]:
-                ids = self.encode(raw[w.start[i] : w.end[i]].decode("utf-8", "replace"))
-                counts.append(len(ids))
-                flat += ids
-            while self.used + len(flat) > len(self.pool):
+        raw = w.data.tobytes()
+        place, new = [], []
+        for a, b in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True):
+            word = raw[a:b]
+            k = self.known.get(word)
+            if k is None:
+                k = self.known[word] = len(self.known)
+                new.append(self.encode(word.decode("utf-8", "replace")))
+            place.append(k)
+        if new:
+            n = np.array([len(x) for x in new], np.int64)
+            old, total = len(self.known) - len(new), self.used + int(n.sum())
+            while total > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
-            self.pool[self.used : self.used + len(flat)] = flat
-            n = np.array(counts, np.int64)
-            self.hashes = np.insert(self.hashes, place[new], distinct[new])
-            self.first = np.insert(self.first, place[new], np.cumsum(n) - n + self.used)
-            self.count = np.insert(self.count, place[new], n)
-            self.used += len(flat)
-            place = np.searchsorted(self.hashes, distinct)
-        count, first = self.count[place][inverse], self.first[place][inverse]
+            while len(self.known) > len(self.first):
+                self.first, self.count = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.first, self.count))
+            self.pool[self.used : total] = [i for ids in new for i in ids]
+            self.first[old : len(self.known)] = np.cumsum(n) - n + self.used
+            self.count[old : len(self.known)] = n
+            self.used = total
+        own = np.array(place, np.int64)[kind]
+        count, first = self.count[own], self.first[own]
         begin = np.cumsum(count) - count
         return self.pool[np.repeat(first - begin, count) + np.arange(count.sum())], count
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import batches, by_place, only, places_of
-from .textkit import Words, window_hashes
+from .textkit import Words, mix, window_hashes
 
 #: n-gram length -> largest share (in percent) of a text's word characters that may lie in repeated n-grams.
 #: The base rule bounds the words in repeated 8-grams by 30, so those of 8 to 10 words lie at it and below, and
@@ -88,7 +88,8 @@ def _measure(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
     w = Words(texts)
     n_docs = len(ids)
     doc = w.doc_of_word()
-    h = w.hashes()
+    # the kinds of words decide, not their hashes: equal numbers are equal bytes
+    h = mix(w.distinct()[1].astype(np.uint64))
     per_doc = lambda values: np.add.reduceat(np.append(values, 0), np.minimum(w.doc_start[:-1], len(values)))[:n_docs] * (w.n_words > 0) if n_docs else np.zeros(0, np.int64)
     heads = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80, dtype=np.int64)])
     chars = heads[w.end] - heads[w.start]

@@ -21,7 +21,6 @@ other columns are ignored, also those whose names differ in case only.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,85 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, in_order, only, parts_before, written
-from .textkit import ALNUM, Words
+from .textkit import ALNUM, Words, crc32, lanes_of, same_bytes, xxh64
 
 BUCKETS, MAX_N, SEED, PERCENT, LEAST_WORDS = 10_000, 3, 42, 5, 20
-#: Words that start the n-grams of a table, and spans that are hashed at once.
-BATCH_WORDS, STEP = 1 << 17, 1 << 15
-#: Longer spans are hashed one by one.
-LONG = 256
-
-_U = np.uint64
-#: Fixed values of the xxhash64 function.
-P1, P2, P3, P4, P5 = _U(11400714785074694791), _U(14029467366897019727), _U(1609587929392839161), _U(9650029242287828579), _U(2870177450012600261)
-_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first k bytes
-
-
-def _turned(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x << _U(bits)) | (x >> _U(64 - bits))
-
-
-def _mixed(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
-    return _turned(acc + lane * P2, 31) * P1
-
-
-def lanes_of(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place on as one little-endian number; zeros follow the end."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    return np.ndarray(len(data) + 1, "<u8", padded.tobytes(), 0, (1,)).copy()
-
-
-def xxh64(lanes: np.ndarray, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The xxhash64 (seed 0) of the spans of `data` from `start` of `length` bytes, all spans of a length at once."""
-    import xxhash
-
-    out = np.empty(len(start), np.uint64)
-    order = np.argsort(length, kind="stable")
-    sizes, first = np.unique(length[order], return_index=True)
-    for size, a, b in zip(sizes.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
-        for i in range(a, b, STEP):
-            at = order[i : min(i + STEP, b)]
-            s = start[at]
-            if size > LONG:
-                out[at] = [xxhash.xxh64_intdigest(data[x : x + size].tobytes()) for x in s.tolist()]
-                continue
-            k = 0
-            if size >= 32:
-                acc = [np.full(len(s), v, np.uint64) for v in (np.add(P1, P2, dtype=np.uint64), P2, _U(0), np.subtract(_U(0), P1, dtype=np.uint64))]
-                while size - k >= 32:
-                    acc = [_mixed(v, lanes[s + (k + 8 * j)]) for j, v in enumerate(acc)]
-                    k += 32
-                h = _turned(acc[0], 1) + _turned(acc[1], 7) + _turned(acc[2], 12) + _turned(acc[3], 18)
-                for v in acc:
-                    h = (h ^ _mixed(np.zeros(1, np.uint64), v)) * P1 + P4
-            else:
-                h = np.full(len(s), P5, np.uint64)
-            h += _U(size)
-            while size - k >= 8:
-                h = _turned(h ^ _mixed(np.zeros(1, np.uint64), lanes[s + k]), 27) * P1 + P4
-                k += 8
-            if size - k >= 4:
-                h = _turned(h ^ ((lanes[s + k] & _FIRST[4]) * P1), 23) * P2 + P3
-                k += 4
-            while k < size:
-                h = _turned(h ^ ((lanes[s + k] & _FIRST[1]) * P5), 11) * P1
-                k += 1
-            h = (h ^ (h >> _U(33))) * P2
-            h = (h ^ (h >> _U(29))) * P3
-            out[at] = h ^ (h >> _U(32))
-    return out
-
-
-def same_bytes(lanes: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Whether the spans of `length` bytes at `a` and at `b` are equal."""
-    same, left, k = np.ones(len(a), bool), np.flatnonzero(length > 0), 0
-    while len(left):
-        rest = length[left] - k
-        differ = ((lanes[a[left] + k] ^ lanes[b[left] + k]) & _FIRST[np.minimum(rest, 8)]) != 0
-        same[left[differ]] = False
-        left = left[(rest > 8) & ~differ]
-        k += 8
-    return same
+#: Words that start the n-grams of a table.
+BATCH_WORDS = 1 << 17
 
 
 class Interned:
@@ -118,7 +43,7 @@ class Interned:
         lanes = lanes_of(data)
         key = hashed(lanes, data, start, length)
         size = 1 << max(4, (2 * len(start)).bit_length())
-        mask = _U(size - 1)
+        mask = np.uint64(size - 1)
         owner = np.full(size, -1, np.int32)
         self.slot = np.zeros(len(start), np.int32)
         left, at = np.arange(len(start), dtype=np.int32), (key & mask).astype(np.int32)
@@ -129,14 +54,14 @@ class Interned:
             home = own == left
             check = np.flatnonzero(~home & (key[own] == key[left]) & (length[own] == length[left]))
             i, j = left[check], own[check]
-            home[check] = same_bytes(lanes, start[i], start[j], length[i])
+            home[check] = same_bytes(lanes, start[i], lanes, start[j], length[i])
             self.slot[left[home]] = at[home]
             left, at = left[~home], (at[~home] + np.int32(1)) & np.int32(size - 1)
         self.count = np.bincount(self.slot, minlength=size)
         self.used = np.flatnonzero(owner >= 0)
-        raw, first = memoryview(data.tobytes()), owner[self.used]
+        first = owner[self.used]
         self.bucket = np.zeros(size, np.int64)
-        self.bucket[self.used] = [zlib.crc32(raw[a : a + n]) % buckets for a, n in zip(start[first].tolist(), length[first].tolist(), strict=True)]
+        self.bucket[self.used] = crc32(lanes, data, start[first], length[first]) % np.uint32(buckets)
 
 
 def spans_of(w: Words, max_n: int = MAX_N) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
