@@ -115,24 +115,25 @@ class Dag:
         """From `starts` (tree, digest, height, path) to the parents of leaves: (tree, idx, digest, height, path, children), and trees of one leaf as they are.
 
         `requests` (tree, rank) are the leaves that ask for a proof; without them every leaf asks.  A
-        path is an array of (l, r), the digests left and right of the node that was picked, root first.
+        path is an array of (l, r), the digests left and right of the node that was picked, root first.  Other columns of `starts` go down with it.
         """
-        single = starts.where("height = 0").select("tree", F.lit(0).cast("long").alias("idx"), "path", F.col("digest").alias("children"), "height")
+        more = [c for c in starts.columns if c not in ("tree", "digest", "height", "path")]
+        single = starts.where("height = 0").select("tree", F.lit(0).cast("long").alias("idx"), "path", F.col("digest").alias("children"), "height", *more)
         asked = None if requests is None else requests.select("tree", "rank")
         front = None
         for h in range(self.height, 0, -1):
-            new = starts.where(F.col("height") == h).select("tree", F.lit(0).cast("long").alias("idx"), "digest", "path", "height")
+            new = starts.where(F.col("height") == h).select("tree", F.lit(0).cast("long").alias("idx"), "digest", "path", "height", *more)
             front = new if front is None else front.unionByName(new)
             if asked is not None:
                 digits = asked.select("tree", F.shiftright("rank", BITS * h).alias("idx")).distinct()
                 front = front.join(digits.hint("merge"), ["tree", "idx"], "left_semi")
             met = front.join(self.children(h).hint("merge"), "digest")
             if h == 1:
-                return met.select("tree", "idx", "path", "children", "height").unionByName(single)
+                return met.select("tree", "idx", "path", "children", "height", *more).unionByName(single)
             met = met.withColumn("digit", F.explode(F.sequence(F.lit(0), (F.octet_length("children") / DIGEST).cast("int") - 1)))
             picked, segment = self.pick(F.col("children"), F.col("digit"))
             idx = F.shiftleft("idx", BITS) + F.col("digit")
-            front = written(met.select("tree", idx.alias("idx"), picked.alias("digest"), F.concat("path", F.array(segment)).alias("path"), "height"), "front")
+            front = written(met.select("tree", idx.alias("idx"), picked.alias("digest"), F.concat("path", F.array(segment)).alias("path"), "height", *more), "front")
         return single
 
     @staticmethod
@@ -144,13 +145,14 @@ class Dag:
 
 
 def proofs(leaves: DataFrame, dag: Dag, starts: DataFrame, key: str = "rank", every: bool = True) -> DataFrame:
-    """`leaves` (tree, `key`, ...) with `path`: segments (l, r) from the leaf to the root."""
+    """`leaves` (tree, `key`, ...) with `path`: segments (l, r) from the leaf to the root, and the other columns of `starts`."""
+    more = [c for c in starts.columns if c not in ("tree", "digest", "height", "path")]
     parents = dag.descend(starts, None if every else leaves.select("tree", F.col(key).alias("rank")))
-    parents = parents.select("tree", F.col("idx").alias("_up"), F.col("path").alias("_path"), "children", F.col("height").alias("_height"))
+    parents = parents.select("tree", F.col("idx").alias("_up"), F.col("path").alias("_path"), "children", F.col("height").alias("_height"), *more)
     met = leaves.withColumn("_up", F.shiftright(key, BITS)).join(parents.hint("merge"), ["tree", "_up"])
     _, segment = Dag.pick(F.col("children"), F.col(key).bitwiseAND(F.lit(FAN - 1)).cast("int"))
     own = F.when(F.col("_height") > 0, F.concat("_path", F.array(segment))).otherwise(F.col("_path"))
-    return met.select(*leaves.columns, F.reverse(own).alias("path"))
+    return met.select(*leaves.columns, *more, F.reverse(own).alias("path"))
 
 
 def folded(leaf: Column, path: Column) -> Column:
@@ -175,10 +177,9 @@ def manifest(docs: DataFrame) -> DataFrame:
     root = top.roots.select("digest").first()
     # the segments from a tree's root up to the root of all, root first
     above = proofs(low.roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank"), "digest", "height"), top, top.roots.withColumn("path", F.expr(EMPTY_PATH)))
-    starts = written(above.select(F.col("rank").alias("tree"), "digest", "height", F.reverse("path").alias("path")), "starts")
+    # the root of its tree goes down with each path: leaves don't meet at the few trees again
+    starts = written(above.select(F.col("rank").alias("tree"), "digest", "height", F.reverse("path").alias("path"), F.col("digest").alias("subroot")), "starts")
     rows = proofs(ranked, low, starts)
-    sub = starts.select("tree", F.col("digest").alias("subroot"))
-    rows = written(rows, "proofs").join(sub.hint("merge"), "tree")
     top_root = F.lit(bytes(root[0]) if root else b"")
     out = rows.withColumn("_folded", folded(F.coalesce("altered", "leaf"), F.col("path")))
     return out.select("doc_id", text_of(F.col("leaf")).alias("leaf"), text_of(F.col("subroot")).alias("subroot"), text_of(top_root).alias("root"), text_of(proof_digest(F.col("path"))).alias("proof_sha256"), text_of(F.col("_folded")).alias("folded_root"), (F.col("_folded") == top_root).alias("verified"))
