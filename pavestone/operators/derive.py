@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from ..storage import written
 from .linear import overlaps, subtract_intervals
 from .spatial import match_cascade, nearest_within
 
@@ -104,11 +105,7 @@ def drop_connectors(segments: DataFrame, longest: float = 25.0, snap: float = 0.
     ends = segments.select("id", "name", "class", "az", F.explode(F.array(F.struct(F.lit("a").alias("which"), F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.lit("b").alias("which"), F.col("bx").alias("x"), F.col("by").alias("y")))).alias("e"))
     ends = ends.select("id", "name", "class", "az", "e.which", F.round(F.col("e.x") / snap).alias("gx"), F.round(F.col("e.y") / snap).alias("gy"))
     short = segments.where(F.col("len") <= longest)
-    own = ends.join(short.select("id"), "id", "left_semi")
-    other = ends.select(F.col("id").alias("o_id"), F.col("name").alias("o_name"), F.col("class").alias("o_class"), F.col("az").alias("o_az"), "gx", "gy").distinct()
-    met = own.join(other, ["gx", "gy"]).where("o_id <> id")
-    same = (F.col("o_name") == F.col("name")) & (F.col("o_class") == F.col("class")) & (G.angle_difference_undirected(F.col("az"), F.col("o_az")) <= tolerance)
-    stats = met.groupBy("id", "which").agg(F.countDistinct("o_id").alias("n"), F.coalesce(F.bool_or(same), F.lit(False)).alias("goes_on"))
+    stats = at_nodes(ends, ["name", "class"], tolerance).join(short.select("id"), "id", "left_semi").withColumnRenamed("others", "n")
     bad = stats.where("n > 1 and not goes_on").groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k = 2").select("id")
     links = short.where(F.col("highway").endswith("_link")).select("id")
     return segments.join(bad.unionByName(links).distinct(), "id", "left_anti")
@@ -174,10 +171,35 @@ def first_cut(cuts: DataFrame, key: str = "line_id") -> DataFrame:
     return cuts.groupBy(key).agg(F.min("at").alias("cut"))
 
 
-def reattribute(merged: DataFrame, sources: DataFrame, columns: list[str]) -> DataFrame:
-    """F-15: attributes of merged lines (edge_id, line) from their longest source (edge_id, len, columns), then the smaller id."""
-    own = merged.join(sources, "edge_id")
-    return own.groupBy("line").agg(F.min(F.struct((-F.col("len")).alias("l"), "edge_id", *columns)).alias("m")).select("line", *[F.col(f"m.{c}").alias(c) for c in columns])
+def head_and_tail(lines: DataFrame, cuts: DataFrame, least: float = 0.0, key: str = "line_id") -> DataFrame:
+    """F-12: (key, part, from_m, to_m): lines (key, total) as `head` up to their first cut (key, at) strictly inside and `tail` behind it, or `head` alone; parts no longer than `least` go."""
+    inside = cuts.join(lines, key).where("at > 0 and at < total")
+    both = lines.join(first_cut(inside.select(key, "at"), key), key, "left")
+    head = F.struct(F.lit("head").alias("part"), F.lit(0.0).alias("from_m"), F.coalesce("cut", "total").alias("to_m"))
+    tail = F.struct(F.lit("tail").alias("part"), F.coalesce("cut", "total").alias("from_m"), F.col("total").alias("to_m"))
+    return both.select(key, F.explode(F.array(head, tail)).alias("p")).select(key, "p.*").where(F.col("to_m") - F.col("from_m") > least)
+
+
+def reattribute(lines: DataFrame, edges: DataFrame, style: list[str], columns: list[str]) -> DataFrame:
+    """F-15: attributes of merged lines from the longest source that lies on the line as a whole; else from the longest that shares a stretch or a node with it; then the smaller id.
+
+    `lines` has (edge_id, line), `edges` (edge_id, source_id, a, b: nodes, len, *style, *columns): a source may be cut into edges that went to
+    several lines.  At a node only the longest source of a style can win, so nothing pairs the lines and sources of a node.
+    """
+    key = F.to_json(F.struct(*style))
+    e = edges.withColumn("_style", key)
+    sources = e.groupBy("source_id", "_style").agg(F.sum("len").alias("total"), F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in columns])
+    won = F.struct((-F.col("total")).alias("t"), "source_id", *columns)
+    placed = written(e.join(lines, "edge_id"), "placed")
+    held = placed.groupBy("line", "source_id").agg(F.count(F.lit(1)).alias("held")).join(sources, "source_id")
+    whole = held.where("held = n").groupBy("line").agg(F.min(won).alias("m"))
+    whole = written(whole, "whole")
+    nodes = lambda df, *more: df.select(*more, "_style", F.explode(F.array("a", "b")).alias("node"))
+    best = nodes(e.select("source_id", "_style", "a", "b").join(sources, ["source_id", "_style"]), "source_id", "total", *columns).groupBy("_style", "node").agg(F.min(won).alias("m"))
+    open_ = nodes(placed.join(whole.select("line"), "line", "left_anti"), "line").distinct()
+    touching = open_.join(best, ["_style", "node"]).groupBy("line").agg(F.min("m").alias("m"))
+    out = whole.select("line", "m", F.lit(True).alias("whole")).unionByName(touching.select("line", "m", F.lit(False).alias("whole")))
+    return out.select("line", "m.source_id", *[F.col(f"m.{c}").alias(c) for c in columns], "whole")
 
 
 def snap_endpoints(ends: DataFrame, tolerance: float) -> DataFrame:
@@ -205,12 +227,33 @@ def running_share(df: DataFrame, key: str, order: str, weight: str) -> DataFrame
     return df.withColumn("run", F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def at_nodes(ends: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+    """(id, which, others, goes_on) per end (id, which, *keys, az: degrees, gx, gy) of a line that meets others: how many, and whether one with equal `keys` lies within `tolerance` of its axis.
+
+    Nothing pairs the ends of a node: they are counted, and the nearest axis of another line is one of the three
+    rows before or after in order of azimuth, as a line has two ends at a node at most.
+    """
+    node = ["gx", "gy"]
+    there = ends.groupBy(*node).agg((F.countDistinct("id") - 1).alias("others")).where("others > 0")
+    axis = F.pmod(F.col("az").cast("double"), F.lit(180.0))
+    own = ends.select("id", "which", *keys, *node, axis.alias("d"))
+    named = own.where(" and ".join(f"{k} is not null" for k in keys))
+    # axes are a circle of 180 degrees: those near its ends stand beyond the other end too
+    ghosts = named.where((F.col("d") <= tolerance) | (F.col("d") >= 180.0 - tolerance)).select("id", F.lit(None).cast("string").alias("which"), *keys, *node, F.when(F.col("d") <= tolerance, F.col("d") + 180.0).otherwise(F.col("d") - 180.0).alias("d"))
+    rows = named.withColumn("which", F.col("which").cast("string")).unionByName(ghosts)
+    w = Window.partitionBy(*keys, *node).orderBy("d", "id")
+    close = [F.coalesce((step("id", n).over(w) != F.col("id")) & (F.abs(step("d", n).over(w) - F.col("d")) <= tolerance), F.lit(False)) for step in (F.lag, F.lead) for n in (1, 2, 3)]
+    on = close[0]
+    for c in close[1:]:
+        on = on | c
+    told = rows.withColumn("on", on).where("which is not null and on").select("id", "which").distinct().withColumn("_on", F.lit(True))
+    counted = ends.select("id", F.col("which").cast("string").alias("which"), *node).distinct().join(there, node).select("id", "which", "others")
+    return counted.join(told, ["id", "which"], "left").select("id", "which", "others", F.coalesce("_on", F.lit(False)).alias("goes_on"))
+
+
 def end_stats(ends: DataFrame, tolerance: float = 25.0) -> DataFrame:
     """A-15: per end of a line (id, which, name, az, gx, gy): the other lines there, and whether one of its name goes straight on."""
-    other = ends.select(F.col("id").alias("o_id"), F.col("name").alias("o_name"), F.col("az").alias("o_az"), "gx", "gy").distinct()
-    met = ends.join(other, ["gx", "gy"]).where("o_id <> id")
-    on = (F.col("o_name") == F.col("name")) & (G.angle_difference_undirected(F.col("az"), F.col("o_az")) <= tolerance)
-    return met.groupBy("id", "which").agg(F.countDistinct("o_id").alias("others"), F.coalesce(F.bool_or(on), F.lit(False)).alias("goes_on"))
+    return at_nodes(ends, ["name"], tolerance)
 
 
 def end_offset(ends: DataFrame, stops: DataFrame, touching: DataFrame, near: float = 7.5, far: float = 15.0) -> DataFrame:

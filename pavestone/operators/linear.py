@@ -180,7 +180,7 @@ def corridor_intervals(segments: DataFrame, corridors: DataFrame, cell: float =
     round_ = disc_intervals(segments, discs, "line_id", cell).withColumnRenamed("disc_id", "cor_id")
     quad = G.corridor_quads(F.array(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2"))), F.col("half"), F.col("half"))
     rings = corridors.select(F.col("cor_id").alias("poly_id"), F.transform(quad, lambda q: F.concat(q, F.slice(q, 1, 1))).alias("rings")).where(F.size("rings") > 0)
-    between = line_in_polygon(segments, rings, cell).withColumnRenamed("poly_id", "cor_id")
+    between = line_in_polygon(segments, rings, cell).withColumnRenamed("poly_id", "cor_id").drop("inside_m")
     return round_.unionByName(between)
 
 

@@ -65,19 +65,69 @@ def nearest_within(left: DataFrame, right: DataFrame, distance: float) -> DataFr
     return pairs.groupBy("l_id").agg(F.min(F.struct("d", "r_id", *rest)).alias("m")).select("l_id", "m.*")
 
 
-def nearest(left: DataFrame, right: DataFrame, first: float, most_rounds: int = 24) -> DataFrame:
-    """J-03: the closest right point without a radius: the radius doubles for the left points still alone."""
-    if right.limit(1).count() == 0:
-        return nearest_within(left, right, first)
-    todo, radius, out = left, first, None
-    for _ in range(most_rounds):
-        got = written(nearest_within(todo, right, radius), "nearest")
-        out = got if out is None else out.unionByName(got)
-        todo = written(todo.join(got, "l_id", "left_anti"), "alone")
-        if todo.limit(1).count() == 0:
-            return out
-        radius *= 2
-    raise RuntimeError("points lie too far apart for the first radius")
+#: Points of a leaf of the tree, levels that one step goes down, and the most cells of a level that is sent to all tasks.
+LEAF, LEVELS, MOST_SENT = 32, 2, 4096
+#: A cell is at least this part of the extent wide.
+DEEPEST = 40
+
+
+def _tree(points: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Cells of a quad-tree over points (x, y, ...), a table per step of LEVELS, and the points with the leaf (level, cx, cy) that they are in.
+
+    A cell is cut into smaller ones while it holds more than LEAF points that do not all lie in one place.
+    """
+    e = points.agg(F.min("x"), F.min("y"), F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()
+    x0, y0, size = e[0] or 0.0, e[1] or 0.0, e[2] or 0.0
+    cells, placed, open_ = [], None, points
+    for k in range(LEVELS, DEEPEST + 1, LEVELS):
+        side = size / (1 << k) if size else 1.0
+        at = lambda c, o: F.least(F.floor((F.col(c) - o) / side).cast("long"), F.lit((1 << k) - 1))  # noqa: B023, E731
+        here = open_.withColumn("cx", at("x", x0)).withColumn("cy", at("y", y0))
+        found = here.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bx0"), F.min("y").alias("by0"), F.max("x").alias("bx1"), F.max("y").alias("by1"))
+        leaf = (F.col("n") <= LEAF) | ((F.col("bx0") == F.col("bx1")) & (F.col("by0") == F.col("by1"))) | F.lit(k + LEVELS > DEEPEST)
+        up = [F.shiftright(c, LEVELS).alias(f"p{c}") for c in CELL]
+        found = written(found.select(*CELL, *up, "bx0", "by0", "bx1", "by1", leaf.alias("leaf")), "cells")
+        cells.append(found)
+        told = written(here.join(found.select(*CELL, "leaf"), CELL), "points")
+        own = told.where("leaf").select(*points.columns, F.lit(k).alias("level"), *CELL)
+        placed = own if placed is None else placed.unionByName(own)
+        open_ = told.where("not leaf").select(*points.columns)
+        if not open_.limit(1).count():
+            break
+    return cells, placed
+
+
+def nearest(left: DataFrame, right: DataFrame) -> DataFrame:
+    """J-03: the closest right point (r_id, rx, ry) of each left one (l_id, lx, ly) without a radius; the smaller r_id on ties.
+
+    Right points are leaves of a quad-tree whose cells know the box of their points.  A left point goes down the tree with the cells that are not
+    farther than the farthest place of another: a bound that holds at any distance, so an outlier asks few cells and a cluster is never joined as a whole.
+    """
+    rest = [c for c in right.columns if c not in ("r_id", "rx", "ry")]
+    # points of one place are one point: the smallest id
+    points = written(right.groupBy(F.col("rx").alias("x"), F.col("ry").alias("y")).agg(F.min(F.struct("r_id", *rest)).alias("r")), "points")
+    cells, placed = _tree(points)
+    low = F.sqrt(F.pow(F.greatest(F.col("bx0") - F.col("lx"), F.col("lx") - F.col("bx1"), F.lit(0.0)), 2) + F.pow(F.greatest(F.col("by0") - F.col("ly"), F.col("ly") - F.col("by1"), F.lit(0.0)), 2))
+    high = F.sqrt(F.pow(F.greatest(F.abs(F.col("lx") - F.col("bx0")), F.abs(F.col("lx") - F.col("bx1"))), 2) + F.pow(F.greatest(F.abs(F.col("ly") - F.col("by0")), F.abs(F.col("ly") - F.col("by1"))), 2))
+    asks = left.select("l_id", "lx", "ly")
+    front, k = asks.select("*", F.lit(0).cast("long").alias("pcx"), F.lit(0).cast("long").alias("pcy")), 0
+    held = None
+    for found in cells:
+        k += LEVELS
+        # the first levels are at most 4**k cells
+        side = F.broadcast(found) if 4**k <= MOST_SENT else found.hint("merge")
+        met = front.join(side, ["pcx", "pcy"]).select("l_id", "lx", "ly", F.lit(k).alias("level"), *CELL, "leaf", low.alias("low"), high.alias("high"))
+        if held is not None:
+            met = met.unionByName(held)
+        bound = F.min("high").over(Window.partitionBy("l_id"))
+        kept = written(met.withColumn("bound", bound).where("low <= bound * (1 + 1e-12)").drop("bound"), "asked")
+        held = kept.where("leaf")
+        front = kept.where("not leaf").select("l_id", "lx", "ly", F.col("cx").alias("pcx"), F.col("cy").alias("pcy"))
+    d = F.sqrt(F.pow(F.col("lx") - F.col("x"), 2) + F.pow(F.col("ly") - F.col("y"), 2))
+    pairs = held.select("l_id", "lx", "ly", "level", *CELL).join(placed.hint("merge"), ["level", *CELL])
+    best = pairs.groupBy("l_id").agg(F.min(F.struct(d.alias("d"), F.col("r.r_id").alias("r_id"), F.col("x").alias("rx"), F.col("y").alias("ry"), *[F.col(f"r.{c}").alias(c) for c in rest])).alias("m")).select("l_id", "m.*")
+    more = [c for c in left.columns if c != "l_id"]
+    return best.join(left, "l_id").select("l_id", *more, "d", "r_id", "rx", "ry", *rest)
 
 
 def match_cascade(left: DataFrame, steps: list, key: str = "l_id") -> DataFrame:
@@ -122,20 +172,34 @@ def polygon_edges(polygons: DataFrame, key: str) -> DataFrame:
     return e.where("e.a.x <> e.b.x").select(key, pick("x", True).alias("x1"), pick("y", True).alias("y1"), pick("x", False).alias("x2"), pick("y", False).alias("y2"), F.when(left, -1).otherwise(1).alias("s"))
 
 
-def overlap_area(left: DataFrame, right: DataFrame, cell: float = 16.0) -> DataFrame:
+def overlap_area(left: DataFrame, right: DataFrame, cell: float = 16.0, per_slab: int = 16) -> DataFrame:
     """A-08: (l_id, r_id, area) of polygon pairs (l_id / r_id, rings) by integrating edge pairs; no polygon is cut.
 
-    area = sum of s_a s_b * integral of min(y_a, y_b) - y0 over the shared x range.
+    A pair's common x range is cut into slabs, one for each `per_slab` edges of the two, and only edges of one slab meet: long outlines make
+    a number of edge pairs that grows with their length and not with its square.  area = sum of s_a s_b * integral of min(y_a, y_b) - y0 over the shared x range.
     """
     el, er = polygon_edges(left, "l_id"), polygon_edges(right, "r_id")
 
     def box(e: DataFrame, key: str, p: str) -> DataFrame:
-        return e.groupBy(key).agg(F.min("x1").alias(f"{p}x0"), F.min(F.least("y1", "y2")).alias(f"{p}y0"), F.max("x2").alias(f"{p}x1"), F.max(F.greatest("y1", "y2")).alias(f"{p}y1"))
-
-    pairs = box_pairs(box(el, "l_id", "l"), box(er, "r_id", "r"), cell).select("l_id", "r_id", F.least("ly0", "ry0").alias("y0"))
-    a = el.select("l_id", *[F.col(c).alias(f"a{c}") for c in ("x1", "y1", "x2", "y2", "s")])
-    b = er.select("r_id", *[F.col(c).alias(f"b{c}") for c in ("x1", "y1", "x2", "y2", "s")])
-    both = pairs.join(a, "l_id").join(b, "r_id").withColumn("u", F.greatest("ax1", "bx1")).withColumn("v", F.least("ax2", "bx2")).where("v > u")
+        return e.groupBy(key).agg(F.min("x1").alias(f"{p}x0"), F.min(F.least("y1", "y2")).alias(f"{p}y0"), F.max("x2").alias(f"{p}x1"), F.max(F.greatest("y1", "y2")).alias(f"{p}y1"), F.count(F.lit(1)).alias(f"{p}n"))
+
+    n = (F.col("ln") + F.col("rn")) / per_slab
+    u0, u1 = F.greatest("lx0", "rx0"), F.least("lx1", "rx1")
+    pairs = box_pairs(box(el, "l_id", "l"), box(er, "r_id", "r"), cell).select("l_id", "r_id", F.least("ly0", "ry0").alias("y0"), u0.alias("u0"), u1.alias("u1"), F.greatest(F.ceil(n), F.lit(1)).cast("int").alias("slabs")).where("u1 > u0")
+    pairs = written(pairs.withColumn("step", (F.col("u1") - F.col("u0")) / F.col("slabs")), "pairs")
+
+    def in_slabs(e: DataFrame, key: str, p: str) -> DataFrame:
+        """The edges of a pair's polygon in the slabs of their common x range; the neighbours too, as rounding must not lose one."""
+        met = pairs.join(e.select(key, *[F.col(c).alias(f"{p}{c}") for c in ("x1", "y1", "x2", "y2", "s")]), key).where(f"{p}x2 > u0 and {p}x1 < u1")
+        at = lambda c: F.floor((F.col(f"{p}{c}") - F.col("u0")) / F.col("step"))
+        last = F.col("slabs") - 1
+        bounds = F.sequence(F.greatest(at("x1") - 1, F.lit(0)).cast("int"), F.least(at("x2") + 1, last).cast("int"))
+        rows = met.withColumn("slab", F.explode(F.when(F.col("slabs") > 1, bounds).otherwise(F.array(F.lit(0)))))
+        return rows.withColumn("s0", F.col("u0") + F.col("slab") * F.col("step")).withColumn("s1", F.when(F.col("slab") == last, F.col("u1")).otherwise(F.col("u0") + (F.col("slab") + 1) * F.col("step")))
+
+    a = in_slabs(el, "l_id", "a").drop("u0", "u1", "slabs", "step")
+    b = in_slabs(er, "r_id", "b").drop("u0", "u1", "slabs", "step", "y0", "s0", "s1")
+    both = a.join(b, ["l_id", "r_id", "slab"]).withColumn("u", F.greatest("ax1", "bx1", "s0")).withColumn("v", F.least("ax2", "bx2", "s1")).where("v > u")
     y = lambda p, x: F.col(f"{p}y1") + (F.col(f"{p}y2") - F.col(f"{p}y1")) * (F.col(x) - F.col(f"{p}x1")) / (F.col(f"{p}x2") - F.col(f"{p}x1")) - F.col("y0")
     both = both.select("l_id", "r_id", (F.col("as") * F.col("bs")).alias("s"), (F.col("v") - F.col("u")).alias("w"), y("a", "u").alias("f0"), y("a", "v").alias("f1"), y("b", "u").alias("g0"), y("b", "v").alias("g1"))
     both = both.withColumn("h0", F.col("f0") - F.col("g0")).withColumn("h1", F.col("f1") - F.col("g1"))

@@ -166,6 +166,20 @@ def f12(spark, sf):
     return D.first_cut(cuts(spark, sf).select("line_id", (F.col("from_m") / 10).alias("at")))
 
 
+@query(
+    "f12_head_and_tail",
+    """WITH l AS (SELECT o_orderkey AS line_id, o_orderkey % 90 + 10.0::DOUBLE AS total FROM orders), c AS (SELECT l_orderkey AS line_id, l_linenumber * 17 % 60 - 5.0::DOUBLE AS at FROM lineitem),
+f AS (SELECT line_id, min(at) AS cut FROM c JOIN l USING (line_id) WHERE at > 0 AND at < total GROUP BY 1)
+SELECT line_id, 'head' AS part, 0.0::DOUBLE AS from_m, coalesce(cut, total) AS to_m FROM l LEFT JOIN f USING (line_id) UNION ALL SELECT line_id, 'tail', cut, total FROM l JOIN f USING (line_id)""",
+)
+def f12_parts(spark, sf):
+    """Lines cut at the first of their crossings; some crossings lie off the line, some lines have none."""
+    k = F.col("o_orderkey")
+    l = table(spark, sf, "orders").select(k.alias("line_id"), (k % 90 + 10.0).alias("total"))
+    c = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("line_id"), (F.col("l_linenumber") * 17 % 60 - 5.0).alias("at"))
+    return D.head_and_tail(l, c)
+
+
 @query(
     "f16_drop_connectors",
     """WITH s AS (SELECT c_custkey AS id, c_nationkey % 5 AS name, CASE WHEN c_custkey % 9 = 0 THEN 'primary_link' ELSE 'residential' END AS h, c_mktsegment AS class, c_custkey % 60 + 0.0 AS len, c_custkey * 7 % 180 AS az, c_custkey % 400 AS a, c_custkey * 7 % 400 AS b FROM customer),

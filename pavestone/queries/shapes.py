@@ -184,13 +184,23 @@ def f13(spark, sf):
     return D.snap_endpoints(e, 25.0).select("l_id", "lx", "ly")
 
 
-@query("f15_reattribute", "SELECT l_orderkey AS line, arg_min(l_partkey, (-l_quantity, l_partkey * 10 + l_linenumber)) AS part FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL) GROUP BY 1")
+@query(
+    "f15_reattribute",
+    """WITH e AS (SELECT o_orderkey AS e, o_orderkey * 7 % 11 + 1 AS len, (o_orderkey + 2) // 3 AS src, o_orderkey // 5 AS line, o_orderkey // 500 AS style FROM orders),
+s AS (SELECT src, style, sum(len) AS total, count(*) AS n FROM e GROUP BY 1, 2),
+h AS (SELECT line, e.style, src, count(*) AS held FROM e GROUP BY 1, 2, 3),
+w AS (SELECT line, arg_min(src, (-total, src)) AS src FROM h JOIN s USING (src, style) WHERE held = n GROUP BY line),
+v AS (SELECT line, style, e AS node FROM e UNION SELECT line, style, e + 1 FROM e), u AS (SELECT src, style, e AS node FROM e UNION SELECT src, style, e + 1 FROM e),
+t AS (SELECT line, arg_min(src, (-total, src)) AS src FROM v JOIN u USING (style, node) JOIN s USING (src, style) WHERE line NOT IN (SELECT line FROM w) GROUP BY line)
+SELECT line, src AS source_id, src * 3 % 7 AS colour, true AS whole FROM w UNION ALL SELECT line, src, src * 3 % 7, false FROM t""",
+)
 def f15(spark, sf):
-    l = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_partkey", "l_linenumber").agg(F.max("l_quantity").alias("len"))
-    # ids of edges in the order that decides on ties, told apart by their line
-    edge = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.lpad((F.col("l_partkey") * 10 + F.col("l_linenumber")).cast("string"), 12, "0"))
-    rows = l.select(edge.alias("edge_id"), F.col("l_orderkey").alias("line"), "len", F.col("l_partkey").alias("part"))
-    return D.reattribute(rows.select("edge_id", "line"), rows.select("edge_id", "len", "part"), ["part"])
+    """Edges of long roads: sources of three edges, merged lines of five that cut some of them; gaps where keys are missing."""
+    k = F.col("o_orderkey")
+    src, style = F.floor((k + 2) / 3), F.floor(k / 500)
+    # a source that lies in two styles is one of each
+    e = table(spark, sf, "orders").select(k.alias("edge_id"), F.floor(k / 5).alias("line"), src.alias("source_id"), style.alias("style"), k.alias("a"), (k + 1).alias("b"), (k * 7 % 11 + 1).alias("len"), (src * 3 % 7).alias("colour"))
+    return D.reattribute(e.select("edge_id", "line"), e.drop("line"), ["style"], ["colour"])
 
 
 @query(
@@ -332,7 +342,11 @@ def q07(spark, sf):
     k = F.col("p_partkey")
     be = lambda n: F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0"))
     png = F.concat(F.unhex(F.lit("89504E470D0A1A0A0000000D49484452")), be(256 + k % 3), be(F.lit(256)), F.unhex(F.lit("00")))
-    content = F.when(k % 5 > 0, png).otherwise(F.substring(png, 1, 6))
+    # a JPEG with an application segment, a table and, for some, fill bytes before its frame header
+    be2 = lambda n: F.unhex(F.lpad(F.hex(n.cast("long")), 4, "0"))
+    jpeg = F.concat(F.unhex(F.lit("FFD8FFE000064A464946FFC400040000")), F.when(k % 7 == 0, F.unhex(F.lit("FFFF"))).otherwise(F.unhex(F.lit(""))), F.when(k % 3 == 0, F.unhex(F.lit("FFC2"))).otherwise(F.unhex(F.lit("FFC0"))), F.unhex(F.lit("001108")), be2(F.lit(256)), be2(256 + k % 3), F.unhex(F.lit("03011100021101031101")))
+    image = F.when(k % 2 == 0, png).otherwise(jpeg)
+    content = F.when(k % 5 > 0, image).otherwise(F.substring(image, 1, 6 + k % 3))
     tiles = table(spark, sf, "part").select(F.concat(F.lit("/tiles/"), (k % 4).cast("string"), F.lit("/"), k.cast("string"), F.lit("/1.png")).alias("path"), F.octet_length(content).cast("long").alias("length"), content.alias("content"))
     t = Q.tile_inventory(tiles)
     zoom = F.regexp_extract("path", r"/tiles/(\d+)/", 1).cast("long")

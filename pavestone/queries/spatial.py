@@ -63,7 +63,40 @@ def j02(spark, sf):
     f"""WITH {NODE}, {PLACE} SELECT n.id AS l_id, round(min(sqrt(pow(n.x - c.x, 2) + pow(n.y - c.y, 2))), 6) AS d FROM n, c GROUP BY n.id""",
 )
 def j03(spark, sf):
-    return S.nearest(nodes(spark, sf, "l"), places(spark, sf, "r"), 10.0).select("l_id", F.round("d", 6).alias("d"))
+    return S.nearest(nodes(spark, sf, "l"), places(spark, sf, "r")).select("l_id", F.round("d", 6).alias("d"))
+
+
+@query(
+    "j03_nearest_clustered",
+    """WITH r AS (SELECT o_orderkey AS id, o_orderkey * 7919 % 10007 / 1000.0::DOUBLE + CASE WHEN o_orderkey % 997 = 0 THEN 1e6 ELSE 0 END AS x, o_orderkey * 104729 % 10009 / 1000.0::DOUBLE AS y FROM orders WHERE o_orderkey % 4 = 0),
+l AS (SELECT p_partkey AS id, p_partkey * 37 % 97 * CASE WHEN p_partkey % 50 = 0 THEN 1e5::DOUBLE ELSE 0.1 END AS x, p_partkey * 91 % 89 * CASE WHEN p_partkey % 50 = 0 THEN -1e4::DOUBLE ELSE 0.1 END AS y FROM part)
+SELECT l.id AS l_id, round(min(sqrt(pow(l.x - r.x, 2) + pow(l.y - r.y, 2))), 5) AS d FROM l, r GROUP BY l.id""",
+)
+def j03b(spark, sf):
+    """A dense cluster, some points a million away, and questions from far outside."""
+    o, p = F.col("o_orderkey"), F.col("p_partkey")
+    r = table(spark, sf, "orders").where("o_orderkey % 4 = 0").select(o.alias("r_id"), (o * 7919 % 10007 / 1000.0 + F.when(o % 997 == 0, 1e6).otherwise(0.0)).alias("rx"), (o * 104729 % 10009 / 1000.0).alias("ry"))
+    far = p % 50 == 0
+    l = table(spark, sf, "part").select(p.alias("l_id"), (p * 37 % 97 * F.when(far, 1e5).otherwise(0.1)).alias("lx"), (p * 91 % 89 * F.when(far, -1e4).otherwise(0.1)).alias("ly"))
+    return S.nearest(l, r).select("l_id", F.round("d", 5).alias("d"))
+
+
+@query(
+    "a08_long_outlines",
+    """WITH t AS (SELECT s_suppkey AS id, s_suppkey % 5 + 2 AS h, s_suppkey * 3 % 17 + 0.5::DOUBLE AS x FROM supplier),
+c AS (SELECT id, h, x, unnest(range(40)) AS k FROM t),
+b AS (SELECT a.id AS l_id, b.id AS r_id, greatest(0, least(a.x + 2 * a.k + 1, b.x + 2 * b.k + 1) - greatest(a.x + 2 * a.k, b.x + 2 * b.k)) * least(a.h, b.h) AS o FROM c a JOIN c b ON a.id // 10 = b.id // 10),
+w AS (SELECT a.id AS l_id, b.id AS r_id, (least(a.x, b.x) + 80 - greatest(a.x, b.x)) * 1.0::DOUBLE AS foot FROM t a JOIN t b ON a.id // 10 = b.id // 10)
+SELECT l_id, r_id, round(foot + sum(o), 4)::DOUBLE AS area FROM b JOIN w USING (l_id, r_id) GROUP BY l_id, r_id, foot""",
+)
+def a08_long(spark, sf):
+    """Combs of forty teeth on a foot of height one: outlines with many corners, compared within groups of ten."""
+    k = F.col("s_suppkey")
+    x, y, h = k * 3 % 17 + 0.5, F.floor(k / 10) * 100.0, k % 5 + 2.0
+    teeth = F.flatten(F.transform(F.sequence(F.lit(39), F.lit(0), F.lit(-1)), lambda i: F.array(G.point(x + 2 * i + 2, y + 1), G.point(x + 2 * i + 1, y + 1), G.point(x + 2 * i + 1, y + 1 + h), G.point(x + 2 * i, y + 1 + h), G.point(x + 2 * i, y + 1))))
+    ring = F.concat(F.array(G.point(x, y), G.point(x + 80, y)), teeth, F.array(G.point(x, y)))
+    c = table(spark, sf, "supplier").select(k.alias("id"), F.array(ring).alias("rings"))
+    return S.overlap_area(c.withColumnRenamed("id", "l_id"), c.withColumnRenamed("id", "r_id")).select("l_id", "r_id", F.round("area", 4).alias("area"))
 
 
 @query(
@@ -383,7 +416,7 @@ def f02(spark, sf):
     ring = F.array(*[G.point(a, b) for a, b in [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]])
     p = table(spark, sf, "supplier").select(k.alias("poly_id"), F.array(ring).alias("rings"))
     inside = line_in_polygon(L.line_segments(lines(spark, sf)), p, 64.0)
-    return inside.groupBy("line_id", "poly_id").agg(F.round(F.sum(F.col("to_m") - F.col("from_m")), 3).alias("inside"))
+    return inside.groupBy("line_id", "poly_id").agg(F.round(F.sum("inside_m"), 3).alias("inside"))
 
 
 @query("w06_unique", "SELECT o_custkey, o_orderkey FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey, o_orderdate) = 1")

@@ -77,6 +77,24 @@ def q01(spark, sf):
     return Q.conflicting_tags(table(spark, sf, "orders").select("o_custkey", tag(2).alias("a"), tag(3).alias("b")), "o_custkey", ["crossing"])
 
 
+@query(
+    "q01_mapping_issues",
+    """WITH n AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'zebra' ELSE 'marked' END AS c, CASE WHEN c_custkey % 3 > 0 THEN 'yes' END AS m FROM customer),
+p AS (SELECT o_custkey AS id, o_orderkey AS path_id, o_orderkey % 4 < 2 AS is_crossing, CASE WHEN o_orderkey % 3 = 0 THEN 'zebra' WHEN o_orderkey % 3 = 1 THEN 'marked' END AS c, CASE WHEN o_orderkey % 5 = 0 THEN 'no' END AS m FROM orders),
+b AS (SELECT id, path_id, is_crossing, n.c AS nc, n.m AS nm, p.c AS pc, p.m AS pm FROM n JOIN p USING (id)),
+i AS (SELECT 'critical' AS severity, id AS element_id, path_id, concat_ws('; ', CASE WHEN nm <> pm THEN 'crossing:markings: ' || nm || ' / ' || pm END, CASE WHEN nc <> pc THEN 'crossing: ' || nc || ' / ' || pc END) AS issue FROM b WHERE is_crossing
+UNION ALL SELECT 'warning', id, path_id, concat_ws('; ', CASE WHEN pc IS NOT NULL THEN 'crossing' END, CASE WHEN pm IS NOT NULL THEN 'crossing:markings' END) FROM b WHERE NOT is_crossing)
+SELECT * FROM i WHERE issue <> ''""",
+)
+def q01_issues(spark, sf):
+    """Crossing nodes and the paths through them: conflicts with crossing paths, and paths that only look like one."""
+    c, o = F.col("c_custkey"), F.col("o_orderkey")
+    tags = lambda kind, marks: F.map_filter(F.create_map(F.lit("crossing"), kind, F.lit("crossing:markings"), marks), lambda k, v: v.isNotNull())
+    nodes = table(spark, sf, "customer").select(c.alias("node_id"), tags(F.when(c % 2 == 0, "zebra").otherwise("marked"), F.when(c % 3 > 0, "yes")).alias("tags"))
+    paths = table(spark, sf, "orders").select(F.col("o_custkey").alias("node_id"), o.alias("path_id"), F.when(o % 4 < 2, "crossing").alias("class"), tags(F.when(o % 3 == 0, "zebra").when(o % 3 == 1, "marked"), F.when(o % 5 == 0, "no")).alias("tags"))
+    return Q.mapping_issues(nodes, paths, ["crossing", "crossing:markings"])
+
+
 @query(
     "q05_combinations",
     "SELECT lang, source, coalesce(lang, '') = 'en' AS expected, source IN ('src0', 'src1', 'src5') AS actual, count(*) AS n FROM documents GROUP BY ALL HAVING expected IS DISTINCT FROM actual",
