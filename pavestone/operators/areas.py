@@ -127,21 +127,62 @@ def tactile_lines(kerbs: DataFrame, nodes: DataFrame, ways: DataFrame) -> DataFr
     return parts.unionByName(ways.select("class", "line_id", F.lit(0.0).alias("from_m"), F.col("total").alias("to_m"))).distinct()
 
 
-def inset_points(points: DataFrame, walls: DataFrame, inset: float = 2.0, reach: float = 3.5, cell: float = 16.0) -> DataFrame:
-    """E-34: points (point_id, x, y) moved to the closest place on walls (wall_id, x1, y1, x2, y2; the building at their left) shifted inward, if that is within `reach`; (point_id, x, y, moved).
+def inset_outline(walls: DataFrame, inset: float = 2.0, quarter: int = 8, cell: float = 64.0) -> DataFrame:
+    """E-34: (building, piece, x1, y1, x2, y2, cx, cy): where the inside of buildings is `inset` metres from their walls (building, wall_id, x1, y1, x2, y2; inside on the left).
 
-    At corners the shifted walls are not joined by arcs.
+    Walls are shifted inward; at corners that turn outward an arc round the corner (`quarter` chords for a right angle) joins them; of both, what comes
+    closer to another wall of the building is cut off, so pieces end where they meet.  Arcs have their corner as (cx, cy), walls null.
     """
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    n = F.sqrt(dx * dx + dy * dy)
-    nx, ny = -dy / n * inset, dx / n * inset
-    w = walls.where("x1 <> x2 or y1 <> y2").select("wall_id", (F.col("x1") + nx).alias("x1"), (F.col("y1") + ny).alias("y1"), (F.col("x2") + nx).alias("x2"), (F.col("y2") + ny).alias("y2"))
-    w = along_cells(w, "x1", "y1", "x2", "y2", cell)
-    # the closest place of a wall lies in a cell that it runs through, so a point looks into all cells within its reach
+    w = walls.where("x1 <> x2 or y1 <> y2").withColumn("n", F.sqrt(dx * dx + dy * dy)).withColumn("nx", -dy / F.col("n")).withColumn("ny", dx / F.col("n"))
+    at = lambda c, n: F.col(c) + F.col(n) * inset
+    shifted = w.select("building", F.concat_ws("/", F.col("wall_id").cast("string"), F.lit("wall")).alias("piece"), at("x1", "nx").alias("x1"), at("y1", "ny").alias("y1"), at("x2", "nx").alias("x2"), at("y2", "ny").alias("y2"), F.lit(None).cast("double").alias("cx"), F.lit(None).cast("double").alias("cy"), F.lit(1e-6).alias("slack"))
+    after = w.select("building", F.col("x1").alias("x2"), F.col("y1").alias("y2"), F.col("nx").alias("mx"), F.col("ny").alias("my"))
+    corner = w.join(after, ["building", "x2", "y2"]).withColumn("turn", F.atan2(F.col("nx") * F.col("my") - F.col("ny") * F.col("mx"), F.col("nx") * F.col("mx") + F.col("ny") * F.col("my"))).where("turn < -1e-9")
+    steps = F.ceil(-F.col("turn") * (2 * quarter / 3.141592653589793) - 1e-9).cast("int")
+    corner = corner.withColumn("steps", steps).withColumn("from", F.atan2("ny", "nx")).withColumn("k", F.explode(F.sequence(F.lit(1), F.col("steps"))))
+    spot = lambda k: F.col("from") + F.col("turn") * k / F.col("steps")
+    arcs = corner.select("building", F.concat_ws("/", F.col("wall_id").cast("string"), F.lit("arc"), F.col("k").cast("string")).alias("piece"), (F.col("x2") + inset * F.cos(spot(F.col("k") - 1))).alias("_a"), (F.col("y2") + inset * F.sin(spot(F.col("k") - 1))).alias("_b"), (F.col("x2") + inset * F.cos(spot(F.col("k")))).alias("_c"), (F.col("y2") + inset * F.sin(spot(F.col("k")))).alias("_d"), F.col("x2").alias("cx"), F.col("y2").alias("cy"))
+    # a chord's middle lies nearer to the corner than its ends
+    arcs = arcs.select("building", "piece", F.col("_a").alias("x1"), F.col("_b").alias("y1"), F.col("_c").alias("x2"), F.col("_d").alias("y2"), "cx", "cy", F.lit(0.01 * inset).alias("slack"))
+    pieces = written(shifted.unionByName(arcs), "inset")
+    out = None
+    for slack in (1e-6, 0.01 * inset):
+        own = pieces.where(F.col("slack") == slack)
+        name = F.struct("building", "piece")
+        n = F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))
+        segments = own.select(name.alias("line_id"), F.lit(0).alias("i"), "x1", "y1", "x2", "y2", F.lit(0.0).alias("at"))
+        near = L.corridor_intervals(segments, walls.select(F.struct("building", "wall_id").alias("cor_id"), "x1", "y1", "x2", "y2", F.lit(inset - slack).alias("half")), cell)
+        cuts = near.where("line_id.building = cor_id.building").select("line_id", "from_m", "to_m")
+        left = L.subtract_intervals(own.select(name.alias("line_id"), F.lit(0.0).alias("from_m"), n.alias("to_m")), cuts)
+        both = left.join(own.select(name.alias("line_id"), "x1", "y1", "x2", "y2", "cx", "cy", n.alias("n")), "line_id")
+        place = lambda c, m: F.col(f"{c}1") + (F.col(f"{c}2") - F.col(f"{c}1")) * F.col(m) / F.col("n")
+        got = both.select("line_id.building", "line_id.piece", place("x", "from_m").alias("_a"), place("y", "from_m").alias("_b"), place("x", "to_m").alias("_c"), place("y", "to_m").alias("_d"), "cx", "cy")
+        got = got.select("building", "piece", F.col("_a").alias("x1"), F.col("_b").alias("y1"), F.col("_c").alias("x2"), F.col("_d").alias("y2"), "cx", "cy")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def inset_points(points: DataFrame, outline: DataFrame, reach: float = 3.5, inset: float = 2.0, cell: float = 16.0) -> DataFrame:
+    """E-34: points (point_id, x, y) moved to the closest place of an `inset_outline`, if that is within `reach`; (point_id, x, y, moved).
+
+    On an arc the place lies on the circle round its corner, in the point's direction from there or at the nearer end of the arc.
+    """
+    w = along_cells(outline.select("piece", "x1", "y1", "x2", "y2", F.col("cx").alias("ox"), F.col("cy").alias("oy")), "x1", "y1", "x2", "y2", cell)
+    # the closest place of a piece lies in a cell that it runs through, so a point looks into all cells within its reach
     p = in_cells(points, F.col("x") - reach, F.col("y") - reach, F.col("x") + reach, F.col("y") + reach, cell)
+    here = G.point(F.col("x"), F.col("y"))
     bar = F.struct(G.point(F.col("x1"), F.col("y1")).alias("a"), G.point(F.col("x2"), F.col("y2")).alias("b"))
-    near = p.join(w, CELL).withColumn("_n", G._nearest_on(bar, G.point(F.col("x"), F.col("y")))).where(F.col("_n.d") <= reach)
-    best = near.groupBy("point_id").agg(F.min(F.struct(F.col("_n.d").alias("d"), "wall_id", G.along(bar["a"], bar["b"], F.col("_n.t")).alias("p"))).alias("m"))
+    flat = G.along(bar["a"], bar["b"], G._nearest_on(bar, here)["t"])
+    turn = lambda ax, ay, bx, by: (ax - F.col("ox")) * (by - F.col("oy")) - (ay - F.col("oy")) * (bx - F.col("ox"))
+    x1, y1, x2, y2, x, y = (F.col(c) for c in ("x1", "y1", "x2", "y2", "x", "y"))
+    # arcs run clockwise round their corner
+    between = (turn(x1, y1, x, y) <= 0) & (turn(x, y, x2, y2) <= 0) & ((x - F.col("ox")) * (x1 + x2 - 2 * F.col("ox")) + (y - F.col("oy")) * (y1 + y2 - 2 * F.col("oy")) > 0)
+    toward = F.when(between, here).otherwise(F.when(G.distance(here, bar["a"]) <= G.distance(here, bar["b"]), bar["a"]).otherwise(bar["b"]))
+    n = F.sqrt(F.pow(toward["x"] - F.col("ox"), 2) + F.pow(toward["y"] - F.col("oy"), 2))
+    round_ = G.point(F.col("ox") + (toward["x"] - F.col("ox")) * inset / n, F.col("oy") + (toward["y"] - F.col("oy")) * inset / n)
+    near = p.join(w, CELL).withColumn("_p", F.when(F.col("ox").isNull(), flat).otherwise(round_)).withColumn("_d", G.distance(here, F.col("_p"))).where(F.col("_d") <= reach)
+    best = near.groupBy("point_id").agg(F.min(F.struct(F.col("_d").alias("d"), "piece", F.col("_p").alias("p"))).alias("m"))
     return points.join(best, "point_id", "left").select("point_id", F.coalesce("m.p.x", "x").alias("x"), F.coalesce("m.p.y", "y").alias("y"), F.col("m").isNotNull().alias("moved"))
 
 

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from ..storage import written
 from . import linear as L
 from .aggregates import circular_mean, similar_or_overlapping
 from .arrangement import outlines
+from .components import connected_components
 from .generate import zebra_stripes
+from .network import merge_undirected
 from .overlay import line_in_polygon, touching_intervals
 from .spatial import CELL, along_cells, home_cell, overlap_area
 from .windows import anchored_chains, ring_chains
@@ -196,6 +199,38 @@ def crossing_lines(nodes: DataFrame, paths: DataFrame, reach: float = 45.0, exte
     return out.select("node_id", "kind", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
 
 
+def crossing_clusters(pieces: DataFrame, style: list[str], tolerance: float = 45.0) -> DataFrame:
+    """E-21: (seg_id, cluster): pieces (seg_id, ax, ay, bx, by, *style) that meet end to end, look alike and turn by `tolerance` degrees at most, to any depth.
+
+    At a node the axes lie on a circle of 180 degrees, and those next to each other are linked: that joins the same pieces as all pairs would.
+    """
+    axis = F.pmod(F.degrees(F.atan2(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))), F.lit(180.0))
+    end = F.explode(F.array(G.point(F.col("ax"), F.col("ay")), G.point(F.col("bx"), F.col("by"))))
+    at = pieces.select("seg_id", F.to_json(F.struct(*style)).alias("style"), axis.alias("d"), end.alias("p"))
+    w = Window.partitionBy("style", "p").orderBy("d", "seg_id")
+    whole = Window.partitionBy("style", "p")
+    first = F.min(F.struct("d", "seg_id")).over(whole)
+    nxt = F.coalesce(F.lead(F.struct("d", "seg_id")).over(w), F.struct((first["d"] + 180.0).alias("d"), first["seg_id"].alias("seg_id")))
+    pairs = at.select(F.col("seg_id").alias("a"), nxt["seg_id"].alias("b"), (nxt["d"] - F.col("d")).alias("off")).where((F.col("off") <= tolerance) & (F.col("a") != F.col("b")))
+    found = connected_components(pairs).withColumnRenamed("node", "seg_id")
+    return pieces.select("seg_id").join(found, "seg_id", "left").select("seg_id", F.coalesce("component", "seg_id").alias("cluster"))
+
+
+def merge_crossings(pieces: DataFrame, style: list[str], columns: list[str], tolerance: float = 45.0) -> tuple[DataFrame, DataFrame]:
+    """E-21: connected crossing pieces (seg_id, crossing_id, ax, ay, bx, by, touches, temporary, *style, *columns) as lines.
+
+    Returns (seg_id, cluster, line, place, reversed), the pieces in order along their line, and (cluster, crossing_id, *style, *columns, temporary): attributes of the
+    piece that touches a crossing node, then the longest, then the smallest crossing and piece; temporary if any piece is.
+    """
+    known = written(crossing_clusters(pieces, style, tolerance).join(pieces, "seg_id"), "clusters")
+    length = F.sqrt(F.pow(F.col("bx") - F.col("ax"), 2) + F.pow(F.col("by") - F.col("ay"), 2))
+    own = [*style, *columns]
+    won = known.groupBy("cluster").agg(F.min(F.struct((~F.col("touches")).alias("t"), (-length).alias("l"), "crossing_id", "seg_id", *own)).alias("m"), F.bool_or("temporary").alias("temporary"))
+    lines = merge_undirected(known.select(F.col("seg_id").alias("edge_id"), "cluster", G.point(F.col("ax"), F.col("ay")).alias("a"), G.point(F.col("bx"), F.col("by")).alias("b")), "cluster")
+    placed = known.select("seg_id", "cluster").join(lines.withColumnRenamed("edge_id", "seg_id"), "seg_id")
+    return placed, won.select("cluster", "m.crossing_id", *[F.col(f"m.{c}").alias(c) for c in own], "temporary")
+
+
 def clip_by_zones(rows: DataFrame, inside: DataFrame) -> DataFrame:
     """E-22: what is left of markings (line_id, crossing_id, is_bicycle, total) outside the clip zones of other crossings.
 

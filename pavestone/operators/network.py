@@ -132,6 +132,25 @@ def merge_lines(edges: DataFrame, style: Sequence[str]) -> DataFrame:
     return edges.select("edge_id").join(placed.withColumnRenamed("node", "edge_id"), "edge_id", "left").select("edge_id", F.coalesce("head", "edge_id").alias("line"), F.coalesce("place", F.lit(0)).cast("long").alias("place"))
 
 
+def merge_undirected(edges: DataFrame, group: str) -> DataFrame:
+    """F-14 for lines without a direction: (edge_id, line, place, reversed) of edges (edge_id: long, `group`, a, b) that chain where exactly two of a group end at a node.
+
+    Each edge is taken in both directions; of the two mirrored chains the one counts that runs along its smallest edge.
+    """
+    half = lambda way: F.col("edge_id") * 2 + way
+    ends = edges.select(group, F.explode(F.array(F.struct(F.col("b").alias("node"), half(0).alias("into"), half(1).alias("out")), F.struct(F.col("a").alias("node"), half(1).alias("into"), half(0).alias("out")))).alias("e")).select(group, "e.*")
+    two = ends.groupBy(group, "node").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("into", "out")).alias("p"), F.max(F.struct("into", "out")).alias("q")).where("n = 2")
+    links = two.select(F.explode(F.array(F.struct(F.col("p.into").alias("node"), F.col("q.out").alias("next")), F.struct(F.col("q.into").alias("node"), F.col("p.out").alias("next")))).alias("l")).select("l.*").where("node <> next")
+    links = written(links, "links")
+    part = connected_components(links, "node", "next")
+    heads = part.join(links.select(F.col("next").alias("node")), "node", "left_anti").select("component").distinct()
+    rings = part.select("component").distinct().join(heads, "component", "left_anti").select(F.col("component").alias("next"))
+    placed = chain_order(written(links.join(rings, "next", "left_anti"), "open"))
+    smallest = placed.groupBy("head").agg(F.min("node").alias("least")).where("least % 2 = 0")
+    kept = placed.join(smallest, "head").select(F.expr("node div 2").alias("edge_id"), F.expr("least div 2").alias("line"), "place", (F.col("node") % 2 == 1).alias("reversed"))
+    return edges.select("edge_id").join(kept, "edge_id", "left").select("edge_id", F.coalesce("line", "edge_id").alias("line"), F.coalesce("place", F.lit(0)).cast("long").alias("place"), F.coalesce("reversed", F.lit(False)).alias("reversed"))
+
+
 def number_total(df: DataFrame, key: str, *order: str) -> DataFrame:
     """W-06: rows of a key counted and kept where alone."""
     return df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key))).where("_n = 1").drop("_n")

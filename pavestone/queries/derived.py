@@ -168,8 +168,8 @@ def f12(spark, sf):
 
 @query(
     "f12_head_and_tail",
-    """WITH l AS (SELECT o_orderkey AS line_id, o_orderkey % 90 + 10.0::DOUBLE AS total FROM orders), c AS (SELECT l_orderkey AS line_id, l_linenumber * 17 % 60 - 5.0::DOUBLE AS at FROM lineitem),
-f AS (SELECT line_id, min(at) AS cut FROM c JOIN l USING (line_id) WHERE at > 0 AND at < total GROUP BY 1)
+    """WITH l AS (SELECT o_orderkey AS line_id, o_orderkey % 90 + 10.0::DOUBLE AS total FROM orders), c AS (SELECT l_orderkey AS line_id, l_linenumber * 17 % 60 - 5.0::DOUBLE AS pos FROM lineitem),
+f AS (SELECT line_id, min(pos) AS cut FROM c JOIN l USING (line_id) WHERE pos > 0 AND pos < total GROUP BY 1)
 SELECT line_id, 'head' AS part, 0.0::DOUBLE AS from_m, coalesce(cut, total) AS to_m FROM l LEFT JOIN f USING (line_id) UNION ALL SELECT line_id, 'tail', cut, total FROM l JOIN f USING (line_id)""",
 )
 def f12_parts(spark, sf):

@@ -293,15 +293,23 @@ def e33(spark, sf):
     return A.tactile_lines(kerbs, n, ways.unionByName(ways)).select("class", "line_id", F.round("from_m", 6).alias("from_m"), F.round("to_m", 6).alias("to_m"))
 
 
-@query("e34_inset_points", "SELECT o_orderkey AS point_id, o_orderkey * 50 + 5.0::DOUBLE AS x, CASE WHEN o_orderkey % 4 = 0 THEN -3.0 ELSE 2.0 END::DOUBLE AS y, o_orderkey % 4 > 0 AS moved FROM orders")
+@query(
+    "e34_inset_points",
+    """SELECT k AS point_id, round(k * 50 + CASE k % 5 WHEN 1 THEN 2.0 WHEN 2 THEN 6 + sqrt(2) WHEN 3 THEN 5.0 ELSE 5.0 END, 4)::DOUBLE AS x, round(CASE k % 5 WHEN 0 THEN -3.0 WHEN 1 THEN 2.0 WHEN 2 THEN 6 - sqrt(2) WHEN 3 THEN 4.0 ELSE 2.0 END, 4)::DOUBLE AS y, k % 5 > 0 AS moved FROM (SELECT o_orderkey AS k FROM orders)""",
+)
 def e34(spark, sf):
+    """Buildings like an L: numbers beside a wall, in a corner (where shifted walls meet), at the corner that turns outward (where an arc joins them), and outside."""
     k = F.col("o_orderkey")
     o = table(spark, sf, "orders")
-    x = k * 50.0
-    p = o.select(k.alias("point_id"), (x + 5).alias("x"), F.when(k % 4 == 0, -3.0).otherwise(0.5).alias("y"))
-    w = o.select(k, F.posexplode(G.segments(_box(x, F.lit(0.0), x + 10, F.lit(10.0)))).alias("i", "e"))
-    w = w.select((k * 4 + F.col("i")).alias("wall_id"), F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
-    return A.inset_points(p, w).select("point_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "moved")
+    x, case = k * 50.0, k % 5
+    px = F.when(case == 1, 0.5).when(case == 2, 6.5).when(case == 3, 5.0).otherwise(5.0)
+    py = F.when(case == 0, -3.0).when(case == 1, 0.5).when(case == 2, 5.5).when(case == 3, 5.5).otherwise(0.5)
+    p = o.select(k.alias("point_id"), (x + px).alias("x"), py.alias("y"))
+    corners = [(0, 0), (10, 0), (10, 10), (6, 10), (6, 6), (0, 6), (0, 0)]
+    ring = F.array(*[G.point(x + a, F.lit(b)) for a, b in corners])
+    w = o.select(k, F.posexplode(G.segments(ring)).alias("i", "e"))
+    w = w.select(k.alias("building"), (k * 6 + F.col("i")).alias("wall_id"), F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
+    return A.inset_points(p, A.inset_outline(w)).select("point_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "moved")
 
 
 @query("e35_bridge_ends", "SELECT o_orderkey AS bridge_id, CAST(r AS BIGINT) AS run FROM orders, (SELECT unnest([2, 4]) AS r) WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 > 0")

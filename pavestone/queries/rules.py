@@ -8,6 +8,7 @@ from ..functions import tags as T
 from ..operators import classify as C
 from ..operators import lanes as N
 from ..registry import query, table
+from ..sources.geojson import read_geojson
 from ..sources import tables as S
 from .derived import _pick, _tags
 from .generated import _LANES, _roads
@@ -301,7 +302,7 @@ def s06(spark, sf):
     path = _in_shared(spark, "geojson")
     each = table(spark, sf, "customer").groupBy(F.floor(k / 300).alias("part")).agg(F.collect_list(feature).alias("features"))
     each.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
-    return S.read_geojson(spark, path, {"id": "long", "segment": "string"}).select("id", "segment", "x", "y")
+    return read_geojson(spark, path, {"id": "long", "segment": "string"}).select("id", "segment", "x", "y")
 
 
 @query("s08_snapshot", "SELECT p_partkey FROM part")

@@ -82,7 +82,7 @@ def q01(spark, sf):
     """WITH n AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'zebra' ELSE 'marked' END AS c, CASE WHEN c_custkey % 3 > 0 THEN 'yes' END AS m FROM customer),
 p AS (SELECT o_custkey AS id, o_orderkey AS path_id, o_orderkey % 4 < 2 AS is_crossing, CASE WHEN o_orderkey % 3 = 0 THEN 'zebra' WHEN o_orderkey % 3 = 1 THEN 'marked' END AS c, CASE WHEN o_orderkey % 5 = 0 THEN 'no' END AS m FROM orders),
 b AS (SELECT id, path_id, is_crossing, n.c AS nc, n.m AS nm, p.c AS pc, p.m AS pm FROM n JOIN p USING (id)),
-i AS (SELECT 'critical' AS severity, id AS element_id, path_id, concat_ws('; ', CASE WHEN nm <> pm THEN 'crossing:markings: ' || nm || ' / ' || pm END, CASE WHEN nc <> pc THEN 'crossing: ' || nc || ' / ' || pc END) AS issue FROM b WHERE is_crossing
+i AS (SELECT 'critical' AS severity, id AS element_id, path_id, concat_ws('; ', CASE WHEN nc <> pc THEN 'crossing: ' || nc || ' / ' || pc END, CASE WHEN nm <> pm THEN 'crossing:markings: ' || nm || ' / ' || pm END) AS issue FROM b WHERE is_crossing
 UNION ALL SELECT 'warning', id, path_id, concat_ws('; ', CASE WHEN pc IS NOT NULL THEN 'crossing' END, CASE WHEN pm IS NOT NULL THEN 'crossing:markings' END) FROM b WHERE NOT is_crossing)
 SELECT * FROM i WHERE issue <> ''""",
 )

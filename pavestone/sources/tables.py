@@ -52,14 +52,6 @@ def within_bbox(df: DataFrame, bbox: Sequence[float], x: str = "x", y: str = "y"
     return df.where(F.col(x).between(west, east) & F.col(y).between(south, north))
 
 
-def read_geojson(spark: SparkSession, path: str, properties: dict[str, str]) -> DataFrame:
-    """S-06: point features of GeoJSON files with the named properties (name -> type)."""
-    props = ", ".join(f"`{k}`: {v}" for k, v in properties.items())
-    schema = f"features array<struct<geometry: struct<type: string, coordinates: array<double>>, properties: struct<{props}>>>"
-    f = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("f"))
-    return f.select(*[F.col(f"f.properties.`{k}`").alias(k) for k in properties], F.col("f.geometry.coordinates")[0].alias("x"), F.col("f.geometry.coordinates")[1].alias("y"))
-
-
 def feature_lines(df: DataFrame, key: str, properties: Sequence[str]) -> DataFrame:
     """S-07: (key, line): a GeoJSON point feature per row with x and y."""
     geometry = F.struct(F.lit("Point").alias("type"), F.array("x", "y").alias("coordinates"))

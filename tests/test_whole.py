@@ -6,12 +6,6 @@ import duckdb
 
 import __spark_entry__  # noqa: F401  (registers the queries)
 from pavestone import registry
-from pavestone.queries.whole import WHOLE
-
-
-def test_each_subset_query_has_a_whole_form():
-    for name, *_ in WHOLE:
-        assert f"{name}_whole" in registry.QUERIES and f"{name}_whole" in registry.ORACLES
 
 
 def hexagon(x, y, step, size=6.0):
@@ -21,7 +15,7 @@ def hexagon(x, y, step, size=6.0):
 
 
 def test_fill_cells_of_all_areas_and_trees(spark, data):
-    got = {r.area_id: r.cells for r in registry.QUERIES["e07_fill_cells_whole"](spark, data).collect()}
+    got = {r.area_id: r.cells for r in registry.QUERIES["e07_fill_cells"](spark, data).collect()}
     customers = [k for (k,) in duckdb.sql(f"SELECT c_custkey FROM '{data}/customer.parquet'").fetchall()]
     parts = [k for (k,) in duckdb.sql(f"SELECT p_partkey FROM '{data}/part.parquet'").fetchall()]
     step = 6 * math.sqrt(3)
