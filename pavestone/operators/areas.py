@@ -213,6 +213,24 @@ def bridge_ends(outlines: DataFrame, ways: DataFrame, turn: float = 30.0) -> Dat
     return crossing_segments(a, b).where("a_id.layer = b_id.layer").select("a_id.bridge_id", "a_id.run").distinct()
 
 
+def bridge_shade(bridges: DataFrame, segments: DataFrame, ends: DataFrame, reach: float = 5.0, quarter: int = 8) -> DataFrame:
+    """E-35: (bridge_id, ring, place, x1, y1, x2, y2): bridges (bridge_id, rings) without the zones within `reach` of the outline runs that ways cross.
+
+    `segments` (bridge_id, run, x1, y1, x2, y2) are the outlines, `ends` (bridge_id, run) those of `bridge_ends`.  A bridge's zones are
+    taken out of that bridge alone; round ends have `quarter` chords for a right angle.
+    """
+    own = segments.join(ends, ["bridge_id", "run"], "left_semi")
+    a, b = G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2"))
+    quad = G.corridor_quads(F.array(a, b), F.lit(reach), F.lit(reach))
+    disc = lambda p: F.transform(F.sequence(F.lit(0), F.lit(4 * quarter)), lambda k: G.point(p["x"] + reach * F.cos(k * (1.5707963267948966 / quarter)), p["y"] + reach * F.sin(k * (1.5707963267948966 / quarter))))
+    rings = F.concat(F.transform(quad, lambda q: F.concat(q, F.slice(q, 1, 1))), F.array(disc(a), disc(b)))
+    grp = F.to_json(F.struct("bridge_id"))
+    name = F.concat_ws("/", *[F.round(c, 3).cast("string") for c in ("x1", "y1", "x2", "y2")])
+    zones = own.select(grp.alias("grp"), name.alias("n"), F.posexplode(rings).alias("k", "ring")).select("grp", F.concat_ws("#", "n", F.col("k").cast("string")).alias("poly_id"), F.array("ring").alias("rings"), F.lit(-1000).alias("weight"))
+    whole = bridges.join(ends.select("bridge_id").distinct(), "bridge_id", "left_semi").select(grp.alias("grp"), F.lit("bridge").alias("poly_id"), "rings", F.lit(1).alias("weight"))
+    return _outlined(outlines(whole.unionByName(zones)), ["bridge_id"], f"bridge_id {dict(bridges.dtypes)['bridge_id']}")
+
+
 def wall_pieces(parts: DataFrame, snap: float = 0.001, cell: float = 64.0) -> DataFrame:
     """(x1, y1, x2, y2, left, right, n): stretches of the walls of building parts (part, height, rings), cut wherever another wall begins, ends or meets them.
 

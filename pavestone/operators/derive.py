@@ -154,16 +154,20 @@ def fit_rectangle(polygons: DataFrame) -> DataFrame:
 
 
 def link_lane_ends(lanes: DataFrame) -> DataFrame:
-    """F-18: ends of linked lanes (id, next_id, n, n_next, sx, sy, ex, ey) brought together, in order.
+    """F-18: ends of linked lanes (id, next_id, n: lanes of the road in its direction, sx, sy, ex, ey: in the direction of travel, spread_exit) brought together, in order.
 
-    Where the next lane's road has no more lanes, its start moves to this end; else this end moves to that start.
+    First, exits at spread ends of dual carriageways move to the entry of the next lane.  Then an entry moves to the exit of the lane before, where
+    its road has no more lanes than that one's.  Exits whose next lane did not move take its entry.  Of several lanes before, the smallest id counts.
     """
-    nxt = lanes.select(F.col("id").alias("next_id"), F.col("sx").alias("nx"), F.col("sy").alias("ny"))
-    entry = lanes.where("next_id is not null and n_next <= n").groupBy(F.col("next_id").alias("id")).agg(F.min(F.struct(F.col("id").alias("from_id"), "ex", "ey")).alias("m"))
-    first = lanes.join(entry, "id", "left").withColumn("sx", F.coalesce("m.ex", "sx")).withColumn("sy", F.coalesce("m.ey", "sy")).drop("m")
-    out = first.join(nxt, "next_id", "left")
-    late = F.col("n_next") > F.col("n")
-    return out.withColumn("ex", F.when(late, F.coalesce("nx", "ex")).otherwise(F.col("ex"))).withColumn("ey", F.when(late, F.coalesce("ny", "ey")).otherwise(F.col("ey"))).select("id", "next_id", "sx", "sy", "ex", "ey")
+    start = lanes.select(F.col("id").alias("next_id"), F.col("sx").alias("nx"), F.col("sy").alias("ny"))
+    with_next = lanes.join(start, "next_id", "left")
+    out = lambda c, n: F.when(F.col("spread_exit") & F.col(n).isNotNull(), F.col(n)).otherwise(F.col(c)).alias(c)
+    spread = with_next.select("id", "next_id", "n", "sx", "sy", out("ex", "nx"), out("ey", "ny"))
+    before = spread.where("next_id is not null").groupBy(F.col("next_id").alias("id")).agg(F.min(F.struct("id", "n", "ex", "ey")).alias("p"))
+    moved = spread.join(before, "id", "left").withColumn("moved", F.coalesce(F.col("n") <= F.col("p.n"), F.lit(False)))
+    entered = moved.select("id", "next_id", F.when(F.col("moved"), F.col("p.ex")).otherwise(F.col("sx")).alias("sx"), F.when(F.col("moved"), F.col("p.ey")).otherwise(F.col("sy")).alias("sy"), "ex", "ey")
+    still = moved.where("not moved").select(F.col("id").alias("next_id"), F.col("sx").alias("nx"), F.col("sy").alias("ny"))
+    return entered.join(still, "next_id", "left").select("id", "next_id", "sx", "sy", F.coalesce("nx", "ex").alias("ex"), F.coalesce("ny", "ey").alias("ey"))
 
 
 def first_cut(cuts: DataFrame, key: str = "line_id") -> DataFrame:

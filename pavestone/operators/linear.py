@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from ..storage import written
 
 
 def vertices(lines: DataFrame, key: str = "line_id", line: str = "line", carry: Sequence[str] = ()) -> DataFrame:
@@ -38,6 +39,13 @@ def offset_lines(lines: DataFrame, offset: Column, transition: Column | None = N
     zero, no = F.lit(0.0), F.lit(False)
     # the rules go with the vertices: nothing is joined back
     ruled = lines.select(key, "line", offset.cast("double").alias("o"), (zero if transition is None else transition).alias("t"), (no if pin_start is None else pin_start).alias("p1"), (no if pin_end is None else pin_end).alias("p2"))
+    # one segment has one normal: such lines are never taken apart
+    one = ruled.where(F.size("line") == 2).select(key, F.get("line", F.lit(0)).alias("a"), F.get("line", F.lit(1)).alias("b"), "o", "t", "p1", "p2")
+    one = one.withColumn("_n", G.distance(F.col("a"), F.col("b"))).where("_n >= 0.001")
+    ux, uy = (F.col("b.x") - F.col("a.x")) / F.col("_n"), (F.col("b.y") - F.col("a.y")) / F.col("_n")
+    moved = lambda p, by: G.point(F.col(f"{p}.x") + uy * by, F.col(f"{p}.y") - ux * by)
+    one = one.select(key, F.array(moved("a", F.when(F.col("p1"), zero).otherwise(F.col("o"))), moved("b", F.when(F.col("p2"), zero).otherwise(F.col("o") + F.col("t")))).alias("line"))
+    ruled = ruled.where(F.size("line") != 2)
     w = Window.partitionBy(key).orderBy("i")
     v = vertices(ruled, key, carry=["o", "t", "p1", "p2"]).where("total >= 0.001")
     d = lambda f: F.struct((f("x") - F.col("x")).alias("x"), (f("y") - F.col("y")).alias("y"))
@@ -49,7 +57,7 @@ def offset_lines(lines: DataFrame, offset: Column, transition: Column | None = N
     v = v.withColumn("size", size).withColumn("tx", F.when(F.col("size") < 1e-12, F.col("ax")).otherwise(F.col("sx") / F.col("size"))).withColumn("ty", F.when(F.col("size") < 1e-12, F.col("ay")).otherwise(F.col("sy") / F.col("size")))
     shift = F.when((F.col("p1") & F.col("px").isNull()) | (F.col("p2") & F.col("ax").isNull()), zero).otherwise(F.col("o") + F.col("t") * F.col("at") / F.col("total"))
     moved = v.select(key, "i", (F.col("x") + F.col("ty") * shift).alias("x"), (F.col("y") - F.col("tx") * shift).alias("y"))
-    return collect_line(moved, key, "i")
+    return one.unionByName(collect_line(moved, key, "i"))
 
 
 def merge_intervals(intervals: DataFrame, key: str | Sequence[str] = "line_id", low: str = "from_m", high: str = "to_m") -> DataFrame:
@@ -112,6 +120,56 @@ def near_equal_pieces(lines: DataFrame, junctions: DataFrame, longest: float, sn
     return split_at(lines.select(key, F.lit(0.0).alias("from_m"), F.col("total").alias("to_m")), placed, key)
 
 
+def crossing_places(segments: DataFrame, others: DataFrame, cell: float = 64.0, key: str = "line_id") -> DataFrame:
+    """(key, at): where lines, as segments (key, x1, y1, x2, y2, at), are crossed or touched by segments of other lines (other_id, x1, y1, x2, y2)."""
+    from .areas import crossing_segments
+
+    a = segments.select(F.struct(key, "at", F.col("x1").alias("ax"), F.col("y1").alias("ay")).alias("a_id"), "x1", "y1", "x2", "y2")
+    b = others.select(F.col("other_id").alias("b_id"), "x1", "y1", "x2", "y2")
+    met = crossing_segments(a, b, cell).where(F.col("b_id") != F.col(f"a_id.{key}"))
+    step = F.sqrt(F.pow(F.col("x") - F.col("a_id.ax"), 2) + F.pow(F.col("y") - F.col("a_id.ay"), 2))
+    return met.select(F.col(f"a_id.{key}").alias(key), (F.col("a_id.at") + step).alias("at")).distinct()
+
+
+def connected_ends(ends: DataFrame, roads: DataFrame, reach: float = 3.0, least: int = 2, cell: float = 16.0) -> DataFrame:
+    """(end_id) of ends (end_id, x, y) that have `least` roads or more, as segments (road_id, x1, y1, x2, y2), within `reach`."""
+    from .spatial import CELL, along_cells, in_cells
+
+    at = in_cells(ends, F.col("x") - reach, F.col("y") - reach, F.col("x") + reach, F.col("y") + reach, cell)
+    bar = F.struct(G.point(F.col("x1"), F.col("y1")).alias("a"), G.point(F.col("x2"), F.col("y2")).alias("b"))
+    near = at.join(along_cells(roads, "x1", "y1", "x2", "y2", cell), CELL).where(G._nearest_on(bar, G.point(F.col("x"), F.col("y")))["d"] <= reach)
+    # enough to know the smallest and the largest where two are asked for
+    n = F.countDistinct("road_id") >= least if least != 2 else F.min("road_id") != F.max("road_id")
+    return near.groupBy("end_id").agg(n.alias("ok")).where("ok").select("end_id")
+
+
+def trim_ends(pieces: DataFrame, cut: float = 12.0, least: float = 5.0) -> DataFrame:
+    """Pieces (from_m, to_m, trim_a, trim_b, ...) shortened by `cut` at the ends that are to be trimmed, if more than that is left; pieces of `least` or less go."""
+    a, b = F.when(F.col("trim_a"), cut).otherwise(0.0), F.when(F.col("trim_b"), cut).otherwise(0.0)
+    enough = F.col("to_m") - F.col("from_m") > a + b
+    low, high = F.when(enough, F.col("from_m") + a).otherwise(F.col("from_m")), F.when(enough, F.col("to_m") - b).otherwise(F.col("to_m"))
+    return pieces.withColumn("_low", low).withColumn("to_m", high).withColumn("from_m", F.col("_low")).drop("_low").where(F.col("to_m") - F.col("from_m") > least)
+
+
+def label_pieces(lines: DataFrame, blade: float = 1.0, least: float = 5.0, reach: float = 3.0, cut: float = 12.0, cell: float = 64.0) -> DataFrame:
+    """F-07: (line_id, from_m, to_m): street lines (line_id, line, main) split where other main roads meet them (`blade` metres go on both sides), and trimmed by `cut` at ends that are connected to another road; short pieces go."""
+    segments = written(line_segments(lines), "segments")
+    main = segments.join(lines.where("main").select("line_id"), "line_id", "left_semi").select(F.col("line_id").alias("other_id"), "x1", "y1", "x2", "y2")
+    at = crossing_places(segments, main, cell)
+    whole = segments.groupBy("line_id").agg(F.max("total").alias("to_m")).select("line_id", F.lit(0.0).alias("from_m"), "to_m")
+    parts = written(subtract_intervals(whole, at.select("line_id", (F.col("at") - blade).alias("from_m"), (F.col("at") + blade).alias("to_m")), least), "parts")
+    # the place of both ends of each part, on the segment that holds it
+    both = parts.select("line_id", "from_m", F.explode(F.array(F.struct(F.lit("a").alias("which"), F.col("from_m").alias("m")), F.struct(F.lit("b").alias("which"), F.col("to_m").alias("m")))).alias("e")).select("line_id", "from_m", "e.*")
+    n = F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))
+    on = both.join(segments.withColumn("n", n), "line_id").where("m >= at and m <= at + n + 1e-9")
+    t = (F.col("m") - F.col("at")) / F.col("n")
+    ends = on.select(F.struct("line_id", "from_m", "which").alias("end_id"), (F.col("x1") + t * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + t * (F.col("y2") - F.col("y1"))).alias("y"))
+    found = connected_ends(ends, segments.select(F.col("line_id").alias("road_id"), "x1", "y1", "x2", "y2"), reach).select("end_id.*")
+    flags = found.groupBy("line_id", "from_m").agg(F.bool_or(F.col("which") == "a").alias("trim_a"), F.bool_or(F.col("which") == "b").alias("trim_b"))
+    told = parts.join(flags, ["line_id", "from_m"], "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("trim_a", "trim_b")})
+    return trim_ends(told, cut, least).select("line_id", "from_m", "to_m")
+
+
 def chunk_line(line: Column, most: int = 256) -> Column:
     """F-23: a line as pieces of at most `most` vertices that share their ends."""
     n = F.size(line)
@@ -163,9 +221,13 @@ def disc_intervals(lines: DataFrame, discs: DataFrame, key: str = "line_id", cel
 
 def line_segments(lines: DataFrame, key: str = "line_id") -> DataFrame:
     """(key, i, x1, y1, x2, y2, at, total) of the segments of lines (key, line)."""
+    # lines of one segment are never taken apart
+    one = lines.where(F.size("line") == 2).select(key, F.lit(0).alias("i"), F.get("line", F.lit(0)).alias("a"), F.get("line", F.lit(1)).alias("b"))
+    one = one.select(key, "i", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), F.lit(0.0).alias("at"), G.distance(F.col("a"), F.col("b")).alias("total")).where("total > 0")
     w = Window.partitionBy(key).orderBy("i")
-    v = vertices(lines, key)
-    return v.select(key, "i", F.col("x").alias("x1"), F.col("y").alias("y1"), F.lead("x").over(w).alias("x2"), F.lead("y").over(w).alias("y2"), "at", "total").where("x2 is not null")
+    v = vertices(lines.where(F.size("line") != 2), key)
+    rest = v.select(key, "i", F.col("x").alias("x1"), F.col("y").alias("y1"), F.lead("x").over(w).alias("x2"), F.lead("y").over(w).alias("y2"), "at", "total").where("x2 is not null")
+    return one.unionByName(rest)
 
 
 def corridor_intervals(segments: DataFrame, corridors: DataFrame, cell: float = 64.0) -> DataFrame:

@@ -221,14 +221,17 @@ def f17(spark, sf):
 
 @query(
     "f18_link_lane_ends",
-    """WITH l AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 > 0 THEN c_custkey + 1 END AS nxt, c_custkey % 3 AS n, (c_custkey + 1) % 3 AS nn, c_custkey * 10.0::DOUBLE AS sx, c_custkey * 10.0::DOUBLE + 9 AS ex FROM customer),
-e AS (SELECT nxt AS id, min(ex) AS ex FROM l WHERE nxt IS NOT NULL AND nn <= n GROUP BY 1)
-SELECT l.id, coalesce(e.ex, l.sx) AS sx, CASE WHEN l.nn > l.n THEN coalesce(b.sx, l.ex) ELSE l.ex END AS ex FROM l LEFT JOIN e USING (id) LEFT JOIN l b ON b.id = l.nxt""",
+    """WITH l AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 > 0 THEN c_custkey + 1 + (c_custkey % 8 = 1)::INT END AS nxt, c_custkey % 3 AS n, c_custkey * 10.0::DOUBLE AS sx, c_custkey * 10.0::DOUBLE + 9 AS ex, c_custkey % 5 = 0 AS spread FROM customer),
+o AS (SELECT l.id, l.nxt, l.n, l.sx, CASE WHEN l.spread AND b.id IS NOT NULL THEN b.sx ELSE l.ex END AS ex FROM l LEFT JOIN l b ON b.id = l.nxt),
+p AS (SELECT nxt AS id, arg_min(n, id) AS pn, arg_min(ex, id) AS pex FROM o WHERE nxt IS NOT NULL GROUP BY 1),
+e AS (SELECT o.id, o.nxt, CASE WHEN coalesce(o.n <= pn, false) THEN pex ELSE o.sx END AS sx, o.sx AS old, o.ex, coalesce(o.n <= pn, false) AS moved FROM o LEFT JOIN p USING (id))
+SELECT e.id, e.sx, CASE WHEN NOT b.moved THEN b.old ELSE e.ex END AS ex FROM e LEFT JOIN e b ON b.id = e.nxt""",
 )
 def f18(spark, sf):
+    """Lanes in rows; some have two lanes before them, one in five ends at a spread carriageway."""
     k = F.col("c_custkey")
     zero = F.lit(0.0)
-    l = table(spark, sf, "customer").select(k.alias("id"), F.when(k % 4 > 0, k + 1).alias("next_id"), (k % 3).alias("n"), ((k + 1) % 3).alias("n_next"), (k * 10.0).alias("sx"), zero.alias("sy"), (k * 10.0 + 9).alias("ex"), zero.alias("ey"))
+    l = table(spark, sf, "customer").select(k.alias("id"), F.when(k % 4 > 0, k + 1 + (k % 8 == 1).cast("int")).alias("next_id"), (k % 3).alias("n"), (k * 10.0).alias("sx"), zero.alias("sy"), (k * 10.0 + 9).alias("ex"), zero.alias("ey"), (k % 5 == 0).alias("spread_exit"))
     return D.link_lane_ends(l).select("id", "sx", "ex")
 
 
