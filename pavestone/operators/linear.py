@@ -42,7 +42,8 @@ def offset_lines(lines: DataFrame, offset: Column, transition: Column | None = N
     # one segment has one normal: such lines are never taken apart
     one = ruled.where(F.size("line") == 2).select(key, F.get("line", F.lit(0)).alias("a"), F.get("line", F.lit(1)).alias("b"), "o", "t", "p1", "p2")
     one = one.withColumn("_n", G.distance(F.col("a"), F.col("b"))).where("_n >= 0.001")
-    ux, uy = (F.col("b.x") - F.col("a.x")) / F.col("_n"), (F.col("b.y") - F.col("a.y")) / F.col("_n")
+    n = F.nullif(F.col("_n"), F.lit(0.0))
+    ux, uy = (F.col("b.x") - F.col("a.x")) / n, (F.col("b.y") - F.col("a.y")) / n
     moved = lambda p, by: G.point(F.col(f"{p}.x") + uy * by, F.col(f"{p}.y") - ux * by)
     one = one.select(key, F.array(moved("a", F.when(F.col("p1"), zero).otherwise(F.col("o"))), moved("b", F.when(F.col("p2"), zero).otherwise(F.col("o") + F.col("t")))).alias("line"))
     ruled = ruled.where(F.size("line") != 2)

@@ -19,7 +19,7 @@ from .generate import zebra_stripes
 from .network import merge_undirected
 from .overlay import line_in_polygon, touching_intervals
 from .spatial import CELL, along_cells, home_cell, overlap_area
-from .windows import anchored_chains, ring_chains
+from .windows import anchored_chains, drop_prefix_before, ring_chains
 
 # fixed values: stroke widths in metres
 NARROW, WIDE = 0.12, 0.25
@@ -159,7 +159,7 @@ def limit_to_lanes(stops: DataFrame, lanes: DataFrame, cell: float = 64.0, more:
 
 
 def outline_groups(edges: DataFrame, anchors: DataFrame, reach: float = 25.0) -> DataFrame:
-    """E-20: (stop_id, area_id, idx): the run of outline segments around a stop's own one that look the same way.
+    """E-20: (stop_id, area_id, idx, position: from 1 along the run): the run of outline segments around a stop's own one that look the same way.
 
     `edges` has (area_id, idx: from 1 along the outline, n, az: degrees), `anchors` (stop_id, area_id, idx).  Segments within `reach` of the
     anchor's azimuth form chains around the ring; the anchor's chain counts, and it goes if its mean is farther off than `reach`.
@@ -167,10 +167,53 @@ def outline_groups(edges: DataFrame, anchors: DataFrame, reach: float = 25.0) ->
     ref = anchors.join(edges.select("area_id", "idx", F.col("az").alias("own_az")), ["area_id", "idx"]).select("stop_id", "area_id", F.col("idx").alias("anchor"), "own_az")
     near = edges.join(ref, "area_id").where(G.angle_difference(F.col("az"), F.col("own_az")) <= reach)
     chains = ring_chains(near.select("stop_id", "idx", "n"), "stop_id", "idx", "n")
-    kept = anchored_chains(chains, ref.select("stop_id", F.col("anchor").alias("idx")), "stop_id", "idx").select("stop_id", "idx")
+    kept = anchored_chains(chains, ref.select("stop_id", F.col("anchor").alias("idx")), "stop_id", "idx").select("stop_id", "idx", "position")
     own = kept.join(near.select("stop_id", "area_id", "idx", "az", "own_az"), ["stop_id", "idx"])
     mean = circular_mean(own, "stop_id", "az", "idx")
-    return own.join(mean, "stop_id").where(G.angle_difference(F.col("angle"), F.col("own_az")) <= reach).select("stop_id", "area_id", "idx")
+    return own.join(mean, "stop_id").where(G.angle_difference(F.col("angle"), F.col("own_az")) <= reach).select("stop_id", "area_id", "idx", "position")
+
+
+def stop_anchors(stops: DataFrame, edges: DataFrame) -> DataFrame:
+    """E-20: (stop_id, area_id, idx): of the outline segments (area_id, idx, az, x1, y1, x2, y2) that begin or end at a stop (stop_id, area_id, x, y, road_az), the one closest to straight across its road, then the smaller idx."""
+    ends = edges.select("area_id", "idx", "az", F.explode(F.array(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2")))).alias("p"))
+    met = stops.withColumn("p", G.point(F.col("x"), F.col("y"))).join(ends, ["area_id", "p"])
+    off = G.angle_difference_undirected(F.col("az"), F.col("road_az") + 90)
+    return met.groupBy("stop_id", "area_id").agg(F.min(F.struct(off.alias("off"), "idx")).alias("m")).select("stop_id", "area_id", "m.idx")
+
+
+def lane_touches(edges: DataFrame, lanes: DataFrame, cell: float = 64.0) -> DataFrame:
+    """E-20: (area_id, idx, lanes_touch, lanes_az) of outline segments (area_id, idx, x1, y1, x2, y2) that lanes, as segments (lane_id, direction, x1, y1, x2, y2), cross or touch.
+
+    `lanes_touch` is forward, backward or, with lanes of both kinds, mixed; `lanes_az` is the circular mean over the lanes of each one's mean where it meets the segment.
+    Segments without a row are untouched.
+    """
+    from .areas import crossing_segments
+
+    az = F.atan2(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    l = lanes.where(F.col("direction").isin("forward", "backward")).select(F.struct("lane_id", "direction", az.alias("az")).alias("b_id"), "x1", "y1", "x2", "y2")
+    met = crossing_segments(edges.select(F.struct("area_id", "idx").alias("a_id"), "x1", "y1", "x2", "y2"), l, cell)
+    mean = lambda c: F.atan2(F.avg(F.sin(c)), F.avg(F.cos(c)))
+    each = met.select("a_id.area_id", "a_id.idx", "b_id.lane_id", "b_id.direction", F.col("b_id.az").alias("az")).groupBy("area_id", "idx", "lane_id", "direction").agg(mean(F.col("az")).alias("az"))
+    both = F.min("direction") != F.max("direction")
+    return each.groupBy("area_id", "idx").agg(F.when(both, "mixed").otherwise(F.min("direction")).alias("lanes_touch"), F.pmod(F.degrees(mean(F.col("az"))), F.lit(360.0)).alias("lanes_az"))
+
+
+def approach_outline(groups: DataFrame, touches: DataFrame, key: str = "stop_id") -> DataFrame:
+    """E-20: what is left of a stop's outline (key, area_id, idx, position, az, stop_direction) by the lanes that touch it (rows of `lane_touches`), with `lanes_touch`.
+
+    Untouched segments go if a later one of their group is touched by lanes of the other direction alone, and those go too.  A segment whose lanes
+    don't run into the area (forward) or out of it (backward) is not valid: it goes with the untouched ones right before it.
+    """
+    rows = groups.join(touches, ["area_id", "idx"], "left").withColumn("lanes_touch", F.coalesce("lanes_touch", F.lit("untouched")))
+    one_way = F.col("lanes_touch").isin("forward", "backward")
+    rows = rows.withColumn("_against", one_way & (F.col("lanes_touch") != F.col("stop_direction")))
+    later = Window.partitionBy(key).orderBy("position").rowsBetween(1, Window.unboundedFollowing)
+    rows = rows.withColumn("_later", F.coalesce(F.max("_against").over(later), F.lit(False)))
+    rows = rows.where(~F.col("_against") & ~((F.col("lanes_touch") == "untouched") & F.col("_later")))
+    # areas lie left of their outline, so a lane that enters runs along azimuth - 90
+    course = F.when(F.col("lanes_touch") == "backward", F.col("lanes_az") + 180).otherwise(F.col("lanes_az"))
+    invalid = F.coalesce(one_way & (G.angle_difference(course, F.col("az") - 90) > 90), F.lit(False))
+    return drop_prefix_before(rows, key, "position", F.col("lanes_touch") == "untouched", invalid).drop("_against", "_later", "lanes_az")
 
 
 def crossing_lines(nodes: DataFrame, paths: DataFrame, reach: float = 45.0, extension: float = 5.0, generic: float = 3.0) -> DataFrame:
