@@ -33,7 +33,7 @@ from .textkit import ALNUM, Words, crc32, lanes_of, same_bytes, xxh64
 
 BUCKETS, MAX_N, SEED, PERCENT, LEAST_WORDS = 10_000, 3, 42, 5, 20
 #: Words that start the n-grams of a table.
-BATCH_WORDS = 1 << 17
+BATCH_WORDS = 1 << 15
 
 
 class Interned:
