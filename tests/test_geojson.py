@@ -15,10 +15,10 @@ def collection(n, seed):
     return {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "x}"}}, "features": [feature(i) for i in range(n)], "more": [{"a": {"type": "Feature"}}]}
 
 
-@pytest.mark.parametrize(("split", "piece"), [("600b", 64), ("5000b", 1), ("128m", 1 << 22)])
+@pytest.mark.parametrize(("split", "piece"), [("2000b", 64), ("5000b", 1), ("128m", 1 << 22)])
 def test_features_over_splits(spark, tmp_path, split, piece):
     want = []
-    for k, (n, indent) in enumerate([(200, None), (60, 2), (0, None), (1, None)]):
+    for k, (n, indent) in enumerate([(60, None), (20, 2), (0, None), (1, None)]):
         c = collection(n, k)
         (tmp_path / f"{k}.geojson").write_text(json.dumps(c, indent=indent, ensure_ascii=k != 1), encoding="utf-8")
         want += [(f["properties"]["id"], f["properties"]["name"], *f["geometry"]["coordinates"]) for f in c["features"]]
