@@ -25,7 +25,7 @@ def combinations(df: DataFrame, columns: Sequence[str], expected: Column, actual
 def compare_runs(before: DataFrame, after: DataFrame, key: str, metric: str, least: float = 0.5) -> DataFrame:
     """Q-06: classes of either run whose metric moved by `least` or that only one run has."""
     b, a = before.select(key, F.col(metric).alias("before")), after.select(key, F.col(metric).alias("after"))
-    both = b.join(a, key, "full")
+    both = b.join(a.hint("merge"), key, "full")
     return both.withColumn("moved", F.col("after") - F.col("before")).where(F.col("moved").isNull() | (F.abs("moved") >= least))
 
 
@@ -84,7 +84,7 @@ def mapping_issues(crossings: DataFrame, paths: DataFrame, names: Sequence[str])
     Tags that node and crossing path both carry with different values are `critical`; a path that has crossing tags of
     its own at a crossing, but is no crossing, is a `warning`.
     """
-    met = crossings.select("node_id", F.col("tags").alias("a")).join(paths.select("node_id", "path_id", "class", F.col("tags").alias("b")), "node_id")
+    met = crossings.select("node_id", F.col("tags").alias("a")).join(paths.select("node_id", "path_id", "class", F.col("tags").alias("b")).hint("merge"), "node_id")
     own = conflicting_tags(met.where("class = 'crossing'").select(F.struct("node_id", "path_id").alias("key"), "a", "b"), "key", names)
     critical = own.select(F.lit("critical").alias("severity"), F.col("key.node_id").alias("element_id"), "key.path_id", F.col("conflicts").alias("issue"))
     tagged = F.array_compact(F.array(*[F.when(F.col("b")[n].isNotNull(), F.lit(n)) for n in names]))
@@ -95,4 +95,4 @@ def mapping_issues(crossings: DataFrame, paths: DataFrame, names: Sequence[str])
 
 def suppressed(before: DataFrame, after: DataFrame, key: str, reason: str) -> DataFrame:
     """Q-08: rows of `before` that are not in `after`, with the reason."""
-    return before.join(after.select(key), key, "left_anti").withColumn("reason", F.lit(reason))
+    return before.join(after.select(key).hint("merge"), key, "left_anti").withColumn("reason", F.lit(reason))

@@ -42,11 +42,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         pairs = _both_ways(links)
         # large star: neighbours above a node move to the smallest around it
         near = held(_toward_smallest(pairs), "nearest")
-        large = pairs.join(near, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = pairs.join(near.hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = write(large.where("a <> b").distinct(), "links")
         # small star: a node and its smaller neighbours move to the smallest of them
         least = held(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        joined = large.join(least, "a")
+        joined = large.join(least.hint("merge"), "a")
         small = joined.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         small = write(small.where("a <> b").distinct(), "links")
         drop_written(links, large, *[x for x in (near, least) if n > FEW])
@@ -59,4 +59,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         n = links.count()
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return nodes.join(links.withColumnRenamed("a", "node"), "node", "left").select("node", F.coalesce("b", "node").alias("component"))
+    return nodes.join(links.withColumnRenamed("a", "node").hint("merge"), "node", "left").select("node", F.coalesce("b", "node").alias("component"))

@@ -52,7 +52,7 @@ def add_side_lanes(lanes: DataFrame, sides: DataFrame) -> DataFrame:
     """L-04, L-05: lanes with side lanes (line_id, side, type, width) put before the first or after the last, and numbered anew."""
     w = Window.partitionBy("line_id")
     last = lanes.groupBy("line_id").agg(F.max("lane_index").alias("n"))
-    extra = sides.join(last, "line_id").select("line_id", F.when(F.col("side") == "left", F.lit(0)).otherwise(F.col("n") + 1).alias("lane_index"), F.when(F.col("side") == "left", "backward").otherwise("forward").alias("direction"), "width", "type")
+    extra = sides.join(last.hint("merge"), "line_id").select("line_id", F.when(F.col("side") == "left", F.lit(0)).otherwise(F.col("n") + 1).alias("lane_index"), F.when(F.col("side") == "left", "backward").otherwise("forward").alias("direction"), "width", "type")
     every = lanes.withColumn("type", F.lit("vehicle")).select("line_id", "lane_index", "direction", "width", "type").unionByName(extra)
     return every.withColumn("lane_index", F.row_number().over(w.orderBy("lane_index", "type")))
 
@@ -71,7 +71,7 @@ def effective_width(lanes: DataFrame, least: float = 2.0) -> DataFrame:
     """L-07: spreads what a road's mapped width (road_width) leaves over its lanes of default width (is_default), `least` at least."""
     sums = lanes.groupBy("line_id").agg(F.sum(F.when(~F.col("is_default"), F.col("width")).otherwise(0.0)).alias("fixed"), F.count_if("is_default").alias("free"))
     spread = F.greatest((F.col("road_width") - F.col("fixed")) / F.nullif(F.col("free"), F.lit(0)), F.lit(least))
-    return lanes.join(sums, "line_id").withColumn("width", F.when(F.col("is_default") & F.col("road_width").isNotNull(), spread).otherwise(F.col("width"))).drop("fixed", "free")
+    return lanes.join(sums.hint("merge"), "line_id").withColumn("width", F.when(F.col("is_default") & F.col("road_width").isNotNull(), spread).otherwise(F.col("width"))).drop("fixed", "free")
 
 
 def lane_offsets(lanes: DataFrame) -> DataFrame:

@@ -44,12 +44,12 @@ def lane_edges(lanes: DataFrame, service: DataFrame | None = None) -> DataFrame:
     wide = (F.col("marking") == "barred_area") | F.coalesce(F.col("class").isin("center_running", "crossing"), F.lit(False)) | (F.col("type") == "bus") | ((F.col("type") == "bicycle") & inner)
     told = sides.select("edge_id", "lane_id", "side", "direction", "line", "shift", stroke.alias("stroke"), F.when(wide, WIDE).otherwise(NARROW).alias("stroke_width"))
     moved = L.offset_lines(told.select(F.col("edge_id").alias("line_id"), "line", "shift"), F.col("shift")).select(F.col("line_id").alias("edge_id"), "line")
-    edges = told.drop("line", "shift").join(moved, "edge_id").withColumn("line", F.when(F.col("direction") == "backward", F.reverse("line")).otherwise(F.col("line"))).drop("direction")
+    edges = told.drop("line", "shift").join(moved.hint("merge"), "edge_id").withColumn("line", F.when(F.col("direction") == "backward", F.reverse("line")).otherwise(F.col("line"))).drop("direction")
     whole = edges.select(F.col("edge_id").alias("line_id"), F.lit(0.0).alias("from_m"), G.length(F.col("line")).alias("to_m"))
     if service is not None:
         gaps = L.corridor_intervals(L.line_segments(edges.select(F.col("edge_id").alias("line_id"), "line")), service)
         whole = L.subtract_intervals(whole, gaps.select("line_id", "from_m", "to_m"))
-    return edges.join(whole.withColumnRenamed("line_id", "edge_id"), "edge_id")
+    return edges.join(whole.withColumnRenamed("line_id", "edge_id").hint("merge"), "edge_id")
 
 
 def _quads_beside(lines: DataFrame, key: str, left: Column, right: Column) -> DataFrame:
@@ -62,7 +62,7 @@ def barred_areas(lanes: DataFrame, mapped: DataFrame) -> DataFrame:
     """E-24: (edge_id, k, ring): corridors of `buffer` beside lane sides marked as barred, unless a mapped area (r_id, rings) is alike or covers a quarter of one."""
     sides = lane_sides(lanes, "buffer").where("marking = 'barred_area' and buffer > 0")
     moved = L.offset_lines(sides.select(F.col("edge_id").alias("line_id"), "line", "shift"), F.col("shift")).select(F.col("line_id").alias("edge_id"), "line")
-    edges = moved.join(sides.select("edge_id", "side", "buffer"), "edge_id")
+    edges = moved.join(sides.select("edge_id", "side", "buffer").hint("merge"), "edge_id")
     left = F.when(F.col("side") == "left", F.col("buffer")).otherwise(0.0)
     rings = _quads_beside(edges.withColumn("_l", left).withColumn("_r", F.col("buffer") - left), "edge_id", F.col("_l"), F.col("_r"))
     own = rings.groupBy("edge_id").agg(F.sum(G.area(F.col("ring"))).alias("area_a"), F.max(G.length(F.col("ring"))).alias("_p"))
@@ -71,8 +71,8 @@ def barred_areas(lanes: DataFrame, mapped: DataFrame) -> DataFrame:
     pieces = rings.withColumn("l_id", F.concat_ws("#", "edge_id", F.col("k").cast("string")))
     common = overlap_area(pieces.select("l_id", F.array(G.force_ccw(F.col("ring"))).alias("rings")), mapped.select("r_id", "rings")).where("area > 1e-9")
     common = common.groupBy(F.substring_index("l_id", "#", 1).alias("edge_id"), "r_id").agg(F.sum("area").alias("common"))
-    pairs = common.join(own, "edge_id").join(other, "r_id").select("edge_id", "area_a", "area_b", (F.col("_p") / 2).alias("diameter_a"), (F.col("_q") / 2).alias("diameter_b"), "common")
-    return rings.join(similar_or_overlapping(pairs).select("edge_id").distinct(), "edge_id", "left_anti")
+    pairs = common.join(own.hint("merge"), "edge_id").join(other.hint("merge"), "r_id").select("edge_id", "area_a", "area_b", (F.col("_p") / 2).alias("diameter_a"), (F.col("_q") / 2).alias("diameter_b"), "common")
+    return rings.join(similar_or_overlapping(pairs).select("edge_id").distinct().hint("merge"), "edge_id", "left_anti")
 
 
 def barred_outlines(rings: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def buffer_markings(places: DataFrame, mapped: DataFrame, back: float = 4.0, fro
     corners = [side("_ref", back / 2, 0.0), side("_front", front / 2, 0.0), side("_front", front / 2, pi), side("_ref", back / 2, pi)]
     made = rows.select("place_id", G.force_ccw(F.array(*corners, corners[0])).alias("ring"))
     over = overlap_area(made.select(F.col("place_id").alias("l_id"), F.array("ring").alias("rings")), mapped).where(F.col("area") > most).select(F.col("l_id").alias("place_id")).distinct()
-    return made.join(over, "place_id", "left_anti")
+    return made.join(over.hint("merge"), "place_id", "left_anti")
 
 
 def tunnel_symbols(parts: DataFrame) -> DataFrame:
@@ -145,11 +145,11 @@ def limit_to_lanes(stops: DataFrame, lanes: DataFrame, cell: float = 64.0, more:
     length = F.sqrt(sx * sx + sy * sy)
     # whether the lane's left lies to the high end of the stop line
     left_high = (sx * ly - sy * lx) < 0
-    met = s.join(l, CELL).withColumn("t", t).withColumn("u", u).where("t between 0 and 1 and u between 0 and 1")
+    met = s.join(l.hint("merge"), CELL).withColumn("t", t).withColumn("u", u).where("t between 0 and 1 and u between 0 and 1")
     home = home_cell(F.least(F.greatest(F.col("sx1") + F.col("t") * sx, F.least("sx1", "sx2")), F.greatest("sx1", "sx2")), F.least(F.greatest(F.col("sy1") + F.col("t") * sy, F.least("sy1", "sy2")), F.greatest("sy1", "sy2")), cell)
     met = met.where(home).select("stop_id", "direction", "lane_id", "lane_direction", (F.col("t") * length).alias("at"), length.alias("total"), left_high.alias("left_high"), (F.col("width") / 2 + F.col("buffer_left") + more).alias("left"), (F.col("width") / 2 + F.col("buffer_right") + more).alias("right"))
     both = met.groupBy("stop_id").agg(F.countDistinct(F.when(F.col("lane_direction") == "both_ways", F.col("lane_id"))).alias("n_both"))
-    ok = met.join(both, "stop_id").where("lane_direction = direction or (lane_direction = 'both_ways' and n_both = 1)")
+    ok = met.join(both.hint("merge"), "stop_id").where("lane_direction = direction or (lane_direction = 'both_ways' and n_both = 1)")
     # a lane for both ways: traffic keeps right, so forward takes its right half
     shared = F.col("lane_direction") == "both_ways"
     left = F.when(shared & (F.col("direction") == "forward"), 0.0).otherwise(F.col("left"))
@@ -164,19 +164,19 @@ def outline_groups(edges: DataFrame, anchors: DataFrame, reach: float = 25.0) ->
     `edges` has (area_id, idx: from 1 along the outline, n, az: degrees), `anchors` (stop_id, area_id, idx).  Segments within `reach` of the
     anchor's azimuth form chains around the ring; the anchor's chain counts, and it goes if its mean is farther off than `reach`.
     """
-    ref = anchors.join(edges.select("area_id", "idx", F.col("az").alias("own_az")), ["area_id", "idx"]).select("stop_id", "area_id", F.col("idx").alias("anchor"), "own_az")
-    near = edges.join(ref, "area_id").where(G.angle_difference(F.col("az"), F.col("own_az")) <= reach)
+    ref = anchors.join(edges.select("area_id", "idx", F.col("az").alias("own_az")).hint("merge"), ["area_id", "idx"]).select("stop_id", "area_id", F.col("idx").alias("anchor"), "own_az")
+    near = edges.join(ref.hint("merge"), "area_id").where(G.angle_difference(F.col("az"), F.col("own_az")) <= reach)
     chains = ring_chains(near.select("stop_id", "idx", "n"), "stop_id", "idx", "n")
     kept = anchored_chains(chains, ref.select("stop_id", F.col("anchor").alias("idx")), "stop_id", "idx").select("stop_id", "idx", "position")
-    own = kept.join(near.select("stop_id", "area_id", "idx", "az", "own_az"), ["stop_id", "idx"])
+    own = kept.join(near.select("stop_id", "area_id", "idx", "az", "own_az").hint("merge"), ["stop_id", "idx"])
     mean = circular_mean(own, "stop_id", "az", "idx")
-    return own.join(mean, "stop_id").where(G.angle_difference(F.col("angle"), F.col("own_az")) <= reach).select("stop_id", "area_id", "idx", "position")
+    return own.join(mean.hint("merge"), "stop_id").where(G.angle_difference(F.col("angle"), F.col("own_az")) <= reach).select("stop_id", "area_id", "idx", "position")
 
 
 def stop_anchors(stops: DataFrame, edges: DataFrame) -> DataFrame:
     """E-20: (stop_id, area_id, idx): of the outline segments (area_id, idx, az, x1, y1, x2, y2) that begin or end at a stop (stop_id, area_id, x, y, road_az), the one closest to straight across its road, then the smaller idx."""
     ends = edges.select("area_id", "idx", "az", F.explode(F.array(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2")))).alias("p"))
-    met = stops.withColumn("p", G.point(F.col("x"), F.col("y"))).join(ends, ["area_id", "p"])
+    met = stops.withColumn("p", G.point(F.col("x"), F.col("y"))).join(ends.hint("merge"), ["area_id", "p"])
     off = G.angle_difference_undirected(F.col("az"), F.col("road_az") + 90)
     return met.groupBy("stop_id", "area_id").agg(F.min(F.struct(off.alias("off"), "idx")).alias("m")).select("stop_id", "area_id", "m.idx")
 
@@ -204,7 +204,7 @@ def approach_outline(groups: DataFrame, touches: DataFrame, key: str = "stop_id"
     Untouched segments go if a later one of their group is touched by lanes of the other direction alone, and those go too.  A segment whose lanes
     don't run into the area (forward) or out of it (backward) is not valid: it goes with the untouched ones right before it.
     """
-    rows = groups.join(touches, ["area_id", "idx"], "left").withColumn("lanes_touch", F.coalesce("lanes_touch", F.lit("untouched")))
+    rows = groups.join(touches.hint("merge"), ["area_id", "idx"], "left").withColumn("lanes_touch", F.coalesce("lanes_touch", F.lit("untouched")))
     one_way = F.col("lanes_touch").isin("forward", "backward")
     rows = rows.withColumn("_against", one_way & (F.col("lanes_touch") != F.col("stop_direction")))
     later = Window.partitionBy(key).orderBy("position").rowsBetween(1, Window.unboundedFollowing)
@@ -222,7 +222,7 @@ def crossing_lines(nodes: DataFrame, paths: DataFrame, reach: float = 45.0, exte
     On each side of the road the path closest to the crossing's axis counts (within `reach`); both give a two-sided line, one is mirrored, none leaves a
     straight line across the road.  Ends that no kerb bounds are made longer by `extension`.
     """
-    p = paths.select("path_id", "node_id", F.col("x").alias("px"), F.col("y").alias("py"), "kerb_bounded").join(nodes, "node_id")
+    p = paths.select("path_id", "node_id", F.col("x").alias("px"), F.col("y").alias("py"), "kerb_bounded").join(nodes.hint("merge"), "node_id")
     az = F.degrees(G.azimuth(G.point(F.col("x"), F.col("y")), G.point(F.col("px"), F.col("py"))))
     # side 1 lies at the road's right
     side = lambda s: F.pmod(F.col("road_az") + 90.0 * s, F.lit(360.0))
@@ -230,7 +230,7 @@ def crossing_lines(nodes: DataFrame, paths: DataFrame, reach: float = 45.0, exte
     told = told.withColumn("off", G.angle_difference(F.col("az"), F.when(F.col("side") == 1, side(1)).otherwise(side(-1)))).where(F.col("off") <= reach)
     best = told.groupBy("node_id", "side").agg(F.min(F.struct("off", "path_id", "px", "py", "kerb_bounded")).alias("m"))
     by_side = best.groupBy("node_id").agg(*[F.max(F.when(F.col("side") == s, F.col("m"))).alias(n) for s, n in ((1, "right"), (-1, "left"))])
-    rows = nodes.join(by_side, "node_id", "left")
+    rows = nodes.join(by_side.hint("merge"), "node_id", "left")
     here = G.point(F.col("x"), F.col("y"))
     mirrored = lambda m: G.point(2 * F.col("x") - F.col(f"{m}.px"), 2 * F.col("y") - F.col(f"{m}.py"))
     across = lambda s: G.project(here, F.lit(generic), F.radians(side(s)))
@@ -256,7 +256,7 @@ def crossing_clusters(pieces: DataFrame, style: list[str], tolerance: float = 45
     nxt = F.coalesce(F.lead(F.struct("d", "seg_id")).over(w), F.struct((first["d"] + 180.0).alias("d"), first["seg_id"].alias("seg_id")))
     pairs = at.select(F.col("seg_id").alias("a"), nxt["seg_id"].alias("b"), (nxt["d"] - F.col("d")).alias("off")).where((F.col("off") <= tolerance) & (F.col("a") != F.col("b")))
     found = connected_components(pairs).withColumnRenamed("node", "seg_id")
-    return pieces.select("seg_id").join(found, "seg_id", "left").select("seg_id", F.coalesce("component", "seg_id").alias("cluster"))
+    return pieces.select("seg_id").join(found.hint("merge"), "seg_id", "left").select("seg_id", F.coalesce("component", "seg_id").alias("cluster"))
 
 
 def merge_crossings(pieces: DataFrame, style: list[str], columns: list[str], tolerance: float = 45.0) -> tuple[DataFrame, DataFrame]:
@@ -265,12 +265,12 @@ def merge_crossings(pieces: DataFrame, style: list[str], columns: list[str], tol
     Returns (seg_id, cluster, line, place, reversed), the pieces in order along their line, and (cluster, crossing_id, *style, *columns, temporary): attributes of the
     piece that touches a crossing node, then the longest, then the smallest crossing and piece; temporary if any piece is.
     """
-    known = written(crossing_clusters(pieces, style, tolerance).join(pieces, "seg_id"), "clusters")
+    known = written(crossing_clusters(pieces, style, tolerance).join(pieces.hint("merge"), "seg_id"), "clusters")
     length = F.sqrt(F.pow(F.col("bx") - F.col("ax"), 2) + F.pow(F.col("by") - F.col("ay"), 2))
     own = [*style, *columns]
     won = known.groupBy("cluster").agg(F.min(F.struct((~F.col("touches")).alias("t"), (-length).alias("l"), "crossing_id", "seg_id", *own)).alias("m"), F.bool_or("temporary").alias("temporary"))
     lines = merge_undirected(known.select(F.col("seg_id").alias("edge_id"), "cluster", G.point(F.col("ax"), F.col("ay")).alias("a"), G.point(F.col("bx"), F.col("by")).alias("b")), "cluster")
-    placed = known.select("seg_id", "cluster").join(lines.withColumnRenamed("edge_id", "seg_id"), "seg_id")
+    placed = known.select("seg_id", "cluster").join(lines.withColumnRenamed("edge_id", "seg_id").hint("merge"), "seg_id")
     return placed, won.select("cluster", "m.crossing_id", *[F.col(f"m.{c}").alias(c) for c in own], "temporary")
 
 
@@ -280,7 +280,7 @@ def clip_by_zones(rows: DataFrame, inside: DataFrame) -> DataFrame:
     `inside` has (line_id, zone_crossing, zone_is_bicycle, from_m, to_m).  A marking's own zone never cuts it; bicycle edges are cut
     by every other zone, those for walkers only by zones that are not for bicycles.
     """
-    cuts = inside.join(rows.select("line_id", "crossing_id", "is_bicycle"), "line_id").where((~F.col("zone_crossing").eqNullSafe(F.col("crossing_id"))) & (F.col("is_bicycle") | ~F.col("zone_is_bicycle")))
+    cuts = inside.join(rows.select("line_id", "crossing_id", "is_bicycle").hint("merge"), "line_id").where((~F.col("zone_crossing").eqNullSafe(F.col("crossing_id"))) & (F.col("is_bicycle") | ~F.col("zone_is_bicycle")))
     return L.subtract_intervals(rows.select("line_id", F.lit(0.0).alias("from_m"), F.col("total").alias("to_m")), cuts.select("line_id", "from_m", "to_m"))
 
 
@@ -298,7 +298,7 @@ def junction_zones(junctions: DataFrame, stops: DataFrame, areas: DataFrame, rea
         return more
     mid = stops.select(F.col("stop_id").alias("l_id"), ((F.col("x1") + F.col("x2")) / 2).alias("lx"), ((F.col("y1") + F.col("y2")) / 2).alias("ly"))
     near = nearest_within(mid, junctions.select(F.col("junction_id").alias("r_id"), F.col("x").alias("rx"), F.col("y").alias("ry")), reach).select(F.col("l_id").alias("stop_id"), F.col("r_id").alias("junction_id"))
-    both = near.join(stops, "stop_id").join(junctions.select("junction_id", "layer", "ring"), "junction_id")
+    both = near.join(stops.hint("merge"), "stop_id").join(junctions.select("junction_id", "layer", "ring").hint("merge"), "junction_id")
     hull = G.convex_hull(F.concat("ring", F.array(G.point(F.col("x1"), F.col("y1")), G.point(F.col("x2"), F.col("y2")))))
     hulls = both.select(F.concat_ws("/", F.lit("stop"), F.col("stop_id").cast("string")).alias("zone"), F.lit("hull").alias("source"), "layer", hull.alias("h")).select("zone", "source", "layer", F.concat("h", F.slice("h", 1, 1)).alias("ring"))
     own = junctions.select(F.concat_ws("/", F.lit("junction"), F.col("junction_id").cast("string")).alias("zone"), F.lit("junction").alias("source"), "layer", "ring")
@@ -320,4 +320,4 @@ def regenerate_stripes(lines: DataFrame, zones: DataFrame, cell: float = 64.0) -
     key = F.concat_ws("#", F.col("line_id").cast("string"), F.col("piece").cast("string")).alias("line_id")
     made = zebra_stripes(pieces.select(key, (F.col("to_m") - F.col("from_m")).alias("total")))
     named = pieces.select(key.alias("_key"), "line_id", "piece", "from_m")
-    return made.withColumnRenamed("line_id", "_key").join(named, "_key").select("line_id", "piece", "k", (F.col("at") + F.col("from_m")).alias("at"))
+    return made.withColumnRenamed("line_id", "_key").join(named.hint("merge"), "_key").select("line_id", "piece", "k", (F.col("at") + F.col("from_m")).alias("at"))
