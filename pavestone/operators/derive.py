@@ -269,15 +269,17 @@ def end_offset(ends: DataFrame, stops: DataFrame, touching: DataFrame, near: flo
     from .spatial import CELL, at_cell, in_cells
 
     l, r = F.least, F.greatest
-    bars = in_cells(stops, l("x1", "x2") - near, l("y1", "y2") - near, r("x1", "x2") + near, r("y1", "y2") + near, far)
-    close = at_cell(ends, F.col("x"), F.col("y"), far).join(bars.hint("merge"), CELL).drop(*CELL)
-    joined = close.unionByName(ends.join(touching.hint("merge"), "line_id").join(stops.hint("merge"), "stop_id").select(close.columns))
     bar = F.struct(G.point(F.col("x1"), F.col("y1")).alias("a"), G.point(F.col("x2"), F.col("y2")).alias("b"))
-    told = joined.withColumn("d", G._nearest_on(bar, G.point(F.col("x"), F.col("y")))["d"])
-    # a touching bar stands in both lists, with the same distance
-    told = close_or_touching(told, touching, near, far)
     side = F.signum((F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("x") - F.col("x1"))) * F.when(F.col("backward"), -1).otherwise(1)
-    best = told.groupBy("line_id").agg(F.min(F.struct("d", "stop_id", side.alias("side"))).alias("m"))
+    told = F.struct(G._nearest_on(bar, G.point(F.col("x"), F.col("y")))["d"].alias("d"), "stop_id", side.alias("side"))
+    # cells are as wide as the short reach, the long one goes by key; ends of one place and equal bars meet once
+    size = max(2 * near, 1.0)
+    one = stops.groupBy("x1", "y1", "x2", "y2", "backward").agg(F.min("stop_id").alias("stop_id"))
+    bars = in_cells(one, l("x1", "x2") - near, l("y1", "y2") - near, r("x1", "x2") + near, r("y1", "y2") + near, size)
+    close = at_cell(ends.select("x", "y").distinct(), F.col("x"), F.col("y"), size).join(bars.hint("merge"), CELL).select("x", "y", told.alias("m")).where(F.col("m.d") <= near)
+    found = ends.join(close.groupBy("x", "y").agg(F.min("m").alias("m")).hint("merge"), ["x", "y"]).select("line_id", "m")
+    known = ends.join(touching.hint("merge"), "line_id").join(stops.hint("merge"), "stop_id").select("line_id", told.alias("m")).where(F.col("m.d") <= max(near, far))
+    best = found.unionByName(known).groupBy("line_id").agg(F.min("m").alias("m"))
     return best.select("line_id", "m.stop_id", (F.col("m.d") * F.col("m.side")).alias("end_offset"))
 
 

@@ -268,14 +268,13 @@ n AS (SELECT p_partkey AS id, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 1000
 SELECT k AS parking_id, cl AS road_class, 1 AS step FROM b UNION ALL SELECT k, brand, 2 FROM d WHERE d <= 20 QUALIFY row_number() OVER (PARTITION BY k ORDER BY d, id) = 1""",
 )
 def e32b(spark, sf):
-    from ..operators.spatial import overlap_area
     from .spatial import rings
 
     l, r = boxes(spark, sf, "l").where("l_id % 3 = 0"), boxes(spark, sf, "r").where("r_id % 3 <> 0")
-    o = overlap_area(rings(l, "l"), rings(r, "r")).where("area > 1e-9").join(r.select("r_id", "r_class"), "r_id")
-    o = o.select(F.col("l_id").alias("parking_id"), F.col("r_class").alias("road_class"), (F.col("r_id") % 9).alias("hierarchy"), F.round("area", 6).alias("area"), (F.col("l_id") % 2 == F.col("r_id") % 2).alias("same_layer"))
+    ways = rings(r, "r").join(r.select("r_id", F.col("r_class").alias("road_class"), (F.col("r_id") % 9).alias("hierarchy"), (F.col("r_id") % 2).alias("layer")).hint("merge"), "r_id")
+    o, members = A.parking_overlaps(rings(l, "l").withColumn("layer", F.col("l_id") % 2), ways)
     roads = nodes(spark, sf, "r").join(table(spark, sf, "part").select(F.col("p_partkey").alias("r_id"), F.col("p_brand").alias("road_class")), "r_id")
-    return A.parking_class(o, places(spark, sf, "l").where("l_id % 3 = 0"), roads)
+    return A.parking_class(o, places(spark, sf, "l").where("l_id % 3 = 0"), roads, members=members)
 
 
 @query(
