@@ -57,3 +57,30 @@ def test_overlap_area_of_copies(spark):
     p = spark.createDataFrame(rows, "id int, rings array<array<struct<x:double,y:double>>>")
     got = S.overlap_area(p.withColumnRenamed("id", "l_id"), p.withColumnRenamed("id", "r_id")).collect()
     assert sorted((r["l_id"], r["r_id"], round(r["area"], 9)) for r in got) == [(i, j, 4.0 if i % 2 and j % 2 else 2.0) for i in range(6) for j in range(6)]
+
+
+def test_best_overlap_leaves_out_its_own_copy(spark):
+    rows = [(i, [[(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]]) for i in range(3)] + [(9, [[(50.0, 0.0), (52.0, 0.0), (52.0, 2.0), (50.0, 2.0), (50.0, 0.0)]])]
+    p = spark.createDataFrame(rows, "id int, rings array<array<struct<x:double,y:double>>>")
+    got = S.best_overlap(p.withColumnRenamed("id", "l_id"), p.withColumnRenamed("id", "r_id")).collect()
+    assert sorted(map(tuple, got)) == [(0, 1), (1, 0), (2, 0)]
+
+
+def test_near_equal_pieces_deal_out_no_cuts(spark):
+    """A line of 50,000 pieces stays one row until its pieces are made; cuts within reach of a junction move there."""
+    lines = spark.createDataFrame([(1, 75_000_000.0), (2, 3000.0), (3, 10.0)], "line_id int, total double")
+    got = L.near_equal_pieces(lines, spark.createDataFrame([(2, 1600.0), (2, 1450.0), (2, 2900.0)], "line_id int, at double"), 1500.0, 200.0)
+    tree = plan(got)
+    assert "Exchange" not in tree[: tree.index("Generate posexplode")]
+    rows = got.where("line_id <> 1").orderBy("line_id", "piece").collect()
+    assert [tuple(r) for r in rows] == [(2, 0, 0.0, 1450.0), (2, 1, 1450.0, 3000.0), (3, 0, 0.0, 10.0)]
+    assert got.where("line_id = 1").count() == 50_000
+
+
+def test_spread_ends_compare_directions_once(spark):
+    from pavestone.operators import derive as D
+
+    e = spark.createDataFrame([(i, 1, "a", 0.0, 0.0, 90.0, 2.0) for i in range(4)] + [(9, None, "b", 0.0, 0.0, 0.0, 2.0)], "end_id int, name int, highway string, x double, y double, az double, left_offset double")
+    s = spark.createDataFrame([(1, 1, "a", 0.0, 0.0, 80.0), (2, 1, "a", 0.0, 0.0, 90.0), (3, 1, "a", 0.0, 0.0, 90.0), (4, 5, "b", 0.0, 0.0, 0.0)], "s_id int, name int, highway string, x double, y double, az double")
+    got = {r["end_id"]: (round(r["x"], 9), round(r["y"], 9)) for r in D.spread_ends(e, s).collect()}
+    assert got == {**{i: (0.0, 2.0) for i in range(4)}, 9: (-2.0, 0.0)}
