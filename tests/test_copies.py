@@ -84,3 +84,12 @@ def test_spread_ends_compare_directions_once(spark):
     s = spark.createDataFrame([(1, 1, "a", 0.0, 0.0, 80.0), (2, 1, "a", 0.0, 0.0, 90.0), (3, 1, "a", 0.0, 0.0, 90.0), (4, 5, "b", 0.0, 0.0, 0.0)], "s_id int, name int, highway string, x double, y double, az double")
     got = {r["end_id"]: (round(r["x"], 9), round(r["y"], 9)) for r in D.spread_ends(e, s).collect()}
     assert got == {**{i: (0.0, 2.0) for i in range(4)}, 9: (-2.0, 0.0)}
+
+
+def test_stops_and_their_segments_are_not_broadcast(spark, data):
+    """Segments are made by an explode, eight times as many as the planner counts."""
+    from pavestone.registry import QUERIES
+
+    for name in ("e20_approach_outline", "e20_outline_groups", "e25_buffer_markings"):
+        got = plan(QUERIES[name](spark, str(data)))
+        assert "SortMergeJoin" in got and "Broadcast" not in got
