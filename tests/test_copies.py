@@ -93,3 +93,16 @@ def test_stops_and_their_segments_are_not_broadcast(spark, data):
     for name in ("e20_approach_outline", "e20_outline_groups", "e25_buffer_markings"):
         got = plan(QUERIES[name](spark, str(data)))
         assert "SortMergeJoin" in got and "Broadcast" not in got
+
+
+def test_sums_half_way_between_two_roundings(spark):
+    """In sf0.1 there are customers whose cuts add up to a half of the last digit."""
+    import duckdb
+
+    from pavestone.registry import ORACLES, QUERIES
+
+    path = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{path}/orders.parquet'")
+    want = dict(con.execute(ORACLES["e40_split_between_touches"]).fetchall())
+    assert {r["line_id"]: r["cuts"] for r in QUERIES["e40_split_between_touches"](spark, path).collect()} == want
