@@ -88,10 +88,10 @@ def test_spread_ends_compare_directions_once(spark):
 
 def test_stops_and_their_segments_are_not_broadcast(spark, data):
     """Segments are made by an explode, eight times as many as the planner counts."""
-    from pavestone.registry import QUERIES
+    from __spark_entry__ import queries
 
     for name in ("e20_approach_outline", "e20_outline_groups", "e25_buffer_markings"):
-        got = plan(QUERIES[name](spark, str(data)))
+        got = plan(queries()[name](spark, str(data)))
         assert "SortMergeJoin" in got and "Broadcast" not in got
 
 
@@ -99,10 +99,37 @@ def test_sums_half_way_between_two_roundings(spark):
     """In sf0.1 there are customers whose cuts add up to a half of the last digit."""
     import duckdb
 
-    from pavestone.registry import ORACLES, QUERIES
+    from __spark_entry__ import oracle_sql, queries
 
     path = "/root/testdata/sf0.1"
     con = duckdb.connect()
+    con.execute("SET threads = 1")  # its own sums depend on the order of its threads
     con.execute(f"CREATE VIEW orders AS SELECT * FROM '{path}/orders.parquet'")
-    want = dict(con.execute(ORACLES["e40_split_between_touches"]).fetchall())
-    assert {r["line_id"]: r["cuts"] for r in QUERIES["e40_split_between_touches"](spark, path).collect()} == want
+    want = dict(con.execute(oracle_sql()["e40_split_between_touches"]).fetchall())
+    assert {r["line_id"]: r["cuts"] for r in queries()["e40_split_between_touches"](spark, path).collect()} == want
+
+
+def test_markers_are_counted_without_being_made(spark):
+    """A segment has the numbers of its first and last marker; a row per marker is made only where markers are asked for."""
+    from pavestone.operators import generate as E
+
+    s = spark.createDataFrame([(1, 0, 0.0, 0.0, 30.0, 0.0, 0.0, 1e6), (1, 1, 30.0, 0.0, 1e6, 0.0, 30.0, 1e6), (2, 0, 0.0, 0.0, 50.0, 0.0, 0.0, 50.0)], "line_id int, i int, x1 double, y1 double, x2 double, y2 double, at double, total double")
+    n = E.marker_ranges(s, 50.0).groupBy("line_id").agg(F.sum(F.col("high") - F.col("low") + 1).alias("n"))
+    assert "Generate" not in plan(n)
+    assert {r["line_id"]: r["n"] for r in n.collect()} == {1: 20_000, 2: 1}
+    short = s.where("line_id = 2").unionByName(s.where("line_id = 2").withColumn("line_id", F.lit(3)).withColumn("x2", F.lit(101.0)).withColumn("total", F.lit(101.0)))
+    assert sorted((r["line_id"], r["k"]) for r in E.markers(short, 50.0).collect()) == [(2, 0), (3, 0), (3, 1), (3, 2)]
+
+
+def test_boxes_of_a_shape_are_compared_once(spark):
+    b = spark.range(60).select(F.col("id"), (F.col("id") % 3 * 4.0).alias("x0"), F.lit(0.0).alias("y0"), (F.col("id") % 3 * 4.0 + 6).alias("x1"), F.lit(5.0).alias("y1"))
+    side = lambda p: b.select(*[F.col(c).alias(f"{p}_id" if c == "id" else f"{p}{c}") for c in b.columns])
+    seen = []
+    keep = lambda pairs: (seen.append(pairs.count()), pairs)[1]
+    got = {tuple(r) for r in S.box_pairs_of_copies(side("l"), side("r"), 16.0, keep).collect()}
+    rows = b.collect()
+    want = {(p.id, q.id) for p in rows for q in rows if p.x0 <= q.x1 and q.x0 <= p.x1}
+    assert got == want and seen == [7]
+    points = spark.range(90).select(F.col("id").alias("l_id"), (F.col("id") % 30 * 1.0).alias("lx"), F.lit(1.0).alias("ly"))
+    held = {r["l_id"]: r["r_id"] for r in S.first_box(points, side("r"), 16.0).collect()}
+    assert held == {p: min(q.id for q in rows if q.x0 <= p % 30 <= q.x1) for p in range(90) if any(q.x0 <= p % 30 <= q.x1 for q in rows)}
