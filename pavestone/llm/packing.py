@@ -48,71 +48,102 @@ def vocabulary_path() -> str:
 class WordIds:
     """Ids of words by their bytes; words not seen before are encoded once."""
 
-    #: Letters that lower case one to one and have no decomposed form, then plain punctuation.
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
+    #: Letters that lower case one to one and have no decomposed form, then plain signs (an apostrophe may begin a piece of its own).
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         environment()
         self.tokenizer = Tokenizer.from_file(path)
+        # the vocabulary alone: pieces are given to it as they are
+        self.merges = Tokenizer(self.tokenizer.model)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level BPE shows the other bytes as 256 + i
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.pieces: dict[str, list[int]] = {}
         self.reset()
 
     def reset(self) -> None:
+        #: Words and pieces of words by number; a word is a piece or two (-1: none), a piece a run of the pool.
         self.known: dict[bytes, int] = {}
+        self.pieces: dict[str, int] = {}
+        self.parts = np.zeros((1 << 12, 2), np.int64)
         self.first = np.zeros(1 << 12, np.int64)
         self.count = np.zeros(1 << 12, np.int64)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        self.pieces.clear()
-
-    def piece(self, s: str) -> list[int]:
-        found = self.pieces.get(s)
-        if found is None:
-            shown = s if s.isascii() else s.encode().decode("latin-1").translate(self.letters)
-            found = self.pieces[s] = [x.id for x in self.tokenizer.model.tokenize(shown)]
-        return found
-
-    def encode(self, word: str) -> list[int]:
-        if plain := self.PLAIN.fullmatch(word):
-            head = plain[1].lower()
-            ids = [x.id for x in self.tokenizer.model.tokenize(head if head.isascii() else head.encode().decode("latin-1").translate(self.letters))]
-            return ids + self.piece(plain[2]) if plain[2] else ids
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        self.n_pieces = 0
+
+    def keep(self, ids: np.ndarray, count: np.ndarray) -> None:
+        """Takes up new pieces: their ids one after the other, and how many each has."""
+        total, n = self.used + len(ids), self.n_pieces + len(count)
+        while total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+        while n > len(self.first):
+            self.first, self.count = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.first, self.count))
+        self.pool[self.used : total] = ids
+        self.first[self.n_pieces : n] = np.cumsum(count) - count + self.used
+        self.count[self.n_pieces : n] = count
+        self.used, self.n_pieces = total, n
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes words not seen before: plain ones as letters and signs, each piece once, the others as a whole."""
+        pieces, other, heads, tails = {}, [], [], []
+        begin, seen, match = self.n_pieces, self.pieces, self.PLAIN.fullmatch
+        text = b"\n".join(words).decode("utf-8", "replace")
+        # plain words lower case letter by letter, so their pieces stand where they stood
+        for word, low in zip(text.split("\n"), text.lower().split("\n"), strict=True):
+            if not (plain := match(word)):
+                heads.append(~len(other))
+                tails.append(-1)
+                other.append(word)
+                continue
+            n = plain.end(1)
+            own = -1
+            for s in (low[n:], low[:n]) if n < len(low) else (low,):
+                last, own = own, seen.get(s)
+                if own is None and (own := pieces.get(s)) is None:
+                    own = pieces[s] = begin + len(pieces)
+            heads.append(own)
+            tails.append(last)
+        if pieces:
+            got = self.merges.encode([s if s.isascii() else s.encode().decode("latin-1").translate(self.letters) for s in pieces], is_pretokenized=True, add_special_tokens=False)
+            self.keep(np.array(got.ids, np.uint32), np.bincount(np.array(got.word_ids, np.int64), minlength=len(pieces)))
+            self.pieces.update(pieces)
+        after = self.n_pieces
+        if other:
+            found = [x.ids for x in self.tokenizer.encode_batch(other, add_special_tokens=False)]
+            self.keep(np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64))
+        head = np.array(heads, np.int64)
+        rows = np.stack([np.where(head < 0, after + ~head, head), np.array(tails, np.int64)], axis=1)
+        old = len(self.known) - len(words)
+        while len(self.known) > len(self.parts):
+            self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
+        self.parts[old : len(self.known)] = rows
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of a batch's words, and how many each word has."""
         at, kind = w.distinct()
         if len(self.known) + len(at) > MOST_WORDS:
             self.reset()
-        raw = w.data.tobytes()
-        place, new = [], []
-        for a, b in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True):
-            word = raw[a:b]
-            k = self.known.get(word)
-            if k is None:
-                k = self.known[word] = len(self.known)
-                new.append(self.encode(word.decode("utf-8", "replace")))
-            place.append(k)
-        if new:
-            n = np.array([len(x) for x in new], np.int64)
-            old, total = len(self.known) - len(new), self.used + int(n.sum())
-            while total > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
-            while len(self.known) > len(self.first):
-                self.first, self.count = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.first, self.count))
-            self.pool[self.used : total] = [i for ids in new for i in ids]
-            self.first[old : len(self.known)] = np.cumsum(n) - n + self.used
-            self.count[old : len(self.known)] = n
-            self.used = total
-        own = np.array(place, np.int64)[kind]
+        raw, known = w.data.tobytes(), self.known
+        words = [raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)]
+        found = list(map(known.get, words))
+        missing = [i for i, k in enumerate(found) if k is None]
+        if missing:
+            new = [words[i] for i in missing]
+            numbers = range(len(known), len(known) + len(new))
+            known.update(zip(new, numbers, strict=True))
+            self.learn(new)
+        place = np.array([-1 if k is None else k for k in found] if missing else found, np.int64)
+        if missing:
+            place[missing] = numbers
+        pieces = self.parts[place[kind]]
+        each = np.where(pieces >= 0, self.count[pieces], 0)
+        own = pieces[pieces >= 0]
         count, first = self.count[own], self.first[own]
         begin = np.cumsum(count) - count
-        return self.pool[np.repeat(first - begin, count) + np.arange(count.sum())], count
+        return self.pool[np.repeat(first - begin, count) + np.arange(count.sum())], each.sum(axis=1)
 
 
 def pieces_of(path: str, capacity: int, with_ids: bool = False):

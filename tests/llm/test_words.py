@@ -79,3 +79,20 @@ def test_shingles_and_windows_of_the_pair(spark):
     assert sets[3] == 3 and sets[4] == 4
     kept = {r.doc_id: r.text for r in substrings.remove_repeats(docs).collect()}
     assert PAIR[0] in kept[1] and PAIR[1] in kept[2] and kept[3] == rows[2][1] and kept[4] == rows[3][1]
+
+
+def test_ids_of_words_are_those_of_the_tokenizer():
+    """Letters and signs are encoded apart, each once; signs after letters, apostrophes, digits, capitals that become two letters, and words seen before."""
+    import pyarrow as pa
+
+    from pavestone.llm.packing import WordIds, vocabulary_path
+    from pavestone.llm.textkit import Words
+
+    texts = ["Word word. WORD### word,&&& it's don't 'tis x1 1234 ÀÉ#$ ſ İstanbul ΑΣ Σ%%% a_b a- `q` [x] {y} ~z~ été* <|endoftext|>", "word. new### Straße!? 中文. word '", "", None]
+    ids = WordIds(vocabulary_path())
+    for _ in range(2):
+        w = Words(pa.array(texts))
+        got, count = ids.of(w)
+        want = [ids.tokenizer.encode(t, add_special_tokens=False).ids for t in " ".join(x for x in texts if x).split()]
+        assert count.tolist() == [len(x) for x in want] and got.tolist() == [i for x in want for i in x]
+    assert "word" in ids.pieces and "###" in ids.pieces and len([k for k in ids.pieces if k.startswith("word")]) == 1
