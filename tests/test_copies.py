@@ -133,3 +133,24 @@ def test_boxes_of_a_shape_are_compared_once(spark):
     points = spark.range(90).select(F.col("id").alias("l_id"), (F.col("id") % 30 * 1.0).alias("lx"), F.lit(1.0).alias("ly"))
     held = {r["l_id"]: r["r_id"] for r in S.first_box(points, side("r"), 16.0).collect()}
     assert held == {p: min(q.id for q in rows if q.x0 <= p % 30 <= q.x1) for p in range(90) if any(q.x0 <= p % 30 <= q.x1 for q in rows)}
+
+
+def test_pairs_of_copies_meet_in_blocks(spark):
+    """100,000 copies of two places send at most 64 rows a place into the join, and every pair comes out."""
+    l = spark.range(300).select(F.col("id").alias("l_id"), (F.col("id") % 2 * 9.0).alias("lx"), F.lit(0.0).alias("ly"))
+    r = l.select(F.col("l_id").alias("r_id"), F.col("lx").alias("rx"), F.col("ly").alias("ry"))
+    got = S.points_within_of_copies(l, r, 2.0)
+    assert got.columns == ["l_id", "r_id", "lx", "ly", "rx", "ry", "d"]
+    assert {(a["l_id"] % 2, a["r_id"] % 2, a["d"]) for a in got.collect()} == {(0, 0, 0.0), (1, 1, 0.0)} and got.distinct().count() == 2 * 150 * 150
+    many = spark.range(100_000).select(F.col("id").alias("l_id"), (F.col("id") % 2 * 9.0).alias("lx"), F.lit(0.0).alias("ly"))
+    assert S.in_blocks(many, "l", ["lx", "ly"]).count() <= 2 * S.BLOCKS
+    tree = plan(got)
+    assert tree.index("Generate explode(l_rows") < tree.index("SortMergeJoin") and "Exchange" not in tree[: tree.index("SortMergeJoin")]
+
+
+def test_circle_pairs_of_copies(spark):
+    c = spark.createDataFrame([(1, 0.0, 0.0, 1.0), (2, 0.0, 0.0, 1.0), (3, 1.5, 0.0, 2.0), (4, 3.0, 0.0, 1.0), (None, 9.0, 0.0, 1.0)], "id int, x double, y double, r double")
+    got = sorted((r["l_id"], r["r_id"]) for r in S.circle_pairs(c, 2.0).collect())
+    assert got == [(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2), (3, 4), (4, 3)]
+    tree = plan(S.circle_pairs(c, 2.0))
+    assert "Generate explode(l_rows" in tree and "Exchange" not in tree[: tree.index("SortMergeJoin")]
