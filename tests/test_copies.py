@@ -154,3 +154,60 @@ def test_circle_pairs_of_copies(spark):
     assert got == [(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2), (3, 4), (4, 3)]
     tree = plan(S.circle_pairs(c, 2.0))
     assert "Generate explode(l_rows" in tree and "Exchange" not in tree[: tree.index("SortMergeJoin")]
+
+
+def test_snapped_ends_ask_places(spark):
+    """Like comparing all ends; a place is asked for its running minimum, so no row pairs two ends."""
+    import random
+
+    from pavestone.operators import derive as D
+
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice([None, *range(9)]), rnd.choice([None, 1, 2]), rnd.choice([None, 0, 1]), rnd.choice([None, 1, 2, 3]), float(rnd.randrange(4)), float(rnd.randrange(3))) for i in range(400)]
+    ends = spark.createDataFrame(rows, "l_id int, line int, kind int, layer int, width int, lx double, ly double")
+    low = lambda v: (v is not None, v or 0)
+    want = {}
+    for i, line, kind, layer, width, x, y in rows:
+        near = [(((x - q[5]) ** 2 + (y - q[6]) ** 2) ** 0.5, q[0], q[5], q[6]) for q in rows if None not in (line, kind, q[1], q[2]) and line != q[1] and kind == q[2] and (layer or 0) == (q[3] or 0) and (low(q[4]), q[1]) < (low(width), line)]
+        best = min([n for n in near if n[0] <= 1.0], default=(0, 0, x, y))
+        want[i] = (line, *best[2:])
+    got = D.snap_endpoints(ends, 1.0)
+    assert {r["l_id"]: (r["line"], r["lx"], r["ly"]) for r in got.collect()} == want
+    copies = ends.crossJoin(spark.range(20)).select((F.col("l_id") * 20 + F.col("id")).cast("int").alias("l_id"), "line", "kind", "layer", "width", "lx", "ly")
+    asked = D.snap_endpoints(copies, 1.0)
+    asked.count()
+    assert "r_line" not in plan(asked)
+
+
+def test_through_pairs_are_dealt_out_once(spark):
+    """One exchange for the pairs and one for the nodes of two; nothing is joined."""
+    import random
+
+    from pavestone.operators import network as R
+
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(30), i, rnd.choice([rnd.uniform(-400, 800), rnd.randrange(24) * 15.0, None])) for i in range(300)]
+    ends = spark.createDataFrame(rows, "node int, seg int, degrees double")
+    want = set()
+    for node in {r[0] for r in rows}:
+        at = [r for r in rows if r[0] == node]
+        off = lambda p, q: min((p[2] - q[2] + 180) % 360, 360 - (p[2] - q[2] + 180) % 360)
+        if len(at) == 2:
+            want.add((node, at[0][1], at[1][1]))
+        best = {p[1]: min([(off(p, q), q[1]) for q in at if p[1] != q[1] and None not in (p[2], q[2]) and off(p, q) <= 25.0], default=(0, None))[1] for p in at}
+        if len(at) > 2:
+            want |= {(node, a, b) for a, b in best.items() if b is not None and a < b and best[b] == a}
+    got = R.through_pairs(ends)
+    tree = plan(got)
+    assert set(map(tuple, got.collect())) == want
+    assert "SortMergeJoin" not in tree and tree.count("Exchange") == 2
+
+
+def test_subtracted_cuts_are_sorted_once(spark):
+    lines = spark.createDataFrame([(1, 0.0, 10.0), (1, 20.0, 30.0), (2, 0.0, 5.0), (2, 0.0, 5.0), (3, 0.0, 4.0), (4, 1.0, 3.0)], "line_id int, from_m double, to_m double")
+    cuts = spark.createDataFrame([(1, 2.0, 4.0), (1, 3.0, 6.0), (1, 3.5, 4.0), (1, 6.0, 7.0), (1, 25.0, 99.0), (3, -1.0, 4.0), (4, 2.0, 2.0), (4, None, 9.0), (9, 0.0, 1.0)], "line_id int, from_m double, to_m double")
+    got = L.subtract_intervals(lines, cuts)
+    assert sorted(map(tuple, got.collect())) == [(1, 0.0, 2.0), (1, 7.0, 10.0), (1, 20.0, 25.0), (2, 0.0, 5.0), (4, 1.0, 3.0)]
+    assert sorted(map(tuple, L.subtract_intervals(lines, cuts, 3.0).collect())) == [(1, 20.0, 25.0), (2, 0.0, 5.0)]
+    tree = plan(L.subtract_intervals(lines, cuts))
+    assert tree.count("SortMergeJoin") == 1 and tree.count("Window [") == 1
