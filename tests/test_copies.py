@@ -211,3 +211,22 @@ def test_subtracted_cuts_are_sorted_once(spark):
     assert sorted(map(tuple, L.subtract_intervals(lines, cuts, 3.0).collect())) == [(1, 20.0, 25.0), (2, 0.0, 5.0)]
     tree = plan(L.subtract_intervals(lines, cuts))
     assert tree.count("SortMergeJoin") == 1 and tree.count("Window [") == 1
+
+
+def test_carriageways_meet_areas_of_their_layer_only(spark):
+    """The layer is a key of the join on cells, null a layer of its own; roads are dealt out once for their gaps."""
+    at = lambda x, y: (float(x), float(y))
+    roads = [(k, k, layer, "a", 6.0, 0.0, [at(0, 20 * k), at(50, 20 * k), at(100, 20 * k)]) for k, layer in enumerate([None, 0, 1])]
+    r = spark.createDataFrame(roads, "road_id int, chain int, layer int, surface string, width double, placement_offset double, line array<struct<x:double,y:double>>")
+    box = lambda x0, x1: [[at(x0, -5), at(x1, -5), at(x1, 60), at(x0, 60), at(x0, -5)]]
+    a = spark.createDataFrame([(1, None, box(10, 20)), (2, 0, box(30, 40)), (3, 1, box(60, 100)), (4, 7, box(0, 100))], "poly_id int, layer int, rings array<array<struct<x:double,y:double>>>")
+    got = A.carriageways(r, a)
+    tree = plan(got)
+    want = {0: {(-1.0, 11.0), (19.0, 50.0), (50.0, 101.0)}, 1: {(-1.0, 31.0), (39.0, 50.0), (50.0, 101.0)}, 2: {(-1.0, 50.0), (50.0, 61.0)}}
+    found = {}
+    for row in got.collect():
+        xs = [p["x"] for p in row["ring"]]
+        found.setdefault(row["road_id"], set()).add((round(min(xs), 6), round(max(xs), 6)))
+    assert found == want
+    # crossings, starts (two) and the gaps
+    assert tree.count("SortMergeJoin") == 4
