@@ -178,3 +178,17 @@ def test_mapped_places_replace_inferred_ones(spark):
     inferred = lambda rows, road: [x for x in rows if x.source_key.startswith(f"{road}/")]
     assert [x for x in inferred(alone, 1) if 100 < x.x < 130] and not [x for x in inferred(both, 1) if 101 < x.x < 129]
     assert not [x for x in inferred(alone, 1) if 8 < x.x < 32] and [x for x in inferred(alone, 2) if 8 < x.x < 32]
+
+
+def test_long_segments_stand_in_occupied_cells_only(spark):
+    """A line of a million metres beside a few boxes is dealt into their cells, not into those of its length, and what it has inside is the same."""
+    r = random.Random(11)
+    lines = {i: [(r.uniform(-4000, 4000), r.uniform(-4000, 4000)) for _ in range(3)] for i in range(12)} | {99: [(0.0, 3.0), (1e6, 3.0)]}
+    box = lambda x, y: [[(x, y), (x + 9.0, y), (x + 9.0, y + 7.0), (x, y + 7.0), (x, y)]]
+    polygons = spark.createDataFrame([(k, box(r.uniform(-300, 300), r.uniform(-300, 300))) for k in range(60)] + [(70, box(5.0, 0.0)), (71, box(9000.0, 0.0))], "poly_id int, rings array<array<struct<x:double,y:double>>>")
+    s = segments_of(spark, lines)
+    rows = [sorted(tuple(x) for x in overlay.line_in_polygon(s, polygons, 16.0, far=far).collect()) for far in (False, True)]
+    assert rows[0] == rows[1] and {x[1] for x in rows[1] if x[0] == 99} >= {70, 71}
+    cells = spatial.in_cells(spark.createDataFrame([(5.0, 0.0), (9000.0, 0.0)], "x double, y double"), *[F.col(c) for c in "xyxy"], 16.0)
+    assert spatial.along_cells(s.where("line_id = 99"), "x1", "y1", "x2", "y2", 16.0, spatial.occupied(cells)).count() < 20
+    assert overlay.line_in_polygon(s, polygons.limit(0), 16.0, far=True).count() == 0
