@@ -230,3 +230,13 @@ def test_carriageways_meet_areas_of_their_layer_only(spark):
     assert found == want
     # crossings, starts (two) and the gaps
     assert tree.count("SortMergeJoin") == 4
+
+
+def test_disc_intervals_of_copies_and_occupied_cells(spark):
+    """Equal discs meet a line once; a line far longer than the discs reach has the same intervals from their cells alone."""
+    s = spark.createDataFrame([(1, 0.0, 0.0, 1e5, 0.0, 0.0), (2, 0.0, 900.0, 1e5, 900.0, 0.0)], "line_id int, x1 double, y1 double, x2 double, y2 double, at double")
+    discs = spark.createDataFrame([(k, 100.0 + k % 3 * 5000, 1.0, 4.0) for k in range(12)] + [(50, 100.0, 901.0, 30.0)], "disc_id int, x double, y double, radius double")
+    want = sorted(map(tuple, L.disc_intervals(s, discs).collect()))
+    got = L.disc_intervals_of_copies(s, discs, far=True)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 13
+    assert L.disc_intervals_of_copies(s, discs.limit(0), far=True).count() == 0
