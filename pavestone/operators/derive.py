@@ -22,9 +22,28 @@ def connect_snapped(ends: DataFrame, size: float) -> DataFrame:
 
 
 def best_by_angle(left: DataFrame, right: DataFrame) -> DataFrame:
-    """J-08: for each left (l_id, name, class, la) the right (r_id, name, class, ra) of the smallest angle between axes, then the smaller id."""
-    off = G.angle_difference_undirected(F.col("la"), F.col("ra"))
-    return left.join(right.hint("merge"), ["name", "class"]).where("l_id <> r_id").groupBy("l_id").agg(F.min(F.struct(off.alias("off"), "r_id")).alias("m")).select("l_id", "m.r_id", "m.off")
+    """J-08: for each left (l_id, name, class, la) the right (r_id, name, class, ra) of the smallest angle between axes, then the smaller id; ids are unique, angles not null.
+
+    Pairs are not made: right axes of a name and class stand in a circle, each with its two smallest ids (one may be the asking row's own), and a left axis
+    asks the two on either side of it.
+    """
+    kind = ["name", "class"]
+    axis = lambda c: F.pmod(F.col(c), F.lit(180.0)).alias("axis")
+    firsts = right.select(*kind, axis("ra"), "r_id").withColumn("_n", F.row_number().over(Window.partitionBy(*kind, "axis").orderBy("r_id"))).where("_n <= 2")
+    spots = firsts.groupBy(*kind, "axis").agg(F.min("r_id").alias("a"), F.max(F.when(F.col("_n") == 2, F.col("r_id"))).alias("b"))
+    circle = Window.partitionBy(*kind).orderBy("axis")
+    whole = circle.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    spots = spots.select(*kind, "axis", F.struct("axis", "a", "b").alias("s"))
+    spots = spots.withColumn("p", F.coalesce(F.lag("s").over(circle), F.last("s").over(whole))).withColumn("n", F.coalesce(F.lead("s").over(circle), F.first("s").over(whole)))
+    spots = spots.withColumn("m", F.coalesce(F.lead("n").over(circle), F.first("n").over(whole))).select(*kind, "axis", F.struct("p", "s", "n", "m").alias("near"))
+    asks = left.select(*kind, axis("la")).distinct().select("*", F.lit(None).cast(spots.schema["near"].dataType).alias("near"), F.lit(True).alias("asks"))
+    # the last axis up to the asked one, or round the circle the last of all
+    told = spots.withColumn("asks", F.lit(False)).unionByName(asks)
+    told = told.withColumn("near", F.coalesce(F.last("near", True).over(circle.rangeBetween(Window.unboundedPreceding, Window.currentRow)), F.last("near", True).over(whole))).where("asks and near is not null").drop("asks")
+    met = left.select("*", axis("la")).join(told.hint("merge"), [*kind, "axis"])
+    off = lambda c: G.angle_difference_undirected(F.col("la"), F.col(f"near.{c}.axis"))
+    found = [F.when(F.col(f"near.{c}.{i}") != F.col("l_id"), F.struct(off(c).alias("off"), F.col(f"near.{c}.{i}").alias("r_id"))) for c in "psnm" for i in "ab"]
+    return met.select("l_id", F.least(*found).alias("m")).where("m is not null").select("l_id", "m.r_id", "m.off")
 
 
 def lane_candidates(junctions: DataFrame, lanes: DataFrame, most: float = 5.0, close: float = 1.5, width: float = 0.5) -> DataFrame:

@@ -240,3 +240,20 @@ def test_disc_intervals_of_copies_and_occupied_cells(spark):
     got = L.disc_intervals_of_copies(s, discs, far=True)
     assert sorted(map(tuple, got.collect())) == want and len(want) == 13
     assert L.disc_intervals_of_copies(s, discs.limit(0), far=True).count() == 0
+
+
+def test_best_by_angle_makes_no_pairs(spark):
+    """A thousand rows of one name and class: each asks its neighbours in the circle of axes; ties go to the smaller id, and a row is never its own partner."""
+    from pavestone.operators import derive as D
+
+    def want(rows):
+        off = lambda a, b: min((a - b) % 180.0, 180.0 - (a - b) % 180.0)
+        return {i: min(((off(a, b), j) for j, n, b in rows if n == m and j != i), default=None) for i, m, a in rows}
+
+    rows = [(i, i % 3, float(i * 7 % 360)) for i in range(400)] + [(1000, 7, 10.0), (1001, 8, 20.0), (1002, 8, 199.0), (1003, 9, 5.0), (1004, 9, 175.0), (1005, 9, 185.0)]
+    c = spark.createDataFrame(rows, "id int, name int, a double").selectExpr("*", "'x' as class")
+    side = lambda p: c.select(F.col("id").alias(f"{p}_id"), "name", "class", F.col("a").alias(f"{p}a"))
+    got = D.best_by_angle(side("l"), side("r"))
+    assert {r["l_id"]: (r["off"], r["r_id"]) for r in got.collect()} == {k: v for k, v in want(rows).items() if v}
+    # the join asks an equal axis, where pairs of a kind were made before
+    assert "axis" in plan(got).split("SortMergeJoin")[1].split("\n")[0]
