@@ -257,3 +257,15 @@ def test_best_by_angle_makes_no_pairs(spark):
     assert {r["l_id"]: (r["off"], r["r_id"]) for r in got.collect()} == {k: v for k, v in want(rows).items() if v}
     # the join asks an equal axis, where pairs of a kind were made before
     assert "axis" in plan(got).split("SortMergeJoin")[1].split("\n")[0]
+
+
+def test_marker_totals_make_no_markers(spark):
+    from pavestone.operators import generate as E
+
+    lines = spark.createDataFrame([(1, [(0.0, 0.0), (30.0, 0.0), (30.0, 70.0)]), (2, [(0.0, 0.0), (0.5, 0.0)]), (3, [(0.0, 0.0), (26.0, 0.0)])], "line_id int, line array<struct<x:double,y:double>>")
+    s = L.line_segments(lines)
+    want = E.markers(s, 25.0, 1.0).groupBy("line_id").agg(F.count(F.lit(1)), F.max("at"))
+    got = E.marker_totals(s, 25.0, 1.0)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and "explode(sequence" not in plan(got)
+    far = E.marker_totals(L.line_segments(spark.createDataFrame([(1, [(0.0, 0.0), (5e12, 0.0)])], lines.schema)), 25.0, 1.0)
+    assert [r["n"] for r in far.collect()] == [200_000_000_000]
