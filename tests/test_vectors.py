@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pavestone.functions import geometry as G
+from pavestone.functions import vectors as V
 
 SHAPE = "id int, line array<struct<x:double,y:double>>"
 
@@ -99,3 +100,34 @@ def test_a_filter_does_not_repeat_the_work(spark):
     plan = h._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and plan.count("ArrowEvalPython") == 1
     assert h.count() == 1
+
+
+def test_stations_are_the_places_of_single_distances(spark):
+    """Places along bent lines of many lengths, found together for a part, are those that `interpolate_at` finds one by one, bit by bit."""
+    rows = [(i, [{"x": x, "y": y} for x, y in l], 0.5 + i % 3, 1.0 + i % 7 / 3, i % 12) for i, l in enumerate(lines(80, 6, 9, 3))] + [(900, [{"x": 1.0, "y": 2.0}], 0.0, 1.0, 2), (901, [], 0.0, 1.0, 2), (902, None, 0.0, 1.0, 2)]
+    df = spark.createDataFrame(rows, "id int, line array<struct<x:double,y:double>>, first double, step double, n int").withColumn("total", G.length(F.col("line")))
+    near = F.col("total") * 0.001
+    got = df.select("id", F.explode(V.stations(F.col("line"), F.col("first"), F.col("step"), F.col("n"), F.col("total"), near)).alias("s")).select("id", "s.*")
+    one = df.where("n > 0 and size(line) > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k")).withColumn("at", F.least(F.greatest(F.col("first") + F.col("step") * F.col("k"), F.lit(0.0)), F.col("total")))
+    want = one.select("id", "k", G.interpolate_at(F.col("line"), F.col("at")).alias("base"), G.interpolate_at(F.col("line"), F.greatest(F.col("at") - near, F.lit(0.0))).alias("lo"), G.interpolate_at(F.col("line"), F.least(F.col("at") + near, F.col("total"))).alias("hi"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 200
+
+
+def test_contract_makes_points_once(spark):
+    from pavestone.plans import parking as P
+
+    rows = [("a", 1.0, 2.0, "parallel", 1), ("a", None, 2.0, "parallel", 1), ("b", float("nan"), 2.0, "sideways", 0), ("a", 1.0, 1.0, None, None)]
+    points = spark.createDataFrame(rows, "space_id string, x double, y double, orientation string, capacity int")
+    checks = P.contract_violations(points)
+    assert {r["check"]: r["n"] for r in checks.collect()} == {"coordinates": 2, "orientation": 2, "capacity": 2, "space_id": 2}
+    assert {r["check"]: r["n"] for r in P.contract_violations(points.limit(0)).collect()} == {"coordinates": 0, "orientation": 0, "capacity": 0, "space_id": 0}
+    assert checks._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + checks._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1
+
+
+def test_written_tables_run_in_small_methods(spark):
+    from pavestone import storage
+
+    held = spark.conf.get(storage.LIMIT)
+    with storage.small_methods(spark):
+        assert int(spark.conf.get(storage.LIMIT)) <= 8000
+    assert spark.conf.get(storage.LIMIT) == held
