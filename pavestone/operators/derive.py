@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import geometry as G
 from ..storage import written
 from .linear import overlaps, subtract_intervals
-from .spatial import match_cascade, nearest_within
+from .spatial import in_blocks, match_cascade, nearest_within, out_of_blocks
 
 # fixed values: turns that a lane can only go on with
 CLOSED_TURNS = ["left", "sharp_left", "merge_to_left", "right", "sharp_right", "merge_to_right", "left;right", "reverse"]
@@ -17,8 +17,18 @@ CLOSED_TURNS = ["left", "sharp_left", "merge_to_left", "right", "sharp_right", "
 
 def connect_snapped(ends: DataFrame, size: float) -> DataFrame:
     """J-07: (a, b), a <> b: ends (seg, x, y) that fall on the same grid point."""
-    at = ends.select("seg", F.round(F.col("x") / size).alias("gx"), F.round(F.col("y") / size).alias("gy"))
-    return at.select(F.col("seg").alias("a"), "gx", "gy").join(at.select(F.col("seg").alias("b"), "gx", "gy").hint("merge"), ["gx", "gy"]).where("a <> b").select("a", "b").distinct()
+    at = ends.select("seg", F.round(F.col("x") / size).alias("gx"), F.round(F.col("y") / size).alias("gy")).distinct()
+    at = at.withColumn("more", F.count(F.lit(1)).over(Window.partitionBy("seg")) > 1)
+
+    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Copies of a place meet in blocks; the rows are made after the join."""
+        name = lambda df, p: in_blocks(df.select(F.col("seg").alias(f"{p}_id"), "gx", "gy"), p, ["gx", "gy"])
+        met = name(left, "l").join(name(right, "r").hint("merge"), ["gx", "gy"])
+        return out_of_blocks(met, ["l_id"], ["r_id"]).select(F.col("l_id").alias("a"), F.col("r_id").alias("b")).where("a <> b")
+
+    # a pair can only meet twice if both have several places: no other pair is dealt out again
+    one, more = at.where("not more"), at.where("more")
+    return pairs(one, at).unionByName(pairs(more, one)).unionByName(pairs(more, more).distinct())
 
 
 def best_by_angle(left: DataFrame, right: DataFrame) -> DataFrame:

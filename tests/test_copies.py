@@ -269,3 +269,17 @@ def test_marker_totals_make_no_markers(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and "explode(sequence" not in plan(got)
     far = E.marker_totals(L.line_segments(spark.createDataFrame([(1, [(0.0, 0.0), (5e12, 0.0)])], lines.schema)), 25.0, 1.0)
     assert [r["n"] for r in far.collect()] == [200_000_000_000]
+
+
+def test_connected_ends_of_copies(spark):
+    """Ends of one place meet in blocks; only pairs of segments that both have several places are made distinct."""
+    from pavestone.operators import derive as D
+
+    rows = [(i, float(i % 3 * 100), 0.0) for i in range(30)] + [(i, 500.0, float(i % 2 * 100)) for i in range(10, 24)] + [(3, 1.0, 2.0)]
+    ends = spark.createDataFrame(rows, "seg int, x double, y double")
+    want = {(a, b) for a, ax, ay in rows for b, bx, by in rows if a != b and (round(ax / 10), round(ay / 10)) == (round(bx / 10), round(by / 10))}
+    got = D.connect_snapped(ends, 10.0)
+    found = [tuple(r) for r in got.select("a", "b").collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    one = spark.range(40).selectExpr("id as seg", "0.0D as x", "0.0D as y")
+    assert D.connect_snapped(one, 10.0).count() == 40 * 39
