@@ -366,10 +366,12 @@ def to_node(polygons: DataFrame, nodes: DataFrame, largest: float = 50.0, cell:
 
     small = polygons.select("l_id", "ring", G.area(F.col("ring")).alias("area")).where(F.col("area") < largest)
     e = G.envelope(F.col("ring"))
-    cells = in_cells(small, e["xmin"], e["ymin"], e["xmax"], e["ymax"], cell)
-    held = cells.join(at_cell(nodes, F.col("rx"), F.col("ry"), cell).hint("merge"), CELL).where(G.contains(F.array("ring"), G.point(F.col("rx"), F.col("ry")))).select("l_id")
+    # equal rings ask once, and nodes of one place answer once
+    cells = in_cells(small.select("ring").distinct(), e["xmin"], e["ymin"], e["xmax"], e["ymax"], cell)
+    spots = at_cell(nodes.select("rx", "ry").distinct(), F.col("rx"), F.col("ry"), cell)
+    held = cells.join(spots.hint("merge"), CELL).where(G.contains(F.array("ring"), G.point(F.col("rx"), F.col("ry")))).select("ring").distinct()
     c = G.centroid(F.col("ring"))
-    return small.join(held.hint("merge"), "l_id", "left_anti").select("l_id", c["x"].alias("x"), c["y"].alias("y"))
+    return small.join(held.hint("merge"), "ring", "left_anti").select("l_id", c["x"].alias("x"), c["y"].alias("y"))
 
 
 def sign_direction(signs: DataFrame, vertices: DataFrame) -> DataFrame:

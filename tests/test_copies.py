@@ -283,3 +283,15 @@ def test_connected_ends_of_copies(spark):
     assert len(found) == len(set(found)) and set(found) == want
     one = spark.range(40).selectExpr("id as seg", "0.0D as x", "0.0D as y")
     assert D.connect_snapped(one, 10.0).count() == 40 * 39
+
+
+def test_to_node_asks_places_and_shapes_once(spark):
+    from pavestone.operators import derive as D
+
+    box = lambda x: [(x, 0.0), (x + 2.0, 0.0), (x + 2.0, 2.0), (x, 2.0), (x, 0.0)]
+    polygons = spark.createDataFrame([(i, box(i % 4 * 10.0)) for i in range(40)] + [(99, [(0.0, 0.0), (90.0, 0.0), (90.0, 9.0), (0.0, 0.0)])], "l_id int, ring array<struct<x:double,y:double>>")
+    nodes = spark.createDataFrame([(i, 11.0, 1.0) for i in range(50)] + [(50, 500.0, 1.0)], "r_id int, rx double, ry double")
+    got = D.to_node(polygons, nodes)
+    assert sorted(tuple(r) for r in got.collect()) == [(i, i % 4 * 10.0 + 1, 1.0) for i in range(40) if i % 4 != 1]
+    tree = got._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("Aggregate [") >= 3 and "Aggregate [rx" in tree
